@@ -51,21 +51,25 @@ def over_halo(df: DataFrame, keys: Sequence[str], before: int, after: int,
 
 
 def bracket(df: DataFrame, keys: Sequence[str], anchor: Column, payload: Column,
-            prev: str = "prev", next_: str = "next", order: str = "frame", block: int = BLOCK) -> DataFrame:
+            prev: str = "prev", next_: str = "next", order: str = "frame", block: int = BLOCK,
+            next_anchor: Column | None = None) -> DataFrame:
     """Nearest anchor at or before (``prev``) and at or after (``next_``) every row.
 
     ``payload`` is the struct taken from the anchor row. This is a two-sided as-of
-    join of a table with its own anchor rows, at any distance.
+    join of a table with its own anchor rows, at any distance. ``next_anchor`` lets the
+    forward side look for other rows than the backward side.
     """
-    rows = df.withColumn("_block", block_of(order, block)).withColumn("_a", F.when(anchor, payload))
+    after = anchor if next_anchor is None else next_anchor
+    rows = df.withColumns({"_block": block_of(order, block), "_a": F.when(anchor, payload), "_b": F.when(after, payload)})
     part = Window.partitionBy(*keys, "_block")
     running = lambda w: w.rowsBetween(BEFORE, 0)
     local = (
         rows.withColumn("_p", F.last("_a", True).over(running(part.orderBy(order))))
-        .withColumn("_n", F.last("_a", True).over(running(part.orderBy(F.col(order).desc()))))
+        .withColumn("_n", F.last("_b", True).over(running(part.orderBy(F.col(order).desc()))))
     )
-    at = F.when(F.col("_a").isNotNull(), F.col(order))
-    edges = rows.groupBy(*keys, "_block").agg(F.max_by("_a", at).alias("_hi"), F.min_by("_a", at).alias("_lo"))
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col(order))
+    edges = rows.groupBy(*keys, "_block").agg(
+        F.max_by("_a", at("_a")).alias("_hi"), F.min_by("_b", at("_b")).alias("_lo"))
     per_key = Window.partitionBy(*keys)
     carried = edges.select(
         *keys, "_block",
@@ -76,7 +80,7 @@ def bracket(df: DataFrame, keys: Sequence[str], anchor: Column, payload: Column,
         local.join(carried, [*keys, "_block"], "left")
         .withColumn(prev, F.coalesce("_p", "_cp"))
         .withColumn(next_, F.coalesce("_n", "_cn"))
-        .drop("_p", "_n", "_cp", "_cn", "_a", "_block")
+        .drop("_p", "_n", "_cp", "_cn", "_a", "_b", "_block")
     )
 
 

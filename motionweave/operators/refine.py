@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import camera, hand, vec as v
-from ..schemas import BONES, NUM_JOINTS, PARENT
+from ..schemas import BONES, NUM_JOINTS
+from ..session import cut_lineage
 from .blocks import BLOCK, block_of, exact_quantiles, over_halo
 from .windows import runs
 
@@ -102,22 +103,22 @@ def scale_bones(hands: DataFrame, bound: float = BONE_BOUND, reference: str = "m
         lambda ref, length: F.when((ref > 0) & (length > 1e-9),
                                    v.clamp(ref / F.nullif(length, F.lit(0.0)), 1.0 - bound, 1.0 + bound)))
     use = F.col("valid") & F.col("refs").isNotNull() & F.col("joints").isNotNull()
-    rows = rows.withColumn("_ratio", F.when(use, ratio))
-    # Each finger is a chain of four; the running position is materialised joint by
-    # joint so that the expression grows linearly.
-    step = rows
-    for depth in range(1, 5):
-        cols = {}
-        for finger in range(5):
-            j = 4 * finger + depth
-            parent = F.col("joints")[0] if depth == 1 else F.col(f"_j{j - 1}")
-            bone = v.sub(F.col("joints")[j], F.col("joints")[PARENT[j]])
-            r = F.col("_ratio")[j - 1]
-            cols[f"_j{j}"] = F.when(r.isNotNull(), v.add(parent, v.scale(bone, r))).otherwise(F.col("joints")[j])
-        step = step.withColumns(cols)
-    fixed = F.array(F.col("joints")[0], *[F.col(f"_j{j}") for j in range(1, NUM_JOINTS)])
-    return step.withColumn("joints", F.when(F.col("_ratio").isNotNull(), fixed).otherwise(F.col("joints"))).drop(
-        "refs", "_ratio", *[f"_j{j}" for j in range(1, NUM_JOINTS)])
+    joints = F.col("joints")
+
+    def walk(ratios: Column) -> Column:
+        """Walk out from the wrist: each joint hangs off the new place of its parent; a
+        bone without a ratio keeps its child where it was."""
+        def hang(done: Column, j: Column) -> Column:
+            up = F.when(j % 4 == 1, F.lit(0)).otherwise(j - 1)
+            old, base, start, r = F.get(joints, j), F.get(joints, up), F.get(done, up), F.get(ratios, j - 1)
+            moved = v.vec(*[start[a] + r * (old[a] - base[a]) for a in "xyz"])
+            return F.concat(done, F.array(F.when(r.isNotNull(), moved).otherwise(old)))
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(NUM_JOINTS - 1)), F.slice(joints, 1, 1), hang)
+
+    # The ratios are bound once; a filter pushed through this projection cannot copy them
+    # into every step of the walk.
+    return rows.withColumn("joints", F.when(use, v.let(ratio, walk)).otherwise(joints)).drop("refs")
 
 
 def bone_deviation(hands: DataFrame, ref: DataFrame, name: str) -> DataFrame:
@@ -167,17 +168,20 @@ def solve_bands(diag: np.ndarray, up1: np.ndarray, up2: np.ndarray, rhs: np.ndar
     return y
 
 
-def _depth_system(hands: DataFrame, lam: float, block: int) -> DataFrame:
+def _depth_system(hands: DataFrame, lam: float, per_side: bool, block: int) -> DataFrame:
     """Rows of the normal equations, one per valid hand-frame, with their run.
 
     The smoothness term couples a frame with two neighbours on each side, so each row
     needs a look-around of two frames only.
     """
     ok = F.col("valid") & v.all_finite(F.col("joints"))
-    rows = hands.withColumn("_ray", F.when(ok, _wrist_ray())).withColumn("_d0", F.col("joints")[0]["z"])
-    rows = runs(rows, ok, HAND, block).filter(F.col("run_end") > F.col("run_start"))
-    rows = rows.withColumn("_d0", F.when(F.abs("_d0") < camera.DEPTH_EPS, F.raise_error(
-        F.lit("wrist depth is zero: its ray is undefined")).cast("double")).otherwise(F.col("_d0")))
+    depth = F.col("joints")[0]["z"]
+    depth = F.when(ok & (F.abs(depth) < camera.DEPTH_EPS), F.raise_error(
+        F.lit("wrist depth is zero: its ray is undefined")).cast("double")).otherwise(depth)
+    # Only the wrist is needed from here on; the table is small and read several times.
+    slim = cut_lineage(hands.select("clip", "side", "frame", "conf", "valid", ok.alias("_ok"),
+                                    F.when(ok, _wrist_ray()).alias("_ray"), F.when(ok, depth).alias("_d0")))
+    rows = runs(confidence_weights(slim, per_side), F.col("_ok"), HAND, block).filter(F.col("run_end") > F.col("run_start"))
 
     f, s, e = F.col("frame"), F.col("run_start"), F.col("run_end")
 
@@ -269,8 +273,8 @@ def smooth_wrist_depth(hands: DataFrame, lam: float = DEPTH_LAMBDA, max_change:
         raise ValueError("lam must not be negative")
     if block < 8:
         raise ValueError("block must hold at least 8 frames")
-    rows = _depth_system(confidence_weights(hands, per_side), lam, block)
-    slim = rows.select("clip", "side", "_block", "run_start", "run_end", *BAND)
+    rows = _depth_system(hands, lam, per_side, block)
+    slim = cut_lineage(rows.select("clip", "side", "_block", "run_start", "run_end", *BAND))
     clip_t = hands.schema["clip"].dataType.simpleString()
     side_t = hands.schema["side"].dataType.simpleString()
     ids = f"clip {clip_t}, side {side_t}"

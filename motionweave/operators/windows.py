@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import pose, vec as v
-from .blocks import BLOCK, block_of, bracket, over_halo
+from .blocks import BLOCK, bracket, exact_quantiles, over_halo
 
 
 def _tap(x: Column, before: Column, after: Column) -> Column:
@@ -89,8 +89,8 @@ def runs(df: DataFrame, flag: Column, keys: Sequence[str] = ("clip", "side"), bl
         return r.withColumn("_s", F.col("_f") & ~before).withColumn("_e", F.col("_f") & ~after)
 
     rows = over_halo(rows, keys, 1, 1, edges, block=block).filter("_f")
-    rows = bracket(rows, keys, F.col("_s"), F.struct(F.col("frame").alias("frame")), "_rs", "_x", block=block).drop("_x")
-    rows = bracket(rows, keys, F.col("_e"), F.struct(F.col("frame").alias("frame")), "_x", "_re", block=block).drop("_x")
+    rows = bracket(rows, keys, F.col("_s"), F.struct(F.col("frame").alias("frame")), "_rs", "_re", block=block,
+                   next_anchor=F.col("_e"))
     return rows.withColumn("run_start", F.col("_rs")["frame"]).withColumn(
         "run_end", F.col("_re")["frame"]).drop("_f", "_s", "_e", "_rs", "_re")
 
@@ -150,8 +150,6 @@ def fps_from_timestamps(df: DataFrame, ts: str = "ts_ns", keys: Sequence[str] =
 
     Steps of a clip take few distinct values, so they are counted before the median.
     """
-    from .blocks import exact_quantiles
-
     def body(rows, asc, _):
         return rows.withColumn("_d", F.col(ts) - F.lag(ts).over(asc))
 

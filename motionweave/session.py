@@ -16,7 +16,6 @@ TUNED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -35,6 +34,8 @@ def local_session(cores: int = 8, name: str = "motionweave", shuffle_partitions:
         .appName(name)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every expression costs more than planning it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     spark = tune(builder.getOrCreate())
