@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import box as bx
-from .blocks import BLOCK, halo, over_halo
+from .blocks import BEFORE, BLOCK, halo, over_halo
 
 IOU_FLOOR = 0.10
 NONE = (-1, -1)
@@ -188,7 +188,7 @@ def recover(cands: DataFrame, min_confidence: float = 0.75, max_gap: int = 4, mi
 
     def body(rows, asc, desc):
         anchor = F.when(F.col("conf") >= min_confidence, F.struct("frame", "box"))
-        upto = lambda w: w.rowsBetween(-(2 ** 31), 0)
+        upto = lambda w: w.rowsBetween(BEFORE, 0)
         rows = rows.withColumn("_a", anchor)
         return rows.withColumn("_p", F.last("_a", True).over(upto(asc))).withColumn(
             "_n", F.last("_a", True).over(upto(desc)))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Per-clip dimensions are joined without a broadcast hint:
 # Spark broadcasts them only below its own measured size threshold, and beyond
@@ -49,13 +50,19 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="motionweave-")
+        folder = tempfile.mkdtemp(prefix="motionweave-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+        return folder
     raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
 
 
-def cut_lineage(df):
-    """Checkpoint a table that several later steps read (reliable, survives executor loss)."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a table that several later steps read, and go on from the written copy.
+
+    Parquet in the shared folder survives lost executors and lets each reader take only
+    the columns it needs.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/motionweave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
