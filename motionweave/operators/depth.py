@@ -83,3 +83,29 @@ def correspondences(points: DataFrame, window: int | None = None, overlap: int |
 def missing_pairs(windows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Windows that share no depth sample with their predecessor."""
     return windows.filter("win > 0").join(pairs.select("clip", "win").distinct(), ["clip", "win"], "left_anti")
+
+
+def decode_camera_output(rows: DataFrame, image_wh: tuple, grid_wh: tuple) -> DataFrame:
+    """Camera-model output rows (12- or 16-entry world-to-camera matrix, k) to the contract.
+
+    The pose is inverted and the intrinsics follow the depth grid. A matrix of another
+    length is an error.
+    """
+    sized = F.when(F.size("extrinsics").isin(12, 16), F.col("extrinsics")).otherwise(
+        F.raise_error(F.lit("extrinsics must have 12 or 16 entries")).cast("array<double>"))
+    rows = rows.withColumn("_e", sized)
+    w2c, t = pose.matrix_to_pose(F.col("_e"))
+    rows = rows.withColumn("_r", w2c).withColumn("_t", t)
+    rot, trans = pose.invert(F.col("_r"), F.col("_t"))
+    return rows.withColumns({"rot": rot, "trans": trans, "k": camera.rescale(F.col("k"), image_wh, grid_wh)}).drop(
+        "_e", "_r", "_t", "extrinsics")
+
+
+def view_count_problems(cameras: DataFrame, samples: DataFrame) -> DataFrame:
+    """Window frames that have a camera but no depth, or depth but no camera."""
+    keys = ["clip", "win", "frame"]
+    cams = cameras.select(*keys, F.lit(True).alias("_cam"))
+    maps = samples.select(*keys).distinct().withColumn("_map", F.lit(True))
+    both = cams.join(maps, keys, "full")
+    what = F.when(F.col("_map").isNull(), F.lit("camera without depth")).when(F.col("_cam").isNull(), F.lit("depth without camera"))
+    return both.select(*keys, what.alias("problem")).filter("problem is not null")
