@@ -190,3 +190,29 @@ def clip_from_path(path=None):
     """Clip folder of an artefact path <root>/<clip>/<stage>[/windows]/<file>."""
     c = F.col("path") if path is None else path
     return F.regexp_extract(c, r"([^/]+)/[^/]+/(?:windows/)?[^/]+$", 1)
+
+
+def pack_hand_windows(windows: DataFrame, root: str) -> DataFrame:
+    """Hand windows -> (path, content) archives, one per window. Missing joints become NaN.
+
+    A window has a bounded number of frames, so a group stays small.
+    """
+    path = F.format_string("%s/%s/hand/windows/%06d_%06d.npz", F.lit(root), F.col("clip").cast("string"), F.col("start"), F.col("end") - 1)
+    rows = windows.select(
+        path.alias("path"), "start", "end", "frame", "side", "valid", "conf",
+        F.flatten(F.transform("joints", lambda p: F.array(p["x"], p["y"], p["z"]))).alias("flat"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        start, end = int(pdf["start"].iloc[0]), int(pdf["end"].iloc[0])
+        joints = np.full((end - start, 2, 63), np.nan)
+        valid = np.zeros((end - start, 2), dtype=bool)
+        conf = np.zeros((end - start, 2))
+        for frame, side, ok, c, flat in zip(pdf["frame"], pdf["side"], pdf["valid"], pdf["conf"], pdf["flat"]):
+            valid[frame - start, side], conf[frame - start, side] = ok, c
+            if flat is not None:
+                joints[frame - start, side] = flat
+        out = io.BytesIO()
+        np.savez(out, joints_camera=joints.reshape(-1, 2, 21, 3), valid=valid, confidence=conf, start=start, end=end)
+        return pd.DataFrame({"path": pdf["path"].iloc[:1].to_list(), "content": [out.getvalue()]})
+
+    return rows.groupBy("path").applyInPandas(pack, "path string, content binary")
