@@ -25,8 +25,7 @@ def iou(a: Column, b: Column) -> Column:
     w = F.greatest(zero, F.least(a["x2"], b["x2"]) - F.greatest(a["x1"], b["x1"]))
     h = F.greatest(zero, F.least(a["y2"], b["y2"]) - F.greatest(a["y1"], b["y1"]))
     inter = w * h
-    union = area(a) + area(b) - inter
-    return F.when((inter > 0) & (union > 0), inter / F.nullif(union, zero)).otherwise(zero)
+    return F.coalesce(F.try_divide(inter, area(a) + area(b) - inter), zero)
 
 
 def lerp(a: Column, b: Column, w: Column) -> Column:

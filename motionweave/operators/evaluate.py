@@ -8,10 +8,11 @@ numbers and a frame meets its starts through a bounded window, without a range j
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import pose, vec as v
+from ..functions import vec as v
+from ..session import cut_lineage
 from .blocks import BLOCK, exact_quantiles, over_halo
 
 KEY = ["clip", "frame", "side"]
@@ -33,11 +34,12 @@ def load(traj: DataFrame, meta: DataFrame | None = None, fps: float | None = Non
 def paired(pred: DataFrame, ref: DataFrame) -> DataFrame:
     """Prediction and reference side by side on (clip, frame, side)."""
     def tagged(df: DataFrame, tag: str, inter: bool) -> DataFrame:
-        out = df.select(*KEY, *[F.col(c).alias(f"{tag}_{c}") for c in ("joints_world", "valid", "rot", "trans")],
-                        *([F.coalesce("interpolated", F.lit(False)).alias("interpolated")] if inter else []))
-        return out
+        return df.select(*KEY, *[F.col(c).alias(f"{tag}_{c}") for c in ("joints_world", "valid", "rot", "trans")],
+                         *([F.coalesce("interpolated", F.lit(False)).alias("interpolated")] if inter else []))
 
-    return tagged(pred, "p", "interpolated" in pred.columns).join(tagged(ref, "g", False), KEY)
+    inter = "interpolated" in pred.columns
+    rows = tagged(pred, "p", inter).join(tagged(ref, "g", False), KEY)
+    return rows if inter else rows.withColumn("interpolated", F.lit(False))
 
 
 def clip_lengths(pred: DataFrame, ref: DataFrame) -> DataFrame:
@@ -67,10 +69,10 @@ def terms(pred: DataFrame, ref: DataFrame, chunk: int, step: int = 1, strict: bo
     ``joint`` is NULL in start rows and ``start`` is NULL in joint rows. ``sum_real``
     and ``n_real`` leave out interpolated frames. Sums combine map-side.
     """
-    rows = paired(pred, ref)
-    if "interpolated" not in rows.columns:
-        rows = rows.withColumn("interpolated", F.lit(False))
-    sizes = clip_lengths(pred, ref)
+    return _terms(paired(pred, ref), clip_lengths(pred, ref), chunk, step, strict, block)
+
+
+def _terms(rows: DataFrame, sizes: DataFrame, chunk: int, step: int, strict: bool, block: int) -> DataFrame:
     if strict:
         bad = ~F.col("num_frames").eqNullSafe(F.col("ref_frames"))
         sizes = sizes.withColumn("num_frames", F.when(bad, F.raise_error(F.concat(
@@ -97,8 +99,10 @@ def terms(pred: DataFrame, ref: DataFrame, chunk: int, step: int = 1, strict: bo
         F.col("_s")["_c"].alias("c"), F.posexplode("_j").alias("joint", "pg"))
     p, g = F.col("pg")["p"], F.col("pg")["g"]
     moved = v.add(v.mul_vec(F.col("A"), g), F.col("c"))
-    each = each.select("clip", "side", "joint", "start", "interpolated",
-                       F.when(_usable(p, g), v.distance(p, moved)).alias("err")).filter("err is not null")
+    # A missing or non-finite point makes the distance NULL, NaN or infinite. Sums and
+    # counts skip NULL, so no filter has to evaluate the distance a second time.
+    d = v.distance(p, moved)
+    each = each.select("clip", "side", "joint", "start", "interpolated", F.when(d < F.lit(float("inf")), d).alias("err"))
     real = F.when(~F.col("interpolated"), F.col("err"))
     return each.groupingSets(
         [[F.col("clip"), F.col("side"), F.col("joint")], [F.col("clip"), F.col("start")]],
@@ -146,21 +150,28 @@ def depth_and_joint_coverage(pred: DataFrame, ref: DataFrame) -> DataFrame:
 
     A clip's joint terms are 2 x 21 per frame, whether a row exists or not.
     """
-    rows = paired(pred, ref)
+    return _depth_and_joint_coverage(paired(pred, ref), clip_lengths(pred, ref))
+
+
+def _depth_and_joint_coverage(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     j = F.explode(F.arrays_zip(F.col("p_joints_world").alias("p"), F.col("g_joints_world").alias("g"))).alias("j")
     ok = F.col("p_valid") & F.col("g_valid")
     used = rows.filter(ok).select("clip", j).filter(_usable(F.col("j")["p"], F.col("j")["g"]))
     sums = used.groupBy("clip").agg(
         (MM * F.avg(F.abs(F.col("j")["p"]["z"] - F.col("j")["g"]["z"]))).alias("world_z_error_mm"),
         F.count(F.lit(1)).alias("_n"))
-    total = clip_lengths(pred, ref).select("clip", (F.col("num_frames") * 42).alias("_all"))
+    total = sizes.select("clip", (F.col("num_frames") * 42).alias("_all"))
     return total.join(sums, "clip", "left").select(
         "clip", "world_z_error_mm", (F.coalesce("_n", F.lit(0)) / F.col("_all")).alias("joint_coverage"))
 
 
 def camera_error(pred: DataFrame, ref: DataFrame) -> DataFrame:
     """Mean camera-centre distance over frames where both sides have any valid hand."""
-    per_frame = paired(pred, ref).groupBy("clip", "frame").agg(
+    return _camera_error(paired(pred, ref))
+
+
+def _camera_error(rows: DataFrame) -> DataFrame:
+    per_frame = rows.groupBy("clip", "frame").agg(
         (F.bool_or("p_valid") & F.bool_or("g_valid")).alias("ok"),
         F.first(v.distance(F.col("p_trans"), F.col("g_trans"))).alias("d"))
     return per_frame.groupBy("clip").agg((MM * F.avg(F.when(F.col("ok"), F.col("d")))).alias("camera_error_mm"))
@@ -171,9 +182,10 @@ def coverage_report(pred: DataFrame, ref: DataFrame) -> DataFrame:
 
     The interpolated share looks at the prediction alone, the others at both sides.
     """
-    rows = paired(pred, ref)
-    if "interpolated" not in rows.columns:
-        rows = rows.withColumn("interpolated", F.lit(False))
+    return _coverage_report(paired(pred, ref))
+
+
+def _coverage_report(rows: DataFrame) -> DataFrame:
     both = F.col("p_valid") & F.col("g_valid")
     share = lambda c: F.avg(c.cast("double"))
     return rows.groupBy("clip").agg(
@@ -206,11 +218,12 @@ def report(pred: DataFrame, ref: DataFrame, fps: float, chunk_seconds: float = 1
            strict: bool = True, block: int = BLOCK, chunk: int | None = None) -> DataFrame:
     """One evaluation row per clip."""
     c = chunk if chunk is not None else chunk_frames(fps, chunk_seconds)
-    parts = terms(pred, ref, c, step, strict, block)
-    sizes = clip_lengths(pred, ref).select(
+    # Both sides are joined once; every measure then reads the columns it needs.
+    rows, lengths = cut_lineage(paired(pred, ref)), cut_lineage(clip_lengths(pred, ref))
+    parts = _terms(rows, lengths, c, step, strict, block)
+    out = lengths.select(
         "clip", "num_frames", (F.floor((F.col("num_frames") - c) / F.lit(step)) + 1).cast("int").alias("num_chunks"))
-    out = sizes
-    for piece in (action_error(parts), depth_and_joint_coverage(pred, ref), camera_error(pred, ref), coverage_report(pred, ref)):
+    for piece in (action_error(parts), _depth_and_joint_coverage(rows, lengths), _camera_error(rows), _coverage_report(rows)):
         out = out.join(piece, "clip", "left")
     if strict:
         none = F.raise_error(F.concat(F.lit("no comparable term in clip "), F.col("clip").cast("string"))).cast("double")

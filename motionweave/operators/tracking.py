@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import box as bx
+from ..functions import box as bx, vec as v
 from .blocks import BEFORE, BLOCK, halo, over_halo
 
 IOU_FLOOR = 0.10
@@ -135,7 +135,10 @@ def select_slots(dets: DataFrame, max_gap: int = 4, iou_floor: float = IOU_FLOOR
         pairs = [_flat(e) + _flat(s) for e, s in moves.items()]
         return pd.DataFrame({"clip": pdf["clip"].iloc[:1].to_list(), "_block": [b], "moves": [sum(pairs, [])]})
 
-    moves = rows.groupBy("clip", "_block").applyInPandas(summarise, f"{key}, _block int, moves array<int>")
+    # Only a block with a later block behind it needs its function; most clips have none.
+    last = rows.filter("_own").groupBy("clip").agg(F.max("_block").alias("_last"))
+    inner = rows.join(last, "clip").filter("_block < _last").drop("_last")
+    moves = inner.groupBy("clip", "_block").applyInPandas(summarise, f"{key}, _block int, moves array<int>")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_block")
@@ -143,22 +146,19 @@ def select_slots(dets: DataFrame, max_gap: int = 4, iou_floor: float = IOU_FLOOR
         for b, flat_moves in zip(pdf["_block"], pdf["moves"]):
             if expect is not None and b != expect:
                 state = (NONE, NONE)  # a block without any detection outlasts the memory
+            table = {tuple(flat_moves[i:i + 4]): flat_moves[i + 4:i + 8] for i in range(0, len(flat_moves), 8)}
+            p, q, r, s = (int(x) for x in table[tuple(_flat(state))])
+            state = ((p, q), (r, s))
             entries.append(_flat(state))
-            want = _flat(state)
-            for i in range(0, len(flat_moves), 8):
-                if list(flat_moves[i:i + 4]) == want:
-                    p, q, r, s = (int(x) for x in flat_moves[i + 4:i + 8])
-                    state = ((p, q), (r, s))
-                    break
             expect = b + 1
-        return pd.DataFrame({"clip": pdf["clip"], "_block": pdf["_block"], "entry": entries})
+        return pd.DataFrame({"clip": pdf["clip"], "_block": pdf["_block"] + 1, "entry": entries})
 
     entry = moves.groupBy("clip").applyInPandas(chain, f"{key}, _block int, entry array<int>")
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         first = int(pdf["_block"].iloc[0]) * block
-        start = [int(x) for x in pdf["entry"].iloc[0]]
-        state = ((start[0], start[1]), (start[2], start[3]))
+        start = pdf["entry"].iloc[0]
+        state = (NONE, NONE) if start is None else ((int(start[0]), int(start[1])), (int(start[2]), int(start[3])))
         frames = _frames(pdf)
         known = {d.key: d for _, ds in frames for d in ds}
         out = []
@@ -171,7 +171,7 @@ def select_slots(dets: DataFrame, max_gap: int = 4, iou_floor: float = IOU_FLOOR
         res.insert(0, "clip", pdf["clip"].iloc[0])
         return res
 
-    picked = rows.join(entry, ["clip", "_block"]).groupBy("clip", "_block").applyInPandas(
+    picked = rows.join(entry, ["clip", "_block"], "left").groupBy("clip", "_block").applyInPandas(
         replay, f"{key}, frame int, side int, slot int, x1 double, y1 double, x2 double, y2 double, conf double")
     return picked.select("clip", "frame", "side", "slot", bx.box(*[F.col(c) for c in bx.CORNERS]).alias("box"), "conf")
 
@@ -198,7 +198,8 @@ def recover(cands: DataFrame, min_confidence: float = 0.75, max_gap: int = 4, mi
     gap = n["frame"] - p["frame"] - 1
     w = (F.col("frame") - p["frame"]) / F.nullif((n["frame"] - p["frame"]).cast("double"), F.lit(0.0))
     close = (gap >= 1) & (gap <= max_gap)
-    on_line = close & (bx.iou(F.col("box"), bx.lerp(p["box"], n["box"], w)) >= min_iou)
+    overlap = v.let(bx.lerp(p["box"], n["box"], w), lambda expected: bx.iou(F.col("box"), expected))
+    on_line = F.when(close, overlap >= min_iou)
     anchor = F.col("conf") >= min_confidence
     recovered = F.coalesce(~anchor & on_line, F.lit(False))
     return rows.withColumn("recovered", recovered).filter(anchor | recovered).drop("_a", "_p", "_n")

@@ -25,10 +25,10 @@ def frame_inventory(paths: DataFrame, fps: DataFrame, image_format: str = "jpg")
     Rows: clip, path. Names are ranked in name-prefix buckets, so no task sorts a clip.
     """
     named = paths.filter(F.col("path").endswith(f".{image_format}")).withColumn(
-        "name", F.regexp_extract("path", r"[^/]+$", 0))
+        "name", F.substring_index("path", "/", -1))
     # All but the last three characters of the stem: at most a thousand numbered frames.
-    prefix = F.regexp_replace("name", r".{0,3}\.[^.]+$", "")
-    rows = ranked(named, ["clip"], ["name"], F.struct(prefix.alias("p")), "frame")
+    cut = F.greatest(F.lit(0), F.length("name") - (len(image_format) + 4))
+    rows = ranked(named, ["clip"], ["name"], F.left(F.col("name"), cut), "frame")
     lost = F.raise_error(F.concat(F.lit("no fps for clip "), F.col("clip").cast("string"))).cast("double")
     return rows.join(fps.select("clip", "fps"), "clip", "left").select(
         "clip", F.col("frame").cast("int").alias("frame"), "path",
