@@ -96,7 +96,7 @@ SELECT clip, kind, count(*) AS points, {r('avg(y)')} AS mean_y FROM k GROUP BY c
 
 
 def _points(spark, sf, stride=1):
-    return dp.world_points(depth_samples(spark, sf), camera_windows(spark, sf), stride)
+    return dp.world_points(depth_samples(spark, sf), camera_windows(spark, sf), stride, by_frame=True)
 
 
 def depth_pairs(spark, sf):

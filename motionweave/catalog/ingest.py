@@ -272,15 +272,18 @@ def stage_inputs(spark, sf):
     """Which files each stage of a clip consumes; nothing consumes the final trajectory."""
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("clip"), F.explode(F.array(*[F.lit(p) for p in PATHS])).alias("path"))
     c = c.withColumn("sha", F.sha2(F.concat(F.col("clip").cast("string"), "path"), 256))
-    return lg.inputs_per_stage(c).select("clip", "stage", F.size("inputs").alias("files"), F.col("inputs")[0]["name"].alias("first_name"),
-                                         F.col("inputs")[0]["sha"].alias("first_sha"))
+    return lg.inputs_per_stage(c)
 
 
-_ROWS = {"preprocess": ("video/a.mp4", 1), "detection": ("metadata.json", 1), "hand": ("detection/detection.npz", 1), "camera": ("metadata.json", 1),
-         "stitch": ("camera/windows/000000_000199.npz", 2), "fusion": ("hand/hand_camera.npz", 2), "refine": ("trajectory/trajectory_raw.npz", 1)}
-_VALS = ", ".join(f"('{s}', '{p}', '{p.split('/')[-1]}', {n})" for s, (p, n) in _ROWS.items())
-INPUTS = f"""WITH m(stage, path, name, n) AS (VALUES {_VALS})
-SELECT c_custkey AS clip, stage, n AS files, name AS first_name, sha256(CAST(c_custkey AS VARCHAR) || path) AS first_sha FROM customer, m"""
+_PAT = ", ".join(f"('{s}', '{p}')" for s, p in lg.STAGE_INPUTS.items())
+_PATH_ROWS = ", ".join(f"('{p}')" for p in PATHS)
+INPUTS = f"""WITH pat(stage, re) AS (VALUES {_PAT}), p(path) AS (VALUES {_PATH_ROWS}),
+f AS (SELECT c_custkey AS clip, stage, split_part(path, '/', -1) AS name, sha256(CAST(c_custkey AS VARCHAR) || path) AS sha
+  FROM customer, p, pat WHERE regexp_matches(path, re)),
+b AS (SELECT clip, stage, substr(sha256(name), 1, 3) AS bucket, sha256(string_agg(name || ':' || sha, ';' ORDER BY name || ':' || sha)) AS part,
+  count(*) AS n, min(name) AS low FROM f GROUP BY ALL)
+SELECT clip, stage, CAST(sum(n) AS BIGINT) AS files, min(low) AS first_name, sha256(string_agg(bucket || '=' || part, ';' ORDER BY bucket || '=' || part)) AS digest
+FROM b GROUP BY clip, stage"""
 
 
 def _markers(spark, sf):
@@ -345,7 +348,7 @@ SUMMARY = f"WITH {MARK_SQL} SELECT status, count(*) AS units FROM mk GROUP BY GR
 def degraded_metadata(spark, sf):
     done = lg.decode_markers(_markers(spark, sf))
     rows = lg.mark_degraded(vw.clips(spark, sf), done)
-    return rows.select("clip", "num_frames", "degraded", F.size(F.coalesce("degraded_units", F.array())).alias("failed_units"), "degraded_reason")
+    return rows.select("clip", "num_frames", "degraded", "failed_units", "degraded_reason")
 
 
 DEGRADED = f"""WITH {vw.CLIPS_SQL}, {MARK_SQL}, f AS (SELECT clip, count(*) AS n, max(detail) AS d FROM mk WHERE status = 'failed' GROUP BY clip)

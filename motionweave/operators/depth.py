@@ -19,9 +19,14 @@ def usable_depth(depth: Column, conf: Column | None, min_depth: float, max_depth
 
 def world_points(samples: DataFrame, cameras: DataFrame, stride: int = 8, min_depth: float = 1e-3,
                  max_depth: float | None = None, min_confidence: float | None = None,
-                 rows: tuple | None = None) -> DataFrame:
+                 rows: tuple | None = None, by_frame: bool = False) -> DataFrame:
     """Back-project strided, usable samples. The pixel and depth filters come before the
-    join, so they reach the scan. ``rows`` keeps an image band [first, stop)."""
+    join, so they reach the scan. ``rows`` keeps an image band [first, stop).
+
+    ``by_frame`` joins on (clip, frame) with the few window poses of a frame as a list.
+    Samples are then already partitioned the way ``correspondences`` pairs them, and the
+    largest table is shuffled once instead of twice.
+    """
     if stride <= 0:
         raise ValueError("stride must be positive")
     first, stop = rows if rows is not None else (0, None)
@@ -32,11 +37,15 @@ def world_points(samples: DataFrame, cameras: DataFrame, stride: int = 8, min_de
     picked = samples.filter(keep & usable_depth(F.col("depth"), conf, min_depth, max_depth, min_confidence))
     extra = ["depth_conf"] if conf is not None else []
     local = camera.pixel_to_point(F.col("k"), F.col("row"), F.col("col"), F.col("depth"))
-    return (
-        picked.join(cameras.select("clip", "win", "frame", "rot", "trans", "k"), ["clip", "win", "frame"])
-        .select("clip", "win", "frame", "row", "col", "depth", *extra,
-                pose.to_world(F.col("rot"), F.col("trans"), local).alias("point"))
-    )
+    if by_frame:
+        poses = cameras.groupBy("clip", "frame").agg(F.collect_list(F.struct("win", "rot", "trans", "k")).alias("_cams"))
+        own = F.explode(F.filter("_cams", lambda c: c["win"] == F.col("win")))
+        posed = picked.join(poses, ["clip", "frame"]).withColumn("_c", own).withColumns(
+            {c: F.col("_c")[c] for c in ("rot", "trans", "k")})
+    else:
+        posed = picked.join(cameras.select("clip", "win", "frame", "rot", "trans", "k"), ["clip", "win", "frame"])
+    return posed.select("clip", "win", "frame", "row", "col", "depth", *extra,
+                        pose.to_world(F.col("rot"), F.col("trans"), local).alias("point"))
 
 
 def row_band(height: int, low: float, high: float) -> tuple[int, int]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import STAGES, STAGE_WINDOWS
+from .blocks import BLOCK
 
 
 def _check(window: int, overlap: int) -> None:
@@ -53,6 +54,15 @@ def overlap_with_previous(df: DataFrame, window: int, overlap: int) -> DataFrame
     return df.withColumn("ov_start", F.when(shared, F.col("start"))).withColumn("ov_end", F.when(shared, stop))
 
 
+def frames(clips: DataFrame, length: str = "num_frames") -> DataFrame:
+    """Every (clip, frame). A long clip is cut into blocks first and the blocks are spread,
+    so neither one array nor one task has to hold all its frames."""
+    n = F.col(length)
+    heads = clips.select("clip", n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1, F.lit(BLOCK))).alias("_at"))
+    return heads.repartition("clip", "_at").select(
+        "clip", F.explode(F.sequence(F.col("_at"), F.least(F.col("_at") + BLOCK, F.col("_n")) - 1)).alias("frame"))
+
+
 def to_frames(win: DataFrame) -> DataFrame:
     """Explode windows to their frames: interval membership becomes an equi-join key."""
     return win.withColumn("frame", F.explode(F.sequence(F.col("start"), F.col("end") - 1)))

@@ -35,7 +35,7 @@ def align(samples: DataFrame, cameras: DataFrame, window: int, overlap: int, str
           min_depth: float = 1e-3, max_depth: float | None = None, min_confidence: float | None = None,
           max_points: int | None = 40000, **fit_options) -> DataFrame:
     """Robust similarity from every window to its predecessor."""
-    points = world_points(samples, cameras, stride, min_depth, max_depth, min_confidence)
+    points = world_points(samples, cameras, stride, min_depth, max_depth, min_confidence, by_frame=True)
     weighted = min_confidence is not None and "depth_conf" in samples.columns
     pairs = correspondences(points, window, overlap, max_points, weighted)
     return robust_fit(pairs, weighted=weighted, **fit_options)

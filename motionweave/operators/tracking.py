@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import box as bx, vec as v
 from .blocks import BEFORE, BLOCK, halo, over_halo
+from .schedule import frames
 
 IOU_FLOOR = 0.10
 NONE = (-1, -1)
@@ -102,12 +103,12 @@ def _transition(pdf: pd.DataFrame, block: int, max_gap: int, floor: float):
     """Exit state of a block for every state it can be entered with."""
     b = int(pdf["_block"].iloc[0])
     first, after = b * block, (b + 1) * block
-    frames = _frames(pdf)
-    known = {d.key: d for _, dets in frames for d in dets}
+    rows_of = _frames(pdf)
+    known = {d.key: d for _, dets in rows_of for d in dets}
     entry_keys = [NONE] + [k for k in known if k[0] < first]
     entries = [(p, q) for p in entry_keys for q in entry_keys if p == NONE or p != q]
     current = {e: _fresh(e, first, max_gap) for e in entries}
-    for frame, dets in frames:
+    for frame, dets in rows_of:
         if frame < first:
             continue
         moved = {s: _step(s, frame, dets, known, max_gap, floor)[0] for s in set(current.values())}
@@ -159,10 +160,10 @@ def select_slots(dets: DataFrame, max_gap: int = 4, iou_floor: float = IOU_FLOOR
         first = int(pdf["_block"].iloc[0]) * block
         start = pdf["entry"].iloc[0]
         state = (NONE, NONE) if start is None else ((int(start[0]), int(start[1])), (int(start[2]), int(start[3])))
-        frames = _frames(pdf)
-        known = {d.key: d for _, ds in frames for d in ds}
+        rows_of = _frames(pdf)
+        known = {d.key: d for _, ds in rows_of for d in ds}
         out = []
-        for frame, ds in frames:
+        for frame, ds in rows_of:
             if frame < first:
                 continue
             state, pick = _step(state, frame, ds, known, max_gap, iou_floor)
@@ -207,9 +208,8 @@ def recover(cands: DataFrame, min_confidence: float = 0.75, max_gap: int = 4, mi
 
 def dense_frames(clips: DataFrame, sides: tuple = (0, 1), length: str = "num_frames") -> DataFrame:
     """Every (clip, frame, side) of the clips."""
-    frames = clips.select("clip", F.explode(F.sequence(F.lit(0), F.col(length) - 1)).alias("frame"))
-    return frames.withColumn("frame", F.col("frame").cast("int")).withColumn(
-        "side", F.explode(F.array(*[F.lit(s) for s in sides])))
+    rows = frames(clips, length)
+    return rows.withColumn("frame", F.col("frame").cast("int")).withColumn("side", F.explode(F.array(*[F.lit(s) for s in sides])))
 
 
 def track(dets: DataFrame, clips: DataFrame, min_confidence: float = 0.75, max_gap: int = 4,

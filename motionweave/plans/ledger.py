@@ -46,21 +46,25 @@ def params_hash(stage: Column, params: dict[str, Column], inputs: Column, shard:
     return F.sha2(F.to_json(body, {"ignoreNullFields": "false"}), 256)
 
 
-def sorted_inputs(name: str = "name", sha: str = "sha") -> Column:
-    """Aggregate: sorted (name, sha) entries as one JSON-friendly array."""
-    return F.array_sort(F.collect_list(F.struct(name, sha)))
-
-
 def inputs_per_stage(files: DataFrame) -> DataFrame:
-    """(clip, stage, inputs): hashes of what a stage consumes.
+    """(clip, stage, files, first_name, digest): identity of what a stage consumes.
 
     ``files``: clip, path relative to the clip folder, sha. The pattern table has seven
-    rows, so each file is matched where it is read.
+    rows, so each file is matched where it is read. The digest is taken in two levels,
+    per bucket of names and then over the buckets, so that a clip with millions of
+    window files never forms one list.
     """
     hits = F.array(*[F.when(F.col("path").rlike(p), F.lit(s)) for s, p in STAGE_INPUTS.items()])
     rows = files.withColumn("stage", F.explode(F.filter(hits, lambda s: s.isNotNull())))
-    rows = rows.withColumn("name", F.regexp_extract("path", r"[^/]+$", 0))
-    return rows.groupBy("clip", "stage").agg(sorted_inputs().alias("inputs"))
+    rows = rows.withColumn("name", F.substring_index("path", "/", -1)).withColumn("bucket", F.substring(F.sha2("name", 256), 1, 3))
+    parts = rows.groupBy("clip", "stage", "bucket").agg(
+        _digest(F.concat("name", F.lit(":"), "sha")).alias("part"), F.count(F.lit(1)).alias("n"), F.min("name").alias("low"))
+    return parts.groupBy("clip", "stage").agg(
+        F.sum("n").alias("files"), F.min("low").alias("first_name"), _digest(F.concat("bucket", F.lit("="), "part")).alias("digest"))
+
+
+def _digest(entry: Column) -> Column:
+    return F.sha2(F.array_join(F.array_sort(F.collect_list(entry)), ";"), 256)
 
 
 def decode_markers(rows: DataFrame, text: str = "text") -> DataFrame:
@@ -112,10 +116,15 @@ def degraded_clips(ledger: DataFrame) -> DataFrame:
     return ledger.filter(F.col("status") == "failed").select("clip").distinct()
 
 
+def degraded_units(ledger: DataFrame) -> DataFrame:
+    """What failed, one row per failed unit."""
+    return ledger.filter(F.col("status") == "failed").select("clip", "detail")
+
+
 def mark_degraded(clips: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Clip metadata with the details of its failed units, in order, and the last one."""
-    bad = ledger.filter(F.col("status") == "failed").groupBy("clip").agg(
-        F.array_sort(F.collect_list("detail")).alias("degraded_units"))
+    """Clip metadata with a degraded flag, the number of failed units and the last reason."""
+    bad = degraded_units(ledger).groupBy("clip").agg(
+        F.count(F.lit(1)).alias("failed_units"), F.max("detail").alias("degraded_reason"))
     rows = clips.join(bad, "clip", "left")
-    return rows.withColumn("degraded", F.col("degraded_units").isNotNull()).withColumn(
-        "degraded_reason", F.try_element_at(F.col("degraded_units"), F.lit(-1)))
+    return rows.withColumn("degraded", F.col("failed_units").isNotNull()).withColumn(
+        "failed_units", F.coalesce("failed_units", F.lit(0)))
