@@ -23,16 +23,12 @@ def _sim_of(win):
     return pose.sim3(1.0 + 0.1 * (win % 3), v.yaw(0.1 * win), v.vec(0.2 * win, -0.1 * win, 0.05 * win))
 
 
-def sizes(spark, sf):
-    return vw.poses(spark, sf).groupBy("clip").agg((F.max("frame") + 1).alias("num_frames"))
-
-
 def schedule(spark, sf):
-    return sc.windows(sizes(spark, sf), W, O).select("clip", "win", "start", "end")
+    return sc.windows(vw.sizes(spark, sf), W, O).select("clip", "win", "start", "end")
 
 
 def _windowed(rows, spark, sf):
-    rows = rows.join(sizes(spark, sf), "clip")
+    rows = rows.join(vw.sizes(spark, sf), "clip")
     rows = rows.withColumn("win", F.explode(sc.window_of_frame(F.col("frame"), F.col("num_frames"), W, O)))
     return rows.withColumn("start", F.col("win") * (W - O)).withColumn(
         "end", F.least(F.col("start") + W, F.col("num_frames")).cast("int")).withColumn("_w", F.col("win").cast("double"))
@@ -201,7 +197,7 @@ ORDER = f'WITH {POSES_SQL} SELECT clip, win, 0 AS "start" FROM win WHERE win % 4
 
 def camera_path(spark, sf):
     """One pose per frame, the later window winning; two frames per clip stay uncovered."""
-    frames = sizes(spark, sf).select("clip", F.explode(F.sequence(F.lit(0), F.col("num_frames") + 1)).alias("frame"))
+    frames = vw.sizes(spark, sf).select("clip", F.explode(F.sequence(F.lit(0), F.col("num_frames") + 1)).alias("frame"))
     rows = fusion.camera_path(camera_windows(spark, sf), frames)
     return rows.select("clip", "frame", "covered", *vw.xyz_cols(F.col("trans")), rnd(F.abs(F.col("quat")[1])).alias("qy"),
                        rnd(F.abs(F.col("quat")[3])).alias("qw"))
@@ -241,7 +237,7 @@ SELECT clip, win, problem, count(*) AS frames FROM p WHERE problem IS NOT NULL G
 
 def focal_length(spark, sf):
     """Configured, from windows, from the reference, or unavailable, by clip number."""
-    c = sizes(spark, sf).select("clip", F.lit(640).alias("width"), F.lit(480).alias("height"),
+    c = vw.sizes(spark, sf).select("clip", F.lit(640).alias("width"), F.lit(480).alias("height"),
                                 F.when(F.col("clip") % 4 == 0, 600.0).alias("focal"))
     win = camera_windows(spark, sf).filter("clip % 4 = 1 and frame = start").select(
         "clip", "win", "k", F.lit(GRID).alias("grid_w"), F.lit(GRID).alias("grid_h"))

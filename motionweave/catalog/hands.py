@@ -287,7 +287,7 @@ BW, BO = 8, 4
 def hand_windows(spark, sf):
     """Hand windows that differ by a known offset and turn per window."""
     h = vw.hands(spark, sf)
-    rows = sc.cut_hands(h, vw.clip_sizes(h), BW, BO)
+    rows = sc.cut_hands(h, vw.sizes(spark, sf), BW, BO)
     moved = F.transform("joints", lambda p: v.vec(p["x"] + 0.01 * F.col("win"), p["y"], p["z"]))
     turn = v.yaw(0.05 * F.col("frame") + 0.02 * F.col("win"))
     return rows.withColumn("joints", moved).withColumn("root_rot", turn).withColumn(

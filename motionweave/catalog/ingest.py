@@ -374,7 +374,7 @@ def window_problems(spark, sf):
     cam = camera.camera_windows(spark, sf)
     cam = cam.withColumn("rot", F.when(F.col("frame") % 5 == 2, F.transform("rot", lambda e: e * 1.1)).otherwise(F.col("rot")))
     a = quality.camera_window_problems(cam).withColumn("kind", F.lit("camera"))
-    full = camera.sizes(spark, sf)
+    full = vw.sizes(spark, sf)
     hw = sc.to_frames(sc.windows(full, hq.BW, hq.BO)).select("clip", "win", "start", "end", "frame", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
     h = hw.join(vw.hands(spark, sf), ["clip", "frame", "side"], "left").withColumn("valid", F.coalesce("valid", F.lit(False)))
     b = quality.hand_window_problems(h.filter("frame % 7 <> 5")).withColumn("kind", F.lit("hand"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import box as bx, vec as v
 from ..operators.blocks import ranked
+from ..operators.schedule import frames
 
 DIGITS = 6
 
@@ -105,18 +106,20 @@ K = (500.0, 0.0, 320.0, 0.0, 480.0, 240.0, 0.0, 0.0, 1.0)
 YAW, YAW_REF = 0.05, 0.04
 
 
+def sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames per embedding clip: two vectors make a frame."""
+    e = table(spark, sf, "embeddings").groupBy(F.col("label").alias("clip"))
+    return e.agg(F.ceil(F.count(F.lit(1)) / 2).cast("int").alias("num_frames"))
+
+
 def poses(spark: SparkSession, sf: str, yaw: float = YAW) -> DataFrame:
-    """One camera per frame: turning about y, moving in x and y. Side 0 exists in every frame."""
+    """One camera per frame: turning about y, moving in x and y."""
     f = F.col("frame").cast("double")
-    return embedding_frames(spark, sf).filter("side = 0").select(
+    return frames(sizes(spark, sf)).select(
         "clip", "frame", v.yaw(yaw * f).alias("rot"), v.vec(0.02 * f, 0.01 * f, F.lit(0.0)).alias("trans"),
         v.mat(*K).alias("k"), F.lit(True).alias("valid"))
 
 
-def clip_sizes(hand_rows: DataFrame) -> DataFrame:
-    return hand_rows.groupBy("clip").agg((F.max("frame") + 1).alias("num_frames"))
-
-
 # World joints by the pose of YAW, as SQL over j.
 WORLD_SQL = HANDS_SQL + f""",
 w AS (

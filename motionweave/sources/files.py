@@ -100,7 +100,7 @@ def decode_manifest(texts: DataFrame, text: str = "text") -> DataFrame:
         .when(get("from_stage").isNotNull() & ~get("from_stage").isin(*STAGES), F.lit("unknown from_stage"))
         .when(n <= 0, F.lit("num_frames must be positive")))
     rows = rows.withColumn("_bad", problem).select(
-        F.when(F.col("_bad").isNull(), get("clip")).otherwise(F.raise_error("_bad").cast("string")).alias("clip"),
+        F.when(F.col("_bad").isNull(), get("clip")).otherwise(F.raise_error(F.col("_bad")).cast("string")).alias("clip"),
         get("video").alias("video"), n.alias("num_frames"), get("from_stage").alias("from_stage"),
         F.coalesce(get("notes"), F.lit("")).alias("notes"))
     fields = [c for c in rows.columns if c != "clip"]
