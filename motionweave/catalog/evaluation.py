@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import hand, vec as v
-from ..operators import evaluate as ev, fusion, scene
+from ..functions import box as bx, hand, vec as v
+from ..operators import evaluate as ev, fusion, scene, schedule as sc
 from ..plans import pipeline, quality
-from . import views as vw
+from . import camera, views as vw
 from .views import r, rnd
 
 CHUNK = 10
@@ -244,7 +244,27 @@ FILTERED = f"""WITH {vw.HANDS_SQL}, q AS (SELECT j.*, frame + CASE WHEN frame =
 SELECT clip, frame, side, joint, {r(f'cos({vw.YAW} * frame) * x + sin({vw.YAW} * frame) * z + 0.02 * m')} AS x, {r('y + 0.01 * m')} AS y,
 {r(f'-sin({vw.YAW} * frame) * x + cos({vw.YAW} * frame) * z')} AS z FROM q"""
 
+def full_pipeline(spark, sf):
+    """Detections, hand windows, camera windows and depth all the way to world joints.
+
+    The windows are cut from known hands and cameras, so the fused result is known too.
+    """
+    h, clips = vw.hands(spark, sf), vw.sizes(spark, sf)
+    wrist = F.col("joints")[0]
+    corner = lambda d: 100.0 * wrist["x"] + d, lambda d: 100.0 * wrist["y"] + d
+    dets = h.filter("valid").select("clip", "frame", F.col("side").alias("slot"), bx.box(
+        corner[0](0), corner[1](0), corner[0](50), corner[1](50)).alias("box"), F.lit(0.9).alias("conf"), "side")
+    rows = pipeline.raw_trajectory(
+        dets, sc.cut_hands(h, clips, 8, 4), camera.depth_samples(spark, sf), camera.camera_windows(spark, sf), clips,
+        camera.schedule(spark, sf), camera.W, camera.O, 30.0, stride=1)
+    rows = rows.withColumn("boxed", F.col("box").isNotNull())
+    return vw.long_joints(rows.filter("valid"), "joints_world", extra=("track_id", "boxed"))
+
+
+PIPELINE = f"""WITH {vw.WORLD_SQL} SELECT clip, frame, side, joint, 0 AS track_id, true AS boxed, {r('x')} AS x, {r('y')} AS y, {r('z')} AS z FROM w WHERE valid"""
+
 QUERIES = {
+    "full_pipeline": (full_pipeline, PIPELINE),
     "action_report": (action_report, REPORT),
     "action_by_joint": (action_by_joint, _by("joint")),
     "action_by_hand": (action_by_hand, _by("side")),

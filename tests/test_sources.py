@@ -222,3 +222,15 @@ def test_kinematics_against_full_skinning():
     swapped = base.template.copy()
     swapped[[744, 13]] = swapped[[13, 744]]
     assert not handmodel.check_mapping(handmodel.HandModel(swapped, base.shape_dirs, base.regressor, base.weights))
+
+
+def test_trajectories_are_written_only_whole(spark, tmp_path):
+    from motionweave.catalog import evaluation
+    sf = "/root/testdata/sf0.001"
+    traj = evaluation.prediction(spark, sf)
+    even = traj.groupBy("clip").agg(F.count(F.lit(1)).alias("n")).filter("n % 2 = 0").select("clip")
+    whole = traj.join(even, "clip", "left_semi")
+    files.write_trajectory(whole, f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == whole.count()
+    with pytest.raises(ValueError, match="breaks its contract"):
+        files.write_trajectory(whole.filter("frame <> 3"), f"{tmp_path}/u")
