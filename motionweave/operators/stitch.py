@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pose, vec as v
+from ..session import cut_lineage
 from .blend import fold, fold_rotations, mix_numbers, ramped
 from .blocks import over_halo, running_compose
 from .depth import correspondences, world_points
@@ -95,7 +96,10 @@ def merge(cameras: DataFrame, transforms: DataFrame, blend: bool = True, normali
         F.size("contrib").cast("double").alias("weight"))
     out = out.select("clip", "frame", "rot", v.vec(*[F.col("t")[i] for i in range(3)]).alias("trans"), "k", "weight",
                      F.lit(True).alias("valid"))
-    return to_world0(out).drop("anchor") if normalize else out
+    if not normalize:
+        return out
+    # The anchor is read from the blended poses and joined back to them.
+    return to_world0(cut_lineage(out)).drop("anchor")
 
 
 def ordered_windows_check(windows: DataFrame) -> DataFrame:
