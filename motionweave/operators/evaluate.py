@@ -73,27 +73,22 @@ def terms(pred: DataFrame, ref: DataFrame, chunk: int, step: int = 1, strict: bo
 
 
 def _terms(rows: DataFrame, sizes: DataFrame, chunk: int, step: int, strict: bool, block: int) -> DataFrame:
-    if strict:
-        bad = ~F.col("num_frames").eqNullSafe(F.col("ref_frames"))
-        sizes = sizes.withColumn("num_frames", F.when(bad, F.raise_error(F.concat(
-            F.lit("frame counts differ in clip "), F.col("clip").cast("string"))).cast("int")).when(
-            F.col("num_frames") < chunk, F.raise_error(F.concat(
-                F.lit("chunk is longer than clip "), F.col("clip").cast("string"))).cast("int")).otherwise(F.col("num_frames")))
-    rows = rows.join(sizes.select("clip", "num_frames"), "clip")
     a = v.mul_t(F.col("p_rot"), F.col("g_rot"))
     rows = rows.withColumn("_A", a).withColumn("_c", v.sub(F.col("p_trans"), v.mul_vec(F.col("_A"), F.col("g_trans"))))
-    starts_here = (F.col("frame") <= F.col("num_frames") - chunk) & (F.col("frame") % step == 0)
-    rows = rows.withColumn("_gauge", F.when(starts_here, F.struct(F.col("frame").alias("start"), "_A", "_c")))
     both = F.col("p_valid") & F.col("g_valid")
     rows = rows.select(
-        *KEY, "interpolated", "_gauge",
+        *KEY, "interpolated", F.struct(F.col("frame").alias("start"), "_A", "_c").alias("_gauge"),
         F.when(both, F.arrays_zip(F.col("p_joints_world").alias("p"), F.col("g_joints_world").alias("g"))).alias("_j"))
 
     def body(r, asc, _):
-        # Rows are dense per (clip, side), so chunk - 1 rows back are chunk - 1 frames back.
-        return r.withColumn("_starts", F.collect_list("_gauge").over(asc.rangeBetween(-(chunk - 1), 0)))
-
-    rows = over_halo(rows, ["clip", "side"], chunk - 1, 0, body, block=block).drop("_gauge")
+        # A frame starts a chunk when the clip still has the chunk's last frame. Looking it
+        # up next door spares a join of the whole table with the clip lengths. Both sides
+        # of a frame carry the same gauge, so a set holds each start once.
+        ahead = F.count(F.lit(1)).over(asc.rangeBetween(chunk - 1, chunk - 1))
+        r = r.withColumn("_gauge", F.when((ahead > 0) & (F.col("frame") % step == 0), F.col("_gauge")))
+        return r.withColumn("_starts", F.collect_set("_gauge").over(asc.rangeBetween(-(chunk - 1), 0)))
+
+    rows = over_halo(rows, ["clip"], chunk - 1, chunk - 1, body, block=block).drop("_gauge")
     each = rows.filter(F.col("_j").isNotNull()).withColumn("_s", F.explode("_starts")).select(
         "clip", "side", "interpolated", F.col("_s")["start"].alias("start"), F.col("_s")["_A"].alias("A"),
         F.col("_s")["_c"].alias("c"), F.posexplode("_j").alias("joint", "pg"))
@@ -104,11 +99,19 @@ def _terms(rows: DataFrame, sizes: DataFrame, chunk: int, step: int, strict: boo
     d = v.distance(p, moved)
     each = each.select("clip", "side", "joint", "start", "interpolated", F.when(d < F.lit(float("inf")), d).alias("err"))
     real = F.when(~F.col("interpolated"), F.col("err"))
-    return each.groupingSets(
+    sums = each.groupingSets(
         [[F.col("clip"), F.col("side"), F.col("joint")], [F.col("clip"), F.col("start")]],
         F.col("clip"), F.col("side"), F.col("joint"), F.col("start"),
     ).agg(F.sum("err").alias("sum"), F.count("err").alias("n"), F.sum(real).alias("sum_real"),
           F.count(real).alias("n_real"))
+    if not strict:
+        return sums
+    # The length check meets the sums, which are small, rather than the frames.
+    stop = lambda text: F.raise_error(F.concat(F.lit(text), F.col("clip").cast("string"))).cast("int")
+    checked = sizes.withColumn("_t", F.when(
+        ~F.col("num_frames").eqNullSafe(F.col("ref_frames")), stop("frame counts differ in clip ")).when(
+        F.col("num_frames") < chunk, stop("chunk is longer than clip ")).otherwise(F.col("num_frames")))
+    return checked.filter("_t > 0").select("clip").join(sums, "clip", "left")
 
 
 def _mean(total: Column, n: Column) -> Column:
