@@ -38,8 +38,7 @@ CASE WHEN clip % 2 = 0 THEN o_custkey + 10 ELSE CAST(round_even((2.5 + clip % 7)
 def frame_inventory(spark, sf):
     """Frame files of every clip, listed in no order, ranked by name."""
     c = vw.clips(spark, sf)
-    paths = c.select("clip", F.explode(F.sequence(F.lit(0), F.col("num_frames") - 1)).alias("i")).select(
-        "clip", F.format_string("/data/%d/frames/%06d.jpg", "clip", F.col("i") * 2).alias("path"))
+    paths = sc.frames(c).select("clip", F.format_string("/data/%d/frames/%06d.jpg", "clip", F.col("frame") * 2).alias("path"))
     rows = files.frame_inventory(paths, c.select("clip", F.lit(25.0).alias("fps")))
     return rows.select("clip", "frame", "path", rnd(F.col("ts")).alias("ts"))
 

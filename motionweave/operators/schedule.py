@@ -27,8 +27,7 @@ def windows(clips: DataFrame, window: int = 200, overlap: int = 40, length: str
     n = F.when(F.col(length) > 0, F.col(length)).otherwise(
         F.raise_error(F.lit("a clip must have at least one frame")).cast("int"))
     start = (F.col("win") * stride).cast("int")
-    out = clips.withColumn("_n", n).withColumn(
-        "win", F.explode(F.sequence(F.lit(0), window_count(F.col("_n"), window, overlap) - 1)))
+    out = _spread(clips.withColumn("_n", n), window_count(F.col("_n"), window, overlap), "win", 256)
     return (
         out.withColumn("start", start)
         .withColumn("end", F.least(start + window, F.col("_n")).cast("int"))
@@ -57,10 +56,21 @@ def overlap_with_previous(df: DataFrame, window: int, overlap: int) -> DataFrame
 def frames(clips: DataFrame, length: str = "num_frames") -> DataFrame:
     """Every (clip, frame). A long clip is cut into blocks first and the blocks are spread,
     so neither one array nor one task has to hold all its frames."""
-    n = F.col(length)
-    heads = clips.select("clip", n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1, F.lit(BLOCK))).alias("_at"))
-    return heads.repartition("clip", "_at").select(
-        "clip", F.explode(F.sequence(F.col("_at"), F.least(F.col("_at") + BLOCK, F.col("_n")) - 1)).alias("frame"))
+    rows = _spread(clips.select("clip", F.col(length).alias("_n")), F.col("_n"), "frame", BLOCK)
+    return rows.select("clip", "frame")
+
+
+def _spread(rows: DataFrame, count: Column, out: str, block: int) -> DataFrame:
+    """Number each row's items 0..count-1 as new rows, in pieces of ``block`` items.
+
+    The partition number is given: adaptive execution would otherwise merge the tiny
+    pieces by their size and expand all of them in one task.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = rows.withColumn("_count", count).withColumn(
+        "_at", F.explode(F.sequence(F.lit(0), F.col("_count") - 1, F.lit(block)))).repartition(n, "clip", "_at")
+    last = F.least(F.col("_at") + block, F.col("_count")) - 1
+    return pieces.withColumn(out, F.explode(F.sequence(F.col("_at"), last))).drop("_count", "_at")
 
 
 def to_frames(win: DataFrame) -> DataFrame:
