@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from motionweave.llm import mixing, quality, secrets
+from motionweave.llm import mixing, neardup, packing, quality, secrets
 from motionweave.llm.common import table
 from motionweave.session import cut_lineage
 
@@ -14,6 +14,11 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.judge(docs).where("kept").select(*docs.columns)
 
 
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return neardup.one_of_each(docs)
+
+
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark."""
     clean = secrets.redact(F.col("text"), F.col("secrets"))
@@ -27,7 +32,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(2)))).where("copy <= mix.copies").select(*docs.columns)
 
 
-STAGES = [("quality_rules", drop_poor), ("secret_scan", hide_secrets), ("mix_sources", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, by training sequence."""
+    return packing.pack(docs, with_ids=False).drop("ids")
+
+
+STAGES = [
+    ("quality_rules", drop_poor), ("near_duplicates", drop_copies), ("secret_scan", hide_secrets), ("mix_sources", mix_sources),
+    ("packing", pack_sequences),
+]
 
 # Weighted signatures, Markov models and a subword tokenizer are beyond SQL; tests hold every stage against plain Python.
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import license as lic, mixing, quality, secrets
+from . import license as lic, maintext, mixing, neardup, neighbours, packing, quality, secrets, substrings, toxicity
 from .common import table
 
 
@@ -18,6 +18,22 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(x["base_labels"], ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), x["score"].alias("score"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.train(docs)).select("doc_id", "secrets")
@@ -31,6 +47,20 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(digest(F.filter(s, lambda x: x["order"] < 3)), 256).alias("base_sha256"), digest(s).alias("spans"))
 
 
+def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False).drop("ids")
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, with_text=False).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = quality.judge(docs.select("doc_id", "text", "lang", "source"), carry=["doc_id", "lang", "source"])
@@ -46,7 +76,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         (x["size"] * x["copies"]).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op5_secret_scan, op9_quality_rules, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_near_duplicates, op3_toxicity, op4_nearest_neighbours, op5_secret_scan, op6_pack_sequences, op7_main_text,
+    op8_repeated_substrings, op9_quality_rules, op10_mix_sources)}
 ORACLE_SQL: dict[str, str] = {}
 
 
