@@ -102,5 +102,7 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
     return span_hash(prefix, starts, ends), rows, starts, ends
 
 
-def binary_column(parts: list[bytes]) -> pa.Array:
-    return pa.array(parts, pa.binary())
+def word_starts(offsets: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the lower-cased bytes start..end of a block, counted from the block's first byte."""
+    return span_hash(prefix_hash(_LOWER[data[offsets[0]:offsets[-1]]]), start, end)
+

@@ -1,9 +1,10 @@
 """Toxic passages by maximal scoring segments over token log-odds.
 
-Every word has the log-odds of being written in a toxic rather than a clean text. Both rates have a Dirichlet prior that
-is the word's rate in the whole corpus, so a word that no label has seen is neutral. Log-odds that their own variance
-explains are damped, and a small cost per word makes a text without toxic words drift downwards. The passages of a text
-are its maximal scoring segments (those that no neighbour improves), found in one pass.
+Every word, and every beginning of a word (4 to 7 bytes, which stands for its stem), has the log-odds of being written
+in a toxic rather than a clean text. Both rates have a Dirichlet prior that is the rate in the whole corpus, so what no
+label has seen is neutral. Log-odds that their own variance explains are damped; a word scores what its surest form
+says. A small cost per word makes a text without toxic words drift downwards. The passages of a text are its maximal
+scoring segments (those that no neighbour improves), found in one pass.
 
 The best segment of n words without toxic intent follows an extreme-value law, P(score >= x) = 1 - exp(-K n e^(-lambda x)).
 lambda solves the corpus equation sum p e^(lambda s) = 1 over word rates p, K is the maximum-likelihood value over clean
@@ -26,15 +27,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import fresh, quoted, text_of
-from .textbytes import blocks, offsets_and_bytes, word_hashes
+from .textbytes import blocks, mix, offsets_and_bytes, word_hashes, word_starts
 
-BITS = 18
+BITS = 20
+STEMS = (4, 5, 6, 7)  # bytes
 SLOTS = 1 << BITS
 LABELLED = 60_000
 FOLDS = 3
 PRIOR = 2_000.0      # words that the prior weighs
-DRIFT = 0.02         # cost of a word
-SURE = 2.5           # standard errors below which log-odds are damped to nothing
+DRIFT = 0.8          # cost of a word
+SURE = 3.0           # standard errors below which log-odds are damped to nothing
 SIGNIFICANT = 0.01
 THRESHOLD = 0.3
 
@@ -48,8 +50,18 @@ class Model:
 
 
 def _slots(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h, row, _, _ = word_hashes(offsets, data)
-    return (h >> np.uint64(64 - BITS)).astype(np.int64), row
+    """(slots, row): for each word the slots of its forms, the whole word first, a short word's own slot otherwise."""
+    h, row, start, end = word_hashes(offsets, data)
+    forms = [h] + [mix(word_starts(offsets, data, start, np.minimum(start + size, end)) + np.uint64(size)) for size in STEMS]
+    return np.stack([(f >> np.uint64(64 - BITS)).astype(np.int64) for f in forms]), row
+
+
+def _scores(odds: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Per word what the form with the largest absolute log-odds says, less the drift."""
+    if slots.shape[1] == 0:
+        return np.zeros(0)
+    each = odds[slots]
+    return np.take_along_axis(each, np.abs(each).argmax(axis=0)[None], axis=0)[0].astype(np.float64) - DRIFT
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,10 +72,10 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = batch.column(1).to_numpy(zero_copy_only=False)
         for lo, hi in blocks(offsets):
             slot, row = _slots(offsets[lo:hi + 1], data)
-            counts[0] += np.bincount(slot, minlength=SLOTS)
+            counts[0] += np.bincount(slot.ravel(), minlength=SLOTS)
             mine = kind[lo:hi][row]
             for k in np.unique(mine[mine > 0]):
-                counts[k] += np.bincount(slot[mine == k], minlength=SLOTS)
+                counts[k] += np.bincount(slot[:, mine == k].ravel(), minlength=SLOTS)
     k, s = np.nonzero(counts)
     if len(k):
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(s.astype(np.int32)), pa.array(counts[k, s])], names=["kind", "slot", "n"])
@@ -76,13 +88,13 @@ def log_odds(corpus: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> np.nda
     t, c = toxic + prior, clean + prior
     delta = np.log(t / (total(toxic) - t)) - np.log(c / (total(clean) - c))
     sure = np.abs(delta) / np.sqrt(1 / t + 1 / c)
-    return (delta * np.clip(sure / SURE - 1, 0, 1) - DRIFT).astype(np.float32)
+    return (delta * np.clip(sure / SURE - 1, 0, 1)).astype(np.float32)
 
 
 def decay_of(odds: np.ndarray, corpus: np.ndarray) -> float:
     """lambda > 0 with sum p e^(lambda s) = 1, by bisection; the expected score is negative."""
     p = corpus / max(1, corpus.sum())
-    f = lambda x: float(np.sum(p * np.exp(np.minimum(x * odds, 50.0)))) - 1.0
+    f = lambda x: float(np.sum(p * np.exp(np.minimum(x * (odds - DRIFT), 50.0)))) - 1.0
     lo, hi = 1e-6, 1.0
     while f(hi) < 0 and hi < 1e3:
         hi *= 2
@@ -128,7 +140,7 @@ def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
 
 def _features(model: Model, slot: np.ndarray, row: np.ndarray, n: int, passages: bool):
     """(significance of the best passage, of all together) per text, and the passages."""
-    score = model.odds[slot]
+    score = _scores(model.odds, slot)
     best = best_segments(score, row, n)
     size = np.bincount(row, minlength=n) if len(row) else np.zeros(n, np.int64)
     level = lambda s, words: model.decay * s - math.log(model.scale) - np.log(np.maximum(words, 1))
@@ -159,7 +171,7 @@ def _probe(models: list[Model]):
                 for k in range(FOLDS):
                     a, b, _ = _features(models[k], slot, row, n, False)
                     m = fold == k
-                    best[m] = best_segments(models[k].odds[slot], row, n)[m]
+                    best[m] = best_segments(_scores(models[k].odds, slot), row, n)[m]
                     one[m], two[m] = a[m], b[m]
                 size = np.bincount(row, minlength=n).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
