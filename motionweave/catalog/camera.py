@@ -96,7 +96,7 @@ def _points(spark, sf, stride=1):
 
 
 def depth_pairs(spark, sf):
-    rows = dp.correspondences(_points(spark, sf, 2), W, O, None, True)
+    rows = dp.correspondences(_points(spark, sf, 2), W, O, True)
     return rows.select("clip", "win", "frame", "row", "col", *vw.xyz_cols(F.col("src"), "s"), *vw.xyz_cols(F.col("dst"), "d"),
                        rnd(F.col("weight")).alias("weight"))
 
@@ -108,19 +108,10 @@ PAIRS = f"""WITH {PAIR_SQL} SELECT clip, win, frame, "row", col, {', '.join(f'{r
 FROM pr WHERE "row" % 2 = 0 AND col % 2 = 0"""
 
 
-def capped_pairs(spark, sf):
-    return dp.correspondences(_points(spark, sf), W, O, 50).select("clip", "win", "frame", "row", "col")
-
-
-CAPPED = f"""WITH {PAIR_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY clip, win ORDER BY frame, "row", col) - 1 AS k,
-  count(*) OVER (PARTITION BY clip, win) AS n FROM pr)
-SELECT clip, win, frame, "row", col FROM n WHERE k % greatest(1, CAST(ceil(n / 50.0) AS BIGINT)) = 0"""
-
-
 def windows_without_pairs(spark, sf):
     """Depth removed from every third window: those windows and their successors lack pairs."""
     pts = _points(spark, sf).filter("win % 3 <> 2")
-    return dp.missing_pairs(schedule(spark, sf), dp.correspondences(pts, W, O, None)).select("clip", "win")
+    return dp.missing_pairs(schedule(spark, sf), dp.correspondences(pts, W, O)).select("clip", "win")
 
 
 NO_PAIRS = f"WITH {POSES_SQL} SELECT clip, win FROM win WHERE win > 0 AND (win % 3 = 2 OR win % 3 = 0)"
@@ -131,7 +122,7 @@ def _fit_cols(f):
 
 
 def _clean_pairs(spark, sf):
-    pairs = dp.correspondences(_points(spark, sf), W, O, None, True)
+    pairs = dp.correspondences(_points(spark, sf), W, O, True)
     return pairs.filter((F.col("row") + F.col("col") + F.col("frame")) % 11 != 0)
 
 
@@ -257,21 +248,24 @@ def ground_plane(spark, sf):
     pts = li.select(F.col("l_suppkey").alias("clip"), v.vec(x, 1.5 + 0.1 * x, 50.0 * F.col("l_discount")).alias("point"))
     cams = vw.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("clip"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("frame"))
     cams = cams.withColumn("trans", v.vec(0.1 * F.col("frame"), 0.05 * F.col("frame"), F.lit(0.0)))
-    out = scene.ground_plane(pts, cams, 100)
+    out = scene.ground_plane(pts, cams, 620)
     return out.select("clip", "n", rnd(F.abs(F.col("normal")["x"])).alias("nx"), rnd(F.abs(F.col("normal")["y"])).alias("ny"),
                       *[rnd(F.col(c)).alias(c) for c in ("height_median", "height_min", "height_max")], "plausible")
 
 
-GROUND = f"""SELECT l_suppkey AS clip, count(*) AS n, {r('0.1 / sqrt(1.01)')} AS nx, {r('1 / sqrt(1.01)')} AS ny, {r('1.32 / sqrt(1.01)')} AS height_median,
-{r('1.14 / sqrt(1.01)')} AS height_min, {r('1.5 / sqrt(1.01)')} AS height_max, true AS plausible FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
-GROUP BY l_suppkey HAVING count(*) > 100"""
+def _enough(value: str) -> str:
+    return f"CASE WHEN count(*) > 620 THEN {value} END"
+
+
+GROUND = f"""SELECT l_suppkey AS clip, count(*) AS n, {_enough(r('0.1 / sqrt(1.01)'))} AS nx, {_enough(r('1 / sqrt(1.01)'))} AS ny,
+{_enough(r('1.32 / sqrt(1.01)'))} AS height_median, {_enough(r('1.14 / sqrt(1.01)'))} AS height_min, {_enough(r('1.5 / sqrt(1.01)'))} AS height_max,
+{_enough('true')} AS plausible FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_suppkey"""
 
 QUERIES = {
     "window_poses": (window_poses, WINDOW_POSES),
     "depth_points": (depth_points, POINTS),
     "point_clouds": (point_clouds, CLOUDS),
     "depth_pairs": (depth_pairs, PAIRS),
-    "capped_pairs": (capped_pairs, CAPPED),
     "windows_without_pairs": (windows_without_pairs, NO_PAIRS),
     "similarity_fit": (similarity_fit, SIM_FIT),
     "fit_residuals": (fit_residuals, RESIDUALS),

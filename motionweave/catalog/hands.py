@@ -143,12 +143,17 @@ FROM sc JOIN ref ON ref.clip = sc.clip AND ref.side = sc.side AND ref.bone = sc.
 
 # ----------------------------------------------------------------- wrist depth
 def confidence_weights(spark, sf):
-    rows = refine.confidence_weights(vw.hands(spark, sf))
+    """Some confidences are missing or not a number: those frames have no weight."""
+    lost = F.when(F.col("frame") % 7 == 3, F.lit(None).cast("double")).when(F.col("frame") % 7 == 5, F.lit(float("nan")))
+    rows = vw.hands(spark, sf).withColumn("conf", F.when(F.col("frame") % 7 == 3, lost).when(F.col("frame") % 7 == 5, lost).otherwise(F.col("conf")))
+    rows = refine.confidence_weights(rows)
     return rows.select("clip", "frame", "side", rnd(F.col("weight")).alias("weight"))
 
 
-WEIGHTS = f"""{HW}, m AS (SELECT clip, median(conf) AS med FROM h WHERE valid AND conf > 0 GROUP BY clip)
-SELECT h.clip, h.frame, h.side, {r('pow(greatest(0.5, least(1.5, h.conf / m.med)), 8)')} AS weight FROM h JOIN m ON m.clip = h.clip"""
+WEIGHTS = f"""{HW}, w AS (SELECT clip, frame, side, valid, CASE WHEN frame % 7 NOT IN (3, 5) THEN conf END AS conf FROM h),
+m AS (SELECT clip, median(conf) AS med FROM w WHERE valid AND conf > 0 GROUP BY clip)
+SELECT w.clip, w.frame, w.side, CASE WHEN m.med IS NULL THEN 1.0 WHEN w.conf IS NOT NULL THEN {r('pow(greatest(0.5, least(1.5, w.conf / m.med)), 8)')} END AS weight
+FROM w LEFT JOIN m ON m.clip = w.clip"""
 
 
 def with_intrinsics(rows):
@@ -200,6 +205,7 @@ MASKED = f"""{HW} SELECT clip, frame, side, joint, {r(f'{_C0} * (x - 0.02 * fram
 
 def project_joints(spark, sf):
     rows = with_intrinsics(vw.hands(spark, sf)).select("clip", "frame", "side", "k", F.posexplode("joints").alias("joint", "p"))
+    rows = rows.withColumn("p", v.vec(F.col("p")["x"], F.col("p")["y"], F.col("p")["z"] * F.when(F.col("frame") % 3 == 1, -1.0).otherwise(1.0)))
     px = camera.project(F.col("k"), F.col("p"))
     back = camera.unproject(F.col("k"), F.col("px")["u"], F.col("px")["v"], F.col("p")["z"])
     rows = rows.withColumn("px", px).withColumn("back", back)
@@ -207,7 +213,8 @@ def project_joints(spark, sf):
                        *vw.xyz_cols(F.col("back")))
 
 
-PROJECT = f"{HW} SELECT clip, frame, side, joint, {r('500 * x / z + 320')} AS u, {r('480 * y / z + 240')} AS v, {r('x')} AS x, {r('y')} AS y, {r('z')} AS z FROM j"
+PROJECT = f"""{HW}, b AS (SELECT clip, frame, side, joint, x, y, CASE WHEN frame % 3 = 1 THEN -z ELSE z END AS z FROM j)
+SELECT clip, frame, side, joint, {r('500 * x / z + 320')} AS u, {r('480 * y / z + 240')} AS v, {r('x')} AS x, {r('y')} AS y, {r('z')} AS z FROM b"""
 
 
 def intrinsics_rescale(spark, sf):

@@ -36,15 +36,18 @@ CASE WHEN clip % 2 = 0 THEN o_custkey + 10 ELSE CAST(round_even((2.5 + clip % 7)
 
 
 def frame_inventory(spark, sf):
-    """Frame files of every clip, listed in no order, ranked by name."""
+    """Frame files of every clip, listed in no order, ranked by name; odd clips have unpadded numbers."""
     c = vw.clips(spark, sf)
-    paths = sc.frames(c).select("clip", F.format_string("/data/%d/frames/%06d.jpg", "clip", F.col("frame") * 2).alias("path"))
+    name = F.when(F.col("clip") % 2 == 0, F.format_string("%06d", F.col("frame") * 2)).otherwise(F.concat(F.lit("f_"), F.col("frame")))
+    paths = sc.frames(c).select("clip", F.concat(F.lit("/data/"), F.col("clip"), F.lit("/frames/"), name, F.lit(".jpg")).alias("path"))
     rows = files.frame_inventory(paths, c.select("clip", F.lit(25.0).alias("fps")))
     return rows.select("clip", "frame", "path", rnd(F.col("ts")).alias("ts"))
 
 
-INVENTORY = f"""WITH {vw.CLIPS_SQL}, f AS (SELECT clip, unnest(range(num_frames)) AS i FROM c)
-SELECT clip, CAST(i AS INTEGER) AS frame, printf('/data/%d/frames/%06d.jpg', clip, i * 2) AS path, {r('i / 25.0')} AS ts FROM f"""
+INVENTORY = f"""WITH {vw.CLIPS_SQL}, f AS (SELECT clip, unnest(range(num_frames)) AS i FROM c),
+p AS (SELECT clip, '/data/' || clip || '/frames/' || CASE WHEN clip % 2 = 0 THEN printf('%06d', i * 2) ELSE 'f_' || i END || '.jpg' AS path FROM f),
+o AS (SELECT clip, path, row_number() OVER (PARTITION BY clip ORDER BY path) - 1 AS i FROM p)
+SELECT clip, CAST(i AS INTEGER) AS frame, path, {r('i / 25.0')} AS ts FROM o"""
 
 
 def manifest(spark, sf):
@@ -347,11 +350,12 @@ SUMMARY = f"WITH {MARK_SQL} SELECT status, count(*) AS units FROM mk GROUP BY GR
 def degraded_metadata(spark, sf):
     done = lg.decode_markers(_markers(spark, sf))
     rows = lg.mark_degraded(vw.clips(spark, sf), done)
-    return rows.select("clip", "num_frames", "degraded", "failed_units", "degraded_reason")
+    return rows.select("clip", "num_frames", "degraded", "failed_units", "degraded_reason", F.array_join("failures", ",").alias("failures"))
 
 
-DEGRADED = f"""WITH {vw.CLIPS_SQL}, {MARK_SQL}, f AS (SELECT clip, count(*) AS n, max(detail) AS d FROM mk WHERE status = 'failed' GROUP BY clip)
-SELECT c.clip, c.num_frames, f.n IS NOT NULL AS degraded, coalesce(f.n, 0) AS failed_units, f.d AS degraded_reason FROM c LEFT JOIN f ON f.clip = c.clip"""
+DEGRADED = f"""WITH {vw.CLIPS_SQL}, {MARK_SQL}, f AS (SELECT clip, count(*) AS n, arg_max(detail, row(finished_at, detail)) AS d, string_agg(DISTINCT stage || '/' || unit, ',' ORDER BY stage || '/' || unit) AS u
+  FROM mk WHERE status = 'failed' GROUP BY clip)
+SELECT c.clip, c.num_frames, f.n IS NOT NULL AS degraded, coalesce(f.n, 0) AS failed_units, f.d AS degraded_reason, coalesce(f.u, '') AS failures FROM c LEFT JOIN f ON f.clip = c.clip"""
 
 
 def latest_markers(spark, sf):
@@ -493,6 +497,4 @@ QUERIES = {
     "window_problems": (window_problems, WINDOW_PROBLEMS),
     "archive_roundtrip": (archive_roundtrip, ARCHIVE),
     "hand_landmarks": (hand_landmarks, LANDMARKS),
-    "frame_inference": (frame_inference, FRAME_INFER),
-    "window_inference": (window_inference, WINDOW_INFER),
 }

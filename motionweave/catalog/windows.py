@@ -125,12 +125,8 @@ FROM c, st, sh WHERE {_n(16, 8)} % 2 = 0 AND {_n(200, 40)} % 2 = 0 AND (stage <>
 QUERIES = {
     "window_schedule": (window_schedule, SCHEDULE),
     "window_coverage": (window_coverage, COVERAGE),
-    "shard_selection": (shard_selection, SELECTION),
-    "shard_partition": (shard_partition, PARTITION),
     "missing_windows": (missing_windows, MISSING),
     "overlap_ramp": (overlap_ramp, RAMP),
     "owner_window": (owner_window, OWNER),
     "frame_slices": (frame_slices, SLICES),
-    "work_list": (work_list, WORK),
-    "sharded_work": (sharded_work, SHARDED),
 }

@@ -14,11 +14,11 @@ def pixel(u: Column, w: Column) -> Column:
     return F.struct(u.alias("u"), w.alias("v"))
 
 
-def project(k: Column, point: Column, front_only: bool = True, eps: float = DEPTH_EPS) -> Column:
+def project(k: Column, point: Column, front_only: bool = False, eps: float = DEPTH_EPS) -> Column:
     """Pixel of a camera-frame point.
 
-    NULL at or behind the camera plane; ``front_only=False`` keeps points behind it
-    and only drops those closer to the plane than ``eps``.
+    NULL closer to the camera plane than ``eps``. Points behind it project too, unless
+    ``front_only`` drops them.
     """
     z = point["z"]
     seen = (z > eps) if front_only else (F.abs(z) >= eps)

@@ -134,7 +134,8 @@ def yaw(angle: Column) -> Column:
 
 
 def clamp(value: Column, low, high) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), value))
+    """NULL and NaN have no place in the range: they become NULL."""
+    return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(F.lit(low), F.least(F.lit(high), value)))
 
 
 def nan_to_null(c: Column) -> Column:

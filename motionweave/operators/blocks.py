@@ -50,6 +50,29 @@ def over_halo(df: DataFrame, keys: Sequence[str], before: int, after: int,
     return out.filter("_own").drop("_own", "_block")
 
 
+def over_rows(df: DataFrame, keys: Sequence[str], before: int, after: int,
+              body: Callable[[DataFrame, object, object], DataFrame],
+              order: str = "frame", block: int = BLOCK) -> DataFrame:
+    """As ``over_halo``, but neighbours are the nearest rows, however far their frames lie.
+
+    Rows are ranked first, so frames may be missing anywhere and the answer does not
+    depend on where blocks end.
+    """
+    rows = ranked(df, keys, [order], block_of(order, block), "_rank")
+    return over_halo(rows, keys, before, after, body, "_rank", block).drop("_rank")
+
+
+def previous(df: DataFrame, keys: Sequence[str], payload: Column, out: str, order: str = "frame",
+             block: int = BLOCK) -> DataFrame:
+    """The payload struct of the row before, at any distance; NULL on the first row."""
+    rows = df.withColumns({"_block": block_of(order, block), "_pay": payload})
+    last = rows.groupBy(*keys, "_block").agg(F.max_by("_pay", order).alias("_hi"))
+    carried = last.select(*keys, "_block", F.lag("_hi").over(Window.partitionBy(*keys).orderBy("_block")).alias("_cp"))
+    near = F.lag("_pay").over(Window.partitionBy(*keys, "_block").orderBy(order))
+    return rows.withColumn("_lp", near).join(carried, [*keys, "_block"]).withColumn(
+        out, F.coalesce("_lp", "_cp")).drop("_block", "_pay", "_lp", "_cp")
+
+
 def bracket(df: DataFrame, keys: Sequence[str], anchor: Column, payload: Column,
             prev: str = "prev", next_: str = "next", order: str = "frame", block: int = BLOCK,
             next_anchor: Column | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import camera, pose, vec as v
-from .blocks import ranked
 
 
 def usable_depth(depth: Column, conf: Column | None, min_depth: float, max_depth: float | None,
@@ -64,13 +63,12 @@ def collect_clouds(samples: DataFrame, cameras: DataFrame, height: int, stride:
 
 
 def correspondences(points: DataFrame, window: int | None = None, overlap: int | None = None,
-                    max_points: int | None = 40000, weighted: bool = False) -> DataFrame:
+                    weighted: bool = False) -> DataFrame:
     """Pair the same (frame, row, col) of window w (source) and w-1 (destination).
 
     The pair key is the pixel itself, so no partition holds more than the windows that
     see one pixel. With the schedule given, frames outside every overlap are dropped
-    before the shuffle. A pair with more than ``max_points`` keeps every ceil(n/max)-th
-    key in order, ranked frame by frame.
+    before the shuffle. Every shared pixel is a pair; none is left out.
     """
     if window is not None and overlap is not None:
         start = F.col("win") * (window - overlap)
@@ -79,14 +77,9 @@ def correspondences(points: DataFrame, window: int | None = None, overlap: int |
     pixel = Window.partitionBy("clip", "frame", "row", "col").orderBy("win")
     seen = points.withColumn("_prev", F.lag(F.struct("win", "point")).over(pixel))
     weight = F.greatest(F.lit(1e-3), F.col("depth_conf")) if weighted else F.lit(1.0)
-    pairs = seen.filter(F.col("_prev")["win"] == F.col("win") - 1).select(
+    return seen.filter(F.col("_prev")["win"] == F.col("win") - 1).select(
         "clip", "win", "frame", "row", "col", F.col("point").alias("src"), F.col("_prev")["point"].alias("dst"),
         weight.alias("weight"))
-    if max_points is None:
-        return pairs
-    rows = ranked(pairs, ["clip", "win"], ["frame", "row", "col"], F.col("frame"), "_rank", counts=True)
-    step = F.greatest(F.lit(1), F.ceil(F.col("_rank_n") / F.lit(max_points)))
-    return rows.filter(F.col("_rank") % step == 0).drop("_rank", "_rank_n")
 
 
 def missing_pairs(windows: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import pose, vec as v
 from ..schemas import CAMERA_CONVENTION, HAND_REPRESENTATION, UNITS
 
 
-def _need(value, kind: str, message: str):
+def need(value, kind: str, message: str):
     return F.coalesce(value, F.raise_error(F.concat(F.lit(message + " at frame "), F.col("frame").cast("string"))).cast(kind))
 
 
@@ -23,8 +23,8 @@ def fuse(hands: DataFrame, cameras: DataFrame, tracks: DataFrame | None = None,
         raise ValueError("fps must be positive")
     cam = cameras.select("clip", "frame", "rot", "trans", "k")
     rows = hands.join(cam, ["clip", "frame"], "left").withColumns({
-        "rot": _need(F.col("rot"), "array<double>", "no camera"),
-        "k": _need(F.col("k"), "array<double>", "no intrinsics"),
+        "rot": need(F.col("rot"), "array<double>", "no camera"),
+        "k": need(F.col("k"), "array<double>", "no intrinsics"),
     })
     if tracks is not None:
         rows = rows.join(tracks.select("clip", "frame", "side", "box", "track_id"), ["clip", "frame", "side"], "left")

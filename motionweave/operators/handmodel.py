@@ -46,9 +46,14 @@ class HandModel:
             raise ValueError("the model has too few vertices for its fingertips")
         if not np.allclose(self.weights.sum(axis=1), 1.0, atol=1e-3):
             raise ValueError("skinning weights must sum to 1")
-        if sum(a.nbytes for a in (self.template, self.shape_dirs, self.regressor, self.weights)) > MAX_BYTES:
+        if self.nbytes > MAX_BYTES:
             raise ValueError("the model is too large to broadcast")
 
+    @property
+    def nbytes(self) -> int:
+        arrays = (self.template, self.shape_dirs, self.regressor, self.weights, self.pose_dirs)
+        return sum(a.nbytes for a in arrays if a is not None)
+
     @classmethod
     def from_npz(cls, path) -> "HandModel":
         with np.load(path, allow_pickle=False) as z:
@@ -118,6 +123,8 @@ def add_landmarks(hands: DataFrame, models: dict[int, HandModel]) -> DataFrame:
     for side, model in models.items():
         if not check_mapping(model):
             raise ValueError(f"landmark mapping does not fit the model of side {side}")
+    if sum(model.nbytes for model in models.values()) > MAX_BYTES:
+        raise ValueError("the models are too large to broadcast together")
     shared = hands.sparkSession.sparkContext.broadcast(models)
     keys = ["clip", "frame", "side"]
     slim = hands.filter(F.col("valid") & F.col("side").isin(list(models))).select(

@@ -130,9 +130,13 @@ def bone_deviation(hands: DataFrame, ref: DataFrame, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- wrist depth
 def confidence_weights(hands: DataFrame, per_side: bool = False) -> DataFrame:
-    """clamp(conf / median)^8, the median over valid positive confidences of the clip."""
+    """clamp(conf / median)^8, the median over valid positive confidences of the clip.
+
+    A missing or non-finite confidence has no weight (NULL), unless the clip has no
+    usable confidence at all, which makes every weight 1.
+    """
     keys = ["clip", "side"] if per_side else ["clip"]
-    usable = hands.filter(F.col("valid") & (F.col("conf") > 0)).select(*keys, "conf")
+    usable = hands.filter(F.col("valid") & (F.col("conf") > 0) & ~F.isnan("conf")).select(*keys, "conf")
     med = exact_quantiles(usable, keys, "conf", {"_med": 0.5}).drop("n")
     rel = v.clamp(F.col("conf") / F.col("_med"), *WEIGHT_CLAMP)
     return hands.join(med, keys, "left").withColumn(

@@ -25,10 +25,11 @@ def ground_plane(points: DataFrame, cameras: DataFrame, min_points: int = 1000)
     """Plane normal, camera height over it and a plausibility flag per clip.
 
     Two aggregations (centroid, then centred covariance) and one eigenvector per clip.
-    Clips with ``min_points`` points or fewer get no row.
+    Clips with ``min_points`` points or fewer keep their count and have no plane (NULL).
     """
     centre = points.groupBy("clip").agg(
         F.struct(*[F.avg(F.col("point")[a]).alias(a) for a in "xyz"]).alias("c"), F.count(F.lit(1)).alias("n"))
+    counts = centre.select("clip", "n")
     centre = centre.filter(F.col("n") > min_points)
     d = points.join(centre, "clip").withColumn("d", v.sub(F.col("point"), F.col("c")))
     pairs = [(a, b) for a in "xyz" for b in "xyz"]
@@ -40,7 +41,7 @@ def ground_plane(points: DataFrame, cameras: DataFrame, min_points: int = 1000)
         "clip", F.abs(v.dot(F.col("normal"), v.sub(F.col("trans"), F.col("c")))).alias("h"))
     med = exact_quantiles(h, ["clip"], "h", {"height_median": 0.5}).drop("n")
     rng = h.groupBy("clip").agg(F.min("h").alias("height_min"), F.max("h").alias("height_max"))
-    out = plane.join(med, "clip").join(rng, "clip")
+    out = counts.join(plane.drop("n"), "clip", "left").join(med, "clip", "left").join(rng, "clip", "left")
     return out.select("clip", "n", "normal", "height_median", "height_min", "height_max",
                       ((F.col("height_median") > 0.1) & (F.col("height_median") < 2.5)).alias("plausible"))
 
@@ -64,7 +65,7 @@ def wrist_pixels(traj: DataFrame) -> DataFrame:
     """Wrist pixel per hand-frame, NULL when missing or not in front of the camera."""
     wrist = F.col("joints_world")[0]
     cam = pose.to_camera(F.col("rot"), F.col("trans"), wrist)
-    px = camera.rounded_pixel(camera.project(F.col("k"), F.col("cam"), eps=1e-6))
+    px = camera.rounded_pixel(camera.project(F.col("k"), F.col("cam"), front_only=True, eps=1e-6))
     return traj.withColumn("cam", F.when(v.finite(wrist), cam)).select("clip", "frame", "side", px.alias("pixel"))
 
 
@@ -83,9 +84,9 @@ def skeleton_edges(hands: DataFrame) -> DataFrame:
                     camera.rounded_pixel(F.get(F.col("px"), F.col("e")["child"])).alias("b"))
 
 
-def stills(clips: DataFrame, stride: int, count: int, max_frames: int | None = None, length: str = "num_frames") -> DataFrame:
+def stills(clips: DataFrame, stride: int, count: int, length: str = "num_frames") -> DataFrame:
     """Every stride-th frame of each clip, with evenly spaced ones marked as stills."""
-    n = F.least(F.col(length), F.lit(max_frames)) if max_frames is not None else F.col(length)
+    n = F.col(length)
     rows = clips.select("clip", F.col(length), F.explode(F.sequence(F.lit(0), n - 1, F.lit(stride))).alias("frame"),
                         F.ceil(n / F.lit(stride)).cast("int").alias("kept"))
     if not count:

@@ -122,8 +122,11 @@ def hypotheses(points: DataFrame, count: int = 128, with_scale: bool = True, see
     rows = lists.filter(m >= 3).withColumn("hyp", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
     base, turn = F.col("hyp") * 3, F.floor(F.col("hyp") * 3 / m).cast("int")
     a = base % m
-    b = (a + 1 + turn) % m
-    c = (b + 1 + turn) % m
+    # Second and third point by their distance from the first, 1 .. m - 1, never the same.
+    second = 1 + turn % (m - 1)
+    third = 1 + turn % (m - 2)
+    third = F.when(third < second, third).otherwise(third + 1)
+    b, c = (a + second) % m, (a + third) % m
     rows = rows.withColumn("_pts", F.array(*[F.get(F.col("_pool"), i) for i in (a, b, c)])).drop("_pool")
     origin = F.col("origin")
     terms = [moment_terms(v.sub(F.col("_pts")[i]["src"], origin["src"]), v.sub(F.col("_pts")[i]["dst"], origin["dst"]),

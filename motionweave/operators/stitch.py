@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import pose, vec as v
 from ..session import cut_lineage
 from .blend import fold, fold_rotations, mix_numbers, ramped
-from .blocks import over_halo, running_compose
+from .blocks import previous, running_compose
 from .depth import correspondences, world_points
 from .similarity import robust_fit
 from .windows import to_world0
@@ -34,11 +34,11 @@ def diagnostics(fits: DataFrame, windows: DataFrame) -> DataFrame:
 
 def align(samples: DataFrame, cameras: DataFrame, window: int, overlap: int, stride: int = 8,
           min_depth: float = 1e-3, max_depth: float | None = None, min_confidence: float | None = None,
-          max_points: int | None = 40000, **fit_options) -> DataFrame:
+          **fit_options) -> DataFrame:
     """Robust similarity from every window to its predecessor."""
     points = world_points(samples, cameras, stride, min_depth, max_depth, min_confidence, by_frame=True)
     weighted = min_confidence is not None and "depth_conf" in samples.columns
-    pairs = correspondences(points, window, overlap, max_points, weighted)
+    pairs = correspondences(points, window, overlap, weighted)
     return robust_fit(pairs, weighted=weighted, **fit_options)
 
 
@@ -104,11 +104,8 @@ def merge(cameras: DataFrame, transforms: DataFrame, blend: bool = True, normali
 
 def ordered_windows_check(windows: DataFrame) -> DataFrame:
     """Windows that start before their predecessor; no rows means temporal order."""
-    def body(rows, asc, _):
-        return rows.withColumn("_prev", F.lag("start").over(asc))
-
-    return over_halo(windows.select("clip", "win", "start", "end"), ["clip"], 1, 0, body, order="win").filter(
-        F.col("_prev") > F.col("start")).drop("_prev")
+    rows = previous(windows.select("clip", "win", "start", "end"), ["clip"], F.struct("start"), "_prev", "win")
+    return rows.filter(F.col("_prev")["start"] > F.col("start")).drop("_prev")
 
 
 def stitch(samples: DataFrame, cameras: DataFrame, windows: DataFrame, window: int, overlap: int,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import pose, vec as v
-from .blocks import BLOCK, bracket, exact_quantiles, over_halo
+from .blocks import BLOCK, bracket, exact_quantiles, over_halo, over_rows, previous
 
 
 def _tap(x: Column, before: Column, after: Column) -> Column:
@@ -17,7 +17,7 @@ def _tap(x: Column, before: Column, after: Column) -> Column:
 
 def binomial_filter(df: DataFrame, cols: Sequence[str], passes: int = 1, keys: Sequence[str] = ("clip",),
                     block: int = BLOCK) -> DataFrame:
-    """3-tap [1/4, 1/2, 1/4] filter over dense frames; the edge value is repeated."""
+    """3-tap [1/4, 1/2, 1/4] filter over the rows of a clip in order; the edge value is repeated."""
     if passes < 1:
         raise ValueError("passes must be positive")
 
@@ -29,7 +29,7 @@ def binomial_filter(df: DataFrame, cols: Sequence[str], passes: int = 1, keys: S
             })
         return rows
 
-    return over_halo(df, keys, passes, passes, body, block=block)
+    return over_rows(df, keys, passes, passes, body, block=block)
 
 
 def filter_translation(df: DataFrame, valid: str = "valid", passes: int = 1, trans: str = "trans",
@@ -137,11 +137,9 @@ def to_world0(df: DataFrame, valid: Column | None = None, keys: Sequence[str] =
 
 
 def displacement(df: DataFrame, keys: Sequence[str] = ("clip",), block: int = BLOCK) -> DataFrame:
-    """Camera-centre step length from the previous frame; NULL on the first frame."""
-    def body(rows, asc, _):
-        return rows.withColumn("step", v.distance(F.col("trans"), F.lag("trans").over(asc)))
-
-    return over_halo(df, keys, 1, 0, body, block=block)
+    """Camera-centre step length from the previous row; NULL on the first row."""
+    rows = previous(df, keys, F.struct("trans"), "_prev", block=block)
+    return rows.withColumn("step", v.distance(F.col("trans"), F.col("_prev")["trans"])).drop("_prev")
 
 
 def fps_from_timestamps(df: DataFrame, ts: str = "ts_ns", keys: Sequence[str] = ("clip",), snap: float = 0.005,
@@ -150,10 +148,8 @@ def fps_from_timestamps(df: DataFrame, ts: str = "ts_ns", keys: Sequence[str] =
 
     Steps of a clip take few distinct values, so they are counted before the median.
     """
-    def body(rows, asc, _):
-        return rows.withColumn("_d", F.col(ts) - F.lag(ts).over(asc))
-
-    steps = over_halo(df, keys, 1, 0, body, block=block).filter("_d > 0")
+    steps = previous(df, keys, F.struct(F.col(ts).alias("ts")), "_prev", block=block).withColumn(
+        "_d", F.col(ts) - F.col("_prev")["ts"]).filter("_d > 0")
     med = exact_quantiles(steps, keys, "_d", {"step_ns": 0.5})
     fps = F.lit(1e9) / F.col("step_ns")
     near = F.bround(fps)

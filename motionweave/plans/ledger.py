@@ -36,10 +36,10 @@ def canonical(params: dict[str, Column]) -> Column:
 
 def params_hash(stage: Column, params: dict[str, Column], inputs: Column, shard: Column, shards: Column,
                 extra: dict[str, Column] | None = None) -> Column:
-    """Identity of one unit of work. The shard is part of it: another cut is another unit."""
+    """Identity of one unit of work, whatever the order of its inputs. The shard is part of it: another cut is another unit."""
     body = F.struct(
         F.struct(*[(extra or {})[k].alias(k) for k in sorted(extra or {})] or [F.lit(0).alias("_")]).alias("extra"),
-        inputs.alias("inputs"),
+        F.array_sort(inputs).alias("inputs"),
         F.struct(*[params[k].alias(k) for k in sorted(params)]).alias("params"),
         F.struct(shards.alias("count"), shard.alias("index")).alias("selection"),
         stage.alias("stage"))
@@ -81,9 +81,10 @@ def append(ledger_rows: DataFrame, path: str) -> None:
 
 
 def latest(ledger: DataFrame, order: str = "finished_at") -> DataFrame:
-    """Newest row per (clip, stage, unit)."""
+    """Newest row per (clip, stage, unit); of several as new as each other the one with the greatest text."""
     rest = [c for c in ledger.columns if c not in ("clip", "stage", "unit")]
-    return ledger.groupBy("clip", "stage", "unit").agg(F.max_by(F.struct(*rest), order).alias("r")).select(
+    row = F.struct(*rest)
+    return ledger.groupBy("clip", "stage", "unit").agg(F.max_by(row, F.struct(F.col(order).alias("o"), F.to_json(row).alias("r"))).alias("r")).select(
         "clip", "stage", "unit", "r.*")
 
 
@@ -118,13 +119,18 @@ def degraded_clips(ledger: DataFrame) -> DataFrame:
 
 def degraded_units(ledger: DataFrame) -> DataFrame:
     """What failed, one row per failed unit."""
-    return ledger.filter(F.col("status") == "failed").select("clip", "detail")
+    return ledger.filter(F.col("status") == "failed").select("clip", "stage", "unit", "detail", "finished_at")
 
 
 def mark_degraded(clips: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Clip metadata with a degraded flag, the number of failed units and the last reason."""
+    """Clip metadata with a degraded flag, the failed units (stage/unit, sorted) and the reason of the last one.
+
+    A clip has few stages and units per stage; the list holds each failed one once.
+    """
     bad = degraded_units(ledger).groupBy("clip").agg(
-        F.count(F.lit(1)).alias("failed_units"), F.max("detail").alias("degraded_reason"))
+        F.count(F.lit(1)).alias("failed_units"),
+        F.array_sort(F.collect_set(F.concat_ws("/", "stage", "unit"))).alias("failures"),
+        F.max_by("detail", F.struct("finished_at", "detail")).alias("degraded_reason"))
     rows = clips.join(bad, "clip", "left")
     return rows.withColumn("degraded", F.col("failed_units").isNotNull()).withColumn(
-        "failed_units", F.coalesce("failed_units", F.lit(0)))
+        "failed_units", F.coalesce("failed_units", F.lit(0))).withColumn("failures", F.coalesce("failures", F.array().cast("array<string>")))

@@ -1,4 +1,7 @@
-"""Clip programs composed from the operators; every step is lazy and can be left out."""
+"""Clip programs composed from the operators; every step can be left out.
+
+Alignment and the wrist-depth solve write intermediate tables, so building these plans runs jobs.
+"""
 
 from __future__ import annotations
 
@@ -30,7 +33,8 @@ def refine_trajectory(traj: DataFrame, cameras: DataFrame, max_gap: int | None =
         rows = refine.scale_bones(rows, bone_bound, bone_reference)
     if wrist_lambda is not None:
         rows = refine.smooth_wrist_depth(rows, wrist_lambda, max_depth_change).drop("depth_before", "depth_after", "weight")
-    rows = rows.withColumnRenamed("joints", "joints_camera").join(cams.select("clip", "frame", "rot", "trans"), ["clip", "frame"])
+    rows = rows.withColumnRenamed("joints", "joints_camera").join(cams.select("clip", "frame", "rot", "trans"), ["clip", "frame"], "left")
+    rows = rows.withColumn("rot", fusion.need(F.col("rot"), "array<double>", "no camera"))
     return fusion.refuse_world(rows)
 
 

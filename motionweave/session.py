@@ -60,9 +60,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a table that several later steps read, and go on from the written copy.
 
     Parquet in the shared folder survives lost executors and lets each reader take only
-    the columns it needs.
+    the columns it needs. The copy is deleted when the session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/motionweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)

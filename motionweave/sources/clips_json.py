@@ -28,13 +28,13 @@ def located(rows: DataFrame) -> DataFrame:
     return rows.select("path", "text", part(1).alias("split"), part(2).alias("sequence"), part(3).cast("int").alias("number"))
 
 
-def discover(rows: DataFrame, split: str | None = None, sequence: str | None = None, limit: int | None = None) -> DataFrame:
-    """Clips in path order, optionally of one split or sequence, optionally the first few."""
+def discover(rows: DataFrame, split: str | None = None, sequence: str | None = None) -> DataFrame:
+    """Clips, optionally of one split or sequence."""
     if split is not None:
         rows = rows.filter(F.col("split") == split)
     if sequence is not None:
         rows = rows.filter(F.col("sequence") == sequence)
-    return rows.orderBy("path").limit(limit) if limit is not None else rows
+    return rows
 
 
 def decode(info: DataFrame, camera: DataFrame, hands: DataFrame) -> DataFrame:
@@ -70,9 +70,8 @@ def decode(info: DataFrame, camera: DataFrame, hands: DataFrame) -> DataFrame:
         v.vec(t[0], t[1], t[2]).alias("trans"), wrist("left").alias("wrist_left"), wrist("right").alias("wrist_right"))
 
 
-def read(spark: SparkSession, root: str, split: str | None = None, sequence: str | None = None,
-         limit: int | None = None) -> DataFrame:
-    picked = discover(read_texts(spark, root, "clip_info.json"), split, sequence, limit)
+def read(spark: SparkSession, root: str, split: str | None = None, sequence: str | None = None) -> DataFrame:
+    picked = discover(read_texts(spark, root, "clip_info.json"), split, sequence)
     name = F.regexp_replace("path", r"/[^/]+$", "").alias("clip")
     keys = picked.select(name)
     docs = [read_texts(spark, root, n).select(name, "text") for n in ("clip_info.json", "camera.json", "hands_pose.json")]

@@ -22,13 +22,14 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
 def frame_inventory(paths: DataFrame, fps: DataFrame, image_format: str = "jpg") -> DataFrame:
     """Sorted image names -> frame number and timestamp per clip.
 
-    Rows: clip, path. Names are ranked in name-prefix buckets, so no task sorts a clip.
+    Rows: clip, path. Names are ranked in buckets of one prefix length per clip, which
+    keeps name order whatever the names' lengths, so no task sorts a clip.
     """
     named = paths.filter(F.col("path").endswith(f".{image_format}")).withColumn(
         "name", F.substring_index("path", "/", -1))
-    # All but the last three characters of the stem: at most a thousand numbered frames.
-    cut = F.greatest(F.lit(0), F.length("name") - (len(image_format) + 4))
-    rows = ranked(named, ["clip"], ["name"], F.left(F.col("name"), cut), "frame")
+    # All but the last three characters of the longest stem: about a thousand numbered frames.
+    cut = named.groupBy("clip").agg(F.greatest(F.lit(0), F.max(F.length("name")) - (len(image_format) + 4)).alias("_cut"))
+    rows = ranked(named.join(cut, "clip"), ["clip"], ["name"], F.left(F.col("name"), F.col("_cut")), "frame")
     lost = F.raise_error(F.concat(F.lit("no fps for clip "), F.col("clip").cast("string"))).cast("double")
     return rows.join(fps.select("clip", "fps"), "clip", "left").select(
         "clip", F.col("frame").cast("int").alias("frame"), "path",

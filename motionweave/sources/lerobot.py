@@ -89,9 +89,10 @@ def read_frames(spark: SparkSession, root: str, info: dict, episodes: list[int]
 
 
 def latest_episodes(rows: DataFrame, path: str = "_path") -> DataFrame:
-    """One row per episode_index: the one from the greatest file path."""
+    """One row per episode_index: the one from the greatest file path, of several in it the greatest."""
     names = [c for c in rows.columns if c != path]
-    pick = F.max_by(F.struct(*[F.col(f"`{c}`") for c in names]), path).alias("_row")
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    pick = F.max_by(row, F.struct(F.col(path).alias("p"), F.xxhash64(F.to_json(row)).alias("h"))).alias("_row")
     return rows.groupBy("episode_index").agg(pick).select("_row.*")
 
 

@@ -96,7 +96,7 @@ def test_no_ordered_partition_is_a_whole_clip(spark):
     df = spark.range(100).select((F.col("id") * 0).alias("clip"), F.col("id").cast("int").alias("frame"), F.col("id").cast("double").alias("v"))
     plan = w.binomial_filter(df, ["v"])._jdf.queryExecution().optimizedPlan().toString()
     specs = [line for line in plan.splitlines() if "windowspecdefinition" in line]
-    assert specs and all("_block" in line for line in specs)
+    assert specs and all("_block" in line or "_bucket" in line for line in specs)
 
 
 def test_frame_rate_snaps(spark):
@@ -104,3 +104,52 @@ def test_frame_rate_snaps(spark):
     got = {r.clip: r.fps for r in w.fps_from_timestamps(spark.createDataFrame(rows, "clip int, frame int, ts_ns long")).collect()}
     assert got[1] == 30.0
     assert got[2] == pytest.approx(1e9 / 7e7)
+
+
+SPARSE = [0, 2, 3, 5, 6, 8, 21, 22, 23, 40]
+
+
+def _answers(df, keys=("clip", "frame")):
+    return sorted(map(str, df.orderBy(*keys).collect()))
+
+
+@pytest.mark.parametrize("frames", [SPARSE, list(range(14))])
+def test_blocks_do_not_change_ordered_operators(spark, frames):
+    from pyspark.sql import functions as F
+
+    from motionweave.functions import vec as v
+    from motionweave.operators import windows as w
+
+    rows = [(c, f, float(f * f % 17 + c), f * 1_000_000 * (c + 1), f % 3 != 1) for c in (1, 2) for f in frames]
+    df = spark.createDataFrame(rows, "clip int, frame int, v double, ts_ns long, valid boolean").withColumn(
+        "trans", v.vec(F.col("v"), F.col("v") * 2, F.lit(0.0)))
+    for run in (lambda b: w.binomial_filter(df, ["v"], 2, block=b).select("clip", "frame", "v"),
+                lambda b: w.filter_translation(df, passes=2, block=b).select("clip", "frame", "trans"),
+                lambda b: w.displacement(df, block=b).select("clip", "frame", "step"),
+                lambda b: w.runs(df, F.col("valid"), ("clip",), b).select("clip", "frame", "run_start", "run_end")):
+        assert _answers(run(4)) == _answers(run(4096))
+    assert _answers(w.fps_from_timestamps(df, block=4), ("clip",)) == _answers(w.fps_from_timestamps(df, block=4096), ("clip",))
+    steps = {(r["clip"], r["frame"]): r["step"] for r in w.displacement(df, block=4).collect()}
+    for c in (1, 2):
+        for a, b in zip(frames, frames[1:]):
+            assert abs(steps[c, b] - 5 ** 0.5 * abs(b * b % 17 - a * a % 17)) < 1e-9
+        assert steps[c, frames[0]] is None
+
+
+def test_names_of_any_length_are_ranked(spark):
+    from motionweave.sources import files
+
+    names = sorted(f"f_{i}.jpg" for i in range(1300))
+    paths = spark.createDataFrame([("a", f"/x/{n}") for n in reversed(names)] + [("b", "/y/q.jpg")], "clip string, path string")
+    fps = spark.createDataFrame([("a", 10.0), ("b", 10.0)], "clip string, fps double")
+    got = files.frame_inventory(paths, fps).where("clip = 'a'").orderBy("frame").collect()
+    assert [r["path"] for r in got] == [f"/x/{n}" for n in names]
+
+
+def test_triples_never_repeat_a_point():
+    for m in range(3, 40):
+        for hyp in range(128):
+            a, turn = hyp * 3 % m, hyp * 3 // m
+            second, third = 1 + turn % (m - 1), 1 + turn % (m - 2)
+            third += third >= second
+            assert len({a, (a + second) % m, (a + third) % m}) == 3

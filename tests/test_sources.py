@@ -69,7 +69,7 @@ def test_clip_folders(spark, tmp_path):
     (d / "clip_info.json").write_text(json.dumps({"clip_length": 3, "frames": frames}))
     (d / "camera.json").write_text(json.dumps(cam))
     (d / "hands_pose.json").write_text(json.dumps({"0": {"left": wrist}, "1": {"left": wrist, "right": wrist}}))
-    rows = clips_json.read(spark, str(tmp_path), "train", "seq1", 5)
+    rows = clips_json.read(spark, str(tmp_path), "train", "seq1")
     ref = ground_truth.from_clips(rows)
     got = {(r.frame, r.side): r for r in ref.collect()}
     assert [k for k, r in sorted(got.items()) if r.valid] == [(0, 0), (1, 0), (1, 1)]
