@@ -21,16 +21,21 @@ def _stars(links: DataFrame, small: bool) -> DataFrame:
     return hung.where("a <> b").distinct()
 
 
+def _state(links: DataFrame) -> tuple:
+    """Number and checksum of the links; stars that are complete do not change."""
+    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the links (a, b): root is the least node of its component.
 
     The number of rounds grows with the logarithm of the longest chain. Each round is written to the shared folder.
     """
-    links = cut_lineage(links.select("a", "b").where("a <> b").distinct())
-    before = None
-    while True:
+    links = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    before = _state(links)
+    while before[0]:
         links = cut_lineage(_stars(_stars(links, False), True))
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        state = _state(links)
         if state == before:
             break
         before = state

@@ -151,26 +151,31 @@ def _pivot_pairs(members: DataFrame, rank) -> DataFrame:
     return joined.select(F.least("key", F.col("p")["key"]).alias("a"), F.greatest("key", F.col("p")["key"]).alias("b")).distinct()
 
 
-def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
-    found = graph.components(links)
-    return members.drop("root").join(found.select(F.col("node").alias("key"), "root"), "key", "left").withColumn(
-        "root", F.coalesce("root", "key"))
+def _with_more(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) once more links (a, b) are known."""
+    links = cut_lineage(links)
+    if links.isEmpty():
+        return found
+    return cut_lineage(graph.components(links.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b")))))
 
 
-def links_of(prints: DataFrame) -> DataFrame:
-    """Links (a, b) between keys that join every class: all of them up to what one component already holds."""
+def _rooted(members: DataFrame, found: DataFrame) -> DataFrame:
+    rooted = members.drop("root").join(found.select(F.col("node").alias("key"), "root"), "key", "left")
+    return cut_lineage(rooted.withColumn("root", F.coalesce("root", "key")))
+
+
+def roots_of(prints: DataFrame) -> DataFrame:
+    """(node, root) of every key that is linked to another: the least key of its component."""
     nodes = prints.where("key is not null").groupBy("key").agg(F.first("bands").alias("bands"))
     rows = nodes.select("key", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = cut_lineage(rows.join(shared, "bucket").withColumn("root", F.col("key")))
     keys = members.select("key").distinct()
     sets = cut_lineage(prints.where("key is not null").select("key", "grams").join(keys, "key", "left_semi").dropDuplicates(["key"]))
-    links = cut_lineage(verified(_pivot_pairs(members, F.lit(0)), sets))
-    members = cut_lineage(_rooted(members, links))
-    more = cut_lineage(verified(_pivot_pairs(members, F.xxhash64("bucket", "key")), sets))
-    links = links.unionByName(more)
-    members = _rooted(members, links)
-    members = cut_lineage(members)
+    found = graph.components(verified(_pivot_pairs(members, F.lit(0)), sets))
+    members = _rooted(members, found)
+    found = _with_more(found, verified(_pivot_pairs(members, F.xxhash64("bucket", "key")), sets))
+    members = _rooted(members, found)
     # What still lies apart in a bucket: all members outside its largest component against the others.
     sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
@@ -178,12 +183,12 @@ def links_of(prints: DataFrame) -> DataFrame:
     minor = apart.where(F.col("root") != F.col("top")).select("bucket", F.col("key").alias("x"), F.col("root").alias("rx"))
     rest = apart.join(minor, "bucket").where((F.col("root") != F.col("rx")) & (F.col("key") != F.col("x")))
     rest = rest.select(F.least("key", "x").alias("a"), F.greatest("key", "x").alias("b")).distinct()
-    return links.unionByName(verified(rest, sets))
+    return _with_more(found, verified(rest, sets))
 
 
 def classes(prints: DataFrame, ident) -> DataFrame:
     """(key, class) for every key of written fingerprints: the least `ident` among the rows of the class."""
-    found = graph.components(links_of(prints))
+    found = roots_of(prints)
     each = prints.where("key is not null").groupBy("key").agg(F.min(ident).alias("least"))
     rooted = each.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     return rooted.join(rooted.groupBy("root").agg(F.min("least").alias("class")), "root").select("key", "class")
