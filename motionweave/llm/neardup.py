@@ -7,8 +7,10 @@ of their weights, which is the plain Jaccard similarity where weights are equal.
 band are candidates, and a candidate is linked if the plain Jaccard similarity of the shingle sets is 0.8 or more.
 
 Texts with one shingle set are one node from the start, so copies cost a row each and no pair. Within a bucket nodes are
-held against a pivot first; a second round takes another pivot per bucket; only nodes that are still apart from others
-in their bucket are held against all of those. No pair within one component is needed, no bucket is capped.
+held against its most central node first, the one whose buckets are largest, which in a group of near copies is the
+common original; a second round takes another pivot per bucket. Nodes that are still apart from others in their bucket
+are joined with them by prefix filtering: of two sets that similar, one of the rarest 20 % + 1 shingles of each is
+shared, at places that leave enough shingles behind them. No pair within one component is needed, no bucket is capped.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import cut_lineage
 from . import graph
@@ -151,6 +153,34 @@ def _pivot_pairs(members: DataFrame, rank) -> DataFrame:
     return joined.select(F.least("key", F.col("p")["key"]).alias("a"), F.greatest("key", F.col("p")["key"]).alias("b")).distinct()
 
 
+def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, grams in enumerate(batch.column("grams")):
+            g = np.frombuffer(grams.as_buffer(), np.uint32).astype(np.int64)
+            row = pa.array(np.full(len(g), i))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(row) for c in ("key", "root", "minor")], pa.array(np.full(len(g), len(g))), pa.array(g)],
+                                             names=["key", "root", "minor", "size", "gram"])
+
+
+def _prefix_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets (key, root, minor, grams) that may be similar enough, one of them minor, in different components."""
+    rows = cut_lineage(sets.select("key", "root", "minor", "grams").mapInArrow(_taken_apart, "key binary, root binary, minor boolean, size bigint, gram bigint"))
+    counts = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Shingles of one set only come first in every order and match nothing: they count, but need no row.
+    shared = rows.join(counts, "gram")
+    lonely = F.col("size") - F.count(F.lit(1)).over(W.partitionBy("key"))
+    place = lonely + F.row_number().over(W.partitionBy("key").orderBy("n", "gram"))
+    least = F.ceil(F.lit(SIMILARITY) * F.col("size") - F.lit(1e-9))
+    prefix = shared.withColumn("place", place).where(F.col("place") <= F.col("size") - least + 1)
+    p = prefix.where("minor").select("gram", *[F.col(c).alias("x_" + c) for c in ("key", "root", "size", "place")])
+    q = prefix.select("gram", *[F.col(c).alias("y_" + c) for c in ("key", "root", "size", "place")])
+    common = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("x_size") + F.col("y_size")) - F.lit(1e-9))
+    left = 1 + F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
+    fit = (F.least("x_size", "y_size") >= F.lit(SIMILARITY) * F.greatest("x_size", "y_size") - F.lit(1e-9)) & (left >= common)
+    pairs = p.join(q, (p["gram"] == q["gram"]) & (F.col("x_root") != F.col("y_root")) & fit)
+    return pairs.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b")).distinct()
+
+
 def _with_more(found: DataFrame, links: DataFrame) -> DataFrame:
     """Components (node, root) once more links (a, b) are known."""
     links = cut_lineage(links)
@@ -168,21 +198,22 @@ def roots_of(prints: DataFrame) -> DataFrame:
     """(node, root) of every key that is linked to another: the least key of its component."""
     nodes = prints.where("key is not null").groupBy("key").agg(F.first("bands").alias("bands"))
     rows = nodes.select("key", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = cut_lineage(rows.join(shared, "bucket").withColumn("root", F.col("key")))
+    central = members.groupBy("key").agg(F.sum("n").alias("central"))
+    members = cut_lineage(members.join(central, "key"))
     keys = members.select("key").distinct()
     sets = cut_lineage(prints.where("key is not null").select("key", "grams").join(keys, "key", "left_semi").dropDuplicates(["key"]))
-    found = graph.components(verified(_pivot_pairs(members, F.lit(0)), sets))
+    found = graph.components(verified(_pivot_pairs(members, -F.col("central")), sets))
     members = _rooted(members, found)
     found = _with_more(found, verified(_pivot_pairs(members, F.xxhash64("bucket", "key")), sets))
     members = _rooted(members, found)
     # What still lies apart in a bucket: all members outside its largest component against the others.
     sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    apart = members.join(largest.select("bucket", F.col("top")["root"].alias("top")), "bucket")
-    minor = apart.where(F.col("root") != F.col("top")).select("bucket", F.col("key").alias("x"), F.col("root").alias("rx"))
-    rest = apart.join(minor, "bucket").where((F.col("root") != F.col("rx")) & (F.col("key") != F.col("x")))
-    rest = rest.select(F.least("key", "x").alias("a"), F.greatest("key", "x").alias("b")).distinct()
+    apart = members.select("bucket", "key", "root").join(largest.select("bucket", F.col("top")["root"].alias("top")), "bucket")
+    apart = apart.groupBy("key", "root").agg(F.bool_or(F.col("root") != F.col("top")).alias("minor"))
+    rest = _prefix_pairs(cut_lineage(sets.join(apart, "key")))
     return _with_more(found, verified(rest, sets))
 
 
