@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -43,5 +44,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def settle(df: DataFrame) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written: it does so for plans that nobody holds."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+
+
 def quoted(name: str) -> str:
     return "`" + re.sub("`", "``", name) + "`"

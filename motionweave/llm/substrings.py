@@ -1,13 +1,18 @@
-"""Removal of long repeated substrings, exact over the whole corpus.
+"""Removal of long repeated substrings, exact over the whole corpus, by sampled and induced suffix sorting.
 
-Suffixes are sampled, named and extended the way induced suffix sorting does it, but with names that answer only
-"equal or not". In every stretch of LENGTH bytes the k-gram with the least hash, the leftmost of equals, is an anchor;
-equal stretches have equal anchors at equal places, so only suffixes at anchors (one in about 180 bytes) need a name,
-the hash of their k-gram. Stretches with one anchor form a run. Runs whose whole strings have a twin are repeated from
-end to end; runs that share the name only are resolved stretch by stretch, each stretch's name being rolled from its
-neighbour's. A hot passage or copy is a hot name; names are counted with partial sums, and joins split them.
+In every stretch of LENGTH bytes the k-gram with the least hash, the leftmost of equals, is its anchor. Equal stretches
+have equal anchors at equal places, so only suffixes that start at an anchor, one in about 140 bytes, are sampled and
+named (by the hash of their k-gram); names that occur once are done. Stretches with one anchor form a run. Runs whose
+whole strings have a twin are repeated from end to end. Of runs that share the name only, one of each kind is sorted:
 
-Names are pairs of 64-bit hashes of the bytes (anchor and run, anchor and stretch).
+* names are dealt to shards of bounded size; in a shard the suffixes at anchors are sorted by their bytes, with the
+  length of the prefix that each shares with the one before (LCP);
+* the order of the suffixes one byte further left follows by induction: they sort by (name, byte, rank of the suffix to
+  the right), and their LCP is one more than the least LCP between those ranks. So the tuples (byte, rank, LCP) are
+  carried left, a byte a step, and a stretch is repeated where the LCP with a neighbour reaches LENGTH.
+
+A name with so many kinds of runs that a shard could not hold them is counted stretch by stretch instead, with partial
+sums, so that no group has to fit one task. Spark's shuffle is the disk-backed queue between the steps.
 """
 
 from __future__ import annotations
@@ -20,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import fresh, quoted, text_of
+from .common import fresh, quoted, settle, text_of
 from .textbytes import blocks, mix, offsets_and_bytes, prefix_hash, span_hash
 
 LENGTH = 400
 GRAM = 32
+SHARD = 16_384       # runs sorted together, about
+CROWD = 8_192        # kinds of runs of one name beyond which it is counted instead of sorted
 
 
 def _sliding_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -86,7 +93,7 @@ def _runs(length: int, gram: int):
                 base = offsets[lo]
                 row, anchor, first, last, name, run_name = runs_of(offsets[lo:hi + 1] - base, data[base:offsets[hi]], length, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(row + lo)), *[pa.array(x.astype(np.int64)) for x in (anchor, first, last, name, run_name)]],
+                    [keys.take(pa.array(row + lo)), *[pa.array(x.astype(np.int32)) for x in (anchor, first, last)], pa.array(name), pa.array(run_name)],
                     names=["digest", "anchor", "first", "last", "name", "run"])
     return run
 
@@ -106,6 +113,79 @@ def _stretches(length: int):
     return run
 
 
+def _run_bytes(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, data = offsets_and_bytes(batch.column(1))
+            for i, reps in enumerate(batch.column(2)):
+                reps, whole = reps.as_py(), data[offsets[i]:offsets[i + 1]].tobytes()
+                get = lambda c: [r[c] for r in reps]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(np.full(len(reps), i))), *[pa.array(get(c), pa.int64()) for c in ("name", "anchor", "first", "last")],
+                     pa.array(get("single"), pa.bool_()), pa.array([whole[r["first"]:r["last"] + length] for r in reps], pa.binary())],
+                    names=["digest", "name", "anchor", "first", "last", "single", "bytes"])
+    return run
+
+
+def induced(group: np.ndarray, left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray, length: int) -> np.ndarray:
+    """hit[i, o]: the string of `length` bytes that starts o bytes left of anchor i also starts o bytes left of another
+    anchor of its group. left (nearest byte first) and right hold the bytes around the anchors, as far as n_left, n_right.
+    """
+    n = len(group)
+    hit = np.zeros((n, left.shape[1] + 1), bool)
+    words = np.zeros((n, -(-right.shape[1] // 8) * 8), np.uint8)
+    words[:, :right.shape[1]] = right
+    keys = words.view(">u8").astype(np.uint64)
+    order = np.lexsort([n_right, *keys.T[::-1], group])
+    same = group[order][1:] == group[order][:-1]
+    differs = right[order][1:] != right[order][:-1]
+    first = np.where(differs.any(axis=1), differs.argmax(axis=1), right.shape[1])
+    lcp = np.zeros(n, np.int64)
+    lcp[1:] = np.where(same, np.minimum(first, np.minimum(n_right[order][1:], n_right[order][:-1])), 0)
+    for o in range(left.shape[1] + 1):
+        if o:
+            at = np.flatnonzero(n_left[order] >= o)
+            if len(at) < 2:
+                break
+            moved = order[at]
+            key = group[moved].astype(np.int64) * 256 + left[moved, o - 1]
+            turn = np.argsort(key, kind="stable")
+            key, at = key[turn], at[turn]
+            new = np.zeros(len(at), np.int64)
+            pair = np.flatnonzero(key[1:] == key[:-1]) + 1
+            if len(pair):
+                span = np.stack([at[pair - 1] + 1, at[pair] + 1], axis=1).ravel()
+                new[pair] = 1 + np.minimum.reduceat(np.r_[lcp, 0], span)[::2]
+            order, lcp = moved[turn], new
+        long = lcp >= length
+        hit[order[long], o] = True
+        hit[order[:-1][long[1:]], o] = True
+    return hit
+
+
+def _sorter(length: int):
+    kinds = pa.schema([("digest", pa.binary()), ("start", pa.int64()), ("end", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        col = lambda c: table[c].to_numpy()
+        anchor, first, last = col("anchor"), col("first"), col("last")
+        n, before, after = len(anchor), anchor - first, last + length - anchor
+        left, right = np.zeros((n, int(before.max())), np.uint8), np.zeros((n, int(after.max())), np.uint8)
+        for i, raw in enumerate(table["bytes"].to_pylist()):
+            b = np.frombuffer(raw, np.uint8)
+            left[i, :before[i]] = b[:before[i]][::-1]
+            right[i, :after[i]] = b[before[i]:]
+        group = np.unique(col("name"), return_inverse=True)[1]
+        hit = induced(group, left, before, right, after, length)
+        hit &= table["single"].to_numpy(zero_copy_only=False)[:, None]
+        edge = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        row, lo = np.nonzero(edge == 1)
+        _, hi = np.nonzero(edge == -1)
+        return pa.table([table["digest"].take(pa.array(row)), pa.array(anchor[row] - hi + 1), pa.array(anchor[row] - lo + length)], schema=kinds)
+    return run
+
+
 def merged(spans: np.ndarray) -> list[tuple[int, int]]:
     """Union of spans (start, end) as maximal spans in order."""
     out: list[list[int]] = []
@@ -140,28 +220,46 @@ def _remove(carry: int, with_text: bool):
     return run
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """(digest, spans) of texts (digest, whole) that hold a repeated stretch; spans may overlap."""
-    runs = cut_lineage(texts.mapInArrow(_runs(length, gram), "digest binary, anchor bigint, first bigint, last bigint, name bigint, run bigint"))
+    runs = cut_lineage(texts.mapInArrow(_runs(length, gram), "digest binary, anchor int, first int, last int, name bigint, run bigint"))
     twins = runs.groupBy("name", "run").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("digest", "anchor", "first", "last")).alias("rep"))
     names = twins.groupBy("name").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where("all > 1")
-    shared = cut_lineage(twins.join(names, "name"))
-    whole = runs.join(shared.where("n > 1").select("name", "run"), ["name", "run"], "left_semi").select(
-        "digest", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
-    # Runs that share a name but differ somewhere: stretch by stretch, one representative of each kind.
-    reps = shared.where("kinds > 1").groupBy("rep.digest").agg(
-        F.collect_list(F.struct("name", "run", "rep.anchor", "rep.first", "rep.last")).alias("reps"))
+    shared = cut_lineage(twins.join(names, "name").select("name", "run", "n", "kinds", "rep.*"))
+    settle(texts)
+    # Runs that share a name but differ somewhere, one representative of each kind, with their bytes.
+    apart = shared.where("kinds > 1")
+    reps = apart.groupBy("digest").agg(F.collect_list(F.struct(
+        "name", "run", "anchor", "first", "last", (F.col("n") == 1).alias("single"), (F.col("kinds") > crowd).alias("crowd"))).alias("reps"))
     once = texts.join(reps, "digest").dropDuplicates(["digest"])
-    parts = cut_lineage(once.select("whole", "reps").mapInArrow(_stretches(length), "name bigint, run bigint, at bigint, stretch bigint"))
+    split = lambda flag: F.filter("reps", lambda r: r["crowd"] == F.lit(flag)).alias("reps")
+    once = cut_lineage(once.select("digest", split(False), split(True).alias("crowds"), "whole"))
+    settle(texts)
+    sorted_reps = once.where(F.size("reps") > 0).select("digest", "whole", "reps").mapInArrow(
+        _run_bytes(length), "digest binary, name bigint, anchor bigint, first bigint, last bigint, single boolean, bytes binary")
+    shards = -(-max(1, apart.count()) // SHARD)
+    spans = cut_lineage(sorted_reps.groupBy(F.pmod(F.xxhash64("name"), F.lit(shards)).alias("shard")).applyInArrow(
+        _sorter(length), "digest binary, start bigint, end bigint"))
+    settle(texts)
+    spans = spans.unionByName(_counted(once.where(F.size("crowds") > 0).select("whole", F.col("crowds").alias("reps")), apart, length))
+    whole = runs.join(shared.where("n > 1").select("name", "run"), ["name", "run"], "left_semi").select(
+        "digest", F.col("first").cast("bigint").alias("start"), (F.col("last") + length).cast("bigint").alias("end"))
+    found = cut_lineage(whole.unionByName(spans).groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    settle(texts)
+    return found
+
+
+def _counted(texts: DataFrame, apart: DataFrame, length: int) -> DataFrame:
+    """Spans (digest, start, end) of the runs `reps` of texts, by counting the hashes of their stretches."""
+    parts = cut_lineage(texts.mapInArrow(_stretches(length), "name bigint, run bigint, at bigint, stretch bigint"))
     again = parts.groupBy("name", "stretch").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "stretch")
     found = parts.join(again, ["name", "stretch"], "left_semi").groupBy("name", "run").agg(F.sort_array(F.collect_list("at")).alias("ats"))
-    some = shared.where("n = 1").join(found, ["name", "run"])
+    some = apart.where("n = 1").join(found, ["name", "run"])
     # Consecutive stretches share a value of at - index, which names their interval.
-    spans = some.select("rep.digest", F.col("rep.anchor").alias("anchor"), F.posexplode("ats").alias("i", "at")).groupBy(
+    return some.select("digest", "anchor", F.posexplode("ats").alias("i", "at")).groupBy(
         "digest", "anchor", (F.col("at") - F.col("i")).alias("island")).agg(
         (F.col("anchor") + F.min("at")).alias("start"), (F.col("anchor") + F.max("at") + length).alias("end")).select("digest", "start", "end")
-    return whole.unionByName(spans).groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, with_text: bool = True) -> DataFrame:

@@ -292,15 +292,15 @@ def plain_removal(texts, length):
     return out
 
 
-@pytest.mark.parametrize("length,seed", [(24, 1), (24, 2), (40, 3)])
-def test_repeated_substrings(spark, monkeypatch, length, seed):
+@pytest.mark.parametrize("length,seed,crowd", [(24, 1, 10**6), (24, 2, 3), (40, 3, 0)])
+def test_repeated_substrings(spark, monkeypatch, length, seed, crowd):
     rng = random.Random(seed)
     word = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
     shared = [word(rng.randrange(10, 90)) for _ in range(8)]
     texts = ["".join(rng.choice([word(rng.randrange(0, 60)), rng.choice(shared)]) for _ in range(rng.randrange(0, 8))) for _ in range(80)]
     texts += [None, "", "a" * 200, "ab" * 90, "a" * (length - 1), texts[0], texts[1], texts[1]]
     spans = substrings.repeated_spans
-    monkeypatch.setattr(substrings, "repeated_spans", lambda t, n: spans(t, n, 8))
+    monkeypatch.setattr(substrings, "repeated_spans", lambda t, n: spans(t, n, 8, crowd))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("digest", F.lit(1)).withColumn("spans", F.lit(2))
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept_sha256"]) for r in substrings.remove_repeats(docs, length=length).collect()}
     assert [got[i] for i in range(len(texts))] == plain_removal(texts, length)
