@@ -26,10 +26,19 @@ def reference(spark, sf, yaw: float = vw.YAW_REF):
     return world.withColumn("joints_world", moved).join(cam, ["clip", "frame"])
 
 
-EV_SQL = vw.WORLD_SQL + f""",
+def _rates(spark, sf):
+    """Odd clips run at 7 frames a second, even ones at 10."""
+    return vw.sizes(spark, sf).select("clip", F.when(F.col("clip") % 2 == 1, 7.0).otherwise(10.0).alias("fps"))
+
+
+RATE = "CASE WHEN {c}.clip % 2 = 1 THEN 7 ELSE 10 END"
+
+
+def _ev_sql(chunk: str) -> str:
+    return vw.WORLD_SQL + f""",
 pr AS (SELECT clip, frame, side, joint, x, y, z, y + 0.03 AS gy, z + 0.04 AS gz, frame % 6 = 4 AS interp, valid AS pv, frame % 7 <> 3 AS gv FROM w),
 both_ok AS (SELECT * FROM pr WHERE pv AND gv),
-st AS (SELECT clip, n, CAST(unnest(range(n - {CHUNK} + 1)) AS INTEGER) AS s FROM len),
+st AS (SELECT clip, n, CAST(unnest(range(n - {chunk.format(c='len')} + 1)) AS INTEGER) AS s FROM len),
 er AS (
   SELECT b.clip, b.side, b.joint, b.interp, st.s AS "start",
     sqrt(pow((cos({vw.YAW} * st.s) * (b.x - 0.02 * st.s) - sin({vw.YAW} * st.s) * b.z)
@@ -37,7 +46,10 @@ er AS (
        + pow(b.y - b.gy, 2)
        + pow((sin({vw.YAW} * st.s) * (b.x - 0.02 * st.s) + cos({vw.YAW} * st.s) * b.z)
            - (sin({vw.YAW_REF} * st.s) * (b.x - 0.02 * st.s) + cos({vw.YAW_REF} * st.s) * (b.gz - 0.001 * st.s)), 2)) AS err
-  FROM both_ok b JOIN st ON st.clip = b.clip AND b.frame >= st.s AND b.frame < st.s + {CHUNK})"""
+  FROM both_ok b JOIN st ON st.clip = b.clip AND b.frame >= st.s AND b.frame < st.s + {chunk.format(c='b')})"""
+
+
+EV_SQL = _ev_sql(str(CHUNK))
 
 
 def _parts(spark, sf):
@@ -62,18 +74,19 @@ def _by(key: str) -> str:
 
 def action_report(spark, sf):
     """Everything a clip is scored on, one row per clip."""
-    rep = ev.report(prediction(spark, sf), reference(spark, sf), 30.0, chunk=CHUNK)
-    keep = {"clip", "num_frames", "num_chunks", "num_terms"}
+    rep = ev.report(prediction(spark, sf), reference(spark, sf), _rates(spark, sf))
+    keep = {"clip", "fps", "num_frames", "num_chunks", "num_terms"}
     return rep.select(*[F.col(c) if c in keep else rnd(F.col(c)).alias(c) for c in rep.columns])
 
 
-REPORT = f"""WITH {EV_SQL}, a AS (SELECT clip, avg(err) AS e, count(err) AS num_terms, avg(err) FILTER (WHERE side = 0) AS l, avg(err) FILTER (WHERE side = 1) AS rt,
+REPORT = f"""WITH {_ev_sql(RATE)}, a AS (SELECT clip, avg(err) AS e, count(err) AS num_terms, avg(err) FILTER (WHERE side = 0) AS l, avg(err) FILTER (WHERE side = 1) AS rt,
   avg(err) FILTER (WHERE joint = 0) AS wr, avg(err) FILTER (WHERE NOT interp) AS po FROM er GROUP BY clip),
 d AS (SELECT clip, avg(abs(z - gz)) AS dz, count(*) AS ok FROM both_ok GROUP BY clip),
 fr AS (SELECT clip, frame, bool_or(pv) AND bool_or(gv) AS ok FROM pr WHERE joint = 0 GROUP BY clip, frame),
 ce AS (SELECT clip, avg(CASE WHEN ok THEN 0.001 * frame END) AS ce FROM fr GROUP BY clip),
-cv AS (SELECT clip, avg(CAST(pv AND gv AS INTEGER)) AS c, avg(CAST(pv AND gv AND NOT interp AS INTEGER)) AS cp, avg(CAST(pv AND interp AS INTEGER)) AS ci FROM pr WHERE joint = 0 GROUP BY clip)
-SELECT len.clip, len.n AS num_frames, len.n - {CHUNK} + 1 AS num_chunks, {r('1000 * a.e')} AS action_mpjpe_mm, a.num_terms, {r('1000 * a.l')} AS left_mm, {r('1000 * a.rt')} AS right_mm,
+cv AS (SELECT pr.clip, sum(CAST(pv AND gv AS INTEGER)) / (2.0 * max(len.n)) AS c, sum(CAST(pv AND gv AND NOT interp AS INTEGER)) / (2.0 * max(len.n)) AS cp,
+  sum(CAST(pv AND interp AS INTEGER)) / (2.0 * max(len.n)) AS ci FROM pr JOIN len ON len.clip = pr.clip WHERE joint = 0 GROUP BY pr.clip)
+SELECT len.clip, CAST({RATE.format(c='len')} AS DOUBLE) AS fps, len.n AS num_frames, len.n - {RATE.format(c='len')} + 1 AS num_chunks, {r('1000 * a.e')} AS action_mpjpe_mm, a.num_terms, {r('1000 * a.l')} AS left_mm, {r('1000 * a.rt')} AS right_mm,
 {r('1000 * a.wr')} AS wrist_mm, {r('1000 * a.po')} AS action_mpjpe_predicted_only_mm, {r('1000 * d.dz')} AS world_z_error_mm, {r('d.ok / (42.0 * len.n)')} AS joint_coverage,
 {r('1000 * ce.ce')} AS camera_error_mm, {r('cv.c')} AS coverage, {r('cv.cp')} AS coverage_predicted_only, {r('cv.ci')} AS coverage_interpolated
 FROM len JOIN a ON a.clip = len.clip JOIN d ON d.clip = len.clip JOIN ce ON ce.clip = len.clip JOIN cv ON cv.clip = len.clip"""
@@ -95,15 +108,16 @@ def ablation(spark, sf):
     """Two variants of the prediction under the same reference."""
     pred, ref = prediction(spark, sf), reference(spark, sf)
     real = pred.withColumn("valid", F.col("valid") & ~F.col("interpolated"))
-    rows = ev.ablation({name: ev.action_error(ev.terms(p, ref, CHUNK)).join(ev.coverage_report(p, ref), "clip")
+    rows = ev.ablation({name: ev.action_error(ev.terms(p, ref, CHUNK)).join(ev.coverage_report(p, ref), "clip").join(_rates(spark, sf), "clip")
                         for name, p in (("all frames", pred), ("measured frames", real))})
-    return rows.select("pipeline", "clip", rnd(F.col("mpjpe_mm")).alias("mpjpe_mm"), rnd(F.col("coverage")).alias("coverage"))
+    return rows.select("pipeline", "clip", "fps", rnd(F.col("mpjpe_mm")).alias("mpjpe_mm"), rnd(F.col("coverage")).alias("coverage"))
 
 
-ABLATION = f"""WITH {EV_SQL}, c AS (SELECT clip, avg(CAST(pv AND gv AS INTEGER)) AS a, avg(CAST(pv AND gv AND NOT interp AS INTEGER)) AS m FROM pr WHERE joint = 0 GROUP BY clip),
+ABLATION = f"""WITH {EV_SQL}, c AS (SELECT pr.clip, sum(CAST(pv AND gv AS INTEGER)) / (2.0 * max(len.n)) AS a, sum(CAST(pv AND gv AND NOT interp AS INTEGER)) / (2.0 * max(len.n)) AS m
+  FROM pr JOIN len ON len.clip = pr.clip WHERE joint = 0 GROUP BY pr.clip),
 e AS (SELECT clip, avg(err) AS a, avg(err) FILTER (WHERE NOT interp) AS m FROM er GROUP BY clip)
-SELECT 'all frames' AS pipeline, e.clip, {r('1000 * e.a')} AS mpjpe_mm, {r('c.a')} AS coverage FROM e JOIN c ON c.clip = e.clip
-UNION ALL SELECT 'measured frames', e.clip, {r('1000 * e.m')}, {r('c.m')} FROM e JOIN c ON c.clip = e.clip"""
+SELECT 'all frames' AS pipeline, e.clip, CAST({RATE.format(c='e')} AS DOUBLE) AS fps, {r('1000 * e.a')} AS mpjpe_mm, {r('c.a')} AS coverage FROM e JOIN c ON c.clip = e.clip
+UNION ALL SELECT 'measured frames', e.clip, CAST({RATE.format(c='e')} AS DOUBLE), {r('1000 * e.m')}, {r('c.m')} FROM e JOIN c ON c.clip = e.clip"""
 
 
 def wrist_error(spark, sf):
@@ -119,12 +133,31 @@ SELECT clip, count(*) AS n, {r('avg(d)')} AS mean_mm, {r('median(d)')} AS median
 
 
 def length_mismatch(spark, sf):
-    """Reference cut short in even clips and missing in clip 9."""
-    ref = reference(spark, sf).filter("clip <> 9 and (clip % 2 = 1 or frame < 5)")
+    """Reference cut short in even clips, missing in clip 9, and without its middle frames 3 and 4 in clip 7."""
+    ref = reference(spark, sf).filter("clip <> 9 and (clip % 2 = 1 or frame < 5) and (clip <> 7 or frame not in (3, 4))")
     return ev.length_mismatch(prediction(spark, sf), ref)
 
 
-MISMATCH = f"WITH {vw.HANDS_SQL} SELECT clip, n AS num_frames, CASE WHEN clip <> 9 THEN 5 END AS ref_frames FROM len WHERE clip % 2 = 0 OR clip = 9"
+MISMATCH = f"""WITH {vw.HANDS_SQL} SELECT clip, n AS num_frames, n AS present, CASE WHEN clip = 7 THEN n WHEN clip <> 9 THEN 5 END AS ref_frames,
+CASE WHEN clip = 7 THEN n - 2 WHEN clip <> 9 THEN 5 END AS ref_present FROM len WHERE clip % 2 = 0 OR clip IN (7, 9)"""
+
+
+def action_with_holes(spark, sf):
+    """Middle frames absent on one side and the other, not strict: absent rows are unusable, frames and terms are not lost."""
+    pred = prediction(spark, sf).filter("frame <> 5")
+    ref = reference(spark, sf).filter("frame not in (8, 9)")
+    rep = ev.action_error(ev.terms(pred, ref, CHUNK, strict=False)).join(ev.coverage_report(pred, ref), "clip")
+    return rep.select("clip", "num_terms", rnd(F.col("action_mpjpe_mm")).alias("action_mpjpe_mm"), rnd(F.col("coverage")).alias("coverage"))
+
+
+HOLES = f"""WITH {EV_SQL}, k AS (SELECT b.clip, b.frame, st.s, b.x, b.y, b.z, b.gy, b.gz FROM both_ok b JOIN st ON st.clip = b.clip AND b.frame >= st.s AND b.frame < st.s + {CHUNK}
+  WHERE b.frame NOT IN (5, 8, 9) AND st.s NOT IN (5, 8, 9)),
+d AS (SELECT clip, sqrt(pow((cos({vw.YAW} * s) * (x - 0.02 * s) - sin({vw.YAW} * s) * z)
+           - (cos({vw.YAW_REF} * s) * (x - 0.02 * s) - sin({vw.YAW_REF} * s) * (gz - 0.001 * s)), 2) + pow(y - gy, 2)
+       + pow((sin({vw.YAW} * s) * (x - 0.02 * s) + cos({vw.YAW} * s) * z)
+           - (sin({vw.YAW_REF} * s) * (x - 0.02 * s) + cos({vw.YAW_REF} * s) * (gz - 0.001 * s)), 2)) AS err FROM k),
+c AS (SELECT pr.clip, sum(CASE WHEN pv AND gv AND frame NOT IN (5, 8, 9) THEN 1 ELSE 0 END) / (2.0 * max(len.n)) AS coverage FROM pr JOIN len ON len.clip = pr.clip WHERE joint = 0 GROUP BY pr.clip)
+SELECT d.clip, count(*) AS num_terms, {r('1000 * avg(err)')} AS action_mpjpe_mm, {r('max(c.coverage)')} AS coverage FROM d JOIN c ON c.clip = d.clip GROUP BY d.clip"""
 
 
 def scored_rows(spark, sf):
@@ -149,11 +182,11 @@ THROUGHPUT = f"WITH {vw.CLIPS_SQL} SELECT clip, {r('num_frames / (1.5 + clip % 7
 
 
 def trajectory_metadata(spark, sf):
-    m = fusion.metadata(prediction(spark, sf), 30.0)
+    m = fusion.metadata(prediction(spark, sf), _rates(spark, sf))
     return m.withColumn("coverage_left", rnd(F.col("coverage_left"))).withColumn("coverage_right", rnd(F.col("coverage_right")))
 
 
-METADATA = f"""WITH {vw.HANDS_SQL} SELECT clip, 30.0 AS fps, 0 AS world_frame, '21_joints_metric_xyz' AS hand_representation, 'c2w' AS camera_convention,
+METADATA = f"""WITH {vw.HANDS_SQL} SELECT clip, CAST({RATE.format(c='h')} AS DOUBLE) AS fps, 0 AS world_frame, '21_joints_metric_xyz' AS hand_representation, 'c2w' AS camera_convention,
 'meter' AS units, max(frame) + 1 AS num_frames, {r('avg(CASE WHEN side = 0 THEN CAST(valid AS INTEGER) END)')} AS coverage_left,
 {r('avg(CASE WHEN side = 1 THEN CAST(valid AS INTEGER) END)')} AS coverage_right FROM h GROUP BY clip"""
 
@@ -273,6 +306,7 @@ QUERIES = {
     "ablation": (ablation, ABLATION),
     "wrist_error": (wrist_error, WRIST),
     "length_mismatch": (length_mismatch, MISMATCH),
+    "action_with_holes": (action_with_holes, HOLES),
     "scored_rows": (scored_rows, SCORED),
     "throughput": (throughput, THROUGHPUT),
     "trajectory_metadata": (trajectory_metadata, METADATA),

@@ -169,11 +169,12 @@ def wrist_depth(spark, sf):
 
 # ---------------------------------------------------------- frames of reference
 def world_fusion(spark, sf):
-    rows = fusion.fuse(vw.hands(spark, sf), vw.poses(spark, sf))
+    rate = vw.sizes(spark, sf).select("clip", F.when(F.col("clip") % 2 == 1, 25.0).otherwise(30.0).alias("fps"))
+    rows = fusion.fuse(vw.hands(spark, sf), vw.poses(spark, sf), fps=rate)
     return vw.long_joints(rows, "joints_world", extra=("valid", rnd(F.col("ts")).alias("ts")))
 
 
-FUSION = f"WITH {vw.WORLD_SQL} SELECT clip, frame, side, valid, {r('frame / 30.0')} AS ts, joint, {r('x')} AS x, {r('y')} AS y, {r('z')} AS z FROM w WHERE valid"
+FUSION = f"WITH {vw.WORLD_SQL} SELECT clip, frame, side, valid, {r('frame / CASE WHEN clip % 2 = 1 THEN 25.0 ELSE 30.0 END')} AS ts, joint, {r('x')} AS x, {r('y')} AS y, {r('z')} AS z FROM w WHERE valid"
 
 
 def camera_frame(spark, sf):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vec as v
 from ..session import cut_lineage
+from . import fusion
 from .blocks import BLOCK, exact_quantiles, over_halo
 
 KEY = ["clip", "frame", "side"]
@@ -32,30 +33,35 @@ def load(traj: DataFrame, meta: DataFrame | None = None, fps: float | None = Non
 
 
 def paired(pred: DataFrame, ref: DataFrame) -> DataFrame:
-    """Prediction and reference side by side on (clip, frame, side)."""
+    """Prediction and reference side by side on (clip, frame, side); a row absent on one side is not valid there."""
     def tagged(df: DataFrame, tag: str, inter: bool) -> DataFrame:
         return df.select(*KEY, *[F.col(c).alias(f"{tag}_{c}") for c in ("joints_world", "valid", "rot", "trans")],
                          *([F.coalesce("interpolated", F.lit(False)).alias("interpolated")] if inter else []))
 
     inter = "interpolated" in pred.columns
-    rows = tagged(pred, "p", inter).join(tagged(ref, "g", False), KEY)
-    return rows if inter else rows.withColumn("interpolated", F.lit(False))
+    rows = tagged(pred, "p", inter).join(tagged(ref, "g", False), KEY, "full")
+    known = F.coalesce("interpolated", F.lit(False)) if inter else F.lit(False)
+    return rows.withColumns({"p_valid": F.coalesce("p_valid", F.lit(False)), "g_valid": F.coalesce("g_valid", F.lit(False)),
+                             "interpolated": known})
 
 
 def clip_lengths(pred: DataFrame, ref: DataFrame) -> DataFrame:
-    """Frames per clip on both sides; a clip present on one side only is kept."""
-    size = lambda df, name: df.groupBy("clip").agg((F.max("frame") + 1).alias(name))
-    return size(pred, "num_frames").join(size(ref, "ref_frames"), "clip", "full")
+    """Frames per clip on both sides, and how many of them have rows; a clip present on one side only is kept."""
+    def size(df: DataFrame, name: str, present: str) -> DataFrame:
+        return df.groupBy("clip").agg((F.max("frame") + 1).alias(name), F.count_distinct("frame").alias(present))
 
+    return size(pred, "num_frames", "present").join(size(ref, "ref_frames", "ref_present"), "clip", "full")
 
-def length_mismatch(pred: DataFrame, ref: DataFrame) -> DataFrame:
-    return clip_lengths(pred, ref).filter(~F.col("num_frames").eqNullSafe(F.col("ref_frames")))
+
+def _differ() -> Column:
+    same = F.col("num_frames").eqNullSafe(F.col("ref_frames"))
+    whole = (F.col("present") == F.col("num_frames")) & (F.col("ref_present") == F.col("ref_frames"))
+    return ~(same & F.coalesce(whole, F.lit(False)))
 
 
-def chunk_frames(fps: float, seconds: float = 1.0) -> int:
-    if fps <= 0:
-        raise ValueError("fps must be positive")
-    return max(1, int(round(fps * seconds)))
+def length_mismatch(pred: DataFrame, ref: DataFrame) -> DataFrame:
+    """Clips whose sides have different lengths, or frames without rows."""
+    return clip_lengths(pred, ref).filter(_differ())
 
 
 def _usable(p: Column, g: Column) -> Column:
@@ -69,10 +75,12 @@ def terms(pred: DataFrame, ref: DataFrame, chunk: int, step: int = 1, strict: bo
     ``joint`` is NULL in start rows and ``start`` is NULL in joint rows. ``sum_real``
     and ``n_real`` leave out interpolated frames. Sums combine map-side.
     """
-    return _terms(paired(pred, ref), clip_lengths(pred, ref), chunk, step, strict, block)
+    sizes = clip_lengths(pred, ref).withColumn("chunk", F.lit(chunk))
+    return _terms(paired(pred, ref), sizes, chunk, step, strict, block)
 
 
-def _terms(rows: DataFrame, sizes: DataFrame, chunk: int, step: int, strict: bool, block: int) -> DataFrame:
+def _terms(rows: DataFrame, sizes: DataFrame, longest: int, step: int, strict: bool, block: int) -> DataFrame:
+    """``sizes`` has the chunk of every clip; ``longest`` is the largest of them."""
     a = v.mul_t(F.col("p_rot"), F.col("g_rot"))
     rows = rows.withColumn("_A", a).withColumn("_c", v.sub(F.col("p_trans"), v.mul_vec(F.col("_A"), F.col("g_trans"))))
     both = F.col("p_valid") & F.col("g_valid")
@@ -81,14 +89,15 @@ def _terms(rows: DataFrame, sizes: DataFrame, chunk: int, step: int, strict: boo
         F.when(both, F.arrays_zip(F.col("p_joints_world").alias("p"), F.col("g_joints_world").alias("g"))).alias("_j"))
 
     def body(r, asc, _):
-        # A frame starts a chunk when the clip still has the chunk's last frame. Looking it
-        # up next door spares a join of the whole table with the clip lengths. Both sides
-        # of a frame carry the same gauge, so a set holds each start once.
-        ahead = F.count(F.lit(1)).over(asc.rangeBetween(chunk - 1, chunk - 1))
-        r = r.withColumn("_gauge", F.when((ahead > 0) & (F.col("frame") % step == 0), F.col("_gauge")))
-        return r.withColumn("_starts", F.collect_set("_gauge").over(asc.rangeBetween(-(chunk - 1), 0)))
-
-    rows = over_halo(rows, ["clip"], chunk - 1, chunk - 1, body, block=block).drop("_gauge")
+        # A frame starts a chunk when the clip is long enough for the chunk's last frame.
+        # Both sides of a frame carry the same gauge, so a set holds each start once.
+        open_ = (F.col("frame") % step == 0) & (F.col("frame") + F.col("chunk") <= F.col("num_frames")) & F.col("_gauge")["_A"].isNotNull()
+        r = r.withColumn("_gauge", F.when(open_, F.col("_gauge")))
+        near = F.collect_set("_gauge").over(asc.rangeBetween(-(longest - 1), 0))
+        return r.withColumn("_starts", F.filter(near, lambda g: g["start"] > F.col("frame") - F.col("chunk")))
+
+    rows = rows.join(sizes.select("clip", "chunk", "num_frames"), "clip")
+    rows = over_halo(rows, ["clip"], longest - 1, 0, body, block=block).drop("_gauge")
     each = rows.filter(F.col("_j").isNotNull()).withColumn("_s", F.explode("_starts")).select(
         "clip", "side", "interpolated", F.col("_s")["start"].alias("start"), F.col("_s")["_A"].alias("A"),
         F.col("_s")["_c"].alias("c"), F.posexplode("_j").alias("joint", "pg"))
@@ -108,9 +117,8 @@ def _terms(rows: DataFrame, sizes: DataFrame, chunk: int, step: int, strict: boo
         return sums
     # The length check meets the sums, which are small, rather than the frames.
     stop = lambda text: F.raise_error(F.concat(F.lit(text), F.col("clip").cast("string"))).cast("int")
-    checked = sizes.withColumn("_t", F.when(
-        ~F.col("num_frames").eqNullSafe(F.col("ref_frames")), stop("frame counts differ in clip ")).when(
-        F.col("num_frames") < chunk, stop("chunk is longer than clip ")).otherwise(F.col("num_frames")))
+    checked = sizes.withColumn("_t", F.when(_differ(), stop("frames differ or are absent in clip ")).when(
+        F.col("num_frames") < F.col("chunk"), stop("chunk is longer than clip ")).otherwise(F.col("num_frames")))
     return checked.filter("_t > 0").select("clip").join(sums, "clip", "left")
 
 
@@ -185,13 +193,15 @@ def coverage_report(pred: DataFrame, ref: DataFrame) -> DataFrame:
 
     The interpolated share looks at the prediction alone, the others at both sides.
     """
-    return _coverage_report(paired(pred, ref))
+    return _coverage_report(paired(pred, ref), clip_lengths(pred, ref))
 
 
-def _coverage_report(rows: DataFrame) -> DataFrame:
+def _coverage_report(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Both hands of every frame of the clip count, whether a row exists or not."""
     both = F.col("p_valid") & F.col("g_valid")
-    share = lambda c: F.avg(c.cast("double"))
-    return rows.groupBy("clip").agg(
+    share = lambda c: F.sum(c.cast("double")) / (2 * F.first("_all"))
+    total = sizes.select("clip", F.greatest("num_frames", "ref_frames").alias("_all"))
+    return rows.join(total, "clip").groupBy("clip").agg(
         share(both).alias("coverage"),
         share(both & ~F.col("interpolated")).alias("coverage_predicted_only"),
         share(F.col("p_valid") & F.col("interpolated")).alias("coverage_interpolated"))
@@ -217,16 +227,21 @@ def measured_fps(num_frames: Column, seconds: Column) -> Column:
         F.raise_error(F.lit("elapsed seconds must be positive")).cast("double"))
 
 
-def report(pred: DataFrame, ref: DataFrame, fps: float, chunk_seconds: float = 1.0, step: int = 1,
+def report(pred: DataFrame, ref: DataFrame, fps: float | DataFrame, chunk_seconds: float = 1.0, step: int = 1,
            strict: bool = True, block: int = BLOCK, chunk: int | None = None) -> DataFrame:
-    """One evaluation row per clip."""
-    c = chunk if chunk is not None else chunk_frames(fps, chunk_seconds)
+    """One evaluation row per clip. ``fps`` is one rate for all clips or a table (clip, fps).
+
+    A chunk is ``chunk_seconds`` long at the clip's own rate, unless its frames are given.
+    """
+    lengths = fusion.with_fps(clip_lengths(pred, ref), fps)
+    frames = F.greatest(F.lit(1), F.bround(F.col("fps") * F.lit(chunk_seconds)).cast("int")) if chunk is None else F.lit(chunk)
     # Both sides are joined once; every measure then reads the columns it needs.
-    rows, lengths = cut_lineage(paired(pred, ref)), cut_lineage(clip_lengths(pred, ref))
-    parts = _terms(rows, lengths, c, step, strict, block)
+    rows, lengths = cut_lineage(paired(pred, ref)), cut_lineage(lengths.withColumn("chunk", frames))
+    longest = lengths.agg(F.max("chunk")).first()[0] or 1
+    parts = _terms(rows, lengths, longest, step, strict, block)
     out = lengths.select(
-        "clip", "num_frames", (F.floor((F.col("num_frames") - c) / F.lit(step)) + 1).cast("int").alias("num_chunks"))
-    for piece in (action_error(parts), _depth_and_joint_coverage(rows, lengths), _camera_error(rows), _coverage_report(rows)):
+        "clip", "fps", "num_frames", (F.floor((F.col("num_frames") - F.col("chunk")) / F.lit(step)) + 1).cast("int").alias("num_chunks"))
+    for piece in (action_error(parts), _depth_and_joint_coverage(rows, lengths), _camera_error(rows), _coverage_report(rows, lengths)):
         out = out.join(piece, "clip", "left")
     if strict:
         none = F.raise_error(F.concat(F.lit("no comparable term in clip "), F.col("clip").cast("string"))).cast("double")
@@ -235,10 +250,11 @@ def report(pred: DataFrame, ref: DataFrame, fps: float, chunk_seconds: float = 1
 
 
 def ablation(variants: dict[str, DataFrame]) -> DataFrame:
-    """Rows (pipeline, clip, mpjpe_mm, coverage) of several evaluation reports."""
+    """Rows (pipeline, clip, mpjpe_mm, coverage, fps) of several evaluation reports."""
     rows = None
     for name, rep in variants.items():
-        part = rep.select(F.lit(name).alias("pipeline"), "clip", F.col("action_mpjpe_mm").alias("mpjpe_mm"), "coverage")
+        part = rep.select(F.lit(name).alias("pipeline"), "clip", F.col("action_mpjpe_mm").alias("mpjpe_mm"), "coverage",
+                          F.col("fps") if "fps" in rep.columns else F.lit(None).cast("double").alias("fps"))
         rows = part if rows is None else rows.unionByName(part)
     return rows
 

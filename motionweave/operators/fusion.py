@@ -13,16 +13,27 @@ def need(value, kind: str, message: str):
     return F.coalesce(value, F.raise_error(F.concat(F.lit(message + " at frame "), F.col("frame").cast("string"))).cast(kind))
 
 
-def fuse(hands: DataFrame, cameras: DataFrame, tracks: DataFrame | None = None, fps: float = 30.0) -> DataFrame:
+def with_fps(rows: DataFrame, fps: float | DataFrame) -> DataFrame:
+    """Rows with the frame rate of their clip: one number, or a table (clip, fps) that knows every clip."""
+    if not isinstance(fps, DataFrame):
+        if fps <= 0:
+            raise ValueError("fps must be positive")
+        return rows.withColumn("fps", F.lit(float(fps)))
+    lost = F.raise_error(F.concat(F.lit("no positive fps for clip "), F.col("clip").cast("string"))).cast("double")
+    return rows.join(fps.select("clip", F.col("fps").cast("double").alias("fps")), "clip", "left").withColumn(
+        "fps", F.when(F.col("fps") > 0, F.col("fps")).otherwise(lost))
+
+
+def fuse(hands: DataFrame, cameras: DataFrame, tracks: DataFrame | None = None, fps: float | DataFrame = 30.0) -> DataFrame:
     """World joints p = R p_c + t for valid hand-frames, plus every contract field.
 
+    ``fps`` is one rate for all clips or a table (clip, fps).
+
     All joins are on (clip, frame[, side]), keys that no single row group dominates.
     A hand frame without a camera or without intrinsics is an error.
     """
-    if fps <= 0:
-        raise ValueError("fps must be positive")
     cam = cameras.select("clip", "frame", "rot", "trans", "k")
-    rows = hands.join(cam, ["clip", "frame"], "left").withColumns({
+    rows = with_fps(hands.drop("fps"), fps).join(cam, ["clip", "frame"], "left").withColumns({
         "rot": need(F.col("rot"), "array<double>", "no camera"),
         "k": need(F.col("k"), "array<double>", "no intrinsics"),
     })
@@ -34,7 +45,7 @@ def fuse(hands: DataFrame, cameras: DataFrame, tracks: DataFrame | None = None,
     have = set(hands.columns)
     ident = v.identity()
     return rows.select(
-        "clip", "frame", "side", (F.col("frame") / F.lit(float(fps))).alias("ts"),
+        "clip", "frame", "side", (F.col("frame") / F.col("fps")).alias("ts"),
         F.when(F.col("valid"), pose.joints_to_world(F.col("rot"), F.col("trans"), F.col("joints"))).alias("joints_world"),
         F.col("joints").alias("joints_camera"), "valid", "conf", F.lit(False).alias("interpolated"),
         "rot", "trans", "k", "box", F.coalesce("track_id", F.lit(-1)).cast("bigint").alias("track_id"),
@@ -51,14 +62,15 @@ def refuse_world(traj: DataFrame) -> DataFrame:
         F.col("valid"), pose.joints_to_world(F.col("rot"), F.col("trans"), F.col("joints_camera"))))
 
 
-def metadata(traj: DataFrame, fps: float) -> DataFrame:
-    """One metadata row per clip."""
-    return traj.groupBy("clip").agg(
+def metadata(traj: DataFrame, fps: float | DataFrame) -> DataFrame:
+    """One metadata row per clip. ``fps`` is one rate for all clips or a table (clip, fps)."""
+    rows = traj.groupBy("clip").agg(
         (F.max("frame") + 1).alias("num_frames"),
         F.avg(F.when(F.col("side") == 0, F.col("valid").cast("double"))).alias("coverage_left"),
         F.avg(F.when(F.col("side") == 1, F.col("valid").cast("double"))).alias("coverage_right"),
-    ).select(
-        "clip", F.lit(float(fps)).alias("fps"), F.lit(0).alias("world_frame"),
+    )
+    return with_fps(rows, fps).select(
+        "clip", "fps", F.lit(0).alias("world_frame"),
         F.lit(HAND_REPRESENTATION).alias("hand_representation"), F.lit(CAMERA_CONVENTION).alias("camera_convention"),
         F.lit(UNITS).alias("units"), "num_frames", "coverage_left", "coverage_right")
 
