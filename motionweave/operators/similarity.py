@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import pose, vec as v
 from ..session import cut_lineage
@@ -18,6 +21,7 @@ from .blocks import exact_quantiles
 
 PAIR = ("clip", "win")
 MIN_VARIANCE = 1e-12
+PIECE = 65_536  # points scored together
 FIT = "struct<scale:double,rot:array<double>,trans:struct<x:double,y:double,z:double>>"
 
 
@@ -139,6 +143,47 @@ def hypotheses(points: DataFrame, count: int = 128, with_scale: bool = True, see
     return rows.select(*keys, "hyp", pose.sim3(g["scale"], g["rot"], trans).alias("fit"))
 
 
+def _inlier_sums(keys: list[str], weighted: bool, schema):
+    """Inlier weight of every hypothesis over a piece of a pair's points, all at once."""
+    def run(points: pa.Table, heads: pa.Table) -> pa.Table:
+        if points.num_rows == 0 or heads.num_rows == 0:
+            return schema.empty_table()
+        head = heads.slice(0, 1).to_pylist()[0]
+        hyps = head["hyps"]
+        turn = np.array([np.array(h["fit"]["rot"]).reshape(3, 3) * h["fit"]["scale"] for h in hyps])
+        move = np.array([[h["fit"]["trans"][a] for a in "xyz"] for h in hyps])
+        xyz = lambda c: np.column_stack([pc.struct_field(points[c], a).to_numpy() for a in "xyz"])
+        src, dst = xyz("src"), xyz("dst")
+        gain = points["weight"].to_numpy() if weighted else np.ones(len(src))
+        total = np.zeros(len(hyps))
+        for i in range(0, len(src), 4096):
+            part = slice(i, i + 4096)
+            off = np.einsum("hij,nj->nhi", turn, src[part]) + move - dst[part, None]
+            near = np.sqrt(np.einsum("nhi,nhi->nh", off, off)) <= head["threshold"]
+            total += gain[part] @ near
+        cols = [pa.array([head["_" + k]] * len(hyps), schema.field(k).type) for k in keys]
+        return pa.table([*cols, pa.array([h["hyp"] for h in hyps], pa.int32()), pa.array(total)], schema=schema)
+    return run
+
+
+def scores(points: DataFrame, heads: DataFrame, keys: list[str], weighted: bool) -> DataFrame:
+    """(keys, hyp, score): inlier weight of each hypothesis of ``heads`` (keys, n, threshold, hyps).
+
+    Points are dealt to pieces of about ``PIECE`` rows, so a pair of any size is scored by
+    as many tasks as it has pieces, and a piece returns one sum per hypothesis.
+    """
+    pieces = F.ceil(F.col("n") / F.lit(PIECE)).cast("int")
+    left = points.select(*keys, "src", "dst", "weight", F.pmod(F.xxhash64("src", "dst"), pieces).cast("int").alias("piece"))
+    right = heads.filter("hyps is not null").select(
+        *[F.col(k).alias("_" + k) for k in keys], "threshold", "hyps", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_piece"))
+    names = [*keys, "hyp", "score"]
+    kinds = [*[points.schema[k].dataType for k in keys], T.IntegerType(), T.DoubleType()]
+    out = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
+    each = left.groupBy(*keys, "piece").cogroup(right.groupBy(*["_" + k for k in keys], "_piece")).applyInArrow(
+        _inlier_sums(keys, weighted, to_arrow_schema(out)), out)
+    return each.groupBy(*keys, "hyp").agg(F.sum("score").alias("score"))
+
+
 def robust_fit(points: DataFrame, with_scale: bool = True, inlier_threshold: float | None = None,
                iterations: int = 128, min_inliers: int = 12, refits: int = 2, weighted: bool = False,
                seed: int = 0, keys=PAIR, order=("frame", "row", "col")) -> DataFrame:
@@ -165,14 +210,9 @@ def robust_fit(points: DataFrame, with_scale: bool = True, inlier_threshold: flo
         F.collect_list(F.struct("hyp", "fit")).alias("hyps"))
     heads = cut_lineage(heads.join(hyps, keys, "left"))
 
-    # One pass scores all hypotheses: points meet the hypothesis list of their pair and
-    # the inlier sums combine map-side to one row per (pair, hypothesis).
-    tried = pts.drop("n").join(heads.filter("hyps is not null").select(*keys, "threshold", "hyps"), keys)
-    tried = tried.withColumn("h", F.explode("hyps")).select(
-        *keys, F.col("h")["hyp"].alias("hyp"), "threshold", "weight", residual(F.col("h")["fit"]).alias("r"))
-    gain = F.col("weight") if weighted else F.lit(1.0)
-    scores = tried.groupBy(*keys, "hyp").agg(F.sum(F.when(F.col("r") <= F.col("threshold"), gain).otherwise(0.0)).alias("score"))
-    best = scores.groupBy(*keys).agg(F.max_by("hyp", F.struct("score", -F.col("hyp"))).alias("best"))
+    # One pass scores all hypotheses; one row per (piece, hypothesis) leaves it.
+    tried = scores(pts, heads, keys, weighted)
+    best = tried.groupBy(*keys).agg(F.max_by("hyp", F.struct("score", -F.col("hyp"))).alias("best"))
     chosen = F.filter("hyps", lambda x: x["hyp"] == F.col("best"))[0]["fit"]
     current = cut_lineage(heads.join(best, keys).select(*keys, "n", "threshold", chosen.alias("fit")))
 
