@@ -9,6 +9,7 @@ from ..functions import pose, vec as v
 from ..operators import handmodel, infer, schedule as sc
 from ..plans import ledger as lg, quality
 from ..schemas import STAGES
+from ..session import cut_lineage
 from ..sources import clips_json, files, ground_truth, lerobot, npz
 from . import camera, views as vw
 from . import hands as hq
@@ -318,7 +319,8 @@ def _with_pos(rows):
 
 def pending_units(spark, sf):
     """Work whose identity changed or whose output is gone is still to do."""
-    done = lg.decode_markers(_markers(spark, sf))
+    # The texts are parsed once; work, ledger and outputs are read off the written rows.
+    done = cut_lineage(lg.decode_markers(_markers(spark, sf)).select("clip", "stage", "unit", "params_hash", "outputs", "finished_at"))
     work = done.select("clip", "stage", "unit", F.when(F.col("finished_at") % 6 == 0, F.lit("new")).otherwise(F.col("params_hash")).alias("params_hash"))
     outs = done.filter("finished_at % 4 <> 1").select("clip", F.col("outputs")[0].alias("name"))
     return lg.pending(work, done, outs)

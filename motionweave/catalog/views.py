@@ -6,7 +6,7 @@ of the same name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import box as bx, vec as v
@@ -134,10 +134,10 @@ FRAMES_PER_CLIP = 500
 
 
 def boxes(spark: SparkSession, sf: str) -> DataFrame:
-    """Detections: an order is a frame, its lines are the boxes seen in it."""
+    """Detections: an order is a frame, its few lines are the boxes seen in it."""
     li = table(spark, sf, "lineitem")
     rest = [c for c in li.columns if c != "l_orderkey"]
-    rows = ranked(li, ["l_orderkey"], rest, F.col("l_partkey"), "slot")
+    rows = li.withColumn("slot", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*rest)) - 1)
     x, y = F.col("l_quantity"), 100.0 * F.col("l_discount")
     return rows.select(
         F.floor(F.col("l_orderkey") / FRAMES_PER_CLIP).cast("bigint").alias("clip"),
@@ -146,7 +146,6 @@ def boxes(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_suppkey") % 2).cast("int").alias("side"))
 
 
-# The rank order of the remaining columns starts with l_partkey, as its bucket does.
 BOXES_SQL = f"""
 b AS (
   SELECT CAST(floor(l_orderkey / {FRAMES_PER_CLIP}) AS BIGINT) AS clip, CAST(l_orderkey % {FRAMES_PER_CLIP} AS INTEGER) AS frame,

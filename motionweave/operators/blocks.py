@@ -149,34 +149,34 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         *[F.percentile_approx("_v", max(0.0, probs[p] - margin), accuracy).alias(f"_lo_{p}") for p in names],
         *[F.percentile_approx("_v", min(1.0, probs[p] + margin), accuracy).alias(f"_hi_{p}") for p in names],
     )
-    out = None
-    for p in names:
-        lo, hi, val = F.col(f"_lo_{p}"), F.col(f"_hi_{p}"), F.col("_v")
-        tagged = _match(rows, sketch.select(*keys, "_n", f"_lo_{p}", f"_hi_{p}"), keys)
-        zone = F.when(val < lo, F.lit(0)).when(val > hi, F.lit(2)).otherwise(F.lit(1))
-        # Outside the bracket only the count and the nearest value matter.
-        cells = tagged.groupBy(*keys, "_n", zone.alias("_z"), F.when(zone == 1, val).alias("_key")).agg(
-            F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_mx"), F.min("_v").alias("_mn"))
-        run = Window.partitionBy(*keys).orderBy("_z", F.col("_key"))
-        pos = F.lit(float(probs[p])) * (F.col("_n") - 1)
-        spans = cells.withColumn("_to", F.sum("_c").over(run.rowsBetween(BEFORE, 0))).withColumn(
-            "_from", F.col("_to") - F.col("_c"))
-        pick = F.when(F.col("_z") == 2, F.col("_mn")).when(F.col("_z") == 0, F.col("_mx")).otherwise(F.col("_key"))
-
-        def holds(rank):
-            return (F.col("_from") <= rank) & (rank < F.col("_to"))
-
-        low = F.max(F.when(holds(F.floor(pos)), pick))
-        high = F.max(F.when(holds(F.ceil(pos)), pick))
-        frac = F.max(pos - F.floor(pos))
-        res = spans.groupBy(*keys).agg((low + (high - low) * frac).alias(p), F.max("_n").alias("_n"))
-        res = res.withColumnRenamed("_n", "n") if out is None else res.drop("_n")
-        out = res if out is None else _match(out, res, keys)
-    return out
-
-
-def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return left.join(right, list(keys))
+    # All probabilities in one pass: each value is placed in the zone of every bracket.
+    tagged = rows.join(sketch, list(keys))
+    val = F.col("_v")
+
+    def placed(i: int, p: str) -> Column:
+        zone = F.when(val < F.col(f"_lo_{p}"), F.lit(0)).when(val > F.col(f"_hi_{p}"), F.lit(2)).otherwise(F.lit(1))
+        return F.struct(F.lit(i).alias("p"), zone.alias("z"), F.when(zone == 1, val).alias("key"))
+
+    cells = tagged.select(*keys, "_n", "_v", F.explode(F.array(*[placed(i, p) for i, p in enumerate(names)])).alias("_at"))
+    # Outside the bracket only the count and the nearest value matter.
+    cells = cells.groupBy(*keys, "_n", F.col("_at.p").alias("_p"), F.col("_at.z").alias("_z"), F.col("_at.key").alias("_key")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_mx"), F.min("_v").alias("_mn"))
+    run = Window.partitionBy(*keys, "_p").orderBy("_z", F.col("_key"))
+    pos = F.element_at(F.array(*[F.lit(float(probs[p])) for p in names]), F.col("_p") + 1) * (F.col("_n") - 1)
+    spans = cells.withColumn("_to", F.sum("_c").over(run.rowsBetween(BEFORE, 0))).withColumn(
+        "_from", F.col("_to") - F.col("_c")).withColumn("_pos", pos)
+    pick = F.when(F.col("_z") == 2, F.col("_mn")).when(F.col("_z") == 0, F.col("_mx")).otherwise(F.col("_key"))
+
+    def value(i: int) -> Column:
+        def at(rank: Column) -> Column:
+            holds = (F.col("_p") == i) & (F.col("_from") <= rank) & (rank < F.col("_to"))
+            return F.max(F.when(holds, pick))
+
+        low, high = at(F.floor("_pos")), at(F.ceil("_pos"))
+        frac = F.max(F.when(F.col("_p") == i, F.col("_pos") - F.floor("_pos")))
+        return low + (high - low) * frac
+
+    return spans.groupBy(*keys).agg(*[value(i).alias(p) for i, p in enumerate(names)], F.max("_n").alias("n"))
 
 
 def running_compose(df: DataFrame, keys: Sequence[str], order: str, schema: str,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vec as v
+from ..schemas import NUM_JOINTS
 from ..session import cut_lineage
 from . import fusion
 from .blocks import BLOCK, exact_quantiles, over_halo
@@ -98,21 +99,28 @@ def _terms(rows: DataFrame, sizes: DataFrame, longest: int, step: int, strict: b
 
     rows = rows.join(sizes.select("clip", "chunk", "num_frames"), "clip")
     rows = over_halo(rows, ["clip"], longest - 1, 0, body, block=block).drop("_gauge")
-    each = rows.filter(F.col("_j").isNotNull()).withColumn("_s", F.explode("_starts")).select(
-        "clip", "side", "interpolated", F.col("_s")["start"].alias("start"), F.col("_s")["_A"].alias("A"),
-        F.col("_s")["_c"].alias("c"), F.posexplode("_j").alias("joint", "pg"))
-    p, g = F.col("pg")["p"], F.col("pg")["g"]
-    moved = v.add(v.mul_vec(F.col("A"), g), F.col("c"))
     # A missing or non-finite point makes the distance NULL, NaN or infinite. Sums and
     # counts skip NULL, so no filter has to evaluate the distance a second time.
-    d = v.distance(p, moved)
-    each = each.select("clip", "side", "joint", "start", "interpolated", F.when(d < F.lit(float("inf")), d).alias("err"))
-    real = F.when(~F.col("interpolated"), F.col("err"))
-    sums = each.groupingSets(
-        [[F.col("clip"), F.col("side"), F.col("joint")], [F.col("clip"), F.col("start")]],
-        F.col("clip"), F.col("side"), F.col("joint"), F.col("start"),
-    ).agg(F.sum("err").alias("sum"), F.count("err").alias("n"), F.sum(real).alias("sum_real"),
-          F.count(real).alias("n_real"))
+    s, finite = F.col("_s"), F.lit(float("inf"))
+    far = lambda pg: v.distance(pg["p"], v.add(v.mul_vec(s["_A"], pg["g"]), s["_c"]))
+    each = rows.filter(F.col("_j").isNotNull()).withColumn("_s", F.explode("_starts")).select(
+        "clip", "side", "interpolated", s["start"].alias("start"), F.transform("_j", far).alias("_d"))
+    # The joints stay columns while a start gathers its frames, which is where the rows are.
+    err = [F.get("_d", F.lit(i)) for i in range(NUM_JOINTS)]
+    err = [F.when(d < finite, d) for d in err]
+    gathered = each.groupBy("clip", "side", "start", "interpolated").agg(
+        *[F.sum(d).alias(f"s{i}") for i, d in enumerate(err)], *[F.count(d).alias(f"n{i}") for i, d in enumerate(err)])
+    pairs = F.array(*[F.struct(F.lit(i).alias("joint"), F.col(f"s{i}").alias("s"), F.col(f"n{i}").alias("n")) for i in range(NUM_JOINTS)])
+    flat = gathered.select("clip", "side", "start", "interpolated", F.explode(pairs).alias("x")).select(
+        "clip", "side", "start", "interpolated", "x.*")
+    real = ~F.col("interpolated")
+    totals = (F.sum("s").alias("sum"), F.sum("n").alias("n"), F.sum(F.when(real, F.col("s"))).alias("sum_real"),
+              F.coalesce(F.sum(F.when(real, F.col("n"))), F.lit(0)).alias("n_real"))
+    none = lambda kind: F.lit(None).cast(kind)
+    names = ("clip", "side", "joint", "start", "sum", "n", "sum_real", "n_real")
+    joints = flat.groupBy("clip", "side", "joint").agg(*totals).withColumn("start", none("int")).select(*names)
+    starts = flat.groupBy("clip", "start").agg(*totals).withColumns({"side": none("int"), "joint": none("int")}).select(*names)
+    sums = joints.unionByName(starts)
     if not strict:
         return sums
     # The length check meets the sums, which are small, rather than the frames.
