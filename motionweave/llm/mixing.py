@@ -57,7 +57,7 @@ def targets(rows: DataFrame) -> DataFrame:
 def thresholds(rows: DataFrame, goal: DataFrame) -> DataFrame:
     """(key, source_size, target, copies, below): rows with a hash under `below` get one copy more than `copies`."""
     fits = F.col("target") >= F.col("source_size")
-    state = goal.select(
+    state = cut_lineage(goal).select(
         "*", F.when(fits, 1).otherwise(0).cast("long").alias("copies"),
         F.when(fits, F.col("target") - F.col("source_size")).otherwise(F.col("target")).alias("left"),
         F.lit(0).cast("long").alias("prefix"), F.lit(True).alias("open"))
@@ -71,14 +71,15 @@ def thresholds(rows: DataFrame, goal: DataFrame) -> DataFrame:
             "cum", F.sum("words").over(W.partitionBy("key").orderBy("bucket")))
         edge = run.where(F.col("cum") > F.col("left")).groupBy("key").agg(
             F.min(F.struct("bucket", (F.col("left") - (F.col("cum") - F.col("words"))).alias("rest"), "words")).alias("edge"))
-        state = state.join(edge, "key", "left").select(
+        # One row per source: written, so that each round reads it instead of planning all rounds before.
+        state = cut_lineage(state.join(edge, "key", "left").select(
             "key", "source_size", "target", "copies",
             F.when(F.col("edge").isNotNull(), F.col("edge")["rest"]).otherwise(F.col("left")).alias("left"),
             F.when(F.col("edge").isNotNull(), F.col("edge")["bucket"])
             .when(F.col("open"), F.shiftleft(F.col("prefix") + 1, BITS))
             .otherwise(F.shiftleft("prefix", BITS)).alias("prefix"),
             (F.col("open") & F.col("edge").isNotNull()).alias("open"),
-            F.when(F.col("edge").isNotNull(), F.col("edge")["words"]).otherwise(0).alias("words"))
+            F.when(F.col("edge").isNotNull(), F.col("edge")["words"]).otherwise(0).alias("words")))
     # the last bucket is taken whole if that comes nearer to the budget
     near = F.col("open") & (2 * F.col("left") >= F.col("words"))
     return state.select(
