@@ -156,13 +156,43 @@ SELECT w.clip, w.frame, w.side, CASE WHEN m.med IS NULL THEN 1.0 WHEN w.conf IS
 FROM w LEFT JOIN m ON m.clip = w.clip"""
 
 
+# Second differences within each run (first differences at its ends), their normal equations, and elimination of the
+# two bands above the diagonal down and up the run.
+DEPTH = f"""WITH RECURSIVE {vw.HANDS_SQL},
+c0 AS (SELECT clip, frame, side, valid, CASE WHEN frame % 40 <> 7 THEN conf END AS conf, x / z AS rx, y / z AS ry, z FROM j WHERE joint = 0),
+m AS (SELECT clip, median(conf) AS med FROM c0 WHERE valid AND conf > 0 GROUP BY clip),
+v AS (SELECT c0.*, CASE WHEN m.med IS NULL THEN 1.0 WHEN conf IS NOT NULL THEN pow(greatest(0.5, least(1.5, conf / m.med)), 8) END AS w,
+  c0.frame - row_number() OVER (PARTITION BY c0.clip, c0.side ORDER BY c0.frame) AS island FROM c0 LEFT JOIN m ON m.clip = c0.clip WHERE valid),
+q AS (SELECT *, clip || '/' || side || '/' || island AS run, row_number() OVER (PARTITION BY clip, side, island ORDER BY frame) - 1 AS i,
+  count(*) OVER (PARTITION BY clip, side, island) AS n, count(w) OVER (PARTITION BY clip, side, island) AS known FROM v),
+s AS (SELECT * FROM q WHERE n > 1 AND known = n),
+dd AS (SELECT run, i AS k, i + o AS col, CASE WHEN i = 0 THEN CASE o WHEN 0 THEN -1.0 WHEN 1 THEN 1.0 END
+    WHEN i = n - 1 THEN CASE o WHEN -1 THEN -1.0 WHEN 0 THEN 1.0 END ELSE CASE o WHEN 0 THEN -2.0 ELSE 1.0 END END AS v FROM s, (VALUES (-1), (0), (1)) t(o)),
+g AS (SELECT a.run, a.col AS i, b.col - a.col AS o, CAST(sum(a.v * b.v) AS DOUBLE) AS g FROM dd a JOIN dd b ON b.run = a.run AND b.k = a.k AND b.col >= a.col
+  WHERE a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY ALL),
+e AS (SELECT s.run, s.i, s.n, s.w * s.z AS r, s.w + {refine.DEPTH_LAMBDA} * g0.g * (s.rx * s.rx + s.ry * s.ry + 1) AS a,
+    coalesce({refine.DEPTH_LAMBDA} * g1.g * (s.rx * s1.rx + s.ry * s1.ry + 1), 0) AS b, coalesce({refine.DEPTH_LAMBDA} * g2.g * (s.rx * s2.rx + s.ry * s2.ry + 1), 0) AS c
+  FROM s JOIN g g0 ON g0.run = s.run AND g0.i = s.i AND g0.o = 0
+  LEFT JOIN s s1 ON s1.run = s.run AND s1.i = s.i + 1 LEFT JOIN g g1 ON g1.run = s.run AND g1.i = s.i AND g1.o = 1
+  LEFT JOIN s s2 ON s2.run = s.run AND s2.i = s.i + 2 LEFT JOIN g g2 ON g2.run = s.run AND g2.i = s.i AND g2.o = 2),
+down AS (SELECT run, i, n, a AS d, b AS u1, c AS u2, b / a AS l1, c / a AS l2, r AS y, CAST(0 AS DOUBLE) AS pl2, CAST(0 AS DOUBLE) AS pu2, CAST(0 AS DOUBLE) AS py FROM e WHERE i = 0
+  UNION ALL SELECT run, i, n, d, u1, u2, u1 / d, u2 / d, y, pl2, pu2, py FROM (
+    SELECT e.run, e.i, e.n, e.a - p.l1 * p.u1 - p.pl2 * p.pu2 AS d, e.b - p.l1 * p.u2 AS u1, e.c AS u2, e.r - p.l1 * p.y - p.pl2 * p.py AS y,
+      p.l2 AS pl2, p.u2 AS pu2, p.y AS py FROM down p JOIN e ON e.run = p.run AND e.i = p.i + 1)),
+up AS (SELECT run, i, y / d AS x, CAST(0 AS DOUBLE) AS x1 FROM down WHERE i = n - 1
+  UNION ALL SELECT d.run, d.i, d.y / d.d - d.l1 * p.x - d.l2 * p.x1, p.x FROM up p JOIN down d ON d.run = p.run AND d.i = p.i - 1)
+SELECT c0.clip, c0.frame, c0.side, CASE WHEN up.x IS NOT NULL THEN {r('c0.z')} END AS depth_before, {r('up.x')} AS depth_after
+FROM c0 LEFT JOIN s ON s.clip = c0.clip AND s.side = c0.side AND s.frame = c0.frame LEFT JOIN up ON up.run = s.run AND up.i = s.i"""
+
+
 def with_intrinsics(rows):
     return rows.withColumn("k", v.mat(*vw.K))
 
 
 def wrist_depth(spark, sf):
-    """No SQL: a banded linear system per run. Tests compare it with a dense solve."""
-    rows = refine.smooth_wrist_depth(with_intrinsics(vw.hands(spark, sf)))
+    """A banded linear system per run. Some confidences are missing: their runs keep their depth."""
+    rows = vw.hands(spark, sf).withColumn("conf", F.when(F.col("frame") % 40 != 7, F.col("conf")))
+    rows = refine.smooth_wrist_depth(with_intrinsics(rows))
     return rows.select("clip", "frame", "side", rnd(F.col("depth_before")).alias("depth_before"),
                        rnd(F.col("depth_after")).alias("depth_after"))
 
@@ -338,7 +368,7 @@ QUERIES = {
     "bone_scale": (bone_scale, BONE_SCALE),
     "bone_deviation": (bone_deviation, BONE_DEV),
     "confidence_weights": (confidence_weights, WEIGHTS),
-    "wrist_depth": (wrist_depth, None),
+    "wrist_depth": (wrist_depth, DEPTH),
     "world_fusion": (world_fusion, FUSION),
     "camera_frame": (camera_frame, CAMERA_FRAME),
     "masked_camera_rows": (masked_camera_rows, MASKED),

@@ -186,6 +186,9 @@ def _depth_system(hands: DataFrame, lam: float, per_side: bool, block: int) -> D
     slim = cut_lineage(hands.select("clip", "side", "frame", "conf", "valid", ok.alias("_ok"),
                                     F.when(ok, _wrist_ray()).alias("_ray"), F.when(ok, depth).alias("_d0")))
     rows = runs(confidence_weights(slim, per_side), F.col("_ok"), HAND, block).filter(F.col("run_end") > F.col("run_start"))
+    # A run with a frame that has no weight is left as it is.
+    lost = rows.filter("weight is null").select(*HAND, "run_start").distinct()
+    rows = rows.join(lost, [*HAND, "run_start"], "left_anti")
 
     f, s, e = F.col("frame"), F.col("run_start"), F.col("run_end")
 
