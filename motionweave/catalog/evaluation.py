@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import box as bx, hand, vec as v
 from ..operators import evaluate as ev, fusion, scene, schedule as sc
 from ..plans import pipeline, quality
-from . import camera, views as vw
+from . import camera, hands, views as vw
 from .views import r, rnd
 
 CHUNK = 10
@@ -259,7 +259,7 @@ SELECT s.clip, s.i * 5 AS frame, t.i IS NOT NULL AS still FROM s LEFT JOIN t ON
 
 
 def refined_trajectory(spark, sf):
-    """All refinement steps in order. No SQL: it contains the wrist-depth solve."""
+    """All refinement steps in order: gaps, camera filter, bone lengths, wrist depth, world."""
     traj = prediction(spark, sf)
     rows = pipeline.refine_trajectory(traj, vw.poses(spark, sf), 2)
     return vw.long_joints(rows.filter("valid"), "joints_world", extra=("interpolated",))
@@ -277,6 +277,24 @@ FILTERED = f"""WITH {vw.HANDS_SQL}, q AS (SELECT j.*, frame + CASE WHEN frame =
 SELECT clip, frame, side, joint, {r(f'cos({vw.YAW} * frame) * x + sin({vw.YAW} * frame) * z + 0.02 * m')} AS x, {r('y + 0.01 * m')} AS y,
 {r(f'-sin({vw.YAW} * frame) * x + cos({vw.YAW} * frame) * z')} AS z FROM q"""
 
+
+# Bones are corrected on the filled joints, and the solve sees the corrected wrists.
+_BONES_OF_FILLED = hands.BS_SQL.removeprefix(vw.HANDS_SQL).replace("JOIN j ", "JOIN fj ").replace("FROM j ", "FROM fj ")
+REFINED = f"""WITH RECURSIVE {hands.FILL_SQL},
+fj AS (SELECT f.clip, f.frame, f.side, f.interpolated, f.conf, true AS valid, p.joint,
+  {', '.join(f"CASE WHEN f.interpolated THEN (1 - f.wt) * p.{a} + f.wt * n.{a} ELSE p.{a} END AS {a}" for a in 'xyz')}
+  FROM filled f JOIN j p ON p.clip = f.clip AND p.side = f.side AND p.frame = f.pf
+  JOIN j n ON n.clip = f.clip AND n.side = f.side AND n.frame = f.nf AND n.joint = p.joint WHERE f.valid){_BONES_OF_FILLED},
+c0 AS (SELECT clip, frame, side, valid, conf, interpolated, x / z AS rx, y / z AS ry, z FROM fj WHERE joint = 0),{hands.SOLVE_SQL},
+w AS (SELECT c0.*, coalesce(up.x - c0.z, 0) AS step FROM c0 LEFT JOIN s ON s.clip = c0.clip AND s.side = c0.side AND s.frame = c0.frame
+  LEFT JOIN up ON up.run = s.run AND up.i = s.i),
+out AS (SELECT fx.clip, fx.frame, fx.side, fx.joint, w.interpolated, fx.x + w.step * w.rx AS x, fx.y + w.step * w.ry AS y, fx.z + w.step AS z,
+  fx.frame + CASE WHEN fx.frame = 0 THEN 0.25 WHEN fx.frame = n - 1 THEN -0.25 ELSE 0 END - 0.25 AS m
+  FROM fixed fx JOIN w ON w.clip = fx.clip AND w.side = fx.side AND w.frame = fx.frame JOIN len ON len.clip = fx.clip)
+SELECT clip, frame, side, joint, interpolated, {r(f'cos({vw.YAW} * frame) * x + sin({vw.YAW} * frame) * z + 0.02 * m')} AS x, {r('y + 0.01 * m')} AS y,
+{r(f'-sin({vw.YAW} * frame) * x + cos({vw.YAW} * frame) * z')} AS z FROM out"""
+
+
 def full_pipeline(spark, sf):
     """Detections, hand windows, camera windows and depth all the way to world joints.
 
@@ -315,6 +333,6 @@ QUERIES = {
     "wrist_pixels": (wrist_pixels, PIXELS),
     "skeleton_edges": (skeleton_edges, _edges_sql()),
     "stills": (stills, STILLS),
-    "refined_trajectory": (refined_trajectory, None),
+    "refined_trajectory": (refined_trajectory, REFINED),
     "filtered_world": (filtered_world, FILTERED),
 }

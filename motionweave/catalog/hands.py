@@ -158,8 +158,7 @@ FROM w LEFT JOIN m ON m.clip = w.clip"""
 
 # Second differences within each run (first differences at its ends), their normal equations, and elimination of the
 # two bands above the diagonal down and up the run.
-DEPTH = f"""WITH RECURSIVE {vw.HANDS_SQL},
-c0 AS (SELECT clip, frame, side, valid, CASE WHEN frame % 40 <> 7 THEN conf END AS conf, x / z AS rx, y / z AS ry, z FROM j WHERE joint = 0),
+SOLVE_SQL = f"""
 m AS (SELECT clip, median(conf) AS med FROM c0 WHERE valid AND conf > 0 GROUP BY clip),
 v AS (SELECT c0.*, CASE WHEN m.med IS NULL THEN 1.0 WHEN conf IS NOT NULL THEN pow(greatest(0.5, least(1.5, conf / m.med)), 8) END AS w,
   c0.frame - row_number() OVER (PARTITION BY c0.clip, c0.side ORDER BY c0.frame) AS island FROM c0 LEFT JOIN m ON m.clip = c0.clip WHERE valid),
@@ -180,7 +179,9 @@ down AS (SELECT run, i, n, a AS d, b AS u1, c AS u2, b / a AS l1, c / a AS l2, r
     SELECT e.run, e.i, e.n, e.a - p.l1 * p.u1 - p.pl2 * p.pu2 AS d, e.b - p.l1 * p.u2 AS u1, e.c AS u2, e.r - p.l1 * p.y - p.pl2 * p.py AS y,
       p.l2 AS pl2, p.u2 AS pu2, p.y AS py FROM down p JOIN e ON e.run = p.run AND e.i = p.i + 1)),
 up AS (SELECT run, i, y / d AS x, CAST(0 AS DOUBLE) AS x1 FROM down WHERE i = n - 1
-  UNION ALL SELECT d.run, d.i, d.y / d.d - d.l1 * p.x - d.l2 * p.x1, p.x FROM up p JOIN down d ON d.run = p.run AND d.i = p.i - 1)
+  UNION ALL SELECT d.run, d.i, d.y / d.d - d.l1 * p.x - d.l2 * p.x1, p.x FROM up p JOIN down d ON d.run = p.run AND d.i = p.i - 1)"""
+DEPTH = f"""WITH RECURSIVE {vw.HANDS_SQL},
+c0 AS (SELECT clip, frame, side, valid, CASE WHEN frame % 40 <> 7 THEN conf END AS conf, x / z AS rx, y / z AS ry, z FROM j WHERE joint = 0),{SOLVE_SQL}
 SELECT c0.clip, c0.frame, c0.side, CASE WHEN up.x IS NOT NULL THEN {r('c0.z')} END AS depth_before, {r('up.x')} AS depth_after
 FROM c0 LEFT JOIN s ON s.clip = c0.clip AND s.side = c0.side AND s.frame = c0.frame LEFT JOIN up ON up.run = s.run AND up.i = s.i"""
 
