@@ -125,7 +125,9 @@ def _terms(rows: DataFrame, sizes: DataFrame, longest: int, step: int, strict: b
         return sums
     # The length check meets the sums, which are small, rather than the frames.
     stop = lambda text: F.raise_error(F.concat(F.lit(text), F.col("clip").cast("string"))).cast("int")
-    checked = sizes.withColumn("_t", F.when(_differ(), stop("frames differ or are absent in clip ")).when(
+    checked = sizes.withColumn("_t", F.when(
+        ~F.col("num_frames").eqNullSafe(F.col("ref_frames")), stop("frame counts differ in clip ")).when(
+        _differ(), stop("frames are absent in clip ")).when(
         F.col("num_frames") < F.col("chunk"), stop("chunk is longer than clip ")).otherwise(F.col("num_frames")))
     return checked.filter("_t > 0").select("clip").join(sums, "clip", "left")
 
