@@ -9,10 +9,6 @@ from ..schemas import BONES, MIDDLE_TIP
 from . import vec as v
 
 
-def bone_vectors(joints: Column) -> Column:
-    return F.array(*[v.sub(joints[c], joints[p]) for p, c in BONES])
-
-
 def bone_lengths(joints: Column) -> Column:
     """20 lengths, in child-joint order."""
     return F.array(*[v.distance(joints[c], joints[p]) for p, c in BONES])

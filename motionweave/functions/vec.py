@@ -138,9 +138,5 @@ def clamp(value: Column, low, high) -> Column:
     return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(F.lit(low), F.least(F.lit(high), value)))
 
 
-def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
-
-
 def vec_nan_to_null(v: Column) -> Column:
     return F.when(finite(v), v)

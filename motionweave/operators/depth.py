@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import camera, pose, vec as v
+from ..functions import camera, pose
 
 
 def usable_depth(depth: Column, conf: Column | None, min_depth: float, max_depth: float | None,

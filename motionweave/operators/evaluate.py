@@ -166,14 +166,6 @@ def action_error(parts: DataFrame) -> DataFrame:
         part(every, "sum_real", "n_real").alias("action_mpjpe_predicted_only_mm"))
 
 
-def depth_and_joint_coverage(pred: DataFrame, ref: DataFrame) -> DataFrame:
-    """Mean |dz| in world axes over usable joints, and the usable share of all joints.
-
-    A clip's joint terms are 2 x 21 per frame, whether a row exists or not.
-    """
-    return _depth_and_joint_coverage(paired(pred, ref), clip_lengths(pred, ref))
-
-
 def _depth_and_joint_coverage(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     j = F.explode(F.arrays_zip(F.col("p_joints_world").alias("p"), F.col("g_joints_world").alias("g"))).alias("j")
     ok = F.col("p_valid") & F.col("g_valid")
@@ -186,11 +178,6 @@ def _depth_and_joint_coverage(rows: DataFrame, sizes: DataFrame) -> DataFrame:
         "clip", "world_z_error_mm", (F.coalesce("_n", F.lit(0)) / F.col("_all")).alias("joint_coverage"))
 
 
-def camera_error(pred: DataFrame, ref: DataFrame) -> DataFrame:
-    """Mean camera-centre distance over frames where both sides have any valid hand."""
-    return _camera_error(paired(pred, ref))
-
-
 def _camera_error(rows: DataFrame) -> DataFrame:
     per_frame = rows.groupBy("clip", "frame").agg(
         (F.bool_or("p_valid") & F.bool_or("g_valid")).alias("ok"),

@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

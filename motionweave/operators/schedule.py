@@ -111,13 +111,6 @@ def select_windows(win: DataFrame, index: int = 0, count: int = 1, start: int |
     return out if start is None else out.filter((F.col("win") >= start) & (F.col("win") < end))
 
 
-def selection_label(index: int = 0, count: int = 1, start: int | None = None, end: int | None = None) -> str:
-    parts = [] if count == 1 else [f"shard {index + 1}/{count}"]
-    if start is not None:
-        parts.append(f"windows {start}-{end - 1}")
-    return ", ".join(parts) or "whole"
-
-
 def partition_check(schedule: DataFrame, selected: DataFrame) -> DataFrame:
     """Windows that the shards dropped or took twice; no rows means an exact partition."""
     owned = selected.groupBy("clip", "win").agg(F.count(F.lit(1)).alias("owners"))

@@ -29,11 +29,6 @@ def content_hash(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def canonical(params: dict[str, Column]) -> Column:
-    """JSON text with sorted keys and no spaces."""
-    return F.to_json(F.struct(*[params[k].alias(k) for k in sorted(params)]), {"ignoreNullFields": "false"})
-
-
 def params_hash(stage: Column, params: dict[str, Column], inputs: Column, shard: Column, shards: Column,
                 extra: dict[str, Column] | None = None) -> Column:
     """Identity of one unit of work, whatever the order of its inputs. The shard is part of it: another cut is another unit."""

@@ -14,18 +14,9 @@ BOX = T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2",
 MAT3 = T.ArrayType(T.DoubleType())
 JOINTS = T.ArrayType(DOUBLE3)
 
-# The 21-joint hand tree. Parent of each joint, the wrist is the root.
-JOINT_NAMES = (
-    "wrist",
-    "thumb_mcp", "thumb_pip", "thumb_dip", "thumb_tip",
-    "index_mcp", "index_pip", "index_dip", "index_tip",
-    "middle_mcp", "middle_pip", "middle_dip", "middle_tip",
-    "ring_mcp", "ring_pip", "ring_dip", "ring_tip",
-    "pinky_mcp", "pinky_pip", "pinky_dip", "pinky_tip",
-)
 NUM_JOINTS = 21
 MIDDLE_TIP = 12
-# Five chains of four joints, each hanging off the wrist.
+# Five chains of four joints, each hanging off the wrist.
 PARENT = tuple(-1 if j == 0 else (0 if j % 4 == 1 else j - 1) for j in range(NUM_JOINTS))
 BONES = tuple((PARENT[j], j) for j in range(1, NUM_JOINTS))
 
@@ -43,18 +34,6 @@ STAGE_WINDOWS = {"hand": (16, 8), "camera": (200, 40)}
 def _struct(*fields) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields])
 
-
-DETECTIONS = _struct(
-    ("clip", T.LongType()), ("frame", T.IntegerType()), ("slot", T.IntegerType()),
-    ("box", BOX), ("conf", T.DoubleType()), ("side", T.IntegerType()),
-)
-
-TRACKS = _struct(
-    ("clip", T.LongType()), ("frame", T.IntegerType()), ("side", T.IntegerType()),
-    ("box", BOX), ("conf", T.DoubleType()), ("valid", T.BooleanType()),
-    ("track_id", T.LongType()), ("recovered", T.BooleanType()),
-)
-
 TRAJECTORY = _struct(
     ("clip", T.LongType()), ("frame", T.IntegerType()), ("side", T.IntegerType()),
     ("ts", T.DoubleType()),
