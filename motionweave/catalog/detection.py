@@ -177,10 +177,65 @@ SELECT clip, frame, side, slot, conf, recovered FROM z WHERE anchor OR recovered
 
 
 def slot_selection(spark, sf):
-    """No SQL: state runs through the clip. Tests compare it with a plain frame loop."""
+    """One detection per side and frame, with the boxes held so far as state."""
     return tr.select_slots(vw.boxes(spark, sf)).select("clip", "frame", "side", "slot", "conf")
 
 
+_DET = "STRUCT(frame INTEGER, slot INTEGER, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE, conf DOUBLE, side INTEGER, area DOUBLE)"
+
+
+def _iou(d: str, h: str) -> str:
+    w, t = f"(least({d}.x2, {h}.x2) - greatest({d}.x1, {h}.x1))", f"(least({d}.y2, {h}.y2) - greatest({d}.y1, {h}.y1))"
+    return f"CASE WHEN {w} <= 0 OR {t} <= 0 THEN 0.0 ELSE {w} * {t} / ({d}.area + {h}.area - {w} * {t}) END"
+
+
+def _top(rows: str, *order: str) -> str:
+    """Slot of the row that comes first by the given descending values, then by slot."""
+    keys = ", ".join(f"'k{i}': -({o})" for i, o in enumerate(order))
+    return f"list_sort(list_transform({rows}, lambda d: {{{keys}, 's': d.slot}}))[1].s"
+
+
+def _adopted(s: int, other: str) -> str:
+    near = f"list_filter(dets, lambda d: d.slot IS DISTINCT FROM {other} AND {_iou('d', f'h{s}')} >= {tr.IOU_FLOOR})"
+    return f"CASE WHEN a{s} IS NULL AND h{s} IS NOT NULL THEN {_top(near, 'd.conf', 'd.area')} ELSE a{s} END"
+
+
+def _better(s: int) -> str:
+    follow = _iou("d", f"h{s}")
+    return _top(f"list_filter(dets, lambda d: {follow} > f{s})", follow, "d.conf")
+
+
+def _det(slot: str) -> str:
+    return f"list_filter(dets, lambda d: d.slot = {slot})[1]"
+
+
+# One row per frame of a clip in order; each step takes the held boxes of the step before.
+SELECT_SQL = f"""WITH RECURSIVE {vw.BOXES_SQL},
+fr AS (SELECT clip, frame, row_number() OVER (PARTITION BY clip ORDER BY frame) AS step, list(CAST({{'frame': frame, 'slot': slot, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2,
+    'conf': conf, 'side': side, 'area': greatest(0, x2 - x1) * greatest(0, y2 - y1)}} AS {_DET}) ORDER BY slot) AS dets FROM b GROUP BY clip, frame),
+rec AS (
+  SELECT DISTINCT clip, CAST(0 AS BIGINT) AS step, CAST(NULL AS INTEGER) AS frame, CAST(NULL AS {_DET}) AS k0, CAST(NULL AS {_DET}) AS k1,
+    CAST(NULL AS {_DET}) AS p0, CAST(NULL AS {_DET}) AS p1 FROM fr
+  UNION ALL
+  SELECT clip, step, frame, coalesce(p0, k0), coalesce(p1, k1), p0, p1 FROM (
+    SELECT clip, step, frame, k0, k1, {_det('c0')} AS p0, {_det('c1')} AS p1 FROM (
+      SELECT *, CASE WHEN w0 AND w1 THEN b1 WHEN w0 AND t0 IS NOT NULL THEN t0 WHEN w1 AND t1 = b0 THEN b1 ELSE b0 END AS c0,
+        CASE WHEN w0 AND w1 THEN b0 WHEN w1 AND t1 IS NOT NULL THEN t1 WHEN w0 AND t0 = b1 THEN b0 ELSE b1 END AS c1 FROM (
+        SELECT *, CASE WHEN w0 AND NOT w1 THEN {_better(0)} END AS t0, CASE WHEN w1 AND NOT w0 THEN {_better(1)} END AS t1 FROM (
+          SELECT *, f0 >= 0 AND f0 < {tr.IOU_FLOOR} AS w0, f1 >= 0 AND f1 < {tr.IOU_FLOOR} AS w1 FROM (
+            SELECT *, CASE WHEN h0 IS NULL OR b0 IS NULL THEN -1.0 ELSE {_iou('d0', 'h0')} END AS f0,
+              CASE WHEN h1 IS NULL OR b1 IS NULL THEN -1.0 ELSE {_iou('d1', 'h1')} END AS f1 FROM (
+              SELECT *, {_det('b0')} AS d0, {_det('b1')} AS d1 FROM (
+                SELECT *, {_adopted(1, 'b0')} AS b1 FROM (
+                  SELECT *, {_adopted(0, 'a1')} AS b0 FROM (
+                    SELECT fr.clip, fr.step, fr.frame, fr.dets, rec.k0, rec.k1, CASE WHEN fr.frame - rec.k0.frame <= 4 THEN rec.k0 END AS h0,
+                      CASE WHEN fr.frame - rec.k1.frame <= 4 THEN rec.k1 END AS h1,
+                      {_top('list_filter(fr.dets, lambda d: d.side = 0)', 'd.conf', 'd.area')} AS a0, {_top('list_filter(fr.dets, lambda d: d.side = 1)', 'd.conf', 'd.area')} AS a1
+                    FROM rec JOIN fr ON fr.clip = rec.clip AND fr.step = rec.step + 1))))))))))"""
+SELECTED = f"""{SELECT_SQL}
+SELECT clip, frame, 0 AS side, p0.slot AS slot, p0.conf AS conf FROM rec WHERE p0 IS NOT NULL UNION ALL SELECT clip, frame, 1, p1.slot, p1.conf FROM rec WHERE p1 IS NOT NULL"""
+
+
 def hand_tracks(spark, sf):
     """No SQL, for the same reason."""
     rows = tr.track(vw.boxes(spark, sf), clips_of(spark, sf))
@@ -211,7 +266,7 @@ QUERIES = {
     "unpack_detections": (unpack_detections, UNPACK),
     "detector_output": (detector_output, OUTPUT),
     "anchor_recovery": (anchor_recovery, RECOVER),
-    "slot_selection": (slot_selection, None),
+    "slot_selection": (slot_selection, SELECTED),
     "hand_tracks": (hand_tracks, None),
     "request_rows": (request_rows, REQUEST),
 }
