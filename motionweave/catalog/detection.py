@@ -166,13 +166,14 @@ def _lerp(c: str) -> str:
     return f"(1 - wt) * p{c} + wt * n{c}"
 
 
-RECOVER = f"""WITH {BEST_SQL}, a AS (SELECT *, conf >= 0.75 AS anchor,
+RECOVER_SQL = f"""a AS (SELECT *, conf >= 0.75 AS anchor,
   last_value(CASE WHEN conf >= 0.75 THEN frame END IGNORE NULLS) OVER (PARTITION BY clip, side ORDER BY frame ROWS UNBOUNDED PRECEDING) AS pf,
   first_value(CASE WHEN conf >= 0.75 THEN frame END IGNORE NULLS) OVER (PARTITION BY clip, side ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nf FROM best),
 g AS (SELECT a.*, (a.frame - pf) / CAST(nullif(nf - pf, 0) AS DOUBLE) AS wt, {', '.join(f'p.{c} AS p{c}, n.{c} AS n{c}' for c in bx.CORNERS)}
   FROM a LEFT JOIN best p ON p.clip = a.clip AND p.side = a.side AND p.frame = a.pf LEFT JOIN best n ON n.clip = a.clip AND n.side = a.side AND n.frame = a.nf),
 q AS (SELECT *, {', '.join(f'{_lerp(c)} AS e{c}' for c in bx.CORNERS)} FROM g),
-z AS (SELECT *, NOT anchor AND coalesce(nf - pf - 1 BETWEEN 1 AND 4 AND {_iou('', 'e')} >= 0.2, false) AS recovered FROM q)
+z AS (SELECT *, NOT anchor AND coalesce(nf - pf - 1 BETWEEN 1 AND 4 AND {_iou('', 'e')} >= 0.2, false) AS recovered FROM q)"""
+RECOVER = f"""WITH {BEST_SQL}, {RECOVER_SQL}
 SELECT clip, frame, side, slot, conf, recovered FROM z WHERE anchor OR recovered"""
 
 
@@ -184,7 +185,7 @@ def slot_selection(spark, sf):
 _DET = "STRUCT(frame INTEGER, slot INTEGER, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE, conf DOUBLE, side INTEGER, area DOUBLE)"
 
 
-def _iou(d: str, h: str) -> str:
+def _held_iou(d: str, h: str) -> str:
     w, t = f"(least({d}.x2, {h}.x2) - greatest({d}.x1, {h}.x1))", f"(least({d}.y2, {h}.y2) - greatest({d}.y1, {h}.y1))"
     return f"CASE WHEN {w} <= 0 OR {t} <= 0 THEN 0.0 ELSE {w} * {t} / ({d}.area + {h}.area - {w} * {t}) END"
 
@@ -196,12 +197,12 @@ def _top(rows: str, *order: str) -> str:
 
 
 def _adopted(s: int, other: str) -> str:
-    near = f"list_filter(dets, lambda d: d.slot IS DISTINCT FROM {other} AND {_iou('d', f'h{s}')} >= {tr.IOU_FLOOR})"
+    near = f"list_filter(dets, lambda d: d.slot IS DISTINCT FROM {other} AND {_held_iou('d', f'h{s}')} >= {tr.IOU_FLOOR})"
     return f"CASE WHEN a{s} IS NULL AND h{s} IS NOT NULL THEN {_top(near, 'd.conf', 'd.area')} ELSE a{s} END"
 
 
 def _better(s: int) -> str:
-    follow = _iou("d", f"h{s}")
+    follow = _held_iou("d", f"h{s}")
     return _top(f"list_filter(dets, lambda d: {follow} > f{s})", follow, "d.conf")
 
 
@@ -223,8 +224,8 @@ rec AS (
         CASE WHEN w0 AND w1 THEN b0 WHEN w1 AND t1 IS NOT NULL THEN t1 WHEN w0 AND t0 = b1 THEN b0 ELSE b1 END AS c1 FROM (
         SELECT *, CASE WHEN w0 AND NOT w1 THEN {_better(0)} END AS t0, CASE WHEN w1 AND NOT w0 THEN {_better(1)} END AS t1 FROM (
           SELECT *, f0 >= 0 AND f0 < {tr.IOU_FLOOR} AS w0, f1 >= 0 AND f1 < {tr.IOU_FLOOR} AS w1 FROM (
-            SELECT *, CASE WHEN h0 IS NULL OR b0 IS NULL THEN -1.0 ELSE {_iou('d0', 'h0')} END AS f0,
-              CASE WHEN h1 IS NULL OR b1 IS NULL THEN -1.0 ELSE {_iou('d1', 'h1')} END AS f1 FROM (
+            SELECT *, CASE WHEN h0 IS NULL OR b0 IS NULL THEN -1.0 ELSE {_held_iou('d0', 'h0')} END AS f0,
+              CASE WHEN h1 IS NULL OR b1 IS NULL THEN -1.0 ELSE {_held_iou('d1', 'h1')} END AS f1 FROM (
               SELECT *, {_det('b0')} AS d0, {_det('b1')} AS d1 FROM (
                 SELECT *, {_adopted(1, 'b0')} AS b1 FROM (
                   SELECT *, {_adopted(0, 'a1')} AS b0 FROM (
@@ -237,11 +238,20 @@ SELECT clip, frame, 0 AS side, p0.slot AS slot, p0.conf AS conf FROM rec WHERE p
 
 
 def hand_tracks(spark, sf):
-    """No SQL, for the same reason."""
+    """Selection, anchors and recovery, one row per frame and side."""
     rows = tr.track(vw.boxes(spark, sf), clips_of(spark, sf))
     return rows.select("clip", "frame", "side", "valid", "recovered", "track_id", rnd(F.col("conf")).alias("conf"))
 
 
+TRACKS = f"""{SELECT_SQL},
+best AS (SELECT clip, frame, 0 AS side, {', '.join(f'p0.{c} AS {c}' for c in ('slot', 'conf', *bx.CORNERS))} FROM rec WHERE p0 IS NOT NULL
+  UNION ALL SELECT clip, frame, 1, {', '.join(f'p1.{c}' for c in ('slot', 'conf', *bx.CORNERS))} FROM rec WHERE p1 IS NOT NULL), {RECOVER_SQL},
+o AS (SELECT CAST(floor(o_orderkey / {vw.FRAMES_PER_CLIP}) AS BIGINT) AS clip, max(o_orderkey % {vw.FRAMES_PER_CLIP}) + 1 AS n FROM orders GROUP BY ALL),
+every AS (SELECT clip, frame, side FROM (SELECT clip, CAST(unnest(range(n)) AS INTEGER) AS frame FROM o), (VALUES (0), (1)) t(side))
+SELECT every.clip, every.frame, every.side, z.slot IS NOT NULL AS valid, coalesce(z.recovered, false) AS recovered, CASE WHEN z.slot IS NOT NULL THEN 0 ELSE -1 END AS track_id,
+{r('coalesce(z.conf, 0)')} AS conf FROM every LEFT JOIN (SELECT * FROM z WHERE anchor OR recovered) z ON z.clip = every.clip AND z.frame = every.frame AND z.side = every.side"""
+
+
 def request_rows(spark, sf):
     """Rows asked of a reconstruction model: valid label-pick tracks, both sides stacked."""
     kept = tr.recover(det.best_per_side(vw.boxes(spark, sf)))
@@ -267,6 +277,6 @@ QUERIES = {
     "detector_output": (detector_output, OUTPUT),
     "anchor_recovery": (anchor_recovery, RECOVER),
     "slot_selection": (slot_selection, SELECTED),
-    "hand_tracks": (hand_tracks, None),
+    "hand_tracks": (hand_tracks, TRACKS),
     "request_rows": (request_rows, REQUEST),
 }
