@@ -82,9 +82,10 @@ def thresholds(rows: DataFrame, goal: DataFrame) -> DataFrame:
             F.when(F.col("edge").isNotNull(), F.col("edge")["words"]).otherwise(0).alias("words")))
     # the last bucket is taken whole if that comes nearer to the budget
     near = F.col("open") & (2 * F.col("left") >= F.col("words"))
-    return state.select(
+    # Written, so that Spark knows its size when it plans the join, and moves the rows only if there are too many sources.
+    return cut_lineage(state.select(
         "key", "source_size", "target", "copies",
-        F.shiftleft(F.col("prefix") + F.when(near, 1).otherwise(0), shift).alias("below"))
+        F.shiftleft(F.col("prefix") + F.when(near, 1).otherwise(0), shift).alias("below")))
 
 
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:

@@ -124,7 +124,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     measured = measure(docs, text)
     m = measured.columns[-1]
     written = cut_lineage(measured if carry is None else measured.select(*carry, m))
-    limit = fences(sketch(written, m, lang, source))
+    # Written, so that Spark knows its size when it plans the join, and moves the texts only if there are too many groups.
+    limit = cut_lineage(fences(sketch(written, m, lang, source)))
     kl, ks, failed, kept = fresh(written, "kl_", "ks_", "base_failed", "kept")
     keyed = written.withColumn(kl, nullable_key(lang)).withColumn(ks, nullable_key(source))
     joined = keyed.join(limit, (F.col(kl) == F.col("lang_key")) & (F.col(ks) == F.col("source_key")), "left")
