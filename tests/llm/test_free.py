@@ -85,6 +85,19 @@ def test_one_of_each(spark):
     assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(want)
 
 
+def test_near_duplicates_with_other_repeat_counts(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        w = [f"r{i}x{k}" for k in range(204)]
+        other = list(w)
+        for k in rng.sample(range(60, 200), 2):
+            other[k] = f"z{rng.randrange(10**6)}"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(other + other[:44] * 50))]
+    got = [tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(plain_classes(rows)) and len({c for _, c in got}) == 60
+
+
 def test_registers_estimate_the_probability_jaccard():
     a = np.array([1, 2, 3, 4, 5, 6], np.uint64) * np.uint64(0x9E3779B97F4A7C15 % 2**64)
     b = np.r_[a[:4], np.array([91, 92], np.uint64)]
