@@ -4,8 +4,9 @@ A page is taken apart into text nodes, each under the path of tags from the root
 statistics: characters per node, share of characters that lie in links, punctuation per node. Text and punctuation
 ratios are smoothed over neighbouring nodes in page order, fused by their product, and paths that reach a share of the
 page's best path are content. What HTML itself names as no part of an article (menus, footers, forms, scripts, adverts
-and the like) is never content, and when one section (an article or main element, or the deepest block that holds most
-of the content) holds the content, all of that section's blocks belong to it, short ones too.
+and the like) is never content. Every block on a content path stays. Sections add short blocks to them: the articles (or
+main elements) that hold content, where these hold at least half of it together, else the lowest element around all
+content and the deepest one around most of it.
 
 Pages are independent rows; nothing is shuffled.
 """
@@ -210,9 +211,9 @@ def main_text(page: str) -> tuple[str, list[str]]:
     content = [top > 0 and level[b.path] >= SHARE * top for b in blocks]
     if not any(content):
         content = [True] * len(blocks)
-    section = _section(blocks, texts, content)
-    if section is not None:
-        content = [_under(b.node, section) for b in blocks]
+    sections, around = _sections(blocks, texts, content)
+    content = [c or any(_under(b.node, s) for s in sections) or around is not None and 2 * b.linked < len(text) and _under(b.node, around)
+               for b, text, c in zip(blocks, texts, content, strict=True)]
     kept = [(t, b.path) for t, b, c in zip(texts, blocks, content, strict=True) if c]
     return "\n\n".join(t for t, _ in kept), sorted({p for _, p in kept})
 
@@ -225,11 +226,12 @@ def _under(node: Node | None, section: Node) -> bool:
     return False
 
 
-def _section(blocks: list[Block], texts: list[str], content: list[bool]) -> Node | None:
-    """The element that holds the content: an article or main with most of it, else the deepest block with most of it."""
+def _sections(blocks: list[Block], texts: list[str], content: list[bool]) -> tuple[list[Node], Node | None]:
+    """(elements whose blocks all belong to the content, element whose blocks do unless they are mostly links)."""
     weight: dict[int, int] = defaultdict(int)
     nodes: dict[int, Node] = {}
     depth: dict[int, int] = {}
+    inside = {"article": 0, "main": 0}
     total = 0
     for b, text, c in zip(blocks, texts, content, strict=True):
         if not c:
@@ -239,17 +241,18 @@ def _section(blocks: list[Block], texts: list[str], content: list[bool]) -> Node
         while node is not None:
             chain.append(node)
             node = node.parent
+        for tag in inside:
+            inside[tag] += len(text) if any(n.tag == tag for n in chain) else 0
         for d, node in enumerate(reversed(chain)):
             weight[node.number] += len(text)
             nodes[node.number], depth[node.number] = node, d
-    for tag in ("article", "main"):
-        named = [n for n in nodes.values() if n.tag == tag]
-        if named:
-            best = max(named, key=lambda n: (weight[n.number], -n.number))
-            if weight[best.number] >= HOLDS * total:
-                return best
+    for tag in inside:
+        if inside[tag] and inside[tag] >= HOLDS * total:
+            return [n for n in nodes.values() if n.tag == tag], None
     held = [n for n in nodes.values() if weight[n.number] >= 0.8 * total and n.tag not in ("#root", "html", "body", "p")]
-    return max(held, key=lambda n: depth[n.number]) if held else None
+    deepest = lambda some: max(some, key=lambda n: depth[n.number], default=None)
+    most = deepest(held)
+    return [most] if most is not None else [], deepest([n for n in held if weight[n.number] == total])
 
 
 def _extractor(carry: int):

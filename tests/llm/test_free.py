@@ -284,6 +284,21 @@ def test_main_text(spark, page, text):
     assert row["text"] == text
 
 
+def sentences(n, word):
+    return " ".join(f"This is {word}, sentence {k}, and it goes on." for k in range(n))
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div><h4>Name</h4><p>{0}</p><section><p>{1}</p><p>{1}</p><p>{1}</p></section><p>{2}</p></div></body>",
+    "<body><article><h4>Name</h4><p>{0}</p></article><article><p>{1}</p><p>{1}</p><p>{1}</p></article><p>{2}</p></body>",
+    "<body><table><tr><td><h4>Name</h4><p>{0}</p></td><td><p>{1}</p><p>{1}</p><p>{1}</p><p>{2}</p></td></tr></table></body>",
+])
+def test_sections_drop_nothing(page):
+    parts = [sentences(3, "intro"), sentences(12, "body"), sentences(3, "outro")]
+    text, _ = maintext.main_text(page.format(*parts))
+    assert text == "\n\n".join(["Name", parts[0], *[parts[1]] * 3, parts[2]])
+
+
 def test_pages_hold_their_article(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").join(queries.op7_main_text(spark, SF).select("page_id", "text", "n_chars"), "page_id").collect():
         inside = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
