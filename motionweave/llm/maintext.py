@@ -8,6 +8,10 @@ and the like) is never content. Every block on a content path stays. Sections ad
 main elements) that hold content, where these hold at least half of it together, else the lowest element around all
 content and the deepest one around most of it.
 
+Names in class, id or role and form elements exclude what they hold, unless that is the page or its article: html, body,
+main and article are never excluded by their own names, other elements not where they hold most of the fused ratio of
+the articles (of main, of the page, where there is no article).
+
 Pages are independent rows; nothing is shuffled.
 """
 
@@ -27,7 +31,7 @@ from .common import fresh, quoted, text_of
 # Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
-ASIDE = frozenset("nav header footer aside form button select option fieldset dialog menu head script style noscript iframe template svg "
+ASIDE = frozenset("nav header footer aside button select option fieldset dialog menu head script style noscript iframe template svg "
                   "canvas object audio video textarea title label input math noembed noframes xmp datalist map".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike "
                    "strong sub sup time tt u var wbr".split())
@@ -36,6 +40,7 @@ BLOCK_IN_P = frozenset("address article aside blockquote center details dialog d
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = frozenset("ul ol dl table select".split())
+WHOLE = frozenset("html body main article".split())
 # Words in class, id or role that name what is no part of an article.
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|promoted|comments?|commentlist|disqus|respond|reply|replies|"
@@ -52,11 +57,27 @@ HOLDS = 0.5          # of the content that a section must hold
 
 
 class Node:
-    __slots__ = ("tag", "label", "parent", "out", "link", "number")
+    __slots__ = ("tag", "label", "parent", "out", "link", "number", "named", "place", "spared")
 
-    def __init__(self, tag: str, label: str, parent: Node | None, out: bool, number: int):
+    def __init__(self, tag: str, label: str, parent: Node | None, out: bool, number: int, named: bool = False):
         self.tag, self.label, self.parent, self.out, self.number = tag, label, parent, out, number
         self.link = tag == "a" or (parent is not None and parent.link)
+        # The nearest element, this one included, that its name may exclude, and whether it holds the page after all.
+        self.named: Node | None = self if named else parent.named if parent is not None else None
+        self.spared = False
+        self.place = 2 if tag == "article" else 1 if tag == "main" else 0
+        if parent is not None:
+            self.place = max(self.place, parent.place)
+
+    def names(self) -> Iterator[Node]:
+        """The elements around this one that their names may exclude."""
+        node = self.named
+        while node is not None:
+            yield node
+            node = node.parent.named if node.parent is not None else None
+
+    def excluded(self) -> bool:
+        return self.out or any(not n.spared for n in self.names())
 
     def path(self) -> str:
         parts, node = [], self
@@ -75,20 +96,20 @@ class Block:
         self.node, self.text, self.linked, self.path = node, [], 0, ""
 
 
-def _attributes(text: str) -> tuple[str, bool]:
-    """(name for the path, whether the element is no part of an article)."""
-    label, out = "", False
+def _attributes(text: str) -> tuple[str, bool, bool]:
+    """(name for the path, whether the element is hidden, whether its name is that of no part of an article)."""
+    label, out, named = "", False, False
     for name, value in ATTRIBUTE.findall(text):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id", "role"):
             if name == "class":
                 label = "." + " ".join(sorted(value.split()))
-            out = out or bool(NAMES.search(value))
+            named = named or bool(NAMES.search(value))
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             out = True
         elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             out = True
-    return label, out
+    return label, out, named
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -109,7 +130,7 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             current = Block(holder(node))
             out.append(current)
-        current.text.append((text, node.out))
+        current.text.append((text, node))
         if node.link:
             current.linked += len(text.strip())
 
@@ -158,10 +179,10 @@ def blocks_of(page: str) -> list[Block]:
             if tag == "br" or tag not in INLINE and tag not in ("img", "input", "embed"):
                 current = None
             continue
-        label, hidden = _attributes(found[3]) if found[3] else ("", False)
+        label, hidden, named = _attributes(found[3]) if found[3] else ("", False, False)
         if tag not in INLINE:
             current = None
-        child = Node(tag, tag + label, node, node.out or hidden or tag in ASIDE, made)
+        child = Node(tag, tag + label, node, node.out or hidden or tag in ASIDE, made, tag == "form" or named and tag not in WHOLE)
         made += 1
         if found[3].rstrip().endswith("/") and tag in ("svg", "math", "path"):
             continue
@@ -173,8 +194,8 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def _clean(pieces: list[tuple[str, bool]]) -> str:
-    return SPACE.sub(" ", html.unescape("".join(text for text, out in pieces if not out))).strip(" ")
+def _clean(pieces: list[tuple[str, Node]]) -> str:
+    return SPACE.sub(" ", html.unescape("".join(text for text, node in pieces if not node.excluded()))).strip(" ")
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
@@ -182,27 +203,63 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, SMOOTH, "valid")
 
 
-def main_text(page: str) -> tuple[str, list[str]]:
-    """(text, paths of its nodes) of a page; empty for a page without content."""
+def _ratios(blocks: list[Block], texts: list[str]) -> tuple[np.ndarray, dict[str, list[int]]]:
+    """Fused ratio of each block, and (characters outside links, marks, blocks) per path."""
+    sums: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
+    for b, text in zip(blocks, texts, strict=True):
+        s = sums[b.path]
+        s[0] += max(0, len(text) - b.linked)
+        s[1] += len(MARKS.findall(text))
+        s[2] += 1
+    ratio = np.array([[sums[b.path][0] / sums[b.path][2], (sums[b.path][1] + 0.1) / sums[b.path][2]] for b in blocks])
+    return _smooth(ratio[:, 0]) * _smooth(ratio[:, 1]), sums
+
+
+def _readable(every: list[Block]) -> tuple[list[Block], list[str]]:
+    """The blocks that are not excluded and have text, and their texts."""
     blocks, texts = [], []
-    for b in blocks_of(page):
-        if b.node.out:
+    for b in every:
+        if b.node.excluded():
             continue
         text = _clean(b.text)
         if text:
-            b.path = b.node.path()
+            b.path = b.path or b.node.path()
             blocks.append(b)
             texts.append(text)
+    return blocks, texts
+
+
+def _spare(every: list[Block]) -> None:
+    """Marks the named elements that hold most of the fused ratio, as if no name excluded anything."""
+    named = {n.number: n for b in every for _, node in b.text for n in node.names()}
+    if not named:
+        return
+    for n in named.values():
+        n.spared = True
+    blocks, texts = _readable(every)
+    held: list[dict[int, float]] = [defaultdict(float) for _ in range(3)]
+    total = [0.0] * 3
+    for b, f in zip(blocks, _ratios(blocks, texts)[0] if blocks else (), strict=True):
+        pieces = [(len(text.strip()), node) for text, node in b.text if not node.excluded()]
+        size = max(1, sum(n for n, _ in pieces))
+        for length, node in pieces:
+            for place in range(node.place + 1):
+                total[place] += f * length / size
+                for n in node.names():
+                    held[place][n.number] += f * length / size
+    place = max((k for k in range(3) if total[k] > 0), default=0)
+    for n in named.values():
+        n.spared = held[place][n.number] > HOLDS * total[place]
+
+
+def main_text(page: str) -> tuple[str, list[str]]:
+    """(text, paths of its nodes) of a page; empty for a page without content."""
+    every = blocks_of(page)
+    _spare(every)
+    blocks, texts = _readable(every)
     if not blocks:
         return "", []
-    sums: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
-    for b, text in zip(blocks, texts, strict=True):
-        s = sums[b.path]
-        s[0] += max(0, len(text) - b.linked)
-        s[1] += len(MARKS.findall(text))
-        s[2] += 1
-    ratio = np.array([[sums[b.path][0] / sums[b.path][2], (sums[b.path][1] + 0.1) / sums[b.path][2]] for b in blocks])
-    fused = _smooth(ratio[:, 0]) * _smooth(ratio[:, 1])
+    fused, sums = _ratios(blocks, texts)
     by_path: dict[str, list[float]] = defaultdict(list)
     for b, f in zip(blocks, fused, strict=True):
         by_path[b.path].append(f)

@@ -299,6 +299,25 @@ def test_sections_drop_nothing(page):
     assert text == "\n\n".join(["Name", parts[0], *[parts[1]] * 3, parts[2]])
 
 
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><p>{0}</p>{1}</body>", "<body><main class='content with-sidebar'><p>{0}</p></main>{1}</body>",
+    "<body><div id='page' class='no-comments'><article><p>{0}</p></article>{1}</div></body>",
+    "<body><article class='post share'><p>{0}</p></article>{1}</body>", "<body><form id='aspnet'><div><p>{0}</p>{1}</div></form></body>",
+    "<body><div class='wrap with-menu'><p>{0}</p></div>{1}</body>",
+    "<body><div class='has-widgets'><form><main class='share'><p>{0}</p></main></form></div>{1}</body>",
+])
+def test_names_of_containers_exclude_nothing(page):
+    body = sentences(12, "body")
+    aside = f"<div class='comments'><p>{sentences(3, 'comment')}</p></div><form><p>{sentences(2, 'form')}</p></form><nav>Menu.</nav>"
+    assert maintext.main_text(page.format(body, aside))[0] == body
+
+
+def test_long_comments_beside_an_article_stay_out():
+    body = sentences(3, "body")
+    page = f"<main><article><p>{body}</p></article><div class='comments'><p>{sentences(30, 'comment')}</p></div></main>"
+    assert maintext.main_text(page)[0] == body
+
+
 def test_pages_hold_their_article(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").join(queries.op7_main_text(spark, SF).select("page_id", "text", "n_chars"), "page_id").collect():
         inside = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
