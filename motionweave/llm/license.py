@@ -39,47 +39,47 @@ _VER = r"(?:v|version|ver)? ?"
 _NUM = {"1": r"1(?: 0)?", "1.0": r"1 0", "1.1": r"1 1", "1.2": r"1 2", "1.3": r"1 3", "1.4": r"1 4", "2": r"2(?: 0)?", "2.0": r"2(?: 0)?",
         "2.1": r"2 1", "2.2": r"2 2", "2.3": r"2 3", "2.5": r"2 5", "3": r"3(?: 0)?", "3.0": r"3(?: 0)?", "3.5": r"3 5", "3.6": r"3 6", "4.0": r"4(?: 0)?"}
 
-# (label, title, short names, keyword of the title, keyword of the short names, versions)
+# (label, title, short names, keyword of the title, versions); a number after php or openssl is the version of the software
 _FAMILIES = (
-    ("apache", r"apache (?:software )?licen[sc]e", r"apache|asl", "apache", None, ("1.0", "1.1", "2.0")),
-    ("gpl", r"(?:gnu )?general public licen[sc]e", r"gnu gpl|gpl|gplv", "public", None, ("1", "2", "3")),
-    ("lgpl", r"(?:gnu )?(?:lesser|library) general public licen[sc]e", r"gnu lgpl|lgpl|lgplv", "public", None, ("2", "2.1", "3")),
-    ("agpl", r"(?:gnu )?affero general public licen[sc]e", r"gnu agpl|agpl|agplv", "affero", None, ("1", "3")),
-    ("gfdl", r"(?:gnu )?free documentation licen[sc]e", r"gnu fdl|gfdl", "documentation", None, ("1.1", "1.2", "1.3")),
-    ("mpl", r"mozilla public licen[sc]e", r"mpl", "mozilla", "mpl", ("1.0", "1.1", "2.0")),
-    ("epl", r"eclipse public licen[sc]e", r"epl", "eclipse", "epl", ("1.0", "2.0")),
-    ("edl", r"eclipse distribution licen[sc]e", r"edl", "eclipse", "edl", ("1.0",)),
-    ("cddl", r"common development and distribution licen[sc]e", r"cddl", "distribution", "cddl", ("1.0", "1.1")),
-    ("cpl", r"common public licen[sc]e", r"cpl", "common", "cpl", ("1.0",)),
-    ("cpal", r"common public attribution licen[sc]e", r"cpal", "attribution", "cpal", ("1.0",)),
-    ("eupl", r"european union public licen[sc]e", r"eupl", "european", "eupl", ("1.0", "1.1", "1.2")),
-    ("ecl", r"educational community licen[sc]e", r"ecl", "educational", "ecl", ("1.0", "2.0")),
-    ("osl", r"open software licen[sc]e", r"osl", "software", "osl", ("1.0", "2.0", "2.1", "3.0")),
-    ("afl", r"academic free licen[sc]e", r"afl", "academic", "afl", ("1.1", "1.2", "2.0", "2.1", "3.0")),
-    ("artistic", r"(?:clarified )?artistic licen[sc]e", r"artistic", "artistic", None, ("1.0", "2.0")),
-    ("boost", r"boost software licen[sc]e", r"bsl", "boost", "bsl", ("1.0",)),
-    ("busl", r"business source licen[sc]e", r"busl", "business", "busl", ("1.0", "1.1")),
-    ("sspl", r"server side public licen[sc]e", r"sspl", "server", "sspl", ("1",)),
-    ("lppl", r"latex project public licen[sc]e", r"lppl", "latex", "lppl", ("1.0", "1.1", "1.2", "1.3")),
-    ("ofl", r"(?:sil )?open font licen[sc]e", r"ofl", "font", "ofl", ("1.0", "1.1")),
-    ("odbl", r"open (?:data commons open )?database licen[sc]e", r"odbl", "database", "odbl", ("1.0",)),
-    ("odc-by", r"open data commons attribution licen[sc]e", r"odc by", "commons", "odc", ("1.0",)),
-    ("python", r"python (?:software foundation )?licen[sc]e", r"psf", "python", "psf", ("2.0",)),
-    ("php", r"php licen[sc]e", r"php", "php", None, ("3.0",)),
-    ("zpl", r"zope public licen[sc]e", r"zpl", "zope", "zpl", ("1.1", "2.0", "2.1")),
-    ("qpl", r"q public licen[sc]e", r"qpl", "q", "qpl", ("1.0",)),
-    ("npl", r"netscape public licen[sc]e", r"npl", "netscape", "npl", ("1.0", "1.1")),
-    ("apsl", r"apple public source licen[sc]e", r"apsl", "apple", "apsl", ("1.0", "1.1", "1.2", "2.0")),
-    ("rpl", r"reciprocal public licen[sc]e", r"rpl", "reciprocal", "rpl", ("1.1",)),
-    ("upl", r"universal permissive licen[sc]e", r"upl", "universal", "upl", ("1.0",)),
-    ("mulan", r"mulan (?:psl|permissive software licen[sc]e)", r"mulanpsl", "mulan", "mulanpsl", ("1", "2")),
-    ("cecill", r"cecill(?: free software)? licen[sc]e(?: agreement)?", r"cecill", "cecill", None, ("1.0", "1.1", "2.0", "2.1")),
-    ("openssl", r"openssl licen[sc]e", r"openssl", "openssl", None, ("1.0",)),
-    ("polyform", r"polyform (?:noncommercial|small business|shield) licen[sc]e", r"polyform", "polyform", None, ("1.0",)),
-    ("elastic", r"elastic licen[sc]e", r"elv", "elastic", "elv", ("1.0", "2.0")),
-    ("openrail", r"(?:open )?rail(?: m)? licen[sc]e", r"openrail|rail m", "rail", "openrail", ("1.0",)),
-    ("llama", r"llama(?: [23])? community licen[sc]e", r"llama licen[sc]e", "llama", None, ("2", "3")),
-    ("unlicense", r"the unlicense|unlicense", r"unlicense", "unlicense", None, ()),
+    ("apache", r"apache (?:software )?licen[sc]e", r"apache|asl", "apache", ("1.0", "1.1", "2.0")),
+    ("gpl", r"(?:gnu )?general public licen[sc]e", r"gnu gpl|gpl|gplv", "public", ("1", "2", "3")),
+    ("lgpl", r"(?:gnu )?(?:lesser|library) general public licen[sc]e", r"gnu lgpl|lgpl|lgplv", "public", ("2", "2.1", "3")),
+    ("agpl", r"(?:gnu )?affero general public licen[sc]e", r"gnu agpl|agpl|agplv", "affero", ("1", "3")),
+    ("gfdl", r"(?:gnu )?free documentation licen[sc]e", r"gnu fdl|gfdl", "documentation", ("1.1", "1.2", "1.3")),
+    ("mpl", r"mozilla public licen[sc]e", r"mpl", "mozilla", ("1.0", "1.1", "2.0")),
+    ("epl", r"eclipse public licen[sc]e", r"epl", "eclipse", ("1.0", "2.0")),
+    ("edl", r"eclipse distribution licen[sc]e", r"edl", "eclipse", ("1.0",)),
+    ("cddl", r"common development and distribution licen[sc]e", r"cddl", "distribution", ("1.0", "1.1")),
+    ("cpl", r"common public licen[sc]e", r"cpl", "common", ("1.0",)),
+    ("cpal", r"common public attribution licen[sc]e", r"cpal", "attribution", ("1.0",)),
+    ("eupl", r"european union public licen[sc]e", r"eupl", "european", ("1.0", "1.1", "1.2")),
+    ("ecl", r"educational community licen[sc]e", r"ecl", "educational", ("1.0", "2.0")),
+    ("osl", r"open software licen[sc]e", r"osl", "software", ("1.0", "2.0", "2.1", "3.0")),
+    ("afl", r"academic free licen[sc]e", r"afl", "academic", ("1.1", "1.2", "2.0", "2.1", "3.0")),
+    ("artistic", r"(?:clarified )?artistic licen[sc]e", r"artistic", "artistic", ("1.0", "2.0")),
+    ("boost", r"boost software licen[sc]e", r"bsl", "boost", ("1.0",)),
+    ("busl", r"business source licen[sc]e", r"busl", "business", ("1.0", "1.1")),
+    ("sspl", r"server side public licen[sc]e", r"sspl", "server", ("1",)),
+    ("lppl", r"latex project public licen[sc]e", r"lppl", "latex", ("1.0", "1.1", "1.2", "1.3")),
+    ("ofl", r"(?:sil )?open font licen[sc]e", r"ofl", "font", ("1.0", "1.1")),
+    ("odbl", r"open (?:data commons open )?database licen[sc]e", r"odbl", "database", ("1.0",)),
+    ("odc-by", r"open data commons attribution licen[sc]e", r"odc by", "commons", ("1.0",)),
+    ("python", r"python (?:software foundation )?licen[sc]e", r"psf", "python", ("2.0",)),
+    ("php", r"php licen[sc]e", "", "php", ("3.0",)),
+    ("zpl", r"zope public licen[sc]e", r"zpl", "zope", ("1.1", "2.0", "2.1")),
+    ("qpl", r"q public licen[sc]e", r"qpl", "q", ("1.0",)),
+    ("npl", r"netscape public licen[sc]e", r"npl", "netscape", ("1.0", "1.1")),
+    ("apsl", r"apple public source licen[sc]e", r"apsl", "apple", ("1.0", "1.1", "1.2", "2.0")),
+    ("rpl", r"reciprocal public licen[sc]e", r"rpl", "reciprocal", ("1.1",)),
+    ("upl", r"universal permissive licen[sc]e", r"upl", "universal", ("1.0",)),
+    ("mulan", r"mulan (?:psl|permissive software licen[sc]e)", r"mulanpsl", "mulan", ("1", "2")),
+    ("cecill", r"cecill(?: free software)? licen[sc]e(?: agreement)?", r"cecill", "cecill", ("1.0", "1.1", "2.0", "2.1")),
+    ("openssl", r"openssl licen[sc]e", "", "openssl", ("1.0",)),
+    ("polyform", r"polyform (?:noncommercial|small business|shield) licen[sc]e", r"polyform", "polyform", ("1.0",)),
+    ("elastic", r"elastic licen[sc]e", r"elv", "elastic", ("1.0", "2.0")),
+    ("openrail", r"(?:open )?rail(?: m)? licen[sc]e", r"openrail|rail m", "rail", ("1.0",)),
+    ("llama", r"llama(?: [23])? community licen[sc]e", r"llama licen[sc]e", "llama", ("2", "3")),
+    ("unlicense", r"the unlicense|unlicense", r"unlicense", "unlicense", ()),
 )
 
 # Texts and titles without versions of their own.
@@ -94,8 +94,9 @@ _SINGLE = (
     ("bsd-3-clause", GRANT, "endorse", r"may be used to endorse or promote products derived from this software"),
     ("bsd-4-clause", GRANT, "advertising", r"all advertising materials mentioning features or use of this software"),
     ("bsd", SHORT, "bsd", r"bsd(?: style)? licen[sc]e"), ("bsd", GRANT, "bsd", _GRANT + r"(?:\S+ ){0,3}bsd licen[sc]e"),
-    ("bsd-0-clause", TITLE, "bsd", r"(?:0 clause bsd|zero clause bsd|bsd 0 clause|0bsd)(?: licen[sc]e)?"),
-    ("bsd-2-clause", TITLE, "bsd", r"(?:2 clause bsd|simplified bsd|freebsd|bsd 2 clause)(?: licen[sc]e)?"),
+    ("bsd-0-clause", TITLE, "bsd", r"(?:0 clause bsd|zero clause bsd|bsd 0 clause)(?: licen[sc]e)?"),
+    ("bsd-0-clause", TITLE, "0bsd", r"0bsd(?: licen[sc]e)?"), ("bsd-2-clause", TITLE, "freebsd", r"freebsd(?: licen[sc]e)?"),
+    ("bsd-2-clause", TITLE, "bsd", r"(?:2 clause bsd|simplified bsd|bsd 2 clause)(?: licen[sc]e)?"),
     ("bsd-3-clause", TITLE, "bsd", r"(?:3 clause bsd|new bsd|revised bsd|modified bsd|bsd 3 clause)(?: licen[sc]e)?"),
     ("bsd-4-clause", TITLE, "bsd", r"(?:4 clause bsd|original bsd|bsd 4 clause)(?: licen[sc]e)?"),
     ("zlib", TITLE, "zlib", r"zlib(?: libpng)? licen[sc]e"), ("zlib", GRANT, "warranty", r"this software is provided as is without any express or implied warranty in no event will the authors"),
@@ -151,16 +152,19 @@ def _creative_commons() -> list[Rule]:
 
 def _families() -> list[Rule]:
     rules = []
-    for label, title, short, title_word, short_word, versions in _FAMILIES:
+    for label, title, short, title_word, versions in _FAMILIES:
+        names = [(name, next(w for w in name.split() if w != "gnu")) for name in short.split("|") if name]
         for version in versions:
             number = _NUM[version]
             rules.append(Rule(f"{label}-{version}", GRANT, title_word, rf"{_GRANT}{title} {_VER}{number}(?: or (?:any |at your option any )?later(?: version)?)?"))
             rules.append(Rule(f"{label}-{version}", TITLE, title_word, rf"{title} {_VER}{number}"))
-            if short_word:
-                rules.append(Rule(f"{label}-{version}", TITLE, short_word, rf"(?:{short}) {_VER}{number}"))
+            for name, word in names:
+                rules.append(Rule(f"{label}-{version}", TITLE, word, rf"{name} {_VER}{number}"))
+                if word.endswith("v"):
+                    rules.append(Rule(f"{label}-{version}", TITLE, word + version[0], rf"{name}{number}"))
         rules.append(Rule(label, SHORT, title_word, title))
-        if short_word:
-            rules.append(Rule(label, HINT, short_word, rf"(?:{short}) licen[sc]e"))
+        for name, word in names:
+            rules.append(Rule(label, HINT, word, name if "licen" in name else rf"{name} licen[sc]e"))
     for label, name, versions in (("gpl", "gpl", ("2", "3")), ("lgpl", "lgpl", ("2.1", "3")), ("agpl", "agpl", ("3",))):
         for version in versions:
             rules.append(Rule(f"{label}-{version}", TITLE, name, rf"(?:gnu )?{name} {_VER}{_NUM[version]}"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -78,6 +79,46 @@ def test_license_labels(spark, text, label):
     assert label in [d["label"] for d in row["license"]["detections"]]
 
 
+def samples(pattern, rng):
+    """A random match of a rule's pattern."""
+    out = []
+    for op, arg in pattern:
+        op = str(op)
+        if op == "LITERAL":
+            out.append(chr(arg))
+        elif op == "IN":
+            kind, value = rng.choice(arg)
+            out.append(chr(value) if str(kind) == "LITERAL" else chr(value[0]) if str(kind) == "RANGE" else "w")
+        elif op == "ANY":
+            out.append("w")
+        elif op == "BRANCH":
+            out.append(samples(rng.choice(arg[1]), rng))
+        elif op == "SUBPATTERN":
+            out.append(samples(arg[3], rng))
+        else:
+            assert op == "MAX_REPEAT" or op == "MIN_REPEAT", op
+            least, most, inner = arg
+            out.append("".join(samples(inner, rng) for _ in range(rng.randint(least, min(int(most), least + 2)))))
+    return "".join(out)
+
+
+def test_every_match_passes_the_gate():
+    rng = random.Random(1)
+    for rule in lic.RULES:
+        parsed = re._parser.parse(rule.pattern)
+        for _ in range(60):
+            text = samples(parsed, rng)
+            assert rule.keyword in text.split(), (rule, text)
+
+
+@pytest.mark.parametrize("text,label", [
+    ("0BSD", "bsd-0-clause"), ("FreeBSD license", "bsd-2-clause"), ("RAIL-M 1.0", "openrail-1.0"), ("GFDL 1.3", "gfdl-1.3"), ("GNU FDL 1.2", "gfdl-1.2"),
+    ("ASL 2.0", "apache-2.0"), ("Artistic 2.0", "artistic-2.0"), ("CeCILL 2.1", "cecill-2.1"), ("LGPLv2", "lgpl-2"), ("ELv2", "elastic-2.0")])
+def test_short_names_are_found(spark, text, label):
+    (row,) = lic.scan(spark.createDataFrame([(text,)], "text string")).collect()
+    assert label in [d["label"] for d in row["license"]["detections"]]
+
+
 def test_secret_base(texts):
     ratio = secrets.train(texts)
     for r in secrets.scan(texts, ratio).collect():
