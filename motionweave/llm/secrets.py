@@ -95,14 +95,14 @@ def scan(docs: DataFrame, ratio: list[float], text: str = "text") -> DataFrame:
     """The frame with a column `secrets`: array of (start, order, end, value, score), by start, then kind.
 
     `order` numbers KINDS; start and end are code points, end exclusive; the score is the mean log-likelihood ratio per
-    transition (null for known shapes). Tokens that touch a known span are not scored again. Missing and empty texts
+    transition (null for known shapes). Tokens that one known span covers whole are not scored again. Missing and empty texts
     have no spans; repeated rows stay repeated.
     """
     t, base, tok, out = fresh(docs, "t_", "base_", "tok_", "secrets")
     keep = docs.columns
     step = docs.withColumn(t, text_of(text)).withColumn(base, base_spans(F.col(t)))
     step = step.withColumn(tok, F.when(F.col(t).rlike(TOKEN), _spans(F.col(t), TOKEN, 0, LEAST_TOKEN, "markov")).otherwise(_none()))
-    free = F.filter(F.col(tok), lambda x: ~F.exists(F.col(base), lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"])))
+    free = F.filter(F.col(tok), lambda x: ~F.exists(F.col(base), lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"])))
     table = "split('" + ",".join(map(repr, ratio)) + "', ',')"
     step = step.withColumn(tok, free)
     rated = F.expr(

@@ -153,6 +153,14 @@ def test_redact(spark):
     assert [r[0] for r in found.select(secrets.redact(F.col("text"), F.col("secrets"))).collect()] == ["a [SECRET]' b", "plain", None]
 
 
+def test_token_around_a_known_span_is_scored(spark):
+    secret = "live-0123456789abcdef01234567-Kq2ZvX9bTn4Lw8RfYs3DKq2ZvX9bTn4Lw8RfYs3D"
+    docs = spark.createDataFrame([(f"a {secret} b token=abcdefgh12abcdefgh12 c",)], "text string")
+    found = secrets.scan(docs, [1.0] * secrets.STATES**2)
+    (row,) = found.select("secrets", secrets.redact(F.col("text"), F.col("secrets")).alias("clean")).collect()
+    assert [s["order"] for s in row["secrets"]] == [3, 2, 0] and row["clean"] == "a [SECRET] b [SECRET] c"
+
+
 def plain_counts(text):
     t = text or ""
     words = plain_words(t)
