@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import license as lic, maintext, mixing, neardup, neighbours, packing, quality, secrets, substrings, toxicity
+from . import conversation_queries, license as lic, maintext, mixing, neardup, neighbours, packing, quality, secrets, substrings, toxicity
 from .common import table
 
 
@@ -78,7 +78,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_near_duplicates, op3_toxicity, op4_nearest_neighbours, op5_secret_scan, op6_pack_sequences, op7_main_text,
-    op8_repeated_substrings, op9_quality_rules, op10_mix_sources)}
+    op8_repeated_substrings, op9_quality_rules, op10_mix_sources)} | conversation_queries.QUERIES
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 # Classes of near duplicates by comparing all texts that share a shingle.
@@ -150,7 +150,7 @@ FROM d JOIN bd ON bd.key = d.key JOIN e ON e.key = d.key AND e.prefix = d.h >> {
 
 # License rules, Markov models, learned log-odds and codes, subword tokens, tag paths and byte positions are beyond SQL;
 # tests/llm holds those queries against plain Python.
-ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": NEAR_DUPLICATES, "op9_quality_rules": QUALITY, "op10_mix_sources": MIXING}
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": NEAR_DUPLICATES, "op9_quality_rules": QUALITY, "op10_mix_sources": MIXING} | conversation_queries.ORACLE_SQL
 
 
 def queries() -> dict:
