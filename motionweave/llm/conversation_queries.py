@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import trie
+from . import sharding, trie
 from .common import table
 
 GROUP = 100
@@ -18,6 +18,12 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(*trie.with_shared_heads(ordered, c - c % GROUP, F.crc32(c.cast("string").cast("binary")) % HEADS))
 
 
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                                       F.lit(None).cast("int").alias("grown_shard"))
+
+
 # The table of the 32-bit cyclic redundancy check, by its rule, and the check of a list of bytes.
 _TABLE = """k AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
     lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS k)"""
@@ -50,5 +56,24 @@ SELECT x.conv_id, x.d AS depth, x.parent AS parent_conv_id, x.n_convs, x.kids AS
 FROM x JOIN x AS y ON y.path = x.path OR x.path = '' OR starts_with(y.path, x.path || ' ')
 GROUP BY x.path, x.conv_id, x.d, x.parent, x.n_convs, x.kids, x.ends"""
 
-QUERIES = {f.__name__: f for f in (op11_conversation_trie,)}
-ORACLE_SQL = {"op11_conversation_trie": TRIE}
+# The splitter of a shard is the nearest end of the stretch that holds its goal, at the first width within the tolerance.
+SHARDS = f"""
+WITH {_TABLE},
+b AS (SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + {sharding.OVERHEAD} AS size,
+  list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes FROM documents),
+d AS (SELECT doc_id, size, {_crc('bytes')} AS crc,
+  substr(md5(text), 1, {sharding.PART}) || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, {sharding.PART}) AS key FROM b, k),
+s AS (SELECT sum(size) AS total FROM d),
+w AS (SELECT unnest(range({sharding.DIGITS}, {2 * sharding.PART + 1}, {sharding.DIGITS})) AS w),
+c AS (SELECT w, probe, bytes, sum(bytes) OVER (PARTITION BY w ORDER BY probe) AS upto FROM (
+  SELECT w, substr(key, 1, w) AS probe, sum(size) AS bytes FROM d, w GROUP BY ALL)),
+g AS (SELECT i, w, probe, {sharding.SHARDS} * upto - total * i AS over, total * i - {sharding.SHARDS} * (upto - bytes) AS under, total
+  FROM c, s, (SELECT unnest(range(1, {sharding.SHARDS})) AS i) WHERE {sharding.SHARDS} * upto >= total * i AND {sharding.SHARDS} * (upto - bytes) < total * i),
+f AS (SELECT i, arg_min(probe, w) AS probe, arg_min(under <= over, w) AS low FROM g
+  WHERE least(over, under) <= {sharding.TOLERANCE} * total OR w = {2 * sharding.PART} GROUP BY i),
+h AS (SELECT doc_id, size, crc, key, (SELECT count(*) FROM f WHERE CASE WHEN low THEN key >= probe ELSE substr(key, 1, length(probe)) > probe END) AS shard FROM d)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY key) - 1 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard FROM h"""
+
+QUERIES = {f.__name__: f for f in (op11_conversation_trie, op12_shards)}
+ORACLE_SQL = {"op11_conversation_trie": TRIE, "op12_shards": SHARDS}
