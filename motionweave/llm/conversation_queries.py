@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import sharding, trie
+from . import repair, sharding, trie
 from .common import table
 
 GROUP = 100
@@ -24,6 +24,17 @@ def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = repair.repair(repair.damage(turns))
+    all_ = turns.select("conv_id").distinct().withColumn("g", repair.group_key())
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return all_.join(fixed, "g", "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", none).alias("repaired_sha256"))
+
+
 # The table of the 32-bit cyclic redundancy check, by its rule, and the check of a list of bytes.
 _TABLE = """k AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
     lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS k)"""
@@ -75,5 +86,65 @@ h AS (SELECT doc_id, size, crc, key, (SELECT count(*) FROM f WHERE CASE WHEN low
 SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY key) - 1 AS slot,
   CAST(NULL AS INTEGER) AS grown_shard FROM h"""
 
-QUERIES = {f.__name__: f for f in (op11_conversation_trie, op12_shards)}
-ORACLE_SQL = {"op11_conversation_trie": TRIE, "op12_shards": SHARDS}
+_S = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _best(*ways: str) -> str:
+    return f"least({', '.join(ways)})" if len(ways) > 1 else ways[0]
+
+
+def _add(state: str, cost: str, letter: str) -> str:
+    """A way to a state as text, cost before letters, so that the least text is the cheapest way and then the least audit."""
+    return f"(printf('%012d', CAST({state}[1:12] AS BIGINT) + {cost}) || {state}[13:] || '{letter}')"
+
+
+def _inserted(table_: str) -> str:
+    """States o, s, u, a after up to two inserted turns."""
+    u1 = _best("u", _add("o", "2", "I"), _add("s", "2", "I"), _add("a", "2", "I"))
+    return f"SELECT * REPLACE ({_best('a', _add('u', '2', 'I'))} AS a) FROM (SELECT * REPLACE ({u1} AS u, {_best('a', _add('u', '2', 'I'))} AS a) FROM {table_})"
+
+
+# Forward steps over the rows: of every state the cheapest way there, of equally cheap ones the least audit.
+_FAR = "999999999000"
+_KEEP = {"s": {"s": "o"}, "u": {"u": "osa"}, "a": {"a": "u"}}
+
+
+def _step(to: str) -> str:
+    ways = [_add(to, "3", "D")]
+    renamed = {"u": "osa", "a": "u"}.get(to, "")
+    ways += [f"CASE WHEN code = 'd' THEN NULL ELSE {_add(q, '2 + cut', 'R')} END" for q in renamed]
+    ways += [f"CASE WHEN code = '{to}' THEN {_add(q, 'cut', 'K')} END" for q in _KEEP.get(to, {}).get(to, "")]
+    return _best(*ways)
+
+
+REPAIR = f"""
+WITH RECURSIVE {_TABLE},
+h AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, {_crc(_ascii('s'))} % 20 AS hit FROM (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations), k),
+e AS (SELECT conv_id, coalesce('=' || conv_id, '-') AS g, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+  CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, md5(length(role) || ':' || role || text) AS tie, copy
+  FROM (SELECT *, unnest(CASE WHEN hit = 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE hit <> 0)),
+p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, tie, copy) AS i FROM e),
+f AS (SELECT *, right(rtrim(text, {_S}), 1) AS last, row_number() OVER (PARTITION BY g, role, text ORDER BY i) AS nth, lag(role) OVER (PARTITION BY g ORDER BY i) AS before FROM p),
+r AS (SELECT *, CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM f),
+c AS (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'd' ELSE role[1] END AS code, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS cut FROM r),
+n AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (before IS NOT NULL AND before[1] || role[1] NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS rows FROM c GROUP BY g),
+d AS (SELECT g, 0 AS i, '000000000000' AS o, '{_FAR}' AS s, '{_FAR}' AS u, '{_FAR}' AS a FROM n
+  UNION ALL
+  SELECT g, i, {', '.join(f'{_step(q)} AS {q}' for q in 'osua')} FROM (SELECT w.g, c.i, code, cut, o, s, u, a FROM ({_inserted('d')}) w JOIN c ON c.g = w.g AND c.i = w.i + 1)),
+b AS (SELECT g, least(o, a) AS best FROM ({_inserted('d')}) w JOIN n USING (g) WHERE i = rows),
+l AS (SELECT g, j, best[12 + j] AS letter, best[13:] AS audit FROM (SELECT g, best, unnest(range(1, length(best) - 11)) AS j FROM b)),
+m AS (SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY g ORDER BY j) AS i, count(*) FILTER (letter <> 'D') OVER (PARTITION BY g ORDER BY j) AS out,
+  length(replace(audit, 'D', '')) AS turns FROM l),
+t AS (SELECT m.g, m.j, CASE WHEN letter = 'K' THEN c.role WHEN (turns - out) % 2 = 0 THEN 'assistant' ELSE 'user' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE c.text END AS turn
+  FROM m LEFT JOIN c ON c.g = m.g AND c.i = m.i WHERE letter <> 'D'),
+z AS (SELECT g, string_agg(turn, chr(10) ORDER BY j) AS repaired FROM t GROUP BY g),
+q AS (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '-') AS g FROM conversations)
+SELECT conv_id, {', '.join(f'coalesce({x}, 0) AS {x}' for x in ('gaps', 'blank', 'duplicate', 'truncated', 'illegal'))},
+  coalesce(CAST(best[1:12] AS BIGINT), 0) AS cost, coalesce(best[13:], '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM q LEFT JOIN n USING (g) LEFT JOIN b USING (g) LEFT JOIN z USING (g)"""
+
+QUERIES = {f.__name__: f for f in (op11_conversation_trie, op12_shards, op13_conversation_repair)}
+ORACLE_SQL = {"op11_conversation_trie": TRIE, "op12_shards": SHARDS, "op13_conversation_repair": REPAIR}
