@@ -51,20 +51,19 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
         below = {prefix: b for prefix, b in open_.values()}
         head, probe = F.substring("key", 1, width), F.substring("key", 1, width + DIGITS)
         part = rows if width == 0 else rows.where(head.isin(list(below)))
-        counts = part.groupBy(head.alias("head"), probe.alias("probe")).agg(F.sum("size").alias("bytes"))
+        counts = part.groupBy(head.alias("head"), probe.alias("probe")).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
         run = Window.partitionBy("head").orderBy("probe").rowsBetween(Window.unboundedPreceding, 0)
-        counts = counts.withColumn("to", F.sum("bytes").over(run)).withColumn(
-            "next", F.lead("probe").over(Window.partitionBy("head").orderBy("probe")))
+        counts = counts.withColumn("to", F.sum("bytes").over(run))
         goals = rows.sparkSession.range(1).select(F.inline(F.array(*[
             F.struct(F.lit(i).alias("i"), F.lit(prefix).alias("head"), F.lit(total * i - shards * b).cast("long").alias("goal"))
             for i, (prefix, b) in open_.items()])))
         inside = F.col("to") * shards >= F.col("goal")
         began = (F.col("to") - F.col("bytes")) * shards < F.col("goal")
         hit = counts.join(F.broadcast(goals), "head").where(inside & began)
-        for r in hit.select("i", "head", "probe", "next", "bytes", "to").collect():
+        for r in hit.select("i", "head", "probe", "bytes", "to", "n").collect():
             start = below[r["head"]] + r["to"] - r["bytes"]
             over, under = shards * (start + r["bytes"]) - total * r["i"], total * r["i"] - shards * start
-            last = width + DIGITS >= 3 * PART
+            last = r["n"] == 1 or width + DIGITS >= 3 * PART  # nothing left to cut
             if min(over, under) <= tolerance * total or last:
                 # The key after this probe's rows: the probe itself with its last digit raised.
                 found[r["i"]] = r["probe"] if under <= over else _after(r["probe"])
