@@ -57,8 +57,10 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substrings.remove_repeats(docs, with_text=False).select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    left = F.make_valid_utf8(F.col("kept").cast("string"))  # a cut may fall inside a character
+    return substrings.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
+        (F.col("n_removed") > 0).alias("changed"), left.alias("text"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
