@@ -9,7 +9,7 @@ from ..functions import pose, vec as v
 from ..operators import handmodel, infer, schedule as sc
 from ..plans import ledger as lg, quality
 from ..schemas import STAGES
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from ..sources import clips_json, files, ground_truth, lerobot, npz
 from . import camera, views as vw
 from . import hands as hq
@@ -393,15 +393,22 @@ UNION ALL SELECT clip, win, 'row count differs from window length', rows, 'hand'
 
 
 def archive_roundtrip(spark, sf):
-    """Hand windows packed into array archives and scanned back."""
-    packed = npz.pack_hand_windows(hq.hand_windows(spark, sf), "/store")
-    rows = npz.unpack(packed, "hand_window").filter("valid")
-    return rows.select(npz.clip_from_path().cast("int").alias("clip"), "start", "end", "frame", "side", rnd(F.col("conf")).alias("conf"),
-                       *vw.xyz_cols(F.col("joints")[20]))
-
-
-ARCHIVE = f"""WITH {hq.HWIN_SQL} SELECT hw.clip, hw."start", hw."end", hw.frame, hw.side, {r('hw.conf')} AS conf, {r('j.x + 0.01 * hw.win')} AS x, {r('j.y')} AS y, {r('j.z')} AS z
-FROM hw JOIN j ON j.clip = hw.clip AND j.frame = hw.frame AND j.side = hw.side AND j.joint = 20 WHERE hw.valid"""
+    """Hand windows written as array archives and read back by frame ranges: every joint, root turn and shape."""
+    root = scratch_path(spark)
+    windows = hq.hand_windows(spark, sf).withColumn("path", npz.window_path("hand"))
+    npz.write(windows, root, "hand_window")
+    rows = npz.read(spark, root, "hand_window", task_bytes=4096).withColumn("clip", npz.clip_from_path().cast("int"))
+    keys = ("clip", "start", "end", "frame", "side", "conf", "root_rot", "betas")
+    return vw.long_joints(rows.filter("valid"), keys=keys).select(
+        *keys[:5], rnd(F.col("conf")).alias("conf"), "joint", "x", "y", "z", *[rnd(F.col("root_rot")[i]).alias(f"r{i}") for i in range(9)],
+        F.size("betas").alias("n_betas"), F.array_max("betas").alias("beta"))
+
+
+_TURN = {i: e for i, e in zip(range(9), ("cos(a)", "0", "sin(a)", "0", "1", "0", "-sin(a)", "0", "cos(a)"))}
+ARCHIVE = f"""WITH {hq.HWIN_SQL}, w AS (SELECT *, 0.05 * frame + 0.02 * win AS a FROM hw)
+SELECT w.clip, w."start", w."end", w.frame, w.side, {r('w.conf')} AS conf, j.joint, {r('j.x + 0.01 * w.win')} AS x, {r('j.y')} AS y, {r('j.z')} AS z,
+  {', '.join(f'{r(e)} AS r{i}' for i, e in _TURN.items())}, 10 AS n_betas, CAST(w.win AS DOUBLE) AS beta
+FROM w JOIN j ON j.clip = w.clip AND j.frame = w.frame AND j.side = w.side WHERE w.valid"""
 
 
 # ------------------------------------------------------------------ hand model

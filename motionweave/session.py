@@ -63,9 +63,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     the columns it needs. The copy is deleted when the session's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/motionweave-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is written there is deleted when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/motionweave-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.deleteOnExit(folder)
+    return path

@@ -1,189 +1,612 @@
-"""Array archives (.npz) scanned in parallel and unpacked to rows, and the way back.
+"""Array archives (.npz) as a Spark data source: frame ranges of files are read in parallel, rows are written back as archives.
 
-One file holds one clip or window, so files are the unit of work. Pickled arrays are
-refused. NaN becomes NULL here, once.
+``ArchiveSource`` reads and writes the artefact kinds of ``KINDS``. A file is dealt over tasks by its size, each task seeks to
+its frames and decodes only the arrays that the asked columns need, straight into Arrow columns. The sink builds one archive
+per value of ``path`` in a staging folder of its task and moves the archives of committed tasks into place, so a lost or
+repeated task leaves nothing behind. Pickled arrays are refused. NaN becomes NULL when read, NULL becomes NaN when written.
+
+Files are reached through Arrow's file systems (local paths and the URI schemes that Arrow knows); in a store that only Spark
+reads, load the bytes with Spark and use ``unpack``.
 """
 
 from __future__ import annotations
 
 import io
+import shutil
+import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from dataclasses import dataclass
+from pathlib import PurePosixPath
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import fs as arrow_fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+
+NAME = "motion_archive"
+TASK_BYTES = 64 << 20
+BATCH_BYTES = 8 << 20
+STAGING = "_staging"
+GLOB = "*?["
 
 XYZ = "struct<x:double,y:double,z:double>"
 BOX = "struct<x1:double,y1:double,x2:double,y2:double>"
-FRAME = "path string, frame int"
-CHUNK = 4096
-
-
-def _points(a: np.ndarray):
-    return [None if not np.isfinite(p).all() else {"x": p[0], "y": p[1], "z": p[2]} for p in a.astype(float)]
-
-
-def _opt(a, i):
-    return None if a is None else a[i]
-
-
-def _numbers(a):
-    return None if a is None or not np.isfinite(a).all() else np.asarray(a, float).ravel().tolist()
-
-
-def _float(x):
-    return None if x is None or not np.isfinite(x) else float(x)
-
-
-def _box(b):
-    return None if not np.isfinite(b).all() else dict(zip(("x1", "y1", "x2", "y2"), map(float, b)))
-
-
-def _camera(z):
-    start = int(z["start"]) if "start" in z else 0
-    k = z.get("intrinsics")
-    for i in range(len(z["rotation_c2w"])):
-        yield {"start": start, "end": int(z["end"]) if "end" in z else start + len(z["rotation_c2w"]), "frame": start + i,
-               "rot": _numbers(z["rotation_c2w"][i]), "trans": _points(z["translation_c2w"][i:i + 1])[0], "k": _numbers(_opt(k, i))}
-
-
-def _depth(z):
-    start = int(z["start"]) if "start" in z else 0
-    conf = z.get("depth_confidence")
-    for i, d in enumerate(z["depth"]):
-        rows, cols = np.nonzero(np.isfinite(d))
-        for r, c in zip(rows.tolist(), cols.tolist()):
-            yield {"start": start, "frame": start + i, "row": r, "col": c, "depth": float(d[r, c]),
-                   "depth_conf": None if conf is None else _float(conf[i, r, c])}
-
-
-def _hands(z, joints="joints_camera", valid="valid", conf="confidence"):
-    start = int(z["start"]) if "start" in z else 0
-    n = len(z[joints])
-    for i in range(n):
-        for side in range(2):
-            ok = bool(z[valid][i, side])
-            yield {"start": start, "end": int(z["end"]) if "end" in z else start + n, "frame": start + i, "side": side,
-                   "joints": _points(z[joints][i, side]) if ok else None, "valid": ok,
-                   "conf": _float(z[conf][i, side]) if conf in z else None,
-                   "root_rot": _numbers(z["root_rot"][i, side]) if "root_rot" in z else None,
-                   "betas": _numbers(z["betas"][i, side]) if "betas" in z else None}
-
+TYPES = {"float": "double", "bool": "boolean", "int": "int", "long": "bigint", "point": XYZ, "points": f"array<{XYZ}>", "numbers": "array<double>",
+         "matrices": "array<array<double>>", "box": BOX, "boxes": f"array<{BOX}>", "grid": "array<array<double>>"}
+PARTS = {"point": ("x", "y", "z"), "points": ("x", "y", "z"), "box": ("x1", "y1", "x2", "y2"), "boxes": ("x1", "y1", "x2", "y2")}
 
-def _stitched(z):
-    for i in range(len(z["rotation_c2w"])):
-        yield {"frame": i, "rot": _numbers(z["rotation_c2w"][i]), "trans": _points(z["translation_c2w"][i:i + 1])[0],
-               "valid": bool(z["valid"][i]), "weight": float(z["weight"][i]), "k": _numbers(_opt(z.get("intrinsics"), i))}
 
+@dataclass(frozen=True)
+class Field:
+    """One column of a row and the array that holds it. An open dimension of ``tail`` is taken from the data."""
 
-def _sim3(z):
-    for i, s in enumerate(z["scales"]):
-        yield {"win": i, "scale": float(s), "rot": _numbers(z["rotations"][i]), "trans": _points(z["translations"][i:i + 1])[0]}
+    column: str
+    array: str
+    layout: str
+    tail: tuple = ()
+    required: bool = False
+    wide: bool = False  # read only if asked for
+    dtype: str = "f8"
+    hidden: str = ""  # NULL where this array is false
 
 
-def _tracks(z):
-    for i in range(len(z["boxes"])):
-        for side in range(2):
-            yield {"frame": i, "side": side, "box": _box(z["boxes"][i, side]), "conf": float(z["confidence"][i, side]),
-                   "valid": bool(z["valid"][i, side]), "track_id": int(z["track_id"][i, side]),
-                   "recovered": bool(z["recovered"][i, side])}
+@dataclass(frozen=True)
+class Kind:
+    """Rows of an artefact: one per index of its arrays, or two (one per side)."""
 
+    fields: tuple[Field, ...]
+    sided: bool = False
+    index: str = "frame"
+    window: bool = False  # has start and end; frames count from start
 
-def _raw(z):
-    for i in range(len(z["boxes"])):
-        yield {"frame": i, "boxes": [_box(b) for b in z["boxes"][i]], "confs": _numbers(z["confidence"][i]),
-               "right_scores": _numbers(z["right_score"][i]) if "right_score" in z else None,
-               "left_scores": _numbers(z["left_score"][i]) if "left_score" in z else None,
-               "count": int(z["count"][i]) if "count" in z else None}
+    @property
+    def required(self) -> tuple[str, ...]:
+        return tuple(f.array for f in self.fields if f.required)
 
+    def columns(self) -> dict[str, str]:
+        """All columns with their types, in order."""
+        head = {"path": "string"} | ({"start": "int", "end": "int"} if self.window else {}) | {self.index: "int"}
+        return head | ({"side": "int"} if self.sided else {}) | {f.column: TYPES[f.layout] for f in self.fields if f.column}
 
-def _trajectory(z):
-    for i in range(len(z["hand_xyz_world"])):
-        for side in range(2):
-            ok = bool(z["hand_valid"][i, side])
-            yield {"frame": int(z["frames"][i]), "side": side, "ts": float(z["timestamps"][i]),
-                   "joints_world": _points(z["hand_xyz_world"][i, side]) if ok else None,
-                   "joints_camera": _points(z["hand_xyz_camera"][i, side]) if ok else None,
-                   "valid": ok, "conf": _float(z["hand_confidence"][i, side]),
-                   "interpolated": bool(z["hand_interpolated"][i, side]) if "hand_interpolated" in z else False,
-                   "rot": _numbers(z["camera_R_c2w"][i]), "trans": _points(z["camera_t_c2w"][i:i + 1])[0],
-                   "k": _numbers(z["camera_K"][i]), "box": _box(z["bbox"][i, side]), "track_id": int(z["track_id"][i, side]),
-                   "root_rot": _numbers(z["mano_root_rot"][i, side]),
-                   "hand_pose": [_numbers(m) for m in z["mano_hand_pose"][i, side]],
-                   "betas": _numbers(z["mano_betas"][i, side]), "postprocess_valid": bool(z["postprocess_valid"][i, side])}
+    def default(self) -> list[str]:
+        wide = {f.column for f in self.fields if f.wide}
+        return [c for c in self.columns() if c not in wide]
 
 
-POSE_COLS = f"rot array<double>, trans {XYZ}, k array<double>"
-HAND_COLS = f"side int, joints array<{XYZ}>, valid boolean, conf double, root_rot array<double>, betas array<double>"
-# kind -> (required arrays, row schema, unpacker)
+MAT = (3, 3)
+_POSE = (Field("rot", "rotation_c2w", "numbers", MAT, True), Field("trans", "translation_c2w", "point", (3,), True))
+_HAND = (Field("joints", "joints_camera", "points", (21, 3), True, hidden="valid"), Field("valid", "valid", "bool", (), True, dtype="?"),
+         Field("root_rot", "root_rot", "numbers", MAT), Field("betas", "betas", "numbers", (10,)),
+         Field("vertices", "vertices_camera", "points", (None, 3), wide=True, dtype="f4", hidden="valid"))
 KINDS = {
-    "camera_window": (("rotation_c2w", "translation_c2w", "intrinsics", "depth"),
-                      f"path string, start int, end int, frame int, {POSE_COLS}", _camera),
-    "depth_samples": (("depth",), "path string, start int, frame int, row int, col int, depth double, depth_conf double", _depth),
-    "hand_window": (("joints_camera", "valid"), f"path string, start int, end int, frame int, {HAND_COLS}", _hands),
-    "hand": (("joints_camera", "valid", "confidence"), f"path string, start int, end int, frame int, {HAND_COLS}", _hands),
-    "stitched_camera": (("rotation_c2w", "translation_c2w", "valid", "weight"),
-                        f"{FRAME}, {POSE_COLS}, valid boolean, weight double", _stitched),
-    "sim3": (("scales", "rotations", "translations"), f"path string, win int, scale double, rot array<double>, trans {XYZ}", _sim3),
-    "detection": (("boxes", "confidence", "valid", "track_id", "recovered"),
-                  f"{FRAME}, side int, box {BOX}, conf double, valid boolean, track_id bigint, recovered boolean", _tracks),
-    "raw_detections": (("boxes", "confidence"),
-                       f"{FRAME}, boxes array<{BOX}>, confs array<double>, right_scores array<double>, "
-                       "left_scores array<double>, count int", _raw),
-    "trajectory": (("hand_xyz_world", "hand_valid", "camera_R_c2w", "camera_t_c2w"),
-                   f"{FRAME}, side int, ts double, joints_world array<{XYZ}>, joints_camera array<{XYZ}>, valid boolean, "
-                   f"conf double, interpolated boolean, {POSE_COLS}, box {BOX}, track_id bigint, root_rot array<double>, "
-                   "hand_pose array<array<double>>, betas array<double>, postprocess_valid boolean", _trajectory),
+    "camera_window": Kind((*_POSE, Field("k", "intrinsics", "numbers", MAT, True), Field("pose_conf", "pose_confidence", "float"),
+                           Field("depth", "depth", "grid", (None, None), True, True),
+                           Field("depth_conf", "depth_confidence", "grid", (None, None), False, True)), window=True),
+    "depth_samples": Kind((Field("depth", "depth", "float", (None, None), True), Field("depth_conf", "depth_confidence", "float", (None, None)))),
+    "hand_window": Kind((*_HAND, Field("conf", "confidence", "float")), True, window=True),
+    "hand": Kind((*_HAND, Field("conf", "confidence", "float", (), True)), True, window=True),
+    "stitched_camera": Kind((*_POSE, Field("k", "intrinsics", "numbers", MAT), Field("valid", "valid", "bool", (), True, dtype="?"),
+                             Field("weight", "weight", "float", (), True))),
+    "sim3": Kind((Field("scale", "scales", "float", (), True), Field("rot", "rotations", "numbers", MAT, True),
+                  Field("trans", "translations", "point", (3,), True)), index="win"),
+    "detection": Kind((Field("box", "boxes", "box", (4,), True), Field("conf", "confidence", "float", (), True),
+                       Field("valid", "valid", "bool", (), True, dtype="?"), Field("track_id", "track_id", "long", (), True, dtype="i8"),
+                       Field("recovered", "recovered", "bool", (), True, dtype="?")), True),
+    "raw_detections": Kind((Field("boxes", "boxes", "boxes", (None, 4), True), Field("confs", "confidence", "numbers", (None,), True),
+                            Field("right_scores", "right_score", "numbers", (None,)), Field("left_scores", "left_score", "numbers", (None,)),
+                            Field("count", "count", "int", (), dtype="i8"))),
+    "trajectory": Kind((
+        Field("joints_world", "hand_xyz_world", "points", (21, 3), True, hidden="hand_valid"), Field("valid", "hand_valid", "bool", (), True, dtype="?"),
+        Field("rot", "camera_R_c2w", "numbers", MAT, True), Field("trans", "camera_t_c2w", "point", (3,), True), Field("ts", "timestamps", "float"),
+        Field("joints_camera", "hand_xyz_camera", "points", (21, 3), hidden="hand_valid"), Field("conf", "hand_confidence", "float"),
+        Field("interpolated", "hand_interpolated", "bool", dtype="?"), Field("k", "camera_K", "numbers", MAT), Field("box", "bbox", "box", (4,)),
+        Field("track_id", "track_id", "long", dtype="i8"), Field("root_rot", "mano_root_rot", "numbers", MAT),
+        Field("hand_pose", "mano_hand_pose", "matrices", (15, *MAT)), Field("betas", "mano_betas", "numbers", (10,)),
+        Field("postprocess_valid", "postprocess_valid", "bool", dtype="?"), Field("", "frames", "long", dtype="i8")), True),
 }
-
-
-def load_arrays(content: bytes, required: tuple, path: str) -> dict[str, np.ndarray]:
-    try:
-        with np.load(io.BytesIO(content), allow_pickle=False) as z:
-            data = {k: z[k] for k in z.files}
-    except (ValueError, OSError, zipfile.BadZipFile) as exc:
-        raise ValueError(f"{path} is not a readable array archive: {exc}") from exc
-    missing = sorted(set(required) - set(data))
-    if missing:
-        raise ValueError(f"{path} lacks {missing}")
-    return data
-
-
-def unpack(files: DataFrame, kind: str) -> DataFrame:
-    """(path, content) rows -> typed rows of one artefact kind, in bounded batches."""
-    required, schema, rows_of = KINDS[kind]
-    names = [c.split()[0] for c in _split_schema(schema)]
-
-    def run(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                buffer = []
-                for row in rows_of(load_arrays(content, required, path)):
-                    buffer.append({"path": path, **row})
-                    if len(buffer) == CHUNK:
-                        yield pd.DataFrame(buffer, columns=names)
-                        buffer = []
-                if buffer:
-                    yield pd.DataFrame(buffer, columns=names)
-
-    return files.select("path", "content").mapInPandas(run, schema)
-
-
-def _split_schema(schema: str) -> list[str]:
+# Arrays of a sided kind that have one entry per frame all the same.
+PER_FRAME = {"timestamps", "frames", "camera_R_c2w", "camera_t_c2w", "camera_K"}
+
+
+def schema_of(kind: str, columns: list[str] | None = None) -> str:
+    known = KINDS[kind].columns()
+    if kind == "depth_samples":
+        known = {"path": "string", "start": "int", "frame": "int", "row": "int", "col": "int", "depth": "double", "depth_conf": "double"}
+    wanted = columns or (list(known) if kind == "depth_samples" else KINDS[kind].default())
+    if unknown := sorted(set(wanted) - set(known)):
+        raise ValueError(f"{kind} has no columns {unknown}")
+    return ", ".join(f"`{c}` {known[c]}" for c in wanted)
+
+
+# --- arrays to columns -------------------------------------------------------------------------------------------------
+
+def _lists(values: pa.Array, n: int, absent: np.ndarray) -> pa.Array:
+    each = len(values) // n if n else 0
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * each), values, mask=pa.array(absent))
+
+
+def _structs(a: np.ndarray, names: tuple) -> pa.Array:
+    flat = np.ascontiguousarray(a.reshape(-1, len(names)), dtype=float)
+    return pa.StructArray.from_arrays([pa.array(flat[:, i]) for i in range(len(names))], names, mask=pa.array(~np.isfinite(flat).all(1)))
+
+
+def decode(layout: str, a: np.ndarray, absent: np.ndarray) -> pa.Array:
+    """Rows of an array as a column; NULL where absent or, by number, matrix, point or box, not finite."""
+    n = len(a)
+    if layout in ("bool", "int", "long"):
+        return pa.array(a.astype({"bool": bool, "int": np.int32, "long": np.int64}[layout]), mask=absent)
+    if layout == "float":
+        a = a.astype(float)
+        return pa.array(a, mask=absent | ~np.isfinite(a))
+    if layout in ("point", "box"):
+        flat = np.where(absent[:, None], np.nan, a.astype(float))
+        return _structs(flat, PARTS[layout])
+    if layout in ("points", "boxes"):
+        return _lists(_structs(a, PARTS[layout]), n, absent)
+    flat = a.astype(float)
+    if layout == "numbers":
+        flat = flat.reshape(n, -1)
+        return _lists(pa.array(flat.ravel()), n, absent | ~np.isfinite(flat).all(1))
+    if layout == "matrices":
+        flat = flat.reshape(n * a.shape[1], -1) if n else flat.reshape(0, 1)
+        return _lists(_lists(pa.array(flat.ravel()), len(flat), ~np.isfinite(flat).all(1)), n, absent)
+    flat = flat.reshape(n * a.shape[1], -1) if n else flat.reshape(0, 1)
+    return _lists(_lists(pa.array(flat.ravel(), mask=~np.isfinite(flat.ravel())), len(flat), np.zeros(len(flat), bool)), n, absent)
+
+
+def _doubles(col: pa.Array) -> np.ndarray:
+    return col.cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def _columns_of(col: pa.Array, names: tuple) -> np.ndarray:
+    return np.column_stack([_doubles(pc.struct_field(col, i)) for i in range(len(names))]) if len(col) else np.empty((0, len(names)))
+
+
+def _stack(col: pa.Array, tail: tuple, inner) -> np.ndarray:
+    """Lists of one length as an array, NaN where a list is missing."""
+    lengths = pc.list_value_length(col)
+    each = pc.unique(lengths.drop_null()).to_pylist()
+    if len(each) > 1:
+        raise ValueError(f"lists of one archive have different lengths: {sorted(each)}")
+    values = inner(col.flatten())
+    count = each[0] if each else (tail[0] or 0)
+    rest = values.shape[1:] if len(values) else tuple(t or 0 for t in tail[1:])
+    out = np.full((len(col), count, *rest), np.nan)
+    out[lengths.is_valid().to_numpy(zero_copy_only=False)] = values.reshape(-1, count, *rest)
+    return out
+
+
+def encode(field: Field, col: pa.Array) -> np.ndarray:
+    """A column as rows of the field's array; NULL becomes NaN, false or -1."""
+    layout, tail = field.layout, field.tail
+    if layout == "bool":
+        return pc.fill_null(col, False).to_numpy(zero_copy_only=False).astype(bool)
+    if layout in ("int", "long"):
+        return pc.fill_null(col, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    if layout == "float":
+        return _doubles(col)
+    if layout in ("point", "box"):
+        return _columns_of(col, PARTS[layout])
+    if layout in ("points", "boxes"):
+        return _stack(col, tail, lambda x: _columns_of(x, PARTS[layout]))
+    if layout == "numbers":
+        flat = _stack(col, (int(np.prod(tail)) if None not in tail else None,), _doubles)
+        return flat if None in tail else flat.reshape(len(col), *tail)
+    inner = (int(np.prod(tail[1:])) if None not in tail[1:] else None,)
+    out = _stack(col, (tail[0], *inner), lambda x: _stack(x, inner, _doubles))
+    return out if None in tail else out.reshape(len(col), *tail)
+
+
+# --- one archive -------------------------------------------------------------------------------------------------------
+
+class Archive:
+    """An open archive of which ranges of rows can be read; a stored array is sought, a compressed one read up to the range."""
+
+    def __init__(self, handle, path: str):
+        self.path = path
+        try:
+            self.zip = zipfile.ZipFile(handle)
+            self.names = {n.removesuffix(".npy") for n in self.zip.namelist()}
+        except (zipfile.BadZipFile, OSError, ValueError) as exc:
+            raise ValueError(f"{path} is not a readable array archive: {exc}") from exc
+
+    def _open(self, name: str):
+        try:
+            f = self.zip.open(f"{name}.npy")
+            version = np.lib.format.read_magic(f)
+            head = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
+            shape, fortran, dtype = head(f)
+        except (zipfile.BadZipFile, OSError, ValueError, KeyError) as exc:
+            raise ValueError(f"{self.path} is not a readable array archive: {name}: {exc}") from exc
+        if dtype.hasobject:
+            raise ValueError(f"{self.path} is not a readable array archive: {name} holds pickled objects")
+        return f, shape, fortran, dtype
+
+    def shape(self, name: str) -> tuple:
+        f, shape, _, _ = self._open(name)
+        f.close()
+        return shape
+
+    def rows(self, name: str, low: int, high: int) -> np.ndarray:
+        f, shape, fortran, dtype = self._open(name)
+        with f:
+            if fortran and len(shape) > 1:
+                return np.frombuffer(f.read(), dtype).reshape(shape, order="F")[low:high]
+            each = dtype.itemsize * int(np.prod(shape[1:]))
+            f.seek(low * each, io.SEEK_CUR)
+            return np.frombuffer(f.read((high - low) * each), dtype).reshape(high - low, *shape[1:])
+
+    def number(self, name: str, default: int) -> int:
+        if name not in self.names:
+            return default
+        f, shape, _, dtype = self._open(name)
+        with f:
+            return int(np.frombuffer(f.read(), dtype)[0])
+
+
+def batches_of(archive: Archive, kind: str, columns: list[str], part: int = 0, parts: int = 1, side: int | None = None,
+               stride: int = 1, pixels: int = 1) -> Iterator[pa.RecordBatch]:
+    """Rows of one part of an archive. ``stride`` takes every so many frames from the archive's first, ``pixels`` every so
+    many rows and columns of depth."""
+    spec = KINDS[kind]
+    if missing := sorted(set(spec.required) - archive.names):
+        raise ValueError(f"{archive.path} lacks {missing}")
+    first = archive.shape(spec.required[0])
+    total = first[0]
+    start = archive.number("start", 0)
+    end = archive.number("end", start + total)
+    schema = pa.schema([(c, _arrow(t)) for c, t in _typed(schema_of(kind, columns))])
+    fields = [f for f in spec.fields if f.column in schema.names]
+    need = {f.array for f in fields} | {f.hidden for f in fields if f.hidden}
+    each = max(1, sum(8 * int(np.prod(archive.shape(n)[1:])) for n in need & archive.names))
+    step = max(1, BATCH_BYTES // each)
+    low, high = total * part // parts, total * (part + 1) // parts
+    for a in range(low, high, step):
+        b = min(high, a + step)
+        at = np.arange(a, b)
+        at = at[at % stride == 0]
+        if len(at) == 0:
+            continue
+        data = {n: archive.rows(n, a, b)[at - a] for n in need & archive.names}
+        frames = archive.rows("frames", a, b)[at - a] if kind == "trajectory" and "frames" in archive.names else at + start
+        yield (_depth_batch if kind == "depth_samples" else _row_batch)(archive.path, spec, schema, data, frames, start, end, side, pixels)
+
+
+def _depth_batch(path, spec, schema, data, frames, start, end, side, pixels) -> pa.RecordBatch:
+    depth = data.get("depth")
+    conf = data.get("depth_confidence")
+    depth = depth[:, ::pixels, ::pixels]
+    i, r, c = np.nonzero(np.isfinite(depth))
+    made = {"path": pa.array([path] * len(i)), "start": pa.array(np.full(len(i), start, np.int32)), "frame": pa.array(frames[i].astype(np.int32)),
+            "row": pa.array((r * pixels).astype(np.int32)), "col": pa.array((c * pixels).astype(np.int32)),
+            "depth": pa.array(depth[i, r, c].astype(float))}
+    if "depth_conf" in schema.names:
+        made["depth_conf"] = pa.nulls(len(i), pa.float64()) if conf is None else decode(
+            "float", conf[:, ::pixels, ::pixels][i, r, c], np.zeros(len(i), bool))
+    return pa.RecordBatch.from_arrays([made[n] for n in schema.names], schema=schema)
+
+
+def _row_batch(path, spec, schema, data, frames, start, end, side, pixels) -> pa.RecordBatch:
+    sides = ([side] if side is not None else [0, 1]) if spec.sided else [None]
+    n = len(frames) * len(sides)
+
+    def per_row(name: str) -> np.ndarray:
+        a = data[name]
+        if not spec.sided:
+            return a
+        if name in PER_FRAME:
+            return np.repeat(a, len(sides), axis=0)
+        return a[:, sides].reshape(n, *a.shape[2:])
+
+    made = {"path": pa.array([path] * n), "start": pa.array(np.full(n, start, np.int32)), "end": pa.array(np.full(n, end, np.int32)),
+            spec.index: pa.array(np.repeat(frames, len(sides)).astype(np.int32)), "side": pa.array(np.tile(np.array([s or 0 for s in sides], np.int32), len(frames)))}
+    for f in spec.fields:
+        if f.column not in schema.names:
+            continue
+        if f.array not in data:
+            made[f.column] = pa.array(np.zeros(n, bool)) if f.layout == "bool" else pa.nulls(n, schema.field(f.column).type)
+            continue
+        absent = ~per_row(f.hidden).astype(bool) if f.hidden else np.zeros(n, bool)
+        made[f.column] = decode(f.layout, per_row(f.array), absent)
+    return pa.RecordBatch.from_arrays([made[c].cast(schema.field(c).type) for c in schema.names], schema=schema)
+
+
+def _typed(schema: str) -> list[tuple[str, str]]:
     out, depth, cur = [], 0, ""
-    for ch in schema:
+    for ch in schema + ",":
         depth += (ch == "<") - (ch == ">")
         if ch == "," and depth == 0:
-            out.append(cur.strip())
+            name, kind = cur.strip().split(" ", 1)
+            out.append((name.strip("`"), kind))
             cur = ""
         else:
             cur += ch
-    return [*out, cur.strip()]
+    return out
+
 
+def _arrow(kind: str) -> pa.DataType:
+    if kind.startswith("array<"):
+        return pa.list_(_arrow(kind[6:-1]))
+    if kind.startswith("struct<"):
+        return pa.struct([(p.split(":")[0], pa.float64()) for p in kind[7:-1].split(",")])
+    return {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[kind]
 
-def read(spark: SparkSession, pattern: str, kind: str) -> DataFrame:
-    return unpack(spark.read.format("binaryFile").load(pattern), kind)
+
+# --- the source --------------------------------------------------------------------------------------------------------
+
+def store_of(path: str) -> tuple[arrow_fs.FileSystem, str]:
+    """Arrow's file system for a path or URI, and the path in it."""
+    if path.startswith("file:"):
+        return arrow_fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return arrow_fs.FileSystem.from_uri(path) if "://" in path else (arrow_fs.LocalFileSystem(), path)
+
+
+def listed(path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of a file, of the archives below a folder, or of those that match a pattern."""
+    store, inside = store_of(path)
+    prefix = path[:len(path) - len(inside)] if "://" in path else ""
+    fixed = PurePosixPath(*[p for p in _before_glob(PurePosixPath(inside).parts)])
+    info = store.get_file_info(str(fixed))
+    if info.type == arrow_fs.FileType.File:
+        return [(prefix + info.path, info.size)]
+    if info.type == arrow_fs.FileType.NotFound:
+        raise FileNotFoundError(f"no archives at {path}")
+    match = (lambda p: PurePosixPath(p).full_match(inside)) if str(fixed) != inside.rstrip("/") else (lambda p: p.endswith(".npz"))
+    found = store.get_file_info(arrow_fs.FileSelector(str(fixed), recursive=True))
+    return sorted((prefix + x.path, x.size) for x in found if x.type == arrow_fs.FileType.File and f"/{STAGING}/" not in x.path and match(x.path))
+
+
+def _before_glob(parts: tuple) -> Iterator[str]:
+    for p in parts:
+        if any(c in p for c in GLOB):
+            return
+        yield p
+
+
+@dataclass
+class FilePart(InputPartition):
+    """One of several equal ranges of an archive's rows."""
+
+    path: str
+    part: int
+    parts: int
+
+    def __post_init__(self):
+        super().__init__((self.path, self.part))
+
+
+class ArchiveReader(DataSourceReader):
+    def __init__(self, options: dict, columns: list[str]):
+        self.kind, self.path, self.columns = options["kind"], options["path"], columns
+        self.task_bytes = int(options.get("task_bytes", TASK_BYTES))
+        self.stride, self.pixels = int(options.get("stride", 1)), int(options.get("pixels", 1))
+        self.side = int(options["side"]) if "side" in options else None
+
+    def partitions(self) -> list[FilePart]:
+        out = []
+        for path, size in listed(self.path):
+            parts = max(1, -(-size // self.task_bytes))
+            out += [FilePart(path, i, parts) for i in range(parts)]
+        return out
+
+    def read(self, partition: FilePart) -> Iterator[pa.RecordBatch]:
+        store, inside = store_of(partition.path)
+        with store.open_input_file(inside) as handle:
+            yield from batches_of(Archive(handle, partition.path), self.kind, self.columns, partition.part, partition.parts,
+                                  self.side, self.stride, self.pixels)
+
+
+@dataclass
+class Staged(WriterCommitMessage):
+    """Archives that a task has finished: (where they are, where they belong)."""
+
+    moves: list[tuple[str, str]]
+
+
+class _Spool:
+    """An array that grows by rows in a nameless scratch file."""
+
+    def __init__(self, field: Field):
+        self.field, self.file, self.rows, self.tail = field, tempfile.SpooledTemporaryFile(BATCH_BYTES), 0, None
+        self.dtype = np.dtype(field.dtype)
+
+    def add(self, a: np.ndarray) -> None:
+        if self.tail is None:
+            self.tail = a.shape[1:]
+        if a.shape[1:] != self.tail:
+            raise ValueError(f"{self.field.array} changes its shape from {self.tail} to {a.shape[1:]}")
+        self.file.write(np.ascontiguousarray(a, self.dtype).tobytes())
+        self.rows += len(a)
+
+    def store(self, archive: zipfile.ZipFile, name: str, frame_tail: tuple) -> None:
+        shape = (self.rows // (frame_tail[0] if frame_tail else 1), *frame_tail, *(self.tail or ()))
+        with archive.open(f"{name}.npy", "w", force_zip64=True) as out:
+            np.lib.format.write_array_header_1_0(out, {"descr": np.lib.format.dtype_to_descr(self.dtype), "fortran_order": False, "shape": shape})
+            self.file.seek(0)
+            shutil.copyfileobj(self.file, out)
+        self.file.close()
+
+
+class _Builder:
+    """One archive in the making. Rows come by index and side; what is skipped is NaN, false or -1."""
+
+    def __init__(self, kind: str, columns: list[str]):
+        self.kind = KINDS[kind]
+        self.sides = 2 if self.kind.sided else 1
+        self.fields = [f for f in self.kind.fields if f.column in columns]
+        self.spools = {f.array: _Spool(f) for f in self.fields}
+        self.start: int | None = None
+        self.end: int | None = None
+        self.next = 0  # the first position (index and side) that is still missing
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        index = batch.column(self.kind.index).to_numpy().astype(np.int64)
+        if self.start is None:
+            keep = self.kind.window or "frames" in {f.array for f in self.kind.fields}
+            self.start = int(index[0]) if keep else 0
+            if self.kind.window:
+                self.start, self.end = int(batch.column("start")[0].as_py()), int(batch.column("end")[0].as_py())
+        at = (index - self.start) * self.sides + (batch.column("side").to_numpy() if self.sides == 2 else 0)
+        if (np.diff(at) <= 0).any() or at[0] < self.next or (self.end is not None and at[-1] >= (self.end - self.start) * self.sides):
+            raise ValueError(f"rows of an archive must be unique by {self.kind.index}" + (" and side" if self.sides == 2 else ""))
+        for f in self.fields:
+            values = encode(f, batch.column(f.column))
+            if f.array in PER_FRAME:
+                continue
+            self.spools[f.array].add(self._dense(f, values, at - self.next, int(at[-1]) + 1 - self.next))
+        self._per_frame(batch, at)
+        self.next = int(at[-1]) + 1
+
+    def _dense(self, f: Field, values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        if len(values) == n:
+            return values
+        out = np.full((n, *values.shape[1:]), {"bool": False, "int": -1, "long": -1}.get(f.layout, np.nan), values.dtype)
+        out[at] = values
+        return out
+
+    def _per_frame(self, batch: pa.RecordBatch, at: np.ndarray) -> None:
+        """Arrays with one entry per frame take it from the frame's first row, which may lie in an earlier batch."""
+        done = -(-self.next // self.sides)
+        frames, first = np.unique(at // self.sides, return_index=True)
+        new = frames >= done
+        if not new.any():
+            return
+        for f in self.fields:
+            if f.array in PER_FRAME:
+                values = encode(f, batch.column(f.column).take(pa.array(first[new])))
+                self.spools[f.array].add(self._dense(f, values, frames[new] - done, int(frames[-1]) + 1 - done))
+
+    def finish(self, path: str, handle) -> None:
+        n = -(-self.next // self.sides) if self.end is None else self.end - self.start
+        short = n * self.sides - self.next
+        for f in self.fields:
+            spool = self.spools[f.array]
+            missing = n - spool.rows if f.array in PER_FRAME else short
+            if missing:
+                blank = {"bool": False, "int": -1, "long": -1}.get(f.layout, np.nan)
+                spool.add(np.full((missing, *(spool.tail or ())), blank, spool.dtype))
+        if lacks := sorted(set(self.kind.required) - set(self.spools)):
+            raise ValueError(f"{path} lacks {lacks}")
+        with zipfile.ZipFile(handle, "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
+            for f in self.fields:
+                self.spools[f.array].store(archive, f.array, () if self.sides == 1 or f.array in PER_FRAME else (2,))
+            extra = {"start": self.start, "end": self.end} if self.kind.window else {}
+            if any(f.array == "frames" for f in self.kind.fields):
+                extra["frames"] = np.arange(self.start, self.start + n)
+            for name, value in extra.items():
+                with archive.open(f"{name}.npy", "w") as out:
+                    np.lib.format.write_array(out, np.asarray(value, np.int64).reshape(-1))
+
+
+class ArchiveWriter(DataSourceArrowWriter):
+    """Each task stages its archives; commit moves them into place, abort removes them."""
+
+    def __init__(self, options: dict, columns: list[str]):
+        self.kind, self.root, self.columns = options["kind"], options["path"].rstrip("/"), columns
+        self.stage = f"{self.root}/{STAGING}/{uuid.uuid4().hex}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
+        own = f"{self.stage}/{uuid.uuid4().hex}"
+        moves: list[tuple[str, str]] = []
+        path, builder, seen = None, None, set()
+        for batch in iterator:
+            names = batch.column("path").to_pylist()
+            cuts = [0, *[i for i in range(1, len(names)) if names[i] != names[i - 1]], len(names)] if names else [0]
+            for a, b in zip(cuts, cuts[1:]):
+                if names[a] != path:
+                    if builder is not None:
+                        moves.append(self._close(own, path, builder))
+                    path, builder = names[a], _Builder(self.kind, self.columns)
+                    if path in seen:
+                        raise ValueError(f"rows of {path} are not next to each other: sort by path and index")
+                    seen.add(path)
+                builder.add(batch.slice(a, b - a))
+        if builder is not None:
+            moves.append(self._close(own, path, builder))
+        return Staged(moves)
+
+    def _close(self, own: str, path: str, builder: _Builder) -> tuple[str, str]:
+        store, inside = store_of(f"{own}/{path}")
+        store.create_dir(str(PurePosixPath(inside).parent), recursive=True)
+        with store.open_output_stream(inside) as out:
+            builder.finish(path, out)
+        return f"{own}/{path}", f"{self.root}/{path}"
+
+    def commit(self, messages: list) -> None:
+        for message in messages:
+            for source, target in message.moves if message else ():
+                store, inside = store_of(source)
+                place = store_of(target)[1]
+                store.create_dir(str(PurePosixPath(place).parent), recursive=True)
+                store.move(inside, place)
+        self._clear()
+
+    def abort(self, messages: list) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
+        store, inside = store_of(self.stage)
+        if store.get_file_info(inside).type == arrow_fs.FileType.Directory:
+            store.delete_dir(inside)
+
+
+class ArchiveSource(DataSource):
+    """``spark.read.format("motion_archive").option("kind", ...)``; options stride, pixels, side and task_bytes when reading."""
+
+    @classmethod
+    def name(cls) -> str:
+        return NAME
+
+    def schema(self) -> str:
+        return schema_of(self.options["kind"])
+
+    def reader(self, schema) -> ArchiveReader:
+        return ArchiveReader(dict(self.options), schema.names)
+
+    def writer(self, schema, overwrite: bool) -> ArchiveWriter:
+        return ArchiveWriter(dict(self.options), schema.names)
+
+
+def read(spark: SparkSession, pattern: str, kind: str, columns: list[str] | None = None, **options) -> DataFrame:
+    """Rows of all archives of a kind. ``columns`` decides which arrays are read; wide ones (vertices, depth maps) must be named."""
+    spark.dataSource.register(ArchiveSource)
+    reader = spark.read.format(NAME).schema(schema_of(kind, columns)).option("kind", kind)
+    return reader.options(**options).load(pattern)
+
+
+def write(rows: DataFrame, root: str, kind: str) -> None:
+    """Write archives of a kind below ``root``, one per value of ``path`` (relative to it); other columns are left out.
+
+    Rows are dealt by path and sorted, and a task holds a few arrays' worth of one batch; arrays grow in scratch files. A
+    second run writes the same bytes again.
+    """
+    rows.sparkSession.dataSource.register(ArchiveSource)
+    spec = KINDS[kind]
+    if kind == "depth_samples":
+        raise ValueError("depth is written with its camera_window")
+    known = [c for c in spec.columns() if c in rows.columns]
+    if lacks := sorted({"path", spec.index, *(["start", "end"] if spec.window else []), *(["side"] if spec.sided else [])} - set(known)):
+        raise ValueError(f"rows lack {lacks}")
+    dealt = rows.select(*known).repartition("path").sortWithinPartitions("path", spec.index, *(["side"] if spec.sided else []))
+    dealt.write.format(NAME).mode("append").option("kind", kind).save(root)
+
+
+def unpack(files: DataFrame, kind: str, columns: list[str] | None = None) -> DataFrame:
+    """(path, content) rows -> typed rows of one artefact kind, in bounded batches; for stores that only Spark reads."""
+    schema = schema_of(kind, columns)
+    names = [c for c, _ in _typed(schema)]
+
+    def run(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                yield from batches_of(Archive(io.BytesIO(content.as_py()), path.as_py()), kind, names)
+
+    return files.select("path", "content").mapInArrow(run, schema)
 
 
 def clip_from_path(path=None):
@@ -192,27 +615,6 @@ def clip_from_path(path=None):
     return F.regexp_extract(c, r"([^/]+)/[^/]+/(?:windows/)?[^/]+$", 1)
 
 
-def pack_hand_windows(windows: DataFrame, root: str) -> DataFrame:
-    """Hand windows -> (path, content) archives, one per window. Missing joints become NaN.
-
-    A window has a bounded number of frames, so a group stays small.
-    """
-    path = F.format_string("%s/%s/hand/windows/%06d_%06d.npz", F.lit(root), F.col("clip").cast("string"), F.col("start"), F.col("end") - 1)
-    rows = windows.select(
-        path.alias("path"), "start", "end", "frame", "side", "valid", "conf",
-        F.flatten(F.transform("joints", lambda p: F.array(p["x"], p["y"], p["z"]))).alias("flat"))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        start, end = int(pdf["start"].iloc[0]), int(pdf["end"].iloc[0])
-        joints = np.full((end - start, 2, 63), np.nan)
-        valid = np.zeros((end - start, 2), dtype=bool)
-        conf = np.zeros((end - start, 2))
-        for frame, side, ok, c, flat in zip(pdf["frame"], pdf["side"], pdf["valid"], pdf["conf"], pdf["flat"]):
-            valid[frame - start, side], conf[frame - start, side] = ok, c
-            if flat is not None:
-                joints[frame - start, side] = flat
-        out = io.BytesIO()
-        np.savez(out, joints_camera=joints.reshape(-1, 2, 21, 3), valid=valid, confidence=conf, start=start, end=end)
-        return pd.DataFrame({"path": pdf["path"].iloc[:1].to_list(), "content": [out.getvalue()]})
-
-    return rows.groupBy("path").applyInPandas(pack, "path string, content binary")
+def window_path(stage: str, clip: str = "clip", start: str = "start", end: str = "end") -> Column:
+    """Place of a window's archive: clip, stage, first and last frame."""
+    return F.format_string(f"%s/{stage}/windows/%06d_%06d.npz", F.col(clip).cast("string"), F.col(start), F.col(end) - 1)
