@@ -191,12 +191,15 @@ METADATA = f"""WITH {vw.HANDS_SQL} SELECT clip, CAST({RATE.format(c='h')} AS DOU
 {r('avg(CASE WHEN side = 1 THEN CAST(valid AS INTEGER) END)')} AS coverage_right FROM h GROUP BY clip"""
 
 
-def trajectory_problems(spark, sf):
+def broken(spark, sf):
     """Contract breaks: short arrays, valid rows without joints, an unpaired last frame."""
     t = prediction(spark, sf)
     t = t.withColumn("betas", F.when(F.col("frame") % 8 == 1, F.slice("betas", 1, 9)).otherwise(F.col("betas")))
-    t = t.withColumn("joints_world", F.when(F.col("frame") % 9 != 2, F.col("joints_world")))
-    return quality.trajectory_problems(t)
+    return t.withColumn("joints_world", F.when(F.col("frame") % 9 != 2, F.col("joints_world")))
+
+
+def trajectory_problems(spark, sf):
+    return quality.trajectory_problems(broken(spark, sf))
 
 
 PROBLEMS = f"""WITH {vw.HANDS_SQL}, g AS (SELECT clip, count(*) FILTER (WHERE frame % 8 = 1) AS b, count(*) FILTER (WHERE valid AND frame % 9 = 2) AS v, count(*) AS n,

@@ -11,7 +11,7 @@ from ..plans import ledger as lg, quality
 from ..schemas import STAGES
 from ..session import cut_lineage, scratch_path
 from ..sources import clips_json, files, ground_truth, lerobot, npz
-from . import camera, views as vw
+from . import camera, evaluation, views as vw
 from . import hands as hq
 from .views import r, rnd, table
 
@@ -256,6 +256,28 @@ def content_hash(spark, sf):
 HASH = "SELECT doc_id, sha256(text) AS sha FROM documents"
 
 
+def file_hashes(spark, sf):
+    """Digests of files: the name of every supplier, written as a text file of its own."""
+    root = scratch_path(spark)
+    table(spark, sf, "supplier").select("s_suppkey", "s_name").repartition("s_suppkey").write.partitionBy("s_suppkey").text(root)
+    rows = lg.file_hashes(spark, f"{root}/*/*.txt")
+    return rows.select(F.regexp_extract("path", r"s_suppkey=(\d+)", 1).cast("long").alias("s_suppkey"), "size", "sha")
+
+
+FILE_HASH = "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, strlen(s_name) + 1 AS size, sha256(s_name || chr(10)) AS sha FROM supplier"
+
+
+def checked_sink(spark, sf):
+    """A broken trajectory handed to the checked sink: what it counts while it stages the rows, and that nothing is published."""
+    root = scratch_path(spark)
+    traj = evaluation.broken(spark, sf)
+    bad = files.write_checked(traj, root, quality.row_checks(traj), quality.frame_problems, "clip")
+    return spark.createDataFrame([(f, p, n) for (f, p), n in bad.items()], "field string, problem string, rows long")
+
+
+CHECKED = f"SELECT field, problem, CAST(sum(rows) AS BIGINT) AS rows FROM ({evaluation.PROBLEMS}) GROUP BY ALL"
+
+
 def params_hash(spark, sf):
     c = table(spark, sf, "customer")
     inputs = F.array(F.struct(F.lit("video").alias("name"), F.col("c_name").alias("sha")))
@@ -504,6 +526,6 @@ QUERIES = {
     "degraded_metadata": (degraded_metadata, DEGRADED),
     "latest_markers": (latest_markers, LATEST),
     "window_problems": (window_problems, WINDOW_PROBLEMS),
-    "archive_roundtrip": (archive_roundtrip, ARCHIVE),
+    "archive_roundtrip": (archive_roundtrip, ARCHIVE), "file_hashes": (file_hashes, FILE_HASH), "checked_sink": (checked_sink, CHECKED),
     "hand_landmarks": (hand_landmarks, LANDMARKS),
 }

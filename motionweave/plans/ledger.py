@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LEDGER
+from ..sources import digests
 
 # What each stage reads, as a path pattern inside the clip folder. A stage
 # never reads its own output, so its identity does not change once it has run.
@@ -21,8 +22,8 @@ STAGE_INPUTS = {
 
 
 def file_hashes(spark: SparkSession, pattern: str) -> DataFrame:
-    """(path, sha) of file contents, hashed where the files are read."""
-    return spark.read.format("binaryFile").load(pattern).select("path", content_hash(F.col("content")).alias("sha"))
+    """(path, size, sha) of files of any size, streamed through the hash where they are read."""
+    return digests.read(spark, pattern)
 
 
 def content_hash(content: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pose, vec as v
@@ -13,12 +13,8 @@ def missing_fields(df: DataFrame, strict: bool = True) -> list[str]:
     return sorted({f.name for f in TRAJECTORY} - set(df.columns)) if strict else []
 
 
-def trajectory_problems(traj: DataFrame, strict: bool = True) -> DataFrame:
-    """(clip, field, problem, rows): empty means the trajectory keeps its contract.
-
-    Checks array lengths, that both hands of every frame 0..T-1 are present once, and
-    that a valid hand-frame has complete joints.
-    """
+def row_checks(traj: DataFrame, strict: bool = True) -> dict[tuple[str, str], Column]:
+    """(field, problem) -> whether a row has it: array lengths, sides, and complete joints of valid hand-frames."""
     lost = missing_fields(traj, strict)
     if lost:
         raise ValueError(f"missing fields: {lost}")
@@ -32,6 +28,13 @@ def trajectory_problems(traj: DataFrame, strict: bool = True) -> DataFrame:
     # A wrist-only reference is complete when its wrist is.
     checks[("joints_world", "valid without joints")] = F.col("valid") & ~F.coalesce(
         v.finite(F.col("joints_world")[0]), F.lit(False))
+    return checks
+
+
+FRAMES = ("frame", "frames are not 0..T-1 for both sides")
+
+
+def _per_clip(traj: DataFrame, checks: dict[tuple[str, str], Column]) -> DataFrame:
     counted = traj.groupBy("clip").agg(
         *[F.count_if(c).alias(f"c{i}") for i, c in enumerate(checks.values())],
         F.count(F.lit(1)).alias("_rows"), (F.max("frame") + 1).alias("_t"), F.count_if(F.col("frame") < 0).alias("_neg"))
@@ -41,11 +44,25 @@ def trajectory_problems(traj: DataFrame, strict: bool = True) -> DataFrame:
     frame_bad = (F.col("_rows") != 2 * F.col("_t")) | (F.col("_keys") != F.col("_rows")) | (F.col("_neg") > 0)
     items = [F.struct(F.lit(f).alias("field"), F.lit(p).alias("problem"), F.col(f"c{i}").alias("rows"))
              for i, (f, p) in enumerate(checks)]
-    items.append(F.struct(F.lit("frame").alias("field"), F.lit("frames are not 0..T-1 for both sides").alias("problem"),
+    items.append(F.struct(F.lit(FRAMES[0]).alias("field"), F.lit(FRAMES[1]).alias("problem"),
                           F.when(frame_bad, F.col("_rows")).otherwise(F.lit(0)).cast("bigint").alias("rows")))
     return both.select("clip", F.explode(F.array(*items)).alias("i")).select("clip", "i.*").filter("rows > 0")
 
 
+def trajectory_problems(traj: DataFrame, strict: bool = True) -> DataFrame:
+    """(clip, field, problem, rows): empty means the trajectory keeps its contract.
+
+    Checks array lengths, that both hands of every frame 0..T-1 are present once, and
+    that a valid hand-frame has complete joints.
+    """
+    return _per_clip(traj, row_checks(traj, strict))
+
+
+def frame_problems(traj: DataFrame) -> DataFrame:
+    """The part of ``trajectory_problems`` that looks at clip, frame and side only."""
+    return _per_clip(traj.select("clip", "frame", "side"), {})
+
+
 def camera_window_problems(rows: DataFrame) -> DataFrame:
     """Camera windows: one row per frame of [start, end), proper rotations, 9 intrinsics."""
     checks = {

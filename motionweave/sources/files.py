@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.blocks import ranked
@@ -153,11 +155,61 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def write_checked(df: DataFrame, path: str, checks: dict[tuple[str, str], Column], later=None, partition_by: str | None = None,
+                  publish: bool = True) -> dict[tuple[str, str], int]:
+    """Write a table that becomes visible only if no row breaks a check; returns the broken checks with their rows.
+
+    The frame is evaluated once: checks are counted by an observation of the pass that writes the rows to a staging folder.
+    ``later(staged)`` may look at the written copy, where only the columns that it needs are read, and gives rows
+    (field, problem, rows) for what takes more than one row to see. Sound tables are moved into place, with
+    ``partition_by`` only the partitions present are replaced; others leave nothing behind. An empty table is a problem.
+    """
+    spark = df.sparkSession
+    names = {f"c{i}": key for i, key in enumerate(checks)}
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(checks[k]).alias(n) for n, k in names.items()])
+    jvm = spark._jvm
+    # Readers of the target pass over names with an underscore.
+    stage = jvm.org.apache.hadoop.fs.Path(f"{path}/_staged-{uuid.uuid4().hex}")
+    store = stage.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer = watched.write
+        (writer if partition_by is None else writer.partitionBy(partition_by)).parquet(stage.toString())
+        counts = seen.get
+        bad = {names[n]: counts[n] for n in names if counts[n]}
+        if not counts["rows"]:
+            bad[("table", "empty")] = 0
+        elif later is not None:
+            found = later(spark.read.schema(df.schema).parquet(stage.toString()))
+            bad |= {(r["field"], r["problem"]): r["rows"] for r in found.groupBy("field", "problem").agg(F.sum("rows").alias("rows")).collect()}
+        if publish and not bad:
+            _publish(store, jvm, stage, path, partition_by is None)
+        return bad
+    finally:
+        store.delete(stage, True)
+
+
+def _publish(store, jvm, stage, path: str, whole: bool) -> None:
+    """Move what was staged into place: the files of a whole table after its old ones are gone, or folder by folder."""
+    place = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    if whole:
+        for old in store.listStatus(jvm.org.apache.hadoop.fs.Path(path)):
+            if not old.getPath().getName().startswith("_staged-"):
+                store.delete(old.getPath(), True)
+    for new in store.listStatus(stage):
+        name = new.getPath().getName()
+        if new.isDirectory():
+            store.delete(place(name), True)
+        elif not whole:
+            continue  # the mark of a finished write
+        if not store.rename(new.getPath(), place(name)):
+            raise OSError(f"cannot move {new.getPath()} to {place(name)}")
+
+
 def write_trajectory(traj: DataFrame, path: str) -> None:
-    """Write trajectory rows after the contract check; a broken row stops the write."""
-    from ..plans.quality import trajectory_problems
+    """Write trajectory rows by clip; a broken row or an absent frame stops the write, and nothing changes."""
+    from ..plans.quality import frame_problems, row_checks
 
-    bad = trajectory_problems(traj).limit(5).collect()
+    bad = write_checked(traj, path, row_checks(traj), frame_problems, "clip")
     if bad:
-        raise ValueError(f"trajectory breaks its contract: {[tuple(r) for r in bad]}")
-    write_table(traj, path, "clip")
+        raise ValueError(f"trajectory breaks its contract: {bad}")

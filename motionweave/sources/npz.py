@@ -346,8 +346,8 @@ def store_of(path: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(path) if "://" in path else (arrow_fs.LocalFileSystem(), path)
 
 
-def listed(path: str) -> list[tuple[str, int]]:
-    """(path, bytes) of a file, of the archives below a folder, or of those that match a pattern."""
+def listed(path: str, suffix: str = ".npz") -> list[tuple[str, int]]:
+    """(path, bytes) of a file, of the files with a suffix below a folder, or of those that match a pattern."""
     store, inside = store_of(path)
     prefix = path[:len(path) - len(inside)] if "://" in path else ""
     fixed = PurePosixPath(*[p for p in _before_glob(PurePosixPath(inside).parts)])
@@ -355,8 +355,8 @@ def listed(path: str) -> list[tuple[str, int]]:
     if info.type == arrow_fs.FileType.File:
         return [(prefix + info.path, info.size)]
     if info.type == arrow_fs.FileType.NotFound:
-        raise FileNotFoundError(f"no archives at {path}")
-    match = (lambda p: PurePosixPath(p).full_match(inside)) if str(fixed) != inside.rstrip("/") else (lambda p: p.endswith(".npz"))
+        raise FileNotFoundError(f"nothing at {path}")
+    match = (lambda p: PurePosixPath(p).full_match(inside)) if str(fixed) != inside.rstrip("/") else (lambda p: p.endswith(suffix))
     found = store.get_file_info(arrow_fs.FileSelector(str(fixed), recursive=True))
     return sorted((prefix + x.path, x.size) for x in found if x.type == arrow_fs.FileType.File and f"/{STAGING}/" not in x.path and match(x.path))
 

@@ -234,3 +234,49 @@ def test_trajectories_are_written_only_whole(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == whole.count()
     with pytest.raises(ValueError, match="breaks its contract"):
         files.write_trajectory(whole.filter("frame <> 3"), f"{tmp_path}/u")
+
+
+def test_checked_sink_evaluates_once_and_publishes_whole(spark, tmp_path):
+    from motionweave.sources.files import write_checked
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "t")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame([(c, i) for c in (1, 2) for i in range(5)], "clip int, x int").withColumn("x", counted("x"))
+    late = lambda staged: staged.groupBy("clip").agg(F.count(F.lit(1)).alias("n")).where("n <> 5").select(
+        F.lit("x").alias("field"), F.lit("not five").alias("problem"), F.col("n").alias("rows"))
+    negative = {("x", "negative"): F.col("x") < 0}
+    assert write_checked(rows, path, negative, late, "clip") == {} and seen.value == 10
+    assert spark.read.parquet(path).count() == 10
+    one = rows.where("clip = 1").withColumn("x", F.col("x") + 10)
+    assert write_checked(one, path, negative, late, "clip") == {}
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("clip", "x").collect()) == [(1, 10 + i) for i in range(5)] + [(2, i) for i in range(5)]
+    assert write_checked(one.withColumn("x", F.col("x") - 12), path, negative, late, "clip") == {("x", "negative"): 2}
+    assert write_checked(one.where("x <> 11"), path, negative, late, "clip") == {("x", "not five"): 4}
+    assert write_checked(one.where("x > 99"), path, negative, late, "clip") == {("table", "empty"): 0}
+    assert spark.read.parquet(path).where("x < 0").count() == 0 and spark.read.parquet(path).count() == 10
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["clip=1", "clip=2"]
+    whole = str(tmp_path / "w")
+    for n in (3, 2):
+        assert write_checked(spark.range(n).repartition(2), whole, {}) == {}
+        assert spark.read.parquet(whole).count() == n
+
+
+def test_digests_of_large_and_many_files(spark, tmp_path):
+    import hashlib
+    size = (2 << 30) + (64 << 20) + 7  # more than one binary cell can hold, without taking disk
+    with (tmp_path / "large.bin").open("wb") as f:
+        f.truncate(size)
+        f.seek(1 << 30)
+        f.write(b"inside")
+    for i in range(40):
+        (tmp_path / f"{i}.bin").write_bytes(b"x" * i)
+    rows = {r.path.rsplit("/", 1)[1]: r for r in lg.file_hashes(spark, f"{tmp_path}/*.bin").collect()}
+    assert len(rows) == 41 and all(rows[f"{i}.bin"].sha == hashlib.sha256(b"x" * i).hexdigest() for i in range(40))
+    with (tmp_path / "large.bin").open("rb") as f:
+        assert rows["large.bin"].sha == hashlib.file_digest(f, "sha256").hexdigest() and rows["large.bin"].size == size
