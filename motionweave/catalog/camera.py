@@ -16,6 +16,7 @@ from .views import r, rnd
 
 W, O = 12, 4
 GRID = 8
+HEIGHT = 2 * GRID  # one vector of a frame above the other
 GK = (6.0, 0.0, 3.5, 0.0, 6.0, 3.5, 0.0, 0.0, 1.0)
 
 
@@ -42,9 +43,9 @@ def camera_windows(spark, sf):
 
 
 def depth_samples(spark, sf):
-    rows = _windowed(vw.embedding_frames(spark, sf).filter("side = 0").select("clip", "frame", "embedding"), spark, sf)
-    rows = rows.select("clip", "win", "_w", "frame", F.posexplode("embedding").alias("i", "e"))
-    row, col = F.floor(F.col("i") / GRID).cast("int"), (F.col("i") % GRID).cast("int")
+    rows = _windowed(vw.embedding_frames(spark, sf).select("clip", "frame", "side", "embedding"), spark, sf)
+    rows = rows.select("clip", "win", "_w", "frame", "side", F.posexplode("embedding").alias("i", "e"))
+    row, col = (GRID * F.col("side") + F.floor(F.col("i") / GRID)).cast("int"), (F.col("i") % GRID).cast("int")
     rows = rows.withColumn("row", row).withColumn("col", col)
     off = ((F.col("row") + F.col("col") + F.col("frame")) % 11 == 0) & (F.col("win") % 2 == 1)
     d = (1.5 + F.col("e").cast("double")) * F.when(off, 1.3).otherwise(1.0) / (1.0 + 0.1 * (F.col("_w") % 3))
@@ -53,12 +54,13 @@ def depth_samples(spark, sf):
 
 POSES_SQL = vw.HANDS_SQL + ", src AS (SELECT clip, n AS num_frames FROM len)," + vw.schedule_sql(W, O, "src") + f""",
 cw AS (
-  SELECT win.clip, win.win, win."start", win."end", h.frame, h.e, 1 + 0.1 * (win.win % 3) AS s, 0.1 * win.win AS a,
+  SELECT win.clip, win.win, win."start", win."end", h.frame, 1 + 0.1 * (win.win % 3) AS s, 0.1 * win.win AS a,
          {vw.YAW} * h.frame AS yaw, 0.02 * h.frame - 0.2 * win.win AS dx, 0.01 * h.frame + 0.1 * win.win AS dy, -0.05 * win.win AS dz
-  FROM win JOIN h ON h.clip = win.clip AND h.frame >= win."start" AND h.frame < win."end" WHERE h.side = 0),
-cam AS (SELECT clip, win, "start", "end", frame, e, s, a, yaw - a AS turn, (cos(a) * dx - sin(a) * dz) / s AS tx, dy / s AS ty,
+  FROM win JOIN (SELECT DISTINCT clip, frame FROM h) h ON h.clip = win.clip AND h.frame >= win."start" AND h.frame < win."end"),
+cam AS (SELECT clip, win, "start", "end", frame, s, a, yaw - a AS turn, (cos(a) * dx - sin(a) * dz) / s AS tx, dy / s AS ty,
          (sin(a) * dx + cos(a) * dz) / s AS tz FROM cw),
-pix AS (SELECT *, CAST(floor(i / {GRID}) AS INTEGER) AS "row", CAST(i % {GRID} AS INTEGER) AS col FROM (SELECT *, unnest(range(64)) AS i FROM cam)),
+pix AS (SELECT *, CAST(side * {GRID} + floor(i / {GRID}) AS INTEGER) AS "row", CAST(i % {GRID} AS INTEGER) AS col FROM (
+  SELECT cam.*, h.side, h.e, unnest(range(64)) AS i FROM cam JOIN h ON h.clip = cam.clip AND h.frame = cam.frame)),
 ds AS (SELECT *, (1.5 + CAST(e[i + 1] AS DOUBLE)) * CASE WHEN ("row" + col + frame) % 11 = 0 AND win % 2 = 1 THEN 1.3 ELSE 1 END / s AS depth FROM pix),
 lp AS (SELECT *, (col - 3.5) / 6 * depth AS px, ("row" - 3.5) / 6 * depth AS py FROM ds),
 pts AS (SELECT clip, win, frame, "row", col, depth, cos(turn) * px + sin(turn) * depth + tx AS x, py + ty AS y, -sin(turn) * px + cos(turn) * depth + tz AS z FROM lp)"""
@@ -81,13 +83,13 @@ WHERE "row" % 2 = 0 AND col % 2 = 0 AND depth > 0.9 AND depth < 1.6 AND "row" >=
 
 
 def point_clouds(spark, sf):
-    rows = dp.collect_clouds(depth_samples(spark, sf), camera_windows(spark, sf), GRID, 3, (1.0, 1.8))
+    rows = dp.collect_clouds(depth_samples(spark, sf), camera_windows(spark, sf), HEIGHT, 3, (1.0, 1.8))
     return rows.groupBy("clip", "kind").agg(F.count(F.lit(1)).alias("points"), rnd(F.avg(F.col("point")["y"])).alias("mean_y"))
 
 
 CLOUDS = f"""WITH {POSES_SQL}, k AS (
   SELECT clip, 'scene' AS kind, y FROM pts WHERE "row" % 3 = 0 AND col % 3 = 0 AND depth > 1.0 AND depth < 1.8
-  UNION ALL SELECT clip, 'ground', y FROM pts WHERE "row" = 6 AND col % 3 = 0 AND depth > 1.0 AND depth < 1.8)
+  UNION ALL SELECT clip, 'ground', y FROM pts WHERE "row" IN (12, 15) AND col % 3 = 0 AND depth > 1.0 AND depth < 1.8)
 SELECT clip, kind, count(*) AS points, {r('avg(y)')} AS mean_y FROM k GROUP BY clip, kind"""
 
 

@@ -251,13 +251,13 @@ SELECT clip, frame, side, joint, {r('500 * x / z + 320')} AS u, {r('480 * y / z
 
 def intrinsics_rescale(spark, sf):
     """Intrinsics carried from a frame-dependent image size to 640 x 480."""
-    rows = with_intrinsics(vw.hands(spark, sf).filter("side = 0"))
+    rows = with_intrinsics(vw.hands(spark, sf))
     k = camera.rescale(F.col("k"), (320 + F.col("frame"), 240 + F.col("frame")), (640, 480))
     rows = rows.withColumn("k2", k)
-    return rows.select("clip", "frame", *[rnd(F.col("k2")[i]).alias(n) for i, n in ((0, "fx"), (2, "cx"), (4, "fy"), (5, "cy"), (8, "one"))])
+    return rows.select("clip", "frame", "side", *[rnd(F.col("k2")[i]).alias(n) for i, n in ((0, "fx"), (2, "cx"), (4, "fy"), (5, "cy"), (8, "one"))])
 
 
-RESCALE = f"{HW} SELECT clip, frame, {r('500 * 640 / (320.0 + frame)')} AS fx, {r('320 * 640 / (320.0 + frame)')} AS cx, {r('480 * 480 / (240.0 + frame)')} AS fy, {r('240 * 480 / (240.0 + frame)')} AS cy, 1.0 AS one FROM h WHERE side = 0"
+RESCALE = f"{HW} SELECT clip, frame, side, {r('500 * 640 / (320.0 + frame)')} AS fx, {r('320 * 640 / (320.0 + frame)')} AS cx, {r('480 * 480 / (240.0 + frame)')} AS fy, {r('240 * 480 / (240.0 + frame)')} AS cy, 1.0 AS one FROM h"
 
 
 def rotation_algebra(spark, sf):
@@ -300,7 +300,7 @@ INTERPOLATE = f"""{HW} SELECT clip, frame, {r(f'cos({_A})')} AS r00, {r(f'sin({_
 
 def similarity_algebra(spark, sf):
     """Sim(3) applied, inverted, composed with itself and packed into a matrix."""
-    p = vw.poses(spark, sf).join(vw.hands(spark, sf).filter("side = 0").select("clip", "frame", "joints"), ["clip", "frame"])
+    p = vw.poses(spark, sf).join(vw.hands(spark, sf).select("clip", "frame", "side", "joints"), ["clip", "frame"])
     p = p.withColumn("s", pose.sim3(1.0 + 0.01 * F.col("frame"), F.col("rot"), F.col("trans"))).withColumn("w", F.col("joints")[0])
     s = F.col("s")
     p = p.withColumn("img", pose.sim3_apply(s, F.col("w"))).withColumn("twice", pose.sim3_compose(s, s))
@@ -308,15 +308,15 @@ def similarity_algebra(spark, sf):
     p = p.withColumn("u", pose.sim3_from_matrix(F.col("m")))
     rot, t = pose.sim3_pose(s, F.col("rot"), F.col("trans"))
     p = p.withColumn("pr", rot).withColumn("pt", t)
-    return p.select("clip", "frame", *vw.xyz_cols(F.col("img")), *vw.xyz_cols(F.col("back"), "b"), rnd(F.col("twice")["scale"]).alias("scale2"),
+    return p.select("clip", "frame", "side", *vw.xyz_cols(F.col("img")), *vw.xyz_cols(F.col("back"), "b"), rnd(F.col("twice")["scale"]).alias("scale2"),
                     rnd(F.col("u")["scale"]).alias("scale1"), rnd(F.col("pr")[2]).alias("pose_rot"), *vw.xyz_cols(F.col("pt"), "p"))
 
 
 _S1 = "(1 + 0.01 * frame)"
-SIM3 = f"""{HW} SELECT clip, frame, {r(f'{_S1} * ({_C0} * x + {_S0} * z) + 0.02 * frame')} AS x, {r(f'{_S1} * y + 0.01 * frame')} AS y,
+SIM3 = f"""{HW} SELECT clip, frame, side, {r(f'{_S1} * ({_C0} * x + {_S0} * z) + 0.02 * frame')} AS x, {r(f'{_S1} * y + 0.01 * frame')} AS y,
 {r(f'{_S1} * ({_C0} * z - {_S0} * x)')} AS z, {r('x')} AS bx, {r('y')} AS by, {r('z')} AS bz, {r(f'{_S1} * {_S1}')} AS scale2, {r(_S1)} AS scale1,
 {r(f'sin(2 * {_Y})')} AS pose_rot, {r(f'{_S1} * {_C0} * 0.02 * frame + 0.02 * frame')} AS px, {r(f'{_S1} * 0.01 * frame + 0.01 * frame')} AS py,
-{r(f'-{_S1} * {_S0} * 0.02 * frame')} AS pz FROM j WHERE joint = 0 AND side = 0"""
+{r(f'-{_S1} * {_S0} * 0.02 * frame')} AS pz FROM j WHERE joint = 0"""
 
 
 # -------------------------------------------------------------------- blending

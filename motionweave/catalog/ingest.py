@@ -150,13 +150,19 @@ YAW0, STEP = 0.3, 0.05
 
 
 def dataset_frames(spark, sf):
-    """Episode frames whose camera starts turned and away from the origin."""
-    rows = vw.embedding_frames(spark, sf).filter("side = 0")
+    """Episode frames whose camera starts turned and away from the origin; each hand has the vector of its side.
+
+    A last frame without a second vector has the first for both.
+    """
+    own = lambda side, c: F.max_by(c, F.when(F.col("side") == side, 1))
+    rows = vw.embedding_frames(spark, sf).groupBy("clip", "frame").agg(
+        own(0, "vec_id").alias("vec_id"), own(0, "embedding").alias("left"), own(1, "embedding").alias("right"))
+    rows = rows.withColumn("right", F.coalesce("right", "left"))
     f = F.col("frame").cast("double")
     rows = rows.withColumn("_r", v.yaw(YAW0 + STEP * f)).withColumn("_t", v.vec(1.0 + 0.1 * f, F.lit(2.0), 0.5 * f))
     w2c, t = pose.invert(F.col("_r"), F.col("_t"))
     rows = rows.withColumn("_w", w2c).withColumn("_wt", t)
-    e = lambda i: F.col("embedding")[i].cast("double")
+    e = lambda i: F.col("left" if i < 3 else "right")[i].cast("double")
     turn = F.col("_r")
     state = F.transform(F.sequence(F.lit(0), F.lit(121)), lambda i: i.cast("double") + F.col("frame"))
     return rows.select(
@@ -187,10 +193,15 @@ def _rt(angle: str, p) -> tuple:
     return f"cos({angle}) * {p[0]} - sin({angle}) * {p[2]}", p[1], f"sin({angle}) * {p[0]} + cos({angle}) * {p[2]}"
 
 
-EPISODE_REF = f"""WITH {vw.HANDS_SQL}, b AS (
+# Frames with the vectors of both sides.
+_BOTH = vw.HANDS_SQL + """,
+f AS (SELECT a.clip, a.frame, a.vec_id, a.e AS e0, coalesce(b.e, a.e) AS e1 FROM h a LEFT JOIN h b ON b.clip = a.clip AND b.frame = a.frame AND b.side = 1
+  WHERE a.side = 0)"""
+_E = "(CASE {} WHEN 0 THEN e0 ELSE e1 END)"
+EPISODE_REF = f"""WITH {_BOTH}, b AS (
   SELECT clip, frame, vec_id, CAST(s AS INTEGER) AS side, CASE s WHEN 0 THEN vec_id % 4 <> 1 AND vec_id % 5 <> 0 ELSE vec_id % 3 <> 1 END AS valid,
-    CAST(e[3 * s + 1] AS DOUBLE) AS wx, CAST(e[3 * s + 2] AS DOUBLE) AS wy, CAST(e[3 * s + 3] AS DOUBLE) AS wz
-  FROM (SELECT *, unnest(range(2)) AS s FROM h WHERE side = 0))
+    {', '.join(f"CAST({_E.format('s')}[3 * s + {i + 1}] AS DOUBLE) AS w{a}" for i, a in enumerate('xyz'))}
+  FROM (SELECT *, unnest(range(2)) AS s FROM f))
 SELECT clip, frame, side, valid, {', '.join(f'CASE WHEN valid THEN {r(e)} END AS {a}' for e, a in zip(_rt(_A0, _W0), 'xyz'))},
 {', '.join(f'CASE WHEN valid THEN {r(e)} END AS c{a}' for e, a in zip(_rt(_AF, _WF), 'xyz'))},
 {r(f'sin({STEP} * frame)')} AS root, {r(f'sin({STEP} * frame)')} AS turn, {r('61 * side + 51 + frame')} AS beta0,
@@ -227,9 +238,9 @@ def clip_frames(spark, sf):
                     rnd(F.col("wrist_left")["x"]).alias("left_x"), rnd(F.col("wrist_right")["x"]).alias("right_x"))
 
 
-_CL = f"""WITH {vw.HANDS_SQL}, d AS (SELECT clip * 1000 + CAST(floor(frame / {PART}) AS INTEGER) AS cl, frame % {PART} AS i, frame, vec_id, e FROM h WHERE side = 0)"""
+_CL = f"""WITH {_BOTH}, d AS (SELECT clip * 1000 + CAST(floor(frame / {PART}) AS INTEGER) AS cl, frame % {PART} AS i, frame, vec_id, e0, e1 FROM f)"""
 CLIP_FRAMES = f"""{_CL} SELECT cl AS clip, i AS frame, 5000000000 + i * 33333333 AS ts_ns, {r(f'sin({_AF})')} AS turn, {r('1 + 0.1 * frame')} AS x, 2.0 AS y, {r('0.5 * frame')} AS z,
-{r('e[1]')} AS left_x, CASE WHEN vec_id % 3 <> 1 THEN {r('e[4]')} END AS right_x FROM d"""
+{r('e0[1]')} AS left_x, CASE WHEN vec_id % 3 <> 1 THEN {r('e1[4]')} END AS right_x FROM d"""
 
 
 def clip_reference(spark, sf):
@@ -241,8 +252,8 @@ def clip_reference(spark, sf):
 
 _F0 = f"({YAW0} + {STEP} * f0)"
 _WA = "(wx - 1.0 - 0.1 * f0)", "(wy - 2.0)", "(wz - 0.5 * f0)"
-CLIP_REF = f"""{_CL}, s AS (SELECT cl, i, frame - i AS f0, CAST(unnest(range(2)) AS INTEGER) AS side, vec_id, e FROM d),
-p AS (SELECT *, side = 0 OR vec_id % 3 <> 1 AS valid, CAST(e[3 * side + 1] AS DOUBLE) AS wx, CAST(e[3 * side + 2] AS DOUBLE) AS wy, CAST(e[3 * side + 3] AS DOUBLE) AS wz FROM s)
+CLIP_REF = f"""{_CL}, s AS (SELECT cl, i, frame - i AS f0, CAST(unnest(range(2)) AS INTEGER) AS side, vec_id, e0, e1 FROM d),
+p AS (SELECT *, side = 0 OR vec_id % 3 <> 1 AS valid, {', '.join(f"CAST({_E.format('side')}[3 * side + {i + 1}] AS DOUBLE) AS w{a}" for i, a in enumerate('xyz'))} FROM s)
 SELECT cl AS clip, i AS frame, side, valid, {r('i * 33333333 / 1e9')} AS ts, {', '.join(f'CASE WHEN valid THEN {r(e)} END AS {a}' for e, a in zip(_rt(_F0, _WA), 'xyz'))},
 true AS fingers_missing, true AS k_missing FROM p"""
 
