@@ -8,6 +8,12 @@ numbers and a frame meets its starts through a bounded window, without a range j
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +25,7 @@ from .blocks import BLOCK, exact_quantiles, over_halo
 
 KEY = ["clip", "frame", "side"]
 MM = 1000.0
+SLICE = 1 << 16  # terms by joint that a task holds at once
 
 
 def load(traj: DataFrame, meta: DataFrame | None = None, fps: float | None = None) -> DataFrame:
@@ -80,6 +87,55 @@ def terms(pred: DataFrame, ref: DataFrame, chunk: int, step: int = 1, strict: bo
     return _terms(paired(pred, ref), sizes, chunk, step, strict, block)
 
 
+def _joints(col: pa.Array) -> np.ndarray:
+    """Lists of points as [rows, joints, 3]; what is missing is NaN, points beyond the last joint are left out."""
+    n = pc.list_value_length(col).to_numpy(zero_copy_only=False).astype(int)
+    row = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    points = np.column_stack([pc.struct_field(col.flatten(), i).to_numpy(zero_copy_only=False) for i in range(3)])
+    out = np.full((len(n), NUM_JOINTS, 3), np.nan)
+    out[row[at < NUM_JOINTS], at[at < NUM_JOINTS]] = points[at < NUM_JOINTS]
+    return out
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Error sums of a batch: per (clip, side, joint) over all starts, and per (clip, start) over all joints.
+
+    A missing or non-finite point gives no term.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = batch.column("_starts")
+        count = pc.list_value_length(starts).to_numpy(zero_copy_only=False).astype(int)
+        gauge = starts.flatten()
+        turn = pc.list_flatten(pc.struct_field(gauge, 1)).to_numpy(zero_copy_only=False).reshape(-1, 3, 3)
+        shift = np.column_stack([pc.struct_field(pc.struct_field(gauge, 2), i).to_numpy(zero_copy_only=False) for i in range(3)])
+        first = pc.struct_field(gauge, 0).to_numpy(zero_copy_only=False)
+        p, g = _joints(batch.column("p_joints")), _joints(batch.column("g_joints"))
+        keys = pd.DataFrame({c: batch.column(c).to_pandas() for c in ("clip", "side", "interpolated")})
+        row = np.repeat(np.arange(len(keys)), count)
+        total, used = np.zeros((len(row), NUM_JOINTS)), np.zeros((len(row), NUM_JOINTS), bool)
+        for a in range(0, len(row), SLICE):
+            b = slice(a, a + SLICE)
+            far = p[row[b]] - g[row[b]] @ turn[b].transpose(0, 2, 1) - shift[b][:, None]
+            d = np.sqrt((far * far).sum(axis=2))
+            used[b] = np.isfinite(d)
+            total[b] = np.where(used[b], d, 0.0)
+        ends = np.cumsum(count)[:-1]
+        by_row = [np.add.reduceat(x, [0, *ends], axis=0) for x in (total, used.astype(np.int64))]
+        joints = pd.concat([keys] * NUM_JOINTS, ignore_index=True).assign(
+            joint=np.repeat(np.arange(NUM_JOINTS), len(keys)), s=by_row[0].T.ravel(), n=by_row[1].T.ravel())
+        joints = joints.groupby(["clip", "side", "interpolated", "joint"], as_index=False, sort=False, dropna=False).sum()
+        chunks = keys.iloc[row][["clip", "interpolated"]].assign(start=first, s=total.sum(axis=1), n=used.sum(axis=1))
+        chunks = chunks.groupby(["clip", "interpolated", "start"], as_index=False, sort=False, dropna=False).sum()
+        out = pd.concat([joints, chunks], ignore_index=True)
+        kinds = {"clip": batch.schema.field("clip").type, "interpolated": pa.bool_(), "side": pa.int32(), "joint": pa.int32(), "start": pa.int32(),
+                 "s": pa.float64(), "n": pa.int64()}
+        whole = {c: out[c].astype("Int32") if t == pa.int32() else out[c] for c, t in kinds.items()}
+        yield pa.RecordBatch.from_arrays([pa.array(whole[c], t, from_pandas=True) for c, t in kinds.items()], names=list(kinds))
+
+
 def _terms(rows: DataFrame, sizes: DataFrame, longest: int, step: int, strict: bool, block: int) -> DataFrame:
     """``sizes`` has the chunk of every clip; ``longest`` is the largest of them."""
     a = v.mul_t(F.col("p_rot"), F.col("g_rot"))
@@ -87,7 +143,7 @@ def _terms(rows: DataFrame, sizes: DataFrame, longest: int, step: int, strict: b
     both = F.col("p_valid") & F.col("g_valid")
     rows = rows.select(
         *KEY, "interpolated", F.struct(F.col("frame").alias("start"), "_A", "_c").alias("_gauge"),
-        F.when(both, F.arrays_zip(F.col("p_joints_world").alias("p"), F.col("g_joints_world").alias("g"))).alias("_j"))
+        F.when(both, F.col("p_joints_world")).alias("p_joints"), F.when(both, F.col("g_joints_world")).alias("g_joints"))
 
     def body(r, asc, _):
         # A frame starts a chunk when the clip is long enough for the chunk's last frame.
@@ -99,28 +155,14 @@ def _terms(rows: DataFrame, sizes: DataFrame, longest: int, step: int, strict: b
 
     rows = rows.join(sizes.select("clip", "chunk", "num_frames"), "clip")
     rows = over_halo(rows, ["clip"], longest - 1, 0, body, block=block).drop("_gauge")
-    # A missing or non-finite point makes the distance NULL, NaN or infinite. Sums and
-    # counts skip NULL, so no filter has to evaluate the distance a second time.
-    s, finite = F.col("_s"), F.lit(float("inf"))
-    far = lambda pg: v.distance(pg["p"], v.add(v.mul_vec(s["_A"], pg["g"]), s["_c"]))
-    each = rows.filter(F.col("_j").isNotNull()).withColumn("_s", F.explode("_starts")).select(
-        "clip", "side", "interpolated", s["start"].alias("start"), F.transform("_j", far).alias("_d"))
-    # The joints stay columns while a start gathers its frames, which is where the rows are.
-    err = [F.get("_d", F.lit(i)) for i in range(NUM_JOINTS)]
-    err = [F.when(d < finite, d) for d in err]
-    gathered = each.groupBy("clip", "side", "start", "interpolated").agg(
-        *[F.sum(d).alias(f"s{i}") for i, d in enumerate(err)], *[F.count(d).alias(f"n{i}") for i, d in enumerate(err)])
-    pairs = F.array(*[F.struct(F.lit(i).alias("joint"), F.col(f"s{i}").alias("s"), F.col(f"n{i}").alias("n")) for i in range(NUM_JOINTS)])
-    flat = gathered.select("clip", "side", "start", "interpolated", F.explode(pairs).alias("x")).select(
-        "clip", "side", "start", "interpolated", "x.*")
+    each = rows.filter(F.col("p_joints").isNotNull() & F.col("g_joints").isNotNull() & (F.size("_starts") > 0)).select(
+        "clip", "side", "interpolated", "p_joints", "g_joints", "_starts")
+    kind = each.schema["clip"].dataType.simpleString()
+    flat = each.mapInArrow(_folded, f"clip {kind}, interpolated boolean, side int, joint int, start int, s double, n bigint")
     real = ~F.col("interpolated")
-    totals = (F.sum("s").alias("sum"), F.sum("n").alias("n"), F.sum(F.when(real, F.col("s"))).alias("sum_real"),
-              F.coalesce(F.sum(F.when(real, F.col("n"))), F.lit(0)).alias("n_real"))
-    none = lambda kind: F.lit(None).cast(kind)
-    names = ("clip", "side", "joint", "start", "sum", "n", "sum_real", "n_real")
-    joints = flat.groupBy("clip", "side", "joint").agg(*totals).withColumn("start", none("int")).select(*names)
-    starts = flat.groupBy("clip", "start").agg(*totals).withColumns({"side": none("int"), "joint": none("int")}).select(*names)
-    sums = joints.unionByName(starts)
+    sums = flat.groupBy("clip", "side", "joint", "start").agg(
+        F.sum("s").alias("sum"), F.sum("n").alias("n"), F.sum(F.when(real, F.col("s"))).alias("sum_real"),
+        F.coalesce(F.sum(F.when(real, F.col("n"))), F.lit(0)).alias("n_real"))
     if not strict:
         return sums
     # The length check meets the sums, which are small, rather than the frames.
