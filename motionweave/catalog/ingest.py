@@ -461,22 +461,44 @@ def plain_model() -> handmodel.HandModel:
     return handmodel.HandModel(template, np.zeros((n, 3, 10)), regressor, weights)
 
 
+def bending_model() -> handmodel.HandModel:
+    """The flat hand with a shape number that scales it, one that draws the tips back, and tips that sink as fingers bend."""
+    flat = plain_model()
+    tips = list(handmodel.TIP_VERTEX.values())
+    shape = np.zeros((len(flat.template), 3, 10))
+    shape[:, :, 0] = flat.template
+    shape[tips, 1, 1] = -1.0
+    bend = np.zeros((len(flat.template), 3, 15, 3, 3))
+    for name, joints in handmodel.FINGER_JOINTS.items():
+        bend[handmodel.TIP_VERTEX[name], 2, joints[0] - 1, 1, 1] = 0.1
+    return handmodel.HandModel(flat.template, shape, flat.regressor, flat.weights, bend.reshape(-1, 3, 135))
+
+
 def hand_landmarks(spark, sf):
-    """A flat hand posed by a turn of the wrist, side 0 with the mirrored model."""
-    rows = vw.hands(spark, sf)
-    ident = v.identity()
-    rows = rows.select("clip", "frame", "side", "valid", F.col("joints")[0].alias("wrist"), F.array_repeat(F.lit(0.0), 10).alias("betas"),
-                       F.array_repeat(ident, 15).alias("hand_pose"), v.yaw(0.05 * F.col("frame")).alias("root_rot"),
-                       F.lit(None).cast("array<struct<x:double,y:double,z:double>>").alias("joints"))
-    right = plain_model()
-    return vw.long_joints(handmodel.add_landmarks(rows, {0: handmodel.mirror_model(right), 1: right}))
+    """Hands of many shapes with bent fingers and a turned wrist, side 0 with the mirrored model."""
+    f = F.col("frame").cast("double")
+    bend = 0.02 * (F.col("frame") % 10) + 0.05
+    c, s = F.cos(bend), F.sin(bend)
+    betas = F.concat(F.array(0.1 * (f % 3), F.when(F.col("frame") % 7 == 5, 0.1).otherwise(0.0)), F.array_repeat(F.lit(0.0), 8))
+    rows = vw.hands(spark, sf).select(
+        "clip", "frame", "side", "valid", F.col("joints")[0].alias("wrist"), betas.alias("betas"),
+        F.array_repeat(v.mat(c, -s, 0.0, s, c, 0.0, 0.0, 0.0, 1.0), 15).alias("hand_pose"), v.yaw(0.05 * F.col("frame")).alias("root_rot"),
+        F.lit(None).cast("array<struct<x:double,y:double,z:double>>").alias("joints"))
+    right = bending_model()
+    made = handmodel.add_landmarks(rows, {0: handmodel.mirror_model(right), 1: right})
+    return vw.long_joints(made, extra=("rest_ok",))
 
 
 _SGN = "CASE side WHEN 1 THEN 1 ELSE -1 END"
-LANDMARKS = f"""WITH {vw.HANDS_SQL}, q AS (SELECT clip, frame, side, joint AS k FROM j WHERE valid), wr AS (SELECT * FROM j WHERE joint = 0),
-p AS (SELECT q.*, wr.x AS wx, wr.y AS wy, wr.z AS wz, CASE WHEN k = 0 THEN 0 ELSE 0.02 * (floor((k - 1) / 4) - 2) END AS rx,
-  CASE WHEN k = 0 THEN 0 ELSE 0.03 * ((k - 1) % 4 + 1) END AS ry FROM q JOIN wr ON wr.clip = q.clip AND wr.frame = q.frame AND wr.side = q.side)
-SELECT clip, frame, side, k AS joint, {r(f'wx + {_SGN} * cos(0.05 * frame) * rx')} AS x, {r('wy + ry')} AS y, {r('wz - sin(0.05 * frame) * rx')} AS z FROM p"""
+LANDMARKS = f"""WITH {vw.HANDS_SQL}, q AS (SELECT clip, frame, side, joint AS k, CASE WHEN joint > 0 THEN (joint - 1) % 4 + 1 ELSE 0 END AS n, floor((joint - 1) / 4) - 2 AS f,
+  0.02 * (frame % 10) + 0.05 AS b, 1 + 0.1 * (frame % 3) AS s, CASE WHEN frame % 7 = 5 THEN 0.1 ELSE 0 END AS back FROM j WHERE valid),
+l AS (SELECT *, CASE WHEN n = 0 THEN 0 ELSE 0.02 * f * s END AS x0, 0.03 * s AS len, 0.03 * s - back AS tip FROM q),
+m AS (SELECT *, CASE n WHEN 0 THEN 0 WHEN 1 THEN x0 WHEN 2 THEN x0 - len * sin(b) ELSE x0 - len * (sin(b) + sin(2 * b)) - CASE n WHEN 4 THEN tip * sin(3 * b) ELSE 0 END END AS rx,
+  CASE n WHEN 0 THEN 0 WHEN 1 THEN len WHEN 2 THEN len * (1 + cos(b)) ELSE len * (1 + cos(b) + cos(2 * b)) + CASE n WHEN 4 THEN tip * cos(3 * b) ELSE 0 END END AS ry,
+  CASE n WHEN 4 THEN 0.1 * (cos(b) - 1) ELSE 0 END AS rz FROM l), wr AS (SELECT * FROM j WHERE joint = 0),
+p AS (SELECT m.*, wr.x AS wx, wr.y AS wy, wr.z AS wz FROM m JOIN wr ON wr.clip = m.clip AND wr.frame = m.frame AND wr.side = m.side)
+SELECT clip, frame, side, back = 0 AS rest_ok, k AS joint, {r(f'wx + {_SGN} * (cos(0.05 * frame) * rx + sin(0.05 * frame) * rz)')} AS x, {r('wy + ry')} AS y,
+  {r('wz - sin(0.05 * frame) * rx + cos(0.05 * frame) * rz')} AS z FROM p"""
 
 
 # --------------------------------------------------------------- user functions

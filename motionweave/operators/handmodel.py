@@ -9,8 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..schemas import NUM_JOINTS, PARENT
 
@@ -113,11 +115,32 @@ def check_mapping(model: HandModel) -> bool:
     return chains_ok(landmarks_np(model, np.zeros((1, 10)), eye, np.eye(3)[None], None))
 
 
+def rest_ok(model: HandModel, betas: np.ndarray) -> np.ndarray:
+    """Whether every finger of each shape runs away from the wrist in the rest pose."""
+    eye = np.broadcast_to(np.eye(3), (len(betas), 15, 3, 3))
+    points = landmarks_np(model, betas, eye, eye[:, 0], None)
+    d = np.linalg.norm(points - points[:, :1], axis=-1)
+    parent = np.array(PARENT)
+    return (d[:, 1:] >= d[:, parent[1:]]).all(axis=1)
+
+
+def _numbers(col: pa.Array, *tail: int) -> np.ndarray:
+    while pa.types.is_list(col.type):
+        col = col.flatten()
+    return col.to_numpy(zero_copy_only=False).astype(float).reshape(-1, *tail)
+
+
+def _points(a: np.ndarray, kind: pa.DataType) -> pa.Array:
+    flat = pa.StructArray.from_arrays([pa.array(a[..., i].ravel()) for i in range(3)], ["x", "y", "z"])
+    return pa.ListArray.from_arrays(np.arange(len(a) + 1, dtype=np.int32) * a.shape[1], flat).cast(kind)
+
+
 def add_landmarks(hands: DataFrame, models: dict[int, HandModel]) -> DataFrame:
-    """Fill ``joints`` (21 points, wrist pinned to ``wrist``) for valid rows of a modelled side.
+    """Fill ``joints`` (21 points, wrist pinned to ``wrist``) for valid rows of a modelled side, where the rows are.
 
-    Rows: betas, hand_pose (15 x 9), root_rot (9), wrist, side, valid. Other rows keep
-    their joints.
+    Rows: betas, hand_pose (15 x 9), root_rot (9), wrist, side, valid. Other rows keep their joints. A column ``rest_ok``
+    says whether the mapping fits the row's own shape: in its rest pose every finger runs away from the wrist. It is NULL
+    where nothing was filled.
     """
     for side, model in models.items():
         if not check_mapping(model):
@@ -125,29 +148,33 @@ def add_landmarks(hands: DataFrame, models: dict[int, HandModel]) -> DataFrame:
     if sum(model.nbytes for model in models.values()) > MAX_BYTES:
         raise ValueError("the models are too large to broadcast together")
     shared = hands.sparkSession.sparkContext.broadcast(models)
-    keys = ["clip", "frame", "side"]
-    slim = hands.filter(F.col("valid") & F.col("side").isin(list(models))).select(
-        *keys, "betas", F.flatten("hand_pose").alias("hp"), "root_rot",
-        F.array(*[F.col("wrist")[a] for a in "xyz"]).alias("w"))
+    names = hands.columns
 
     def run(batches):
         flip = np.diag([-1.0, 1.0, 1.0])
-        for pdf in batches:
-            for side, g in pdf.groupby("side"):
-                model = shared.value[int(side)]
-                hp = np.stack(g["hp"].to_numpy()).astype(float).reshape(-1, 15, 3, 3)
-                root = np.stack(g["root_rot"].to_numpy()).astype(float).reshape(-1, 3, 3)
+        for batch in batches:
+            n = batch.num_rows
+            old = batch.column("joints")
+            take, flags = np.arange(n), np.zeros(n, bool)
+            made, filled = [old], n
+            valid = pc.fill_null(batch.column("valid"), False).to_numpy(zero_copy_only=False)
+            sides = pc.fill_null(batch.column("side"), -1).to_numpy(zero_copy_only=False)
+            for side, model in shared.value.items():
+                at = np.flatnonzero(valid & (sides == side))
+                if not len(at):
+                    continue
+                rows = batch.take(pa.array(at))
+                betas = _numbers(rows.column("betas"), rows.column("betas").value_lengths()[0].as_py())
+                pose, root = _numbers(rows.column("hand_pose"), 15, 3, 3), _numbers(rows.column("root_rot"), 3, 3)
+                wrist = np.column_stack([pc.struct_field(rows.column("wrist"), i).to_numpy(zero_copy_only=False) for i in range(3)])
                 if model.mirrored:
-                    hp, root = flip @ hp @ flip, flip @ root @ flip
-                pts = landmarks_np(model, np.stack(g["betas"].to_numpy()).astype(float), hp, root,
-                                   np.stack(g["w"].to_numpy()).astype(float))
-                out = g[keys].reset_index(drop=True)
-                out["flat"] = list(pts.reshape(len(g), -1))
-                yield out
-
-    kinds = ", ".join(f"{k} {hands.schema[k].dataType.simpleString()}" for k in keys)
-    flat = slim.mapInPandas(run, f"{kinds}, flat array<double>")
-    pts = F.transform(F.sequence(F.lit(0), F.lit(NUM_JOINTS - 1)), lambda j: F.struct(
-        *[F.get(F.col("flat"), 3 * j + i).alias(a) for i, a in enumerate("xyz")]))
-    made = flat.select(*keys, pts.alias("_made"))
-    return hands.join(made, keys, "left").withColumn("joints", F.coalesce("_made", "joints")).drop("_made")
+                    pose, root = flip @ pose @ flip, flip @ root @ flip
+                made.append(_points(landmarks_np(model, betas, pose, root, wrist), old.type))
+                take[at] = filled + np.arange(len(at))
+                flags[at] = rest_ok(model, betas)
+                filled += len(at)
+            joints = pa.concat_arrays(made).take(pa.array(take))
+            columns = [joints if c == "joints" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(flags, mask=take < n)], names=[*names, "rest_ok"])
+
+    return hands.mapInArrow(run, StructType([*hands.schema.fields, StructField("rest_ok", BooleanType())]))

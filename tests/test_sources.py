@@ -280,3 +280,16 @@ def test_digests_of_large_and_many_files(spark, tmp_path):
     assert len(rows) == 41 and all(rows[f"{i}.bin"].sha == hashlib.sha256(b"x" * i).hexdigest() for i in range(40))
     with (tmp_path / "large.bin").open("rb") as f:
         assert rows["large.bin"].sha == hashlib.file_digest(f, "sha256").hexdigest() and rows["large.bin"].size == size
+
+
+def test_landmarks_are_filled_in_place(spark):
+    from motionweave.catalog.ingest import plain_model
+    eye = [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0]
+    kept = [(9.0, 9.0, 9.0)]
+    rows = [(i, side, ok, [0.0] * 10, [eye] * 15, eye, (1.0 * i, 2.0, 3.0), kept, "other")
+            for i, (side, ok) in enumerate([(1, True), (0, True), (1, False), (None, True), (1, None)])]
+    df = spark.createDataFrame(rows, "id int, side int, valid boolean, betas array<double>, hand_pose array<array<double>>, root_rot array<double>, "
+                               "wrist struct<x:double,y:double,z:double>, joints array<struct<x:double,y:double,z:double>>, more string")
+    got = sorted(handmodel.add_landmarks(df, {1: plain_model()}).collect(), key=lambda r: r.id)
+    assert [r.rest_ok for r in got] == [True, None, None, None, None] and [len(r.joints) for r in got] == [21, 1, 1, 1, 1]
+    assert tuple(got[0].joints[0]) == (0.0, 2.0, 3.0) and all(r.more == "other" for r in got)
