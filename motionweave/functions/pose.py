@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import vec as v
 
@@ -110,85 +107,33 @@ def matrix_to_quat(m: Column) -> Column:
     )
 
 
-# ------------------------------------------------------- SLERP (Arrow batches)
-def _quat_np(m: np.ndarray) -> np.ndarray:
-    """[N,3,3] -> [N,4] as (x, y, z, w), the dominant component picked per row."""
-    d = m[:, [0, 1, 2], [0, 1, 2]]
-    tr = d.sum(axis=1)
-    cands = np.empty((4, m.shape[0], 4))
-    cands[3] = np.stack([m[:, 2, 1] - m[:, 1, 2], m[:, 0, 2] - m[:, 2, 0], m[:, 1, 0] - m[:, 0, 1], 1 + tr], 1)
-    for a in range(3):
-        b, c = (a + 1) % 3, (a + 2) % 3
-        q = np.empty((m.shape[0], 4))
-        q[:, a] = 1 + 2 * d[:, a] - tr
-        q[:, b] = m[:, a, b] + m[:, b, a]
-        q[:, c] = m[:, a, c] + m[:, c, a]
-        q[:, 3] = m[:, c, b] - m[:, b, c]
-        cands[a] = q
-    pick = np.argmax(np.column_stack([d, tr]), axis=1)
-    q = cands[pick, np.arange(m.shape[0])]
-    return q / np.linalg.norm(q, axis=1, keepdims=True)
-
-
-def _matrix_np(q: np.ndarray) -> np.ndarray:
-    x, y, z, w = q.T
-    out = np.empty((q.shape[0], 3, 3))
-    out[:, 0] = np.stack([1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w)], 1)
-    out[:, 1] = np.stack([2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)], 1)
-    out[:, 2] = np.stack([2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)], 1)
-    return out
-
-
-def slerp_np(a: np.ndarray, b: np.ndarray, alpha: np.ndarray) -> np.ndarray:
-    """Shortest-path SLERP of [N,3,3] stacks; straight line when nearly parallel."""
-    qa, qb = _quat_np(a), _quat_np(b)
-    cosine = np.einsum("ni,ni->n", qa, qb)
-    qb = np.where(cosine[:, None] < 0, -qb, qb)
-    theta = np.arccos(np.clip(np.abs(cosine), 0.0, 1.0))
-    sine = np.sin(theta)
-    flat = sine < NEAR_ZERO_ANGLE
-    safe = np.where(flat, 1.0, sine)
-    wa = np.where(flat, 1.0 - alpha, np.sin((1.0 - alpha) * theta) / safe)
-    wb = np.where(flat, alpha, np.sin(alpha * theta) / safe)
-    q = wa[:, None] * qa + wb[:, None] * qb
-    return _matrix_np(q / np.linalg.norm(q, axis=1, keepdims=True))
-
-
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def slerp(a: pd.Series, b: pd.Series, alpha: pd.Series) -> pd.Series:
-    """SLERP between two 9-entry rotations; NULL when an input is NULL."""
-    ok = a.notna() & b.notna() & alpha.notna()
-    out = pd.Series([None] * len(a), index=a.index, dtype=object)
-    if ok.any():
-        ra = np.stack(a[ok].to_numpy()).astype(float).reshape(-1, 3, 3)
-        rb = np.stack(b[ok].to_numpy()).astype(float).reshape(-1, 3, 3)
-        res = slerp_np(ra, rb, alpha[ok].to_numpy(dtype=float)).reshape(-1, 9)
-        out[ok] = pd.Series(list(res), index=out.index[ok])
-    return out
-
-
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def slerp_fold(rots: pd.Series, alphas: pd.Series) -> pd.Series:
-    """Fold flattened rotations (9 per contributor) left to right with SLERP.
-
-    The first contributor is taken as it is; a contributor with weight <= 0 leaves
-    the running value alone. Rows with equally many contributors are solved together.
-    """
-    out = pd.Series([None] * len(rots), index=rots.index, dtype=object)
-    counts = alphas.map(lambda x: 0 if x is None else len(x))
-    for n in sorted(set(counts)):
-        if n == 0:
-            continue
-        rows = counts == n
-        m = np.stack(rots[rows].to_numpy()).astype(float).reshape(-1, n, 3, 3)
-        w = np.stack(alphas[rows].to_numpy()).astype(float)
-        acc = m[:, 0].copy()
-        for k in range(1, n):
-            take = w[:, k] > 0
-            if take.any():
-                acc[take] = slerp_np(acc[take], m[take, k], w[take, k])
-        out[rows] = pd.Series(list(acc.reshape(-1, 9)), index=out.index[rows])
-    return out
+# ----------------------------------------------------------------------- SLERP
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def slerp(a: Column | str, b: Column | str, alpha: Column | str) -> Column:
+    """Shortest-path SLERP between two 9-entry rotations, a straight line when they are nearly parallel; NULL when an input is."""
+    a, b, alpha = (F.col(c) if isinstance(c, str) else c for c in (a, b, alpha))
+
+    def turned(x: Column) -> Column:
+        cosine = sum((x["a"][i] * x["b"][i] for i in range(1, 4)), x["a"][0] * x["b"][0])
+        theta = F.acos(F.least(F.abs(cosine), F.lit(1.0)))
+        return F.struct(x["a"].alias("a"), x["b"].alias("b"), x["w"].alias("w"), F.when(cosine < 0, -1.0).otherwise(1.0).alias("sign"),
+                        theta.alias("theta"), F.sin(theta).alias("sine"))
+
+    def weighed(x: Column) -> Column:
+        flat = x["sine"] < NEAR_ZERO_ANGLE
+        wa = F.when(flat, 1.0 - x["w"]).otherwise(F.sin((1.0 - x["w"]) * x["theta"]) / x["sine"])
+        wb = F.when(flat, x["w"]).otherwise(F.sin(x["w"] * x["theta"]) / x["sine"])
+        return F.struct(x["a"].alias("a"), x["b"].alias("b"), wa.alias("wa"), (x["sign"] * wb).alias("wb"))
+
+    mixed = lambda x: F.zip_with(x["a"], x["b"], lambda p, q: x["wa"] * p + x["wb"] * q)
+    both = F.struct(matrix_to_quat(a).alias("a"), matrix_to_quat(b).alias("b"), alpha.cast("double").alias("w"))
+    # The matrix does not depend on the length of its quaternion.
+    out = _let(_let(_let(_let(both, turned), weighed), mixed), lambda q: quat_to_matrix(q[3], q[0], q[1], q[2]))
+    return F.when(a.isNotNull() & b.isNotNull() & alpha.isNotNull(), out)
 
 
 # ---------------------------------------------------------- similarity (Sim3)

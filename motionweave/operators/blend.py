@@ -58,7 +58,8 @@ def mix_numbers(a: Column, b: Column, w: Column) -> Column:
 
 
 def fold_rotations(contrib: Column, field: str) -> Column:
-    return pose.slerp_fold(F.flatten(contrib[field]), contrib["alpha"])
+    """Left fold by SLERP: the first rotation stands, later ones turn it by their weight."""
+    return fold(contrib, field, pose.slerp, "array<double>")
 
 
 def blend_hands(windows: DataFrame) -> DataFrame:
