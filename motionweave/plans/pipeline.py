@@ -39,9 +39,9 @@ def refine_trajectory(traj: DataFrame, cameras: DataFrame, max_gap: int | None =
 
 
 def raw_trajectory(dets: DataFrame, hand_windows: DataFrame, depth: DataFrame, camera_windows: DataFrame,
-                   clips: DataFrame, schedule: DataFrame, window: int, overlap: int, fps: float,
+                   clips: DataFrame, schedule: DataFrame, window: int, overlap: int, fps: float | DataFrame,
                    smooth_passes: int = 0, **stitch_options) -> DataFrame:
-    """Detections, hand windows and camera windows to a fused trajectory."""
+    """Detections, hand windows and camera windows to a fused trajectory; ``fps`` is one rate or a table (clip, fps)."""
     tracks = tracking.track(dets, clips)
     hands = windows.smooth_hands(blend.blend_hands(hand_windows), smooth_passes)
     cameras = stitch.stitch(depth, camera_windows, schedule, window, overlap, **stitch_options)
