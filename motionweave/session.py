@@ -69,9 +69,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path in the shared folder; what is written there is deleted when the session's JVM ends."""
-    path = f"{shared_folder(spark)}/motionweave-{uuid.uuid4().hex}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """A new path in a folder of its own in the shared one; the folder is deleted when the session's JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/motionweave-{uuid.uuid4().hex}")
     store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)  # only what exists can be marked
     store.deleteOnExit(folder)
-    return path
+    return f"{folder.toString()}/data"
