@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,30 +148,43 @@ def confidence_weights(hands: DataFrame, per_side: bool = False) -> DataFrame:
 def solve_bands(diag: np.ndarray, up1: np.ndarray, up2: np.ndarray, rhs: np.ndarray) -> np.ndarray:
     """Solve a symmetric positive definite system with two bands above the diagonal.
 
-    ``rhs`` is [n, m]; runs in O(n).
+    ``rhs`` is [n, m]. Rows are taken in pairs, which makes the system tridiagonal in 2x2
+    blocks; cyclic reduction then solves it in log(n) steps over whole arrays. Systems laid
+    one after another, their couplings zero, are solved together.
     """
     n = len(diag)
-    d, l1, l2 = diag.tolist(), [0.0] * n, [0.0] * n
-    u1, u2 = up1.tolist(), up2.tolist()
-    y = rhs.astype(float).copy()
-    for i in range(n):
-        pivot = d[i]
-        if i + 1 < n:
-            l1[i] = u1[i] / pivot
-            d[i + 1] -= l1[i] * u1[i]
-            y[i + 1] -= l1[i] * y[i]
-            if i + 2 < n:
-                l2[i] = u2[i] / pivot
-                u1[i + 1] -= l1[i] * u2[i]
-                d[i + 2] -= l2[i] * u2[i]
-                y[i + 2] -= l2[i] * y[i]
-    for i in range(n - 1, -1, -1):
-        y[i] /= d[i]
-        if i + 1 < n:
-            y[i] -= l1[i] * y[i + 1]
-        if i + 2 < n:
-            y[i] -= l2[i] * y[i + 2]
-    return y
+    if n == 0:
+        return np.zeros((0, rhs.shape[1]))
+    k = -(-n // 2)
+    d, u1, u2 = (np.append(x.astype(float), [fill] * (2 * k - n)).reshape(k, 2)
+                 for x, fill in ((diag, 1.0), (up1, 0.0), (up2, 0.0)))
+    own = np.stack([np.stack([d[:, 0], u1[:, 0]], 1), np.stack([u1[:, 0], d[:, 1]], 1)], 1)
+    ahead = np.stack([np.stack([u2[:, 0], np.zeros(k)], 1), np.stack([u1[:, 1], u2[:, 1]], 1)], 1)[:-1]
+    y = np.zeros((2 * k, rhs.shape[1]))
+    y[:n] = rhs
+    return _reduce(own, ahead, y.reshape(k, 2, -1)).reshape(2 * k, -1)[:n]
+
+
+def _reduce(own: np.ndarray, ahead: np.ndarray, rhs: np.ndarray) -> np.ndarray:
+    """Cyclic reduction: ``ahead[i]`` ties block i to block i + 1. Odd blocks are expressed by
+    their neighbours, the even ones form a system of half the size."""
+    if len(own) == 1:
+        return np.linalg.solve(own, rhs)
+    odd, even, y = own[1::2], own[::2].copy(), rhs[::2].copy()
+    into, out_of = ahead[::2], ahead[1::2]
+    n_in, n_out = len(into), len(out_of)
+    from_left = np.linalg.solve(odd, np.concatenate([into.swapaxes(1, 2), rhs[1::2]], 2))
+    from_left, known = from_left[:, :, :2], from_left[:, :, 2:]
+    from_right = np.linalg.solve(odd[:n_out], out_of)
+    even[:n_in] -= into @ from_left
+    even[1:] -= out_of.swapaxes(1, 2) @ from_right
+    y[:n_in] -= into @ known
+    y[1:] -= out_of.swapaxes(1, 2) @ known[:n_out]
+    x = np.empty_like(rhs)
+    x[::2] = _reduce(even, -(into[:n_out] @ from_right), y)
+    x[1::2] = known - from_left @ x[::2][:n_in]
+    x[1::2][:n_out] -= from_right @ x[::2][1:]
+    return x
 
 
 def _depth_system(hands: DataFrame, lam: float, per_side: bool, block: int) -> DataFrame:
@@ -230,40 +245,68 @@ def _wrist_ray() -> Column:
 
 
 BAND = ["frame", "_diag", "_up1", "_up2", "_lo1", "_lo2", "_rhs"]
+PIECE = ("clip", "side", "_block", "run_start")
 
 
-def _pieces(pdf: pd.DataFrame, block: int):
-    """(run_start, inner rows, separator rows) per run inside one block.
+def _starts(rows: pa.Table) -> np.ndarray:
+    """Where the pieces begin; a piece is what a block holds of a run, its rows adjacent and by frame."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for key in PIECE:
+        code = pc.dictionary_encode(rows[key].combine_chunks(), null_encoding="encode").indices.to_numpy()
+        new[1:] |= code[1:] != code[:-1]
+    return np.flatnonzero(new)
 
-    The last two rows of a piece that goes on in the next block are separators.
+
+class _Pieces:
+    """The equations of many pieces at once.
+
+    The last two rows of a piece that goes on in the next block are separators, all others
+    inner rows; inner rows of different pieces are not coupled. ``ties`` holds, per row, the
+    couplings to the two separators before and the two after its piece's inner rows.
     """
-    pdf = pdf.sort_values("frame")
-    for start, g in pdf.groupby("run_start", sort=True):
-        b = int(g["_block"].iloc[0])
-        goes_on = int(g["run_end"].iloc[0]) >= (b + 1) * block
-        cut = max(0, len(g) - 2) if goes_on else len(g)
-        yield int(start), b, g.iloc[:cut], g.iloc[cut:]
-
-
-def _couplings(inner: pd.DataFrame, left_n: int, sep: pd.DataFrame):
-    """Columns that tie inner rows to up to two left and two right separator rows."""
-    n = len(inner)
-    left, right = np.zeros((n, 2)), np.zeros((n, 2))
-    if n and left_n:
-        left[0, 1], left[0, 0] = inner["_lo1"].iloc[0], inner["_lo2"].iloc[0]
-        if n > 1:
-            left[1, 1] = inner["_lo2"].iloc[1]
-    if n and len(sep):
-        right[n - 1, 0], right[n - 1, 1] = inner["_up1"].iloc[-1], inner["_up2"].iloc[-1]
-        if n > 1:
-            right[n - 2, 0] = inner["_up2"].iloc[-2]
-    return left, right
-
-
-def _solve_inner(inner: pd.DataFrame, columns: np.ndarray) -> np.ndarray:
-    if not len(inner):
-        return np.zeros((0, columns.shape[1]))
-    return solve_bands(inner["_diag"].to_numpy(), inner["_up1"].to_numpy(), inner["_up2"].to_numpy(), columns)
+
+    def __init__(self, rows: pa.Table, block: int):
+        self.diag, self.up1, self.up2, lo1, lo2, self.rhs = (rows[c].to_numpy() for c in BAND[1:])
+        b, start, end = (rows[c].to_numpy().astype(np.int64) for c in ("_block", "run_start", "run_end"))
+        n = rows.num_rows
+        self.first = _starts(rows)
+        size = np.diff(np.append(self.first, n))
+        since = np.arange(n) - np.repeat(self.first, size)
+        self.left_over = np.repeat(size, size) - 1 - since  # rows of the piece that follow
+        goes_on = end >= (b + 1) * block
+        self.inner = ~goes_on | (self.left_over > 1)
+        before_last = self.left_over - 2 * goes_on  # inner rows of the piece that follow
+        entered, self.ties = start < b * block, np.zeros((n, 4))
+        at = lambda mask: np.flatnonzero(mask & self.inner)
+        for i, column, band in ((at(entered & (since == 0)), 1, lo1), (at(entered & (since == 0)), 0, lo2),
+                                (at(entered & (since == 1)), 1, lo2), (at(goes_on & (before_last == 0)), 2, self.up1),
+                                (at(goes_on & (before_last == 0)), 3, self.up2), (at(goes_on & (before_last == 1)), 2, self.up2)):
+            self.ties[i, column] = band[i]
+        self.near = np.where(before_last >= 1, self.up1, 0.0), np.where(before_last >= 2, self.up2, 0.0)
+
+    def solve(self, columns: np.ndarray) -> np.ndarray:
+        """Inner rows solved for [n, m] right-hand sides; zero at the separators."""
+        out, at = np.zeros(columns.shape), self.inner
+        out[at] = solve_bands(self.diag[at], self.near[0][at], self.near[1][at], columns[at])
+        return out
+
+
+def _by_piece(solve):
+    """Hand whole pieces to ``solve``, as many at once as an Arrow batch brings; the last piece waits for its rest."""
+    def run(batches):
+        held = []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            rows = pa.Table.from_batches([*held, batch])
+            cut = int(_starts(rows)[-1])
+            if cut:
+                yield from solve(rows.slice(0, cut)).to_batches()
+            held = rows.slice(cut).to_batches()
+        if held:
+            yield from solve(pa.Table.from_batches(held)).to_batches()
+    return run
 
 
 def smooth_wrist_depth(hands: DataFrame, lam: float = DEPTH_LAMBDA, max_change: float | None = None,
@@ -286,32 +329,33 @@ def smooth_wrist_depth(hands: DataFrame, lam: float = DEPTH_LAMBDA, max_change:
     side_t = hands.schema["side"].dataType.simpleString()
     ids = f"clip {clip_t}, side {side_t}"
 
-    def eliminate(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for start, b, inner, sep in _pieces(pdf, block):
-            left_n = 2 if start < b * block else 0
-            left, right = _couplings(inner, left_n, sep)
-            c = np.hstack([left, right])
-            x = _solve_inner(inner, np.hstack([c, inner["_rhs"].to_numpy()[:, None]]))
-            own = np.zeros((2, 2))
-            own_rhs = np.zeros(2)
-            m = len(sep)
-            for i in range(m):
-                own[i, i] = sep["_diag"].iloc[i]
-                own_rhs[i] = sep["_rhs"].iloc[i]
-            if m == 2:
-                own[0, 1] = own[1, 0] = sep["_up1"].iloc[0]
-            out.append((start, b, m, (c.T @ x[:, :4]).ravel().tolist(), (c.T @ x[:, 4]).tolist(),
-                        own.ravel().tolist(), own_rhs.tolist()))
-        res = pd.DataFrame(out, columns=["run_start", "_block", "m", "schur", "schur_rhs", "own", "own_rhs"])
-        res.insert(0, "side", pdf["side"].iloc[0])
-        res.insert(0, "clip", pdf["clip"].iloc[0])
-        return res
+    def eliminate(rows: pa.Table) -> pa.Table:
+        p = _Pieces(rows, block)
+        x = p.solve(np.column_stack([p.ties, p.rhs]))
+        sums = np.add.reduceat(p.ties[:, :, None] * x[:, None, :], p.first, axis=0)
+        last = np.append(p.first[1:], rows.num_rows) - 1
+        m = np.add.reduceat((~p.inner).astype(np.int32), p.first)
+        own, own_rhs = np.zeros((len(last), 2, 2)), np.zeros((len(last), 2))
+        for i, back in ((0, m == 2), (1, np.zeros(len(m), bool))):
+            at = np.maximum(last - back, 0)
+            used = m > i
+            own[used, i, i], own_rhs[used, i] = p.diag[at[used]], p.rhs[at[used]]
+        two = m == 2
+        own[two, 0, 1] = own[two, 1, 0] = p.up1[last[two] - 1]
+        lists = lambda x: pa.array(x.reshape(len(x), -1).tolist(), pa.list_(pa.float64()))
+        keys = rows.select(["clip", "side", "run_start", "_block"]).take(pa.array(p.first))
+        for name, column in (("m", pa.array(m, pa.int32())), ("schur", lists(sums[:, :, :4])), ("schur_rhs", lists(sums[:, :, 4])),
+                             ("own", lists(own)), ("own_rhs", lists(own_rhs))):
+            keys = keys.append_column(name, column)
+        return keys
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition("clip", "side", "_block").sortWithinPartitions("clip", "side", "frame")
 
     long_run = block_of("run_start", block) < block_of("run_end", block)
-    parts = slim.filter(long_run).groupBy("clip", "side", "_block").applyInPandas(
-        eliminate, f"{ids}, run_start int, _block int, m int, schur array<double>, schur_rhs array<double>, "
-                   "own array<double>, own_rhs array<double>")
+    parts = together(slim.filter(long_run)).mapInArrow(
+        _by_piece(eliminate), f"{ids}, run_start int, _block int, m int, schur array<double>, schur_rhs array<double>, "
+                              "own array<double>, own_rhs array<double>")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         """Block-tridiagonal sweep over the separators of one run (two unknowns each)."""
@@ -348,26 +392,17 @@ def smooth_wrist_depth(hands: DataFrame, lam: float = DEPTH_LAMBDA, max_change:
     borders = parts.groupBy("clip", "side", "run_start").applyInPandas(
         chain, f"{ids}, run_start int, _block int, left array<double>, right array<double>")
 
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        frames, depths = [], []
-        for start, b, inner, sep in _pieces(pdf, block):
-            left_n = 2 if start < b * block else 0
-            rhs = inner["_rhs"].to_numpy().copy()
-            lv, rv = pdf.loc[inner.index.union(sep.index)[:1], ["left", "right"]].iloc[0]
-            if lv is not None or rv is not None:
-                left, right = _couplings(inner, left_n, sep)
-                rhs -= left @ np.asarray(lv) + right @ np.asarray(rv)
-            frames += inner["frame"].tolist()
-            depths += _solve_inner(inner, rhs[:, None])[:, 0].tolist()
-            frames += sep["frame"].tolist()
-            depths += list(np.asarray(rv)[2 - len(sep):]) if len(sep) else []
-        res = pd.DataFrame({"frame": frames, "_solved": depths})
-        res.insert(0, "side", pdf["side"].iloc[0])
-        res.insert(0, "clip", pdf["clip"].iloc[0])
-        return res
-
-    solved = slim.join(borders, ["clip", "side", "run_start", "_block"], "left").groupBy(
-        "clip", "side", "_block").applyInPandas(finish, f"{ids}, frame int, _solved double")
+    def finish(rows: pa.Table) -> pa.Table:
+        p = _Pieces(rows, block)
+        border = np.column_stack([rows[c].to_numpy() for c in ("l0", "l1", "r0", "r1")])
+        x = p.solve((p.rhs - (p.ties * border).sum(axis=1))[:, None])[:, 0]
+        x = np.where(p.inner, x, np.where(p.left_over == 0, border[:, 3], border[:, 2]))
+        return rows.select(["clip", "side", "frame"]).append_column("_solved", pa.array(x))
+
+    at_border = {name: F.coalesce(F.get(side, F.lit(i)), F.lit(0.0)) for name, side, i in (
+        ("l0", "left", 0), ("l1", "left", 1), ("r0", "right", 0), ("r1", "right", 1))}
+    solved = together(slim.join(borders, list(PIECE), "left").withColumns(at_border).drop("left", "right")).mapInArrow(
+        _by_piece(finish), f"{ids}, frame int, _solved double")
     out = hands.join(solved, ["clip", "side", "frame"], "left")
     before = F.col("joints")[0]["z"]
     step = F.col("_solved") - before
