@@ -4,12 +4,14 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from motionweave.llm import license as lic, mixing, quality, queries, secrets
+from motionweave.llm.common import before
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", " \n\t ", "a", " x y", "CC BY cc-by Cc By", "ALL RIGHTS reserved. all rights reserved", "general public license",
@@ -161,6 +163,79 @@ def test_token_around_a_known_span_is_scored(spark):
     assert [s["order"] for s in row["secrets"]] == [3, 2, 0] and row["clean"] == "a [SECRET] b [SECRET] c"
 
 
+def plain_redact(text, spans):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 200])
+def test_before(spark, n):
+    values = [(i * 37) % 11 for i in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    sums, tops = df.select(before(F.col("v"), F.lit(0), lambda a, x: a + x), before(F.col("v"), F.lit(0), lambda a, x: F.greatest(a, x))).first()
+    assert sums == [sum(values[:i]) for i in range(n)] and tops == [max(values[:i], default=0) for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    return secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_secrets_without_a_known_shape(spark, learned):
+    """Half of the rows hold a random token, half an ordinary identifier; neither was seen in training."""
+    assert learned.recall > 0.95 and learned.false_rate <= secrets.FALSE_RATE and learned.least > 0
+    rng = random.Random(5)
+    words = [w for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(300).collect() for w in re.findall("[a-z]{3,12}", r["text"] or "")]
+    alphabets = [secrets.ALPHABET[:62], secrets.ALPHABET[26:36] + secrets.ALPHABET[52:62], "0123456789ABCDEF", secrets.ALPHABET[:26] + "0123456789"]
+    rows = []
+    for i in range(400):
+        rows.append((f"é {''.join(rng.choice(alphabets[i % 4]) for _ in range(rng.randint(20, 60)))} of", True))
+        rows.append((f"the {rng.choice('_-').join(rng.sample(words, 5))} of", False))
+    got = secrets.scan(spark.createDataFrame(rows, "text string, secret boolean"), learned).select("secret", "text", "secrets").collect()
+    hit = [r["secret"] for r in got if any(s["order"] == 3 for s in r["secrets"])]
+    assert hit.count(True) >= 0.97 * 400 and hit.count(False) <= 2
+    for r in got:
+        assert all(r["text"][s["start"]:s["end"]] == s["value"] for s in r["secrets"])
+
+
+def test_rulers_and_repeats_are_no_secrets(spark, learned):
+    docs = spark.createDataFrame([("-" * 40,), ("=-" * 30,), ("x" * 5000,), ("_" * 16 + "=" * 16,)], "text string")
+    assert all(r["secrets"] == [] for r in secrets.scan(docs, learned).collect())
+
+
+def test_without_words_no_token_passes(spark):
+    docs = spark.createDataFrame([("Kq2ZvX9bTn4Lw8RfYs3D token=abcdefgh12",)], "text string").where("text like 'K%'")
+    alone = spark.createDataFrame([("Kq2ZvX9bTn4Lw8RfYs3D",), (None,)], "text string")
+    assert secrets.train(alone).least == math.inf
+    assert [s["order"] for s in secrets.scan(docs, secrets.train(alone)).first()["secrets"]] == [0]
+
+
+def test_very_long_texts_take_linear_time(spark, learned):
+    rng = random.Random(3)
+    token = "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(1_000_000))
+    matches = "".join(f"é token=abc{i:06d} " for i in range(100_000))
+    docs = spark.createDataFrame([(1, token), (2, matches)], "id int, text string")
+    t0 = time.perf_counter()
+    found = secrets.scan(docs, learned)
+    rows = {r["id"]: r for r in found.select("id", "secrets", secrets.redact(F.col("text"), F.col("secrets")).alias("clean")).collect()}
+    assert time.perf_counter() - t0 < 60
+    assert [(s["start"], s["end"]) for s in rows[1]["secrets"]] == [(0, 1_000_000)] and rows[1]["clean"] == "[SECRET]"
+    spans = [(s["start"], s["end"]) for s in rows[2]["secrets"]]
+    assert spans == [m.span() for m in re.finditer(r"token=\w+", matches)]
+    assert rows[2]["clean"] == plain_redact(matches, spans)
+
+
+def test_redact_overlaps(spark):
+    spans = [(0, 3), (2, 5), (2, 3), (5, 6), (9, 12), (9, 10), (20, 22)]
+    text = "aé😀defghijklmnopqrstuv"
+    df = spark.createDataFrame([(text, [{"start": a, "end": b} for a, b in spans]), (text, []), ("", [])], "t string, s array<struct<start:int,end:int>>")
+    assert [r[0] for r in df.select(secrets.redact(F.col("t"), F.col("s"))).collect()] == [plain_redact(text, spans), text, ""]
+
+
 def plain_counts(text):
     t = text or ""
     words = plain_words(t)
