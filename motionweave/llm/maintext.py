@@ -1,12 +1,13 @@
 """Main text of web pages by tag-path ratios.
 
 A page is taken apart into text nodes, each under the path of tags from the root to it. Nodes with one path share its
-statistics: characters per node, share of characters that lie in links, punctuation per node. Text and punctuation
-ratios are smoothed over neighbouring nodes in page order, fused by their product, and paths that reach a share of the
-page's best path are content. What HTML itself names as no part of an article (menus, footers, forms, scripts, adverts
-and the like) is never content. Every block on a content path stays. Sections add short blocks to them: the articles (or
-main elements) that hold content, where these hold at least half of it together, else the lowest element around all
-content and the deepest one around most of it.
+statistics: characters outside links per node, punctuation per node. Text and punctuation ratios are smoothed over
+neighbouring nodes of one element in page order, fused by their geometric mean, and paths that reach a share of the page's
+best path are content. What HTML itself names as no part of an article (menus, footers, forms, scripts, adverts and the like)
+is never content. Where no article or main element holds half of the content, the ratio alone decides: paths outside the
+core, the deepest element around half of the content or one around it with paragraphs beside it, must come near the best. Every block on a content path stays. Sections
+add short blocks to them: the articles (or main elements) that hold content, where these hold at least half of it
+together, else the lowest element around all content and the deepest one around most of it.
 
 Names in class, id or role and form elements exclude what they hold, unless that is the page or its article: html, body,
 main and article are never excluded by their own names, other elements not where they hold most of the fused ratio of
@@ -41,6 +42,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = frozenset("ul ol dl table select".split())
 WHOLE = frozenset("html body main article".split())
+PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 # Words in class, id or role that name what is no part of an article.
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|promoted|comments?|commentlist|disqus|respond|reply|replies|"
@@ -50,10 +52,13 @@ NAMES = re.compile(
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 SPACE = re.compile(r"[ \t\n\r\f\v  -     　 \u0085]+")
-MARKS = re.compile(r"[.,;:!?…。、，！？；：]")
+# Latin marks end a word; those inside an address or a number are none.
+MARKS = re.compile(r"[.,;:!?…](?=[\s\"'»”’)\]]|$)|[。、，！？；：]")
 SMOOTH = (0.25, 0.5, 0.25)
-SHARE = 0.1          # of the best fused ratio that a path must reach
+SHARE = 0.2          # of the best fused ratio that a path must reach
+APART = 0.9          # the same for paths outside the core of the content
 HOLDS = 0.5          # of the content that a section must hold
+MOST = 0.8           # of the content that an element must hold to count as a section without article or main
 
 
 class Node:
@@ -198,9 +203,13 @@ def _clean(pieces: list[tuple[str, Node]]) -> str:
     return SPACE.sub(" ", html.unescape("".join(text for text, node in pieces if not node.excluded()))).strip(" ")
 
 
-def _smooth(values: np.ndarray) -> np.ndarray:
-    padded = np.r_[values[:1], values, values[-1:]]
-    return np.convolve(padded, SMOOTH, "valid")
+def _smooth(values: np.ndarray, parents: list[Node | None]) -> np.ndarray:
+    """Weighted means with the blocks before and after; an element's first and last block count twice instead."""
+    near = np.array([x is y for x, y in zip(parents[:-1], parents[1:], strict=True)], bool)
+    before, after = values.copy(), values.copy()
+    before[1:][near] = values[:-1][near]
+    after[:-1][near] = values[1:][near]
+    return SMOOTH[0] * before + SMOOTH[1] * values + SMOOTH[2] * after
 
 
 def _ratios(blocks: list[Block], texts: list[str]) -> tuple[np.ndarray, dict[str, list[int]]]:
@@ -211,8 +220,20 @@ def _ratios(blocks: list[Block], texts: list[str]) -> tuple[np.ndarray, dict[str
         s[0] += max(0, len(text) - b.linked)
         s[1] += len(MARKS.findall(text))
         s[2] += 1
-    ratio = np.array([[sums[b.path][0] / sums[b.path][2], (sums[b.path][1] + 0.1) / sums[b.path][2]] for b in blocks])
-    return _smooth(ratio[:, 0]) * _smooth(ratio[:, 1]), sums
+    ratio = np.array([[sums[b.path][0] / sums[b.path][2], (sums[b.path][1] + 0.1) / sums[b.path][2]] for b in blocks]).reshape(-1, 2)
+    parents = [b.node.parent for b in blocks]
+    return np.sqrt(_smooth(ratio[:, 0], parents) * _smooth(ratio[:, 1], parents)), sums
+
+
+def path_levels(blocks: list[Block], texts: list[str]) -> dict[str, float]:
+    """The largest fused ratio of a path's blocks, as a share of the page's largest; paths of links alone have 0."""
+    fused, sums = _ratios(blocks, texts)
+    level: dict[str, float] = defaultdict(float)
+    for b, f in zip(blocks, fused, strict=True):
+        if sums[b.path][0]:
+            level[b.path] = max(level[b.path], float(f))
+    top = max(level.values(), default=0.0)
+    return {b.path: level[b.path] / top if top > 0 else 0.0 for b in blocks}
 
 
 def _readable(every: list[Block]) -> tuple[list[Block], list[str]]:
@@ -259,16 +280,16 @@ def main_text(page: str) -> tuple[str, list[str]]:
     blocks, texts = _readable(every)
     if not blocks:
         return "", []
-    fused, sums = _ratios(blocks, texts)
-    by_path: dict[str, list[float]] = defaultdict(list)
-    for b, f in zip(blocks, fused, strict=True):
-        by_path[b.path].append(f)
-    level = {p: max(f) if sums[p][0] else 0.0 for p, f in by_path.items()}
-    top = max(level.values())
-    content = [top > 0 and level[b.path] >= SHARE * top for b in blocks]
+    level = path_levels(blocks, texts)
+    content = [level[b.path] >= SHARE for b in blocks]
     if not any(content):
         content = [True] * len(blocks)
     sections, around = _sections(blocks, texts, content)
+    if not any(n.tag in ("article", "main") for n in sections):
+        core = _core(blocks, texts, content)
+        if core is not None:
+            content = [c and (level[b.path] >= APART or _under(b.node, core)) for b, c in zip(blocks, content, strict=True)]
+            sections, around = _sections(blocks, texts, content)
     content = [c or any(_under(b.node, s) for s in sections) or around is not None and 2 * b.linked < len(text) and _under(b.node, around)
                for b, text, c in zip(blocks, texts, content, strict=True)]
     kept = [(t, b.path) for t, b, c in zip(texts, blocks, content, strict=True) if c]
@@ -283,33 +304,66 @@ def _under(node: Node | None, section: Node) -> bool:
     return False
 
 
+class _Weights:
+    """Characters of content below each element."""
+
+    def __init__(self):
+        self.total, self.below, self.nodes, self.depth = 0, defaultdict(int), {}, {}
+
+    def add(self, node: Node | None, size: int) -> None:
+        chain = []
+        while node is not None:
+            chain.append(node)
+            node = node.parent
+        self.total += size
+        for d, n in enumerate(reversed(chain)):
+            self.below[n.number] += size
+            self.nodes[n.number], self.depth[n.number] = n, d
+
+    def deepest(self, share: float) -> Node | None:
+        """The deepest element, but for the page itself and paragraphs, that holds this share."""
+        held = [n for n in self.nodes.values()
+                if self.below[n.number] >= share * self.total and n.tag not in ("#root", "html", "body", "p")]
+        return max(held, key=lambda n: self.depth[n.number], default=None)
+
+
+def _weighed(blocks: list[Block], texts: list[str], content: list[bool]) -> _Weights:
+    weights = _Weights()
+    for b, text, c in zip(blocks, texts, content, strict=True):
+        if c:
+            weights.add(b.node, len(text))
+    return weights
+
+
+def _core(blocks: list[Block], texts: list[str], content: list[bool]) -> Node | None:
+    """The deepest element around half of the content, or the outermost one around it that has paragraphs of its own."""
+    core = node = _weighed(blocks, texts, content).deepest(HOLDS)
+    beside = {b.node.parent.number for b, c in zip(blocks, content, strict=True) if c and b.node.tag in PARAGRAPH and b.node.parent is not None}
+    while node is not None and node.tag not in ("#root", "html", "body"):
+        if node.number in beside:
+            core = node
+        node = node.parent
+    return core
+
+
 def _sections(blocks: list[Block], texts: list[str], content: list[bool]) -> tuple[list[Node], Node | None]:
     """(elements whose blocks all belong to the content, element whose blocks do unless they are mostly links)."""
-    weight: dict[int, int] = defaultdict(int)
-    nodes: dict[int, Node] = {}
-    depth: dict[int, int] = {}
+    weights = _weighed(blocks, texts, content)
     inside = {"article": 0, "main": 0}
-    total = 0
     for b, text, c in zip(blocks, texts, content, strict=True):
-        if not c:
-            continue
-        total += len(text)
-        chain, node = [], b.node
-        while node is not None:
-            chain.append(node)
-            node = node.parent
-        for tag in inside:
-            inside[tag] += len(text) if any(n.tag == tag for n in chain) else 0
-        for d, node in enumerate(reversed(chain)):
-            weight[node.number] += len(text)
-            nodes[node.number], depth[node.number] = node, d
+        for tag in inside if c else ():
+            inside[tag] += len(text) if _within(b.node, tag) else 0
     for tag in inside:
-        if inside[tag] and inside[tag] >= HOLDS * total:
-            return [n for n in nodes.values() if n.tag == tag], None
-    held = [n for n in nodes.values() if weight[n.number] >= 0.8 * total and n.tag not in ("#root", "html", "body", "p")]
-    deepest = lambda some: max(some, key=lambda n: depth[n.number], default=None)
-    most = deepest(held)
-    return [most] if most is not None else [], deepest([n for n in held if weight[n.number] == total])
+        if inside[tag] and inside[tag] >= HOLDS * weights.total:
+            return [n for n in weights.nodes.values() if n.tag == tag], None
+    most = weights.deepest(MOST)
+    return [most] if most is not None else [], weights.deepest(1.0)
+
+
+def _within(node: Node | None, tag: str) -> bool:
+    while node is not None and node.tag != tag:
+        node = node.parent
+    return node is not None
 
 
 def _extractor(carry: int):
