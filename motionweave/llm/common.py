@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_of(column: str = "text") -> Column:
     """The whole text; a missing one is empty."""
-    return F.coalesce(F.col(column), F.lit(""))
+    return F.coalesce(F.col(quoted(column)), F.lit(""))
 
 
 def words_of(text: Column) -> Column:
@@ -32,7 +32,7 @@ def words_of(text: Column) -> Column:
 
 def nullable_key(column: str) -> Column:
     """A key that equals itself for missing values too and differs from every real value."""
-    return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit("-"))
+    return F.coalesce(F.concat(F.lit("="), F.col(quoted(column))), F.lit("-"))
 
 
 def before(values: Column, zero: Column, op: Callable[[Column, Column], Column], step: int = 64) -> Column:

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import cut_lineage
-from .common import fresh, nullable_key, text_of, words_of
+from .common import fresh, nullable_key, quoted, text_of, words_of
+from .ordered import ROW_BITS, laid
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5     # of all words
@@ -24,7 +25,7 @@ BITS, ROUNDS, HASH_BITS = 12, 3, 60
 def sized(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """The frame with (key, size, hash) of each row; a missing text has no words."""
     key, size, h = fresh(docs, "mix_key", "mix_size", "mix_hash")
-    named = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("\n"), F.md5(text_of(text)))
+    named = F.concat(F.coalesce(F.col(quoted(doc_id)).cast("string"), F.lit("")), F.lit("\n"), F.md5(text_of(text)))
     return docs.select(
         "*", nullable_key(source).alias(key), F.size(words_of(text_of(text))).cast("long").alias(size),
         F.conv(F.substring(F.md5(named), 1, HASH_BITS // 4), 16, 10).cast("long").alias(h))
@@ -37,21 +38,34 @@ def targets(rows: DataFrame) -> DataFrame:
     stops at MOST times its size and the rest is shared again, which ends at one common level per unit of weight.
     """
     each = rows.groupBy("key").agg(F.sum("size").alias("source_size"))
-    order = W.orderBy(F.col("key") == "-", "key")
-    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), ((F.row_number().over(order) - 1) % len(WEIGHTS) + 1).cast("int"))
-    capped = each.withColumn("weight", weight).withColumn("cap", F.lit(MOST) * F.col("source_size"))
-    by_ratio = W.orderBy(F.col("cap") / F.col("weight"), "key")
-    everything = W.partitionBy()
-    level = capped.select(
-        "*", F.row_number().over(by_ratio).alias("rank"),
-        ((F.lit(SHARE) * F.sum("source_size").over(everything)
-          - F.coalesce(F.sum("cap").over(by_ratio.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)))
-         / F.sum("weight").over(by_ratio.rowsBetween(0, W.unboundedFollowing))).alias("level"))
-    free = F.when(F.col("level") < F.col("cap") / F.col("weight"), F.struct("rank", "level"))
-    first = level.withColumn("first", F.min(free).over(everything))
-    return first.select(
-        "key", "source_size",
-        F.when(F.col("rank") >= F.col("first")["rank"], F.col("first")["level"] * F.col("weight")).otherwise(F.col("cap")).alias("target"))
+    named = _summed_before(laid(each, F.col("key") == "-", "key").withColumn("one", F.lit(1)), "one")
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("one_before") % len(WEIGHTS) + 1).cast("int"))
+    capped = named.select("key", "source_size", weight.alias("weight"), (F.lit(MOST) * F.col("source_size")).alias("cap"))
+    full = F.col("cap") / F.col("weight")
+    by_ratio = _summed_before(laid(capped, full, "key"), "cap", "weight")
+    all_of = by_ratio.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weight")).first()
+    level = by_ratio.withColumn("level", (F.lit(SHARE) * F.lit(all_of["words"]) - F.col("cap_before")) / (F.lit(all_of["weight"]) - F.col("weight_before")))
+    # The first source, by words a weight, that the common level does not fill; it and all after it share that level.
+    free = level.where(F.col("level") < full).agg(F.min(F.struct("at", "level")).alias("first")).first()["first"]
+    if free is None:
+        return level.select("key", "source_size", F.col("cap").alias("target"))
+    return level.select("key", "source_size", F.when(
+        F.col("at") >= free["at"], F.lit(free["level"]) * F.col("weight")).otherwise(F.col("cap")).alias("target"))
+
+
+def _summed_before(rows: DataFrame, *columns: str) -> DataFrame:
+    """Add `<column>_before`, the sum over all rows before by ``at``: within the range, plus the sums of earlier ranges.
+
+    Only the ranges, as many as there are shuffle partitions, meet in one window.
+    """
+    rows = rows.withColumn("range", F.shiftright("at", ROW_BITS))
+    earlier = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    near, far = earlier(W.partitionBy("range").orderBy("at")), earlier(W.orderBy("range"))
+    ranges = rows.groupBy("range").agg(*[F.sum(c).alias(c) for c in columns])
+    starts = ranges.select("range", *[F.sum(c).over(far).alias(f"{c}_start") for c in columns])
+    none = F.lit(0)
+    return rows.join(starts, "range").select("*", *[
+        (F.coalesce(F.sum(c).over(near), none) + F.coalesce(f"{c}_start", none)).alias(f"{c}_before") for c in columns])
 
 
 def thresholds(rows: DataFrame, goal: DataFrame) -> DataFrame:
@@ -103,9 +117,9 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
 
 def mix_slim(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """As `mix`, but of the id alone: the texts are read once and not carried on."""
-    rows = sized(docs.select(doc_id, text, source), text, doc_id, source)
+    rows = sized(docs.select(*[F.col(quoted(c)) for c in (doc_id, text, source)]), text, doc_id, source)
     key, size, h = rows.columns[-3:]
-    slim = cut_lineage(rows.select(F.col(doc_id), F.col(key).alias("key"), F.col(size).alias("size"), F.col(h).alias("hash")))
+    slim = cut_lineage(rows.select(F.col(quoted(doc_id)), F.col(key).alias("key"), F.col(size).alias("size"), F.col(h).alias("hash")))
     limit = thresholds(slim.select("key", "size", "hash"), targets(slim))
     return _decide(slim, limit, [doc_id], "key", "size", "hash")
 
@@ -115,6 +129,6 @@ def _decide(rows: DataFrame, limit: DataFrame, keep: list[str], key: str, size:
     limit = limit.select(*[F.col(c).alias("lim_" + c) for c in limit.columns])
     joined = rows.join(limit, F.col(key) == F.col("lim_key"))
     copies = F.col("lim_copies") + F.when(F.col(h) < F.col("lim_below"), 1).otherwise(0)
-    return joined.select(*[rows[c] for c in keep], F.struct(
+    return joined.select(*[rows[quoted(c)] for c in keep], F.struct(
         F.col(size).alias("size"), F.col("lim_source_size").alias("source_size"), F.col("lim_target").alias("target"),
         copies.alias("copies")).alias(name))

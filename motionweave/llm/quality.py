@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import cut_lineage
-from .common import SPACE_CLASS, fresh, nullable_key, text_of, words_of
+from .common import SPACE_CLASS, fresh, nullable_key, quoted, text_of, words_of
 
 # measure: (numerator, denominator, least distance of the fence from the median), in thousandths
 MEASURES = {
@@ -62,7 +62,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_lines": F.size(line),
         "n_capitals": without(r"\p{Lu}+"),
     }
-    return step.select(*[docs[c] for c in keep], F.struct(*[v.cast("long").alias(k) for k, v in counts.items()]).alias(m))
+    return step.select(*[docs[quoted(c)] for c in keep], F.struct(*[v.cast("long").alias(k) for k, v in counts.items()]).alias(m))
 
 
 def base_failed(m: Column) -> Column:
@@ -123,7 +123,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     """
     measured = measure(docs, text)
     m = measured.columns[-1]
-    written = cut_lineage(measured if carry is None else measured.select(*carry, m))
+    written = cut_lineage(measured if carry is None else measured.select(*[F.col(quoted(c)) for c in carry], m))
     # Written, so that Spark knows its size when it plans the join, and moves the texts only if there are too many groups.
     limit = cut_lineage(fences(sketch(written, m, lang, source)))
     kl, ks, failed, kept = fresh(written, "kl_", "ks_", "base_failed", "kept")
@@ -133,4 +133,4 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     verdict = ~base_failed(F.col(m))
     for ok in inside:
         verdict = verdict & ok
-    return joined.select(*[written[c] for c in written.columns], base_failed(F.col(m)).alias(failed), verdict.alias(kept))
+    return joined.select(*[written[quoted(c)] for c in written.columns], base_failed(F.col(m)).alias(failed), verdict.alias(kept))

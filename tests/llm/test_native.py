@@ -308,6 +308,36 @@ def test_mixing(texts):
     assert sorted(map(str, again)) == sorted(map(str, rows))
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_targets_of_many_sources(spark, coalesce):
+    """Sources over several ranges, ties in the ratio of size and weight, sources without words, a missing one."""
+    sizes = {f"s{i:03d}": (i * i * 7919) % 5000 * (i % 11 > 0) for i in range(400)} | {None: 1234, "": 10, "Ä": 99}
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        rows = spark.createDataFrame([("-" if k is None else "=" + k, n) for k, n in sizes.items()], "key string, size long")
+        got = {r["key"]: (r["source_size"], r["target"]) for r in mixing.targets(rows.repartition(5)).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    want = plain_targets(sizes)
+    assert len(got) == len(sizes)
+    for k, n in sizes.items():
+        size, target = got["-" if k is None else "=" + k]
+        assert size == n and math.isclose(target, want[k], rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_names_with_dots(texts):
+    plain = texts.select("doc_id", "text", "lang", "source")
+    dotted = plain.toDF("a.id", "a.text", "a.lang", "a.source")
+    names = {"text": "a.text", "source": "a.source"}
+    as_rows = lambda df: sorted(map(str, map(tuple, df.collect())))
+    assert as_rows(mixing.mix(dotted, doc_id="a.id", **names)) == as_rows(mixing.mix(plain))
+    assert as_rows(mixing.mix_slim(dotted, doc_id="a.id", **names)) == as_rows(mixing.mix_slim(plain))
+    assert as_rows(quality.judge(dotted, lang="a.lang", **names)) == as_rows(quality.judge(plain))
+    some = quality.judge(dotted, lang="a.lang", carry=["a.lang", "a.source"], **names)
+    assert some.columns[:2] == ["a.lang", "a.source"]
+
+
 @pytest.mark.parametrize("name", sorted(set(queries.queries()) & {"op1_license_scan", "op5_secret_scan", "op9_quality_rules", "op10_mix_sources"}))
 def test_empty_table(spark, tmp_path, name):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
