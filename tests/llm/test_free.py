@@ -193,6 +193,28 @@ def test_neighbours_recall(spark):
         assert recall >= 0.9
 
 
+def test_neighbours_of_lone_queries_among_tight_groups(spark):
+    """The groups set a small radius; the queries lie by themselves, so their neighbours are far beyond it."""
+    rng = np.random.default_rng(3)
+    groups = np.repeat(rng.normal(size=(300, 96)), 7, axis=0) + 0.02 * rng.normal(size=(2100, 96))
+    lone = rng.normal(size=(42, 96)) + 0.3
+    ids = np.arange(len(groups) + len(lone))
+    x = np.empty((len(ids), 96))
+    x[ids % 50 != 0] = groups[:(ids % 50 != 0).sum()]
+    asks = (ids % 50 == 0).sum()
+    x[ids % 50 == 0] = np.concatenate([lone, rng.normal(size=(asks, 96))])[:asks] * np.where(np.arange(asks) % 2, 1.0, 1e200)[:, None]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    unit = x / np.abs(x).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    got = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q in ids[ids % 50 == 0].tolist():
+        score = unit @ unit[q]
+        score[q] = -2
+        assert got[q] == np.argsort(-score)[:5].tolist()
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (50, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]),
             (6, [None, 1.0]), (7, [float("inf"), 1.0]), (None, [1.0, 1.0]), (8, [1.0, 1.0, 1.0]), (50, [1.0, 0.0])]
