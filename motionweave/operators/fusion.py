@@ -33,7 +33,7 @@ def fuse(hands: DataFrame, cameras: DataFrame, tracks: DataFrame | None = None,
     A hand frame without a camera or without intrinsics is an error.
     """
     cam = cameras.select("clip", "frame", "rot", "trans", "k")
-    rows = with_fps(hands.drop("fps"), fps).join(cam, ["clip", "frame"], "left").withColumns({
+    rows = with_fps(hands.drop("fps"), fps).join(cam.hint("merge"), ["clip", "frame"], "left").withColumns({
         "rot": need(F.col("rot"), "array<double>", "no camera"),
         "k": need(F.col("k"), "array<double>", "no intrinsics"),
     })

@@ -26,6 +26,6 @@ def infer_windows(frames: DataFrame, windows: DataFrame, fn: Callable[[pd.DataFr
 
     A group is one window, whose length the schedule bounds.
     """
-    rows = frames.join(to_frames(windows.select("clip", "win", "start", "end")), ["clip", "frame"])
+    rows = frames.join(to_frames(windows.select("clip", "win", "start", "end")).hint("merge"), ["clip", "frame"])
     return rows.groupBy("clip", "win").applyInPandas(
         lambda pdf: fn(pdf.sort_values("frame").reset_index(drop=True)), schema)

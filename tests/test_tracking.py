@@ -120,3 +120,14 @@ def test_uneven_sides_are_refused(spark):
     left, right = full.filter("s = 0").drop("s"), full.filter("s = 1 and frame < 2").drop("s")
     with pytest.raises(Exception, match="differ in length"):
         tr.stack_sides(left, right).collect()
+
+
+@pytest.mark.parametrize("name", ["request_rows", "unpack_detections"])
+def test_frames_spread_from_clips_are_not_broadcast(spark, name):
+    """Spark sizes a frame table by the clips behind it, so a broadcast would take all frames to the driver."""
+    from motionweave import catalog
+
+    rows = catalog.queries()[name](spark, "/root/testdata/sf0.001")
+    assert rows.count() > 0
+    joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if " Join " in f" {line} " and "frame" in line]
+    assert joins and all("strategy=merge" in line for line in joins)
