@@ -136,3 +136,13 @@ def test_bytes_from_another_store(spark, tmp_path):
     columns = list(npz.KINDS["detection"].columns())
     loaded = npz.unpack(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp_path}/s"), "detection")
     assert plain(loaded.collect(), columns) == plain(npz.read(spark, f"{tmp_path}/s", "detection").collect(), columns)
+
+
+def test_small_ranges_share_a_task(spark, tmp_path):
+    rows, schema = rows_of("hand_window")
+    npz.write(spark.createDataFrame(rows, schema), f"{tmp_path}/store", "hand_window")
+    parts = npz.ArchiveReader({"kind": "hand_window", "path": f"{tmp_path}/store", "task_bytes": "100"}, ["path"]).partitions()
+    ranges = [r for p in parts for r in p.ranges]
+    assert len(ranges) > 20 and len(parts) == -(-len(ranges) // 64)
+    for path, _, n in ranges:
+        assert sorted(i for p, i, _ in ranges if p == path) == list(range(n))
