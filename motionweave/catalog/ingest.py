@@ -270,7 +270,10 @@ HASH = "SELECT doc_id, sha256(text) AS sha FROM documents"
 def file_hashes(spark, sf):
     """Digests of files: the name of every supplier, written as a text file of its own."""
     root = scratch_path(spark)
-    table(spark, sf, "supplier").select("s_suppkey", "s_name").repartition("s_suppkey").write.partitionBy("s_suppkey").text(root)
+    # Writing so many files takes long, though they are small: the partition number is given, and tasks move their own files.
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "s_suppkey")
+    rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("s_suppkey").text(root)
     rows = lg.file_hashes(spark, f"{root}/*/*.txt")
     return rows.select(F.regexp_extract("path", r"s_suppkey=(\d+)", 1).cast("long").alias("s_suppkey"), "size", "sha")
 

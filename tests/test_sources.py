@@ -1,5 +1,6 @@
 """Files read back from disk: datasets, clip folders, archives, manifests, sinks."""
 
+from pathlib import Path
 import io
 import json
 
@@ -282,6 +283,18 @@ def test_digests_of_large_and_many_files(spark, tmp_path):
         assert rows["large.bin"].sha == hashlib.file_digest(f, "sha256").hexdigest() and rows["large.bin"].size == size
 
 
+def test_small_files_are_written_and_hashed_by_several_tasks(spark, tmp_path):
+    from motionweave.catalog import ingest
+    from motionweave.sources import digests
+
+    spark.range(60).selectExpr("id as s_suppkey", "'name' as s_name").write.parquet(f"{tmp_path}/supplier.parquet")
+    assert ingest.file_hashes(spark, str(tmp_path)).count() == 60
+    newest = max(Path(spark.conf.get("spark.checkpoint.dir")).glob("motionweave-*/data/s_suppkey=0"), key=lambda p: p.stat().st_mtime).parent
+    assert len({f.name[:10] for f in newest.rglob("part-*")}) > 1
+    groups = digests.DigestReader({"path": f"{newest}/*/*.txt"}).partitions()
+    assert sum(len(list(digests.DigestReader({"path": "-"}).read(g))) for g in groups) == len(groups) == 1
+
+
 def test_landmarks_are_filled_in_place(spark):
     from motionweave.catalog.ingest import plain_model
     eye = [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0]
