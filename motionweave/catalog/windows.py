@@ -78,10 +78,9 @@ SELECT clip, win, {r('sum(a)')} AS total, {r('min(a)')} AS low, count(*) AS fram
 def owner_window(spark, sf):
     """First and last window that holds each frame."""
     win = _win(spark, sf)
-    frames = sc.to_frames(win).select("clip", "frame").distinct()
+    frames = sc.frames(vw.clips(spark, sf)).withColumn("frame", F.col("frame").cast("int"))
     last = sc.owner_window(frames, win, True).select("clip", "frame", F.col("win").alias("last_win"))
-    first = sc.owner_window(frames, win, False).select("clip", "frame", F.col("win").alias("first_win"))
-    return last.join(first, ["clip", "frame"])
+    return sc.owner_window(last, win, False).select("clip", "frame", "last_win", F.col("win").alias("first_win"))
 
 
 OWNER = BASE + FRAMES + " SELECT clip, frame, max(win) AS last_win, min(win) AS first_win FROM wf GROUP BY clip, frame"

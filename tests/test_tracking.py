@@ -131,3 +131,27 @@ def test_frames_spread_from_clips_are_not_broadcast(spark, name):
     assert rows.count() > 0
     joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if " Join " in f" {line} " and "frame" in line]
     assert joins and all("strategy=merge" in line for line in joins)
+
+
+@pytest.mark.parametrize("last", [True, False])
+def test_owner_windows_are_looked_up_not_spread(spark, last):
+    from pyspark.sql import functions as F
+
+    from motionweave.operators import schedule as sc
+
+    spans = [(1, 0, 0, 5), (1, 1, 3, 300), (1, 2, 100, 140), (1, 3, 127, 129), (2, 0, 10, 20), (None, 0, 0, 400)]
+    asked = [(c, f, f"{c}-{f}") for c in (1, 2, 3, None) for f in (0, 4, 5, 99, 127, 128, 129, 139, 140, 299, 300, 4, None)]
+    win = spark.createDataFrame(spans, "clip int, win int, start int, end int")
+    frames = spark.createDataFrame(asked, "clip int, frame int, note string")
+    got = sc.owner_window(frames, win, last)
+    assert got.columns == ["clip", "frame", "note", "win", "start", "end"]
+
+    def owner(c, f):
+        holds = [s[1:] for s in spans if c is not None and f is not None and s[0] == c and s[2] <= f < s[3]]
+        return (max if last else min)(holds, default=(None, None, None))
+
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted([(c, f, n, *owner(c, f)) for c, f, n in asked], key=key)
+    # A window of a hundred million frames is a list entry in each of its blocks, not a row per frame.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan and "explode(sequence(start" not in plan
