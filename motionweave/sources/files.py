@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.blocks import ranked
+from ..operators.blocks import BEFORE
 from ..schemas import STAGES
 
+WHOLE_CLIP = 1 << 17  # images that one task may sort
 MANIFEST_KEYS = ("clip", "video", "num_frames", "from_stage", "notes", "shards")
 PROBE = ("streams array<struct<avg_frame_rate:string,r_frame_rate:string,nb_frames:string,duration:string,"
          "width:string,height:string,codec_name:string>>, format struct<duration:string>")
@@ -21,19 +22,28 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(pattern).select("path", "length", "modificationTime")
 
 
-def frame_inventory(paths: DataFrame, fps: DataFrame, image_format: str = "jpg") -> DataFrame:
+def frame_inventory(paths: DataFrame, fps: DataFrame, image_format: str = "jpg", whole: int = WHOLE_CLIP) -> DataFrame:
     """Sorted image names -> frame number and timestamp per clip.
 
-    Rows: clip, path. Names are ranked in buckets of one prefix length per clip, which
-    keeps name order whatever the names' lengths, so no task sorts a clip.
+    Rows: clip, path. A clip of up to ``whole`` images is ranked at once; in a longer one names are ranked in buckets of one
+    prefix length, which keeps name order whatever the names' lengths, so no task sorts a long clip. Paths are shuffled
+    once, with the clip and the bucket only; rates and starts are joined by the same keys.
     """
-    named = paths.filter(F.col("path").endswith(f".{image_format}")).withColumn(
-        "name", F.substring_index("path", "/", -1))
+    name = F.substring_index("path", "/", -1)
+    named = paths.filter(F.col("path").endswith(f".{image_format}"))
     # All but the last three characters of the longest stem: about a thousand numbered frames.
-    cut = named.groupBy("clip").agg(F.greatest(F.lit(0), F.max(F.length("name")) - (len(image_format) + 4)).alias("_cut"))
-    rows = ranked(named.join(cut, "clip"), ["clip"], ["name"], F.left(F.col("name"), F.col("_cut")), "frame")
+    long = named.groupBy("clip").agg(F.count(F.lit(1)).alias("_n"), F.greatest(
+        F.lit(0), F.max(F.length(name)) - (len(image_format) + 4)).alias("_cut")).where(F.col("_n") > whole).select("clip", "_cut")
+    # Long clips are few: at most one for every ``whole`` rows.
+    rows = named.filter("clip is not null").join(F.broadcast(long), "clip", "left").select(
+        "clip", "path", F.when(F.col("_cut").isNotNull(), F.left(name, F.col("_cut"))).otherwise("").alias("_bucket"))
+    sizes = rows.groupBy("clip", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    base = F.sum("_n").over(Window.partitionBy("clip").orderBy("_bucket").rowsBetween(BEFORE, -1))
+    starts = sizes.select("clip", "_bucket", F.coalesce(base, F.lit(0)).alias("_base")).join(fps.select("clip", "fps"), "clip", "left")
+    place = F.row_number().over(Window.partitionBy("clip", "_bucket").orderBy(name))
     lost = F.raise_error(F.concat(F.lit("no fps for clip "), F.col("clip").cast("string"))).cast("double")
-    return rows.join(fps.select("clip", "fps"), "clip", "left").select(
+    ranked = rows.withColumn("_r", place).join(starts.hint("merge"), ["clip", "_bucket"]).withColumn("frame", F.col("_base") + F.col("_r") - 1)
+    return ranked.select(
         "clip", F.col("frame").cast("int").alias("frame"), "path",
         (F.col("frame") / F.coalesce("fps", lost)).alias("ts"))
 

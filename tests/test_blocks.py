@@ -144,6 +144,13 @@ def test_names_of_any_length_are_ranked(spark):
     fps = spark.createDataFrame([("a", 10.0), ("b", 10.0)], "clip string, fps double")
     got = files.frame_inventory(paths, fps).where("clip = 'a'").orderBy("frame").collect()
     assert [r["path"] for r in got] == [f"/x/{n}" for n in names]
+    for whole in (0, 500):  # in buckets
+        rows = files.frame_inventory(paths, fps, whole=whole).where("clip = 'a'").orderBy("frame").collect()
+        assert rows == got
+    # The paths are shuffled once, without the names taken from them.
+    plan = files.frame_inventory(paths, fps)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan[:plan.index("Initial Plan") if "Initial Plan" in plan else None].splitlines() if "Exchange hashpartitioning" in line]
+    assert len([line for line in moved if "_bucket" in line]) == 3 and "Exchange hashpartitioning(clip#" in plan
 
 
 def test_triples_never_repeat_a_point():
