@@ -78,7 +78,7 @@ SELECT clip, win, {r('sum(a)')} AS total, {r('min(a)')} AS low, count(*) AS fram
 def owner_window(spark, sf):
     """First and last window that holds each frame."""
     win = _win(spark, sf)
-    frames = sc.frames(vw.clips(spark, sf)).withColumn("frame", F.col("frame").cast("int"))
+    frames = sc.frames(vw.clips(spark, sf).filter("clip is not null")).withColumn("frame", F.col("frame").cast("int"))
     last = sc.owner_window(frames, win, True).select("clip", "frame", F.col("win").alias("last_win"))
     return sc.owner_window(last, win, False).select("clip", "frame", "last_win", F.col("win").alias("first_win"))
 

@@ -155,3 +155,11 @@ def test_owner_windows_are_looked_up_not_spread(spark, last):
     # A window of a hundred million frames is a list entry in each of its blocks, not a row per frame.
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=merge" in plan and "explode(sequence(start" not in plan
+
+
+def test_owner_window_leaves_out_orders_without_customer(spark, tmp_path):
+    from motionweave.catalog import windows
+
+    spark.createDataFrame([(1, 200_000.0), (1, 9_000.0), (None, 50_000.0)], "o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = sorted(map(tuple, windows.owner_window(spark, str(tmp_path)).collect()))
+    assert rows == [(1, f, min(f // 8, 1), max(0, f // 8 - 1)) for f in range(21)]
