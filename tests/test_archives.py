@@ -141,8 +141,10 @@ def test_bytes_from_another_store(spark, tmp_path):
 def test_small_ranges_share_a_task(spark, tmp_path):
     rows, schema = rows_of("hand_window")
     npz.write(spark.createDataFrame(rows, schema), f"{tmp_path}/store", "hand_window")
-    parts = npz.ArchiveReader({"kind": "hand_window", "path": f"{tmp_path}/store", "task_bytes": "100"}, ["path"]).partitions()
+    options = {"kind": "hand_window", "path": f"{tmp_path}/store"}
+    assert [len(p.ranges) for p in npz.ArchiveReader(options, ["path"]).partitions()] == [2]
+    parts = npz.ArchiveReader(options | {"task_bytes": "100"}, ["path"]).partitions()
     ranges = [r for p in parts for r in p.ranges]
-    assert len(ranges) > 20 and len(parts) == -(-len(ranges) // 64)
+    assert 20 < len(parts) == max(n for _, _, n in ranges) < len(ranges)
     for path, _, n in ranges:
         assert sorted(i for p, i, _ in ranges if p == path) == list(range(n))
