@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from motionweave.functions import pose
 from motionweave.operators import blend, evaluate as ev, schedule as sc, similarity as sim, stitch as st
+from motionweave.session import cut_lineage
 
 XYZ = "struct<x:double,y:double,z:double>"
 
@@ -77,6 +78,33 @@ def test_robust_fit_with_given_threshold_and_many_pairs(spark):
         check(r.fit, 1e-8)
 
 
+def test_hypotheses_do_not_take_the_drawn_points_along(spark):
+    """One row per hypothesis with all drawn points of its pair would wait in Python's queue, on disk when there are many."""
+    rows = sim.hypotheses(sim.with_origin(pairs(spark, 300, wins=(1, 2))), 20)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan
+    got = rows.collect()
+    assert sorted((r.win, r.hyp) for r in got) == [(w, h) for w in (1, 2) for h in range(20)]
+    for r in got:
+        check(r.fit, 1e-6)
+
+
+def test_robust_fit_writes_the_points_once_and_bare(spark, monkeypatch):
+    """No origin and no count per point; everything else that is written has at most a row per pair."""
+    written = []
+
+    def cut(df):
+        written.append((df.columns, df.count()))
+        return cut_lineage(df)
+
+    monkeypatch.setattr(sim, "cut_lineage", cut)
+    p = pairs(spark, 300, 0.2, wins=(1, 2, 3))
+    nobody = p.limit(1).withColumn("clip", F.lit(None).cast("int"))
+    assert len(sim.robust_fit(p.unionByName(nobody)).collect()) == 3
+    assert written[0] == (["clip", "win", "frame", "row", "col", "src", "dst", "weight"], 900)
+    assert all(n <= 3 for _, n in written[1:])
+
+
 def test_chain_across_blocks(spark):
     n = 11
     f = pose.sim3(F.lit(S), F.array(*[F.lit(float(e)) for e in R.ravel()]), F.struct(*[F.lit(float(t)).alias(a) for t, a in zip(T, "xyz")]))
