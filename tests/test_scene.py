@@ -105,6 +105,48 @@ def test_robust_fit_writes_the_points_once_and_bare(spark, monkeypatch):
     assert all(n <= 3 for _, n in written[1:])
 
 
+def recorded(module, monkeypatch):
+    """(columns, optimized plan) of everything that the module writes."""
+    written = []
+
+    def cut(df):
+        written.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return cut_lineage(df)
+
+    monkeypatch.setattr(module, "cut_lineage", cut)
+    return written
+
+
+def test_best_hypothesis_is_written_before_the_lists_are_read_again(spark, monkeypatch):
+    """Otherwise all hypotheses of all pairs are shuffled for a join with one number a pair."""
+    written = recorded(sim, monkeypatch)
+    check(sim.robust_fit(pairs(spark, 300, 0.2), inlier_threshold=0.05).first().fit, 1e-6)
+    best = [plan for columns, plan in written if columns == ["clip", "win", "best"]]
+    assert len(best) == 1 and "hyps" in best[0]
+    assert not any("hyps" in plan and "score" in plan for columns, plan in written if columns == ["clip", "win", "fit"])
+
+
+def test_stitch_merges_poses_without_the_points(spark, monkeypatch):
+    """The fits are written, a row per pair; the plan that chains and merges no longer holds points or their shuffle files."""
+    rng = np.random.default_rng(4)
+    depth = rng.uniform(1, 2, size=(6, 4, 4))
+    held = [(w, f) for w in (0, 1) for f in range(2 * w, 2 * w + 4)]
+    samples = spark.createDataFrame([(1, w, f, r, c, float(depth[f, r, c])) for w, f in held for r in range(4) for c in range(4)],
+                                    "clip int, win int, frame int, row int, col int, depth double")
+    eye, k = [1.0, 0, 0, 0, 1.0, 0, 0, 0, 1.0], [3.0, 0, 1.5, 0, 3.0, 1.5, 0, 0, 1.0]
+    rows = [(1, w, 2 * w, 2 * w + 4, f, [float(x) for x in eye], (0.1 * f, 0.0, 0.0), [float(x) for x in k]) for w, f in held]
+    cams = spark.createDataFrame(rows, f"clip int, win int, start int, end int, frame int, rot array<double>, trans {XYZ}, k array<double>")
+    written = recorded(st, monkeypatch)
+    settled = []
+    monkeypatch.setattr(st, "settle", lambda spark: settled.append(len(written)))
+    got = st.stitch(samples, cams, cams.select("clip", "win", "start", "end").distinct(), 4, 2, stride=1).orderBy("frame").collect()
+    assert [columns for columns, _ in written] == [["clip", "win", "fit"], ["clip", "frame", "rot", "trans", "k", "weight", "valid"]]
+    assert "inliers" in written[0][1] and "inliers" not in written[1][1]
+    assert settled == [1, 2]
+    np.testing.assert_allclose([r.trans.x for r in got], 0.1 * np.arange(6), atol=1e-9)
+    assert [r.weight for r in got] == [1, 1, 2, 2, 1, 1]
+
+
 def test_chain_across_blocks(spark):
     n = 11
     f = pose.sim3(F.lit(S), F.array(*[F.lit(float(e)) for e in R.ravel()]), F.struct(*[F.lit(float(t)).alias(a) for t, a in zip(T, "xyz")]))
