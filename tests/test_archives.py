@@ -130,6 +130,23 @@ def test_failed_writes_leave_nothing(spark, tmp_path):
     assert len(list(Path(tmp_path).rglob("*.npz"))) == 2
 
 
+def test_tasks_stage_nothing_after_an_abort(spark, tmp_path):
+    rows, schema = rows_of("hand_window")
+    df = spark.createDataFrame(rows, schema)
+    one, two = [df.where(F.col("path") == p).sort("frame", "side").toArrow().combine_chunks().to_batches() for p in ("c1/x/one.npz", "c2/x/two.npz")]
+
+    def aborted_between(writer):
+        yield from one
+        yield from two[:1]
+        writer.abort([])
+
+    for batches in (aborted_between, lambda w: w.abort([]) or iter(two)):
+        writer = npz.ArchiveWriter({"kind": "hand_window", "path": f"{tmp_path}/s"}, df.columns)
+        with pytest.raises(OSError):
+            writer.write(batches(writer))
+        assert not list(Path(tmp_path, "s", npz.STAGING).iterdir())
+
+
 def test_bytes_from_another_store(spark, tmp_path):
     rows, schema = rows_of("detection")
     npz.write(spark.createDataFrame(rows, schema), f"{tmp_path}/s", "detection")
