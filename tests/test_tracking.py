@@ -1,5 +1,6 @@
 """The split tracker against a plain frame loop, and its rules one by one."""
 
+import datetime
 import random
 
 import pytest
@@ -122,6 +123,42 @@ def test_uneven_sides_are_refused(spark):
         tr.stack_sides(left, right).collect()
 
 
+def test_missing_values_do_not_stop_the_selection(spark):
+    """A box without a side is adopted, one without confidence or corner stays its side's only pick."""
+    dets = [det(0, 0, 0, 0), det(0, 1, 40, 1), det(1, 0, 1, None), {**det(1, 1, 41, 1, None), "box": (None, 0.0, None, 10.0)},
+            det(2, 0, 2, 0, None), det(2, 1, 3, 0, 0.1), det(2, 2, 41, None)]
+    rows = tr.select_slots(frame_of(spark, dets)).collect()
+    assert {(r.frame, r.side): r.slot for r in rows} == {(0, 0): 0, (0, 1): 1, (1, 0): 0, (1, 1): 1, (2, 0): 1}
+    bare = next(r for r in rows if (r.frame, r.side) == (1, 1))
+    assert bare.conf is None and tuple(bare.box) == (None, 0.0, None, 10.0)
+
+
+def test_request_rows_are_the_whole_tracks(spark, tmp_path):
+    """The rows themselves come out, of the tracker with its state, also beyond the last order of a clip."""
+    import duckdb
+
+    from motionweave import catalog
+
+    day = datetime.datetime(1995, 1, 1)
+    # order key, side, x, confidence: labels are swapped in frame 1, side 0 is weak in frame 2 and mislabelled in frame 4.
+    seen = [(0, 0, 0, 0.9), (0, 1, 40, 0.9), (1, 1, 1, 0.9), (1, 0, 41, 0.9), (2, 0, 2, 0.5), (2, 1, 42, 0.9),
+            (3, 0, 3, 0.9), (3, 1, 43, 0.9), (4, 1, 4, 0.9), (4, 1, 44, 0.95), (500, 1, 10, 0.9)]
+    spark.createDataFrame(
+        [(k, i, side, 1, float(x), 1.0, 0.0, (1 - conf) / 5, "N", "O", day) for i, (k, side, x, conf) in enumerate(seen)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k,) for k in range(4)], "o_orderkey long").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    want = [(0, s, f, 40.0 * s + f, 0.0, 40.0 * s + f + 20, 20.0, 0.5 if (s, f) == (0, 2) else 0.95 if (s, f) == (1, 4) else 0.9, True, 5, 0, 4)
+            for s in (0, 1) for f in range(5)] + [(1, 1, 0, 10.0, 0.0, 30.0, 20.0, 0.9, True, 1, 0, 0)]
+    got = catalog.queries()["request_rows"](spark, str(tmp_path))
+    assert got.columns == ["clip", "side", "frame", "x1", "y1", "x2", "y2", "conf", "det", "rows", "first", "last"]
+    assert sorted(map(tuple, got.collect())) == want
+    con = duckdb.connect()
+    for t in ("lineitem", "orders"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert sorted(con.execute(catalog.oracle_sql()["request_rows"]).fetchall()) == want
+
+
 @pytest.mark.parametrize("name", ["request_rows", "unpack_detections"])
 def test_frames_spread_from_clips_are_not_broadcast(spark, name):
     """Spark sizes a frame table by the clips behind it, so a broadcast would take all frames to the driver."""
